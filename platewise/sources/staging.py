@@ -139,7 +139,7 @@ SELECT concat(' ', p_brand, ' ') AS merchant_name,
     WHEN 3 THEN 'surabaya, jakarta' ELSE 'elsewhere' END AS merchant_area,
   CASE p_partkey % 8 WHEN 0 THEN ' Ayam Geprek ' WHEN 1 THEN 'Es Teh Manis' WHEN 2 THEN 'Nasi Goreng'
     WHEN 3 THEN 'Steak' WHEN 4 THEN 'Ramen' WHEN 5 THEN 'plain' WHEN 6 THEN NULL ELSE 'Soto Padang' END AS category,
-  p_type AS display, p_name AS product, CAST(p_retailprice AS INT) AS price,
+  p_type AS display, p_name AS product, CAST(floor(p_retailprice) AS INT) AS price,
   CAST(p_size * 100 AS INT) AS discount_price, CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS "isDiscount",
   concat(p_name, ' / ', p_type) AS description
 FROM {part}
