@@ -66,21 +66,28 @@ def _group_means(df: DataFrame, by: str, means: Mapping[str, int | None]) -> Dat
     return out
 
 
-def _overall_mean(stats: DataFrame, name: str, scale: int | None) -> Column:
-    """Mean of the column after the groups were filled, worked out from the group statistics alone."""
+def _overall_mean(name: str, scale: int | None) -> Column:
+    """Mean of the column after the groups were filled, as an aggregate of the group statistics alone."""
     gaps = F.when(F.col(f"{name}__fill").isNotNull(), F.col(f"{name}__gaps")).otherwise(0).cast("decimal(14,0)")
     filled = gaps * F.coalesce(F.col(f"{name}__fill"), F.lit(0).cast(_MEAN))
     total = F.sum(F.coalesce(F.col(f"{name}__sum"), F.lit(0)) + filled)
-    return stats.agg(_round(F.try_divide(total, F.sum(F.col(f"{name}__n") + gaps)), scale)).scalar()
+    return _round(F.try_divide(total, F.sum(F.col(f"{name}__n") + gaps)), scale)
 
 
 def group_statistics(
     df: DataFrame, by: str, means: Mapping[str, int | None] | None = None, modes: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """One row per group with a ``<column>__fill`` value for every requested column."""
+    """One row per group with a ``<column>__fill`` value for every requested column.
+
+    Each part scans only its own columns; the parts hold one row per group and are brought together by one small
+    aggregation instead of joins.
+    """
     parts = [_group_means(df, by, means)] if means else []
     parts += [group_mode(df, name, by) for name in modes or {}]
-    return reduce(lambda left, right: left.join(right, by, "full"), parts)
+    if len(parts) == 1:
+        return parts[0]
+    stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), parts)
+    return stacked.groupBy(by).agg(*[F.max(name).alias(name) for name in stacked.columns if name != by])
 
 
 def fill_by_group(
@@ -89,6 +96,7 @@ def fill_by_group(
     means: Mapping[str, int | None] | None = None,
     modes: Mapping[str, object] | None = None,
     *,
+    learn_from: DataFrame | None = None,
     broadcast_groups: int = BROADCAST_GROUPS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -96,13 +104,17 @@ def fill_by_group(
 
     ``means`` maps a column to the decimals its mean is rounded to, half-even (``None``: not rounded); what is still
     missing gets the overall mean. ``modes`` maps a column to the default used where the group has no value (``None``:
-    stays null). Values that are present are never changed, whatever their group.
+    stays null). Values that are present are never changed, whatever their group. ``learn_from`` is a frame with the
+    same rows that is cheaper to scan for the statistics, such as the table that ``df`` was built from.
     """
     means, modes = means or {}, modes or {}
     targets = [*means, *modes]
-    stats = materialise(group_statistics(df, by, means, modes), f"stats-{by}")
-    fallback = {name: _overall_mean(stats, name, scale) for name, scale in means.items()}
-    fallback |= {name: F.lit(default) for name, default in modes.items()}
+    source = df if learn_from is None else learn_from
+    stats = materialise(group_statistics(source, by, means, modes), f"stats-{by}")
+    fallback = {name: F.lit(default) for name, default in modes.items()}
+    if means:
+        overall = stats.agg(F.struct(*[_overall_mean(n, scale).alias(n) for n, scale in means.items()])).scalar()
+        fallback |= {name: overall[name] for name in means}
 
     fills = stats.where(F.col(by).isNotNull()).select(by, *[f"{name}__fill" for name in targets])
     if fills.count() <= broadcast_groups:

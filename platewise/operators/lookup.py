@@ -72,9 +72,10 @@ def lookup(
 def rows_without_parent(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """One row: how many rows of ``child`` have no ``parent``. A null key has none.
 
-    Rows are counted per key before the shuffle, so a hot or null key is a single row in the anti-join.
+    Rows are counted per key, and parents reduced to their keys, before the shuffle: a hot or null key is a single row
+    in the anti-join, on either side.
     """
     counts = child.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    keys = parent.select(F.col(parent_key).alias("_key"))
+    keys = parent.select(F.col(parent_key).alias("_key")).distinct()
     missing = counts.join(keys, "_key", "left_anti")
     return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphans"))

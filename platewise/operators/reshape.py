@@ -25,9 +25,10 @@ def widen(df: DataFrame, index: str, column: str, value: str, names: dict[object
 
 def on_domain(df: DataFrame, index: str, domain: Sequence[str], fill: Sequence[str]) -> DataFrame:
     """One row per value of a literal domain, in its order; absent rows are 0 and values outside are dropped."""
-    spark = df.sparkSession
-    axis = spark.createDataFrame([(v, i) for i, v in enumerate(domain)], f"{index} string, position int")
-    joined = F.broadcast(axis).join(df, index, "left")
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(v).alias(index)) for i, v in enumerate(domain)]
+    axis = stacked(df.sparkSession.range(1), rows)
+    # At most one row per value of the domain is broadcast.
+    joined = axis.join(F.broadcast(df.where(F.col(index).isin(*domain))), index, "left")
     return joined.select("position", index, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in fill])
 
 

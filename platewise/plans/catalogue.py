@@ -87,7 +87,7 @@ def basket_list(
 ) -> DataFrame:
     """Comma-joined item ids and names per basket, sorted by item.
 
-    Ordinary baskets have one row (``part`` 0). A basket with an extreme number of lines is written as several parts,
+    ``lines`` has no exact copies. Ordinary baskets have one row (``part`` 0). A basket with an extreme number of lines is written as several parts,
     each a sorted list of its own, so that no task holds it whole.
     """
     hot = hot_keys(lines, [basket], hot_rows)
@@ -106,7 +106,7 @@ def basket_list(
 
 
 def basket_explode(baskets: DataFrame, basket: str) -> DataFrame:
-    """One row per listed item, with its position in the list."""
+    """One row per listed item, with its position in the list. A comma inside a name splits it, as in the feed."""
     pairs = F.arrays_zip(
         F.split("product_ids", ",").alias("product_id"), F.split("product_names", ",").alias("product_name")
     )
@@ -116,7 +116,10 @@ def basket_explode(baskets: DataFrame, basket: str) -> DataFrame:
 
 
 def basket_totals(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Subtotal from price x quantity per order, and the total after fee and discount, not below zero."""
+    """Subtotal from price x quantity per order, and the total after fee and discount, not below zero.
+
+    ``orders`` has one row per order, so both sides of the join are unique.
+    """
     value = F.col("unit_price") * F.col("quantity")
     sums = lines.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(
         F.coalesce(F.sum(value), F.lit(0)).cast(money.MONEY).alias("items_subtotal")

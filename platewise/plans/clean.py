@@ -63,12 +63,13 @@ def coerce_order_time(df: DataFrame, fmt: str = calendar.ORDER_TIME_FORMAT) -> D
 
 
 def clean_orders(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """Distances are filled from the completed area; merchants, which can be many, come last."""
     base = materialise(coerce_order_time(unique_complete(df, "orders", order_by)), "orders")
     filled = fill_by_group(
         base, "city", means={"delivery_fee": 2}, modes={"payment_method": DEFAULT_PAYMENT, "delivery_area": UNKNOWN}
     )
-    filled = fill_by_group(filled, "merchant_id", means={"subtotal": 2})
     filled = fill_by_group(filled, "delivery_area", means={"distance_km": 2})
+    filled = fill_by_group(filled, "merchant_id", means={"subtotal": 2}, learn_from=base)
     filled = fill_constants(filled, {"discount": 0})
     total = money.order_total(F.col("subtotal"), F.col("delivery_fee"), F.col("discount"))
     # Still null only where the whole subtotal or fee column is empty; the mean is then that of the given totals.
@@ -96,7 +97,7 @@ def clean_drivers(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 def clean_merchants(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     base = materialise(unique_complete(df, "merchants", order_by), "merchants")
     filled = fill_by_group(base, "city", means={"lat": 6, "lon": 6}, modes={"area": UNKNOWN})
-    filled = fill_by_group(filled, "category", means={"rating": 2})
+    filled = fill_by_group(filled, "category", means={"rating": 2}, learn_from=base)
     return fill_constants(filled, {"is_active": 1})
 
 

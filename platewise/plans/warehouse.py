@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platewise.operators.lookup import hot_keys
 from platewise.plans import clean, dims, facts, weather
 from platewise.sources.readers import month_ranges, order_date_range
 from platewise.sources.writers import write_parquet
@@ -30,10 +31,13 @@ class Sources:
 
 
 def weather_for(sources: Sources) -> DataFrame:
-    """Hourly weather over the calendar months that have orders."""
+    """Hourly weather over the calendar months that have orders.
+
+    The two dates come back to the driver, so that the scan of the readings gets them as pushed-down literals.
+    """
     months = month_ranges(order_date_range(sources.orders))
-    start = months.agg(F.min("range_start").cast("timestamp_ntz")).scalar()
-    end = months.agg(F.max("range_end").cast("timestamp_ntz")).scalar()
+    span = months.agg(F.min("range_start").alias("start"), F.max("range_end").alias("end")).first()
+    start, end = (F.lit(span[name]).cast("timestamp_ntz") for name in ("start", "end"))
     return weather.hourly_weather(sources.weather_readings, start=start, end=end)
 
 
@@ -64,8 +68,11 @@ def build_warehouse(
     load("dim_merchant", dims.dim_merchant(clean.clean_merchants(sources.merchants), sources.reviews))
     load("dim_product", dims.dim_product(clean.clean_products(sources.products)))
     load("dim_weather", weather.dim_weather(weather_for(sources)))
+    # Hot keys are looked for in the raw tables: one narrow scan each, without the cleaning joins.
+    hot_hours = hot_keys(weather.order_hours(sources.orders, utc_offset_hours), ["city", "waktu"])
     orders = clean.clean_orders(sources.orders)
-    load("fact_orders", facts.fact_orders(orders, tables["dim_weather"], utc_offset_hours))
+    load("fact_orders", facts.fact_orders(orders, tables["dim_weather"], utc_offset_hours, hot=hot_hours))
+    hot_orders = hot_keys(sources.order_items, ["order_id"])
     items = clean.clean_order_items(sources.order_items)
-    load("fact_order_items", facts.fact_order_items(items, tables["fact_orders"]))
+    load("fact_order_items", facts.fact_order_items(items, tables["fact_orders"], hot=hot_orders))
     return tables

@@ -60,13 +60,21 @@ def _service_hour(order_time: Column, city: Column, utc_offset_hours: Mapping[st
     return calendar.hour_floor(shifted)
 
 
+def order_hours(orders: DataFrame, utc_offset_hours: Mapping[str, int] | None = None) -> DataFrame:
+    """City and weather-clock hour of every order; the order time may be parsed or text."""
+    time = F.col("order_time")
+    if orders.schema["order_time"].dataType.typeName() == "string":
+        time = calendar.parse_timestamp(time)
+    return orders.select("city", _service_hour(time, F.col("city"), utc_offset_hours).alias("waktu"))
+
+
 def with_weather(
     orders: DataFrame, dim: DataFrame, utc_offset_hours: Mapping[str, int] | None = None, **spread
 ) -> DataFrame:
     """Add ``weather_id`` (null without a match) and ``kondisi_cuaca`` (unknown without one) to the orders."""
-    hours = dim.select("city", F.col("waktu").alias("_hour"), "weather_id", "kondisi_cuaca")
-    keyed = orders.withColumn("_hour", _service_hour(F.col("order_time"), F.col("city"), utc_offset_hours))
-    matched = lookup(keyed, hours, ["city", "_hour"], **spread).drop("_hour")
+    hours = dim.select("city", "waktu", "weather_id", "kondisi_cuaca")
+    keyed = orders.withColumn("waktu", _service_hour(F.col("order_time"), F.col("city"), utc_offset_hours))
+    matched = lookup(keyed, hours, ["city", "waktu"], **spread).drop("waktu")
     return matched.withColumn("kondisi_cuaca", F.coalesce(F.col("kondisi_cuaca"), F.lit(weather.UNKNOWN)))
 
 
@@ -74,7 +82,6 @@ def unmatched_orders(
     orders: DataFrame, dim: DataFrame, utc_offset_hours: Mapping[str, int] | None = None
 ) -> DataFrame:
     """One row: number of orders without weather, from counts per city and hour."""
-    hour = _service_hour(F.col("order_time"), F.col("city"), utc_offset_hours)
-    counts = orders.groupBy("city", hour.alias("waktu")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = order_hours(orders, utc_offset_hours).groupBy("city", "waktu").agg(F.count(F.lit(1)).alias("_rows"))
     missing = counts.join(dim.select("city", "waktu"), ["city", "waktu"], "left_anti")
     return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("unmatched_orders"))

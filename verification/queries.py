@@ -185,7 +185,7 @@ def weather_classify(s: warehouse.Sources) -> DataFrame:
 
 def weather_lookup_join(d: dict[str, DataFrame], s: warehouse.Sources) -> DataFrame:
     orders = clean.coerce_order_time(s.orders.select("order_id", "city", "order_time"))
-    hot = hot_keys(orders.select("city", calendar.hour_floor(F.col("order_time")).alias("h")), ["city", "h"])
+    hot = hot_keys(weather_plans.order_hours(orders), ["city", "waktu"])
     return weather_plans.with_weather(orders, d["dim_weather"], hot=hot).drop("order_time", "city")
 
 
@@ -362,5 +362,5 @@ def queries() -> dict[str, Query]:
         "catalogue_v1": _view("catalogue_v1", catalogue.catalogue_v1),
         "basket_list": _view("transactions", baskets),
         "basket_explode": _view("transactions", lambda t: catalogue.basket_explode(baskets(t), "transaction_id")),
-        "basket_totals": _source(lambda s: catalogue.basket_totals(s.order_items, s.orders)),
+        "basket_totals": _source(lambda s: catalogue.basket_totals(s.order_items, keep_first(s.orders, ["order_id"]))),
     }
