@@ -11,6 +11,7 @@ HOT_ROWS = 5_000_000
 SALTS = 64
 _MAX_HOT_KEYS = 256
 _SKETCH_SIZE = 8192
+_SKETCH_GROUPS = 64
 _SALT = "_salt"
 
 
@@ -24,12 +25,18 @@ def _non_null(keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> list[int]:
     """Hashes of the keys that hold about ``min_rows`` rows or more.
 
-    One pass over the key columns with a fixed-size frequent-items sketch, so there is no shuffle by key and at most
-    256 values come back. The answer only decides how rows are spread; any answer gives the same join result.
+    One pass over the key columns into fixed-size frequent-items sketches, merged in two steps (per group of input
+    partitions, then all), so nothing is shuffled by key and no task merges the sketches of every input task. At most
+    256 values come back. The answer only decides how rows are spread; any answer gives the same join result, and keys
+    too small for the sketch to see are left to adaptive skew-join splitting.
     """
-    sketch = F.expr(f"approx_top_k(key_hash, {_MAX_HOT_KEYS}, {_SKETCH_SIZE})")
-    row = df.where(_non_null(keys)).select(F.xxhash64(*keys).alias("key_hash")).agg(sketch.alias("top")).first()
-    return [item["item"] for item in row["top"] or () if item["count"] >= min_rows]
+    hashes = df.where(_non_null(keys)).select(F.xxhash64(*keys).alias("key_hash"))
+    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("sketch_group")
+    sketches = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(key_hash, {_SKETCH_SIZE})").alias("sketch"))
+    # Grouped by a constant: without any sketch to combine there is no row, instead of an error.
+    merged = sketches.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(sketch, {_SKETCH_SIZE})").alias("sketch"))
+    row = merged.select(F.expr(f"approx_top_k_estimate(sketch, {_MAX_HOT_KEYS})").alias("top")).first()
+    return [item["item"] for item in row["top"] if item["count"] >= min_rows] if row else []
 
 
 def spread(keys: Sequence[str], hot: Sequence[int], by: Sequence[str], parts: int) -> Column:
