@@ -76,13 +76,20 @@ def lookup(
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
 
-def rows_without_parent(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """One row: how many rows of ``child`` have no ``parent``. A null key has none.
+def rows_without_partner(df: DataFrame, keys: Sequence[str], table: DataFrame, name: str) -> DataFrame:
+    """One row: how many rows of ``df`` have no partner in ``table``. A row with a null key has none.
 
-    Rows are counted per key, and parents reduced to their keys, before the shuffle: a hot or null key is a single row
-    in the anti-join, on either side.
+    Rows are counted per key, and the table reduced to its keys, before the shuffle: a hot or null key is a single row
+    in the join, on either side. It is an outer join with a test, because an anti-join would be moved back below the
+    count by the optimizer and meet the hot keys there.
     """
-    counts = child.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    keys = parent.select(F.col(parent_key).alias("_key")).distinct()
-    missing = counts.join(keys, "_key", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphans"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    known = table.select(*keys).distinct().withColumn("_known", F.lit(True))
+    missing = F.when(F.col("_known").isNull(), F.col("_rows"))
+    return counts.join(known, list(keys), "left").agg(F.coalesce(F.sum(missing), F.lit(0)).cast("bigint").alias(name))
+
+
+def rows_without_parent(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """One row: the number of ``orphans`` of a foreign key."""
+    keys = parent.select(F.col(parent_key).alias("_key"))
+    return rows_without_partner(child.select(F.col(key).alias("_key")), ["_key"], keys, "orphans")

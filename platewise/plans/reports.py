@@ -191,9 +191,12 @@ def category_share_by_age_pivot(
 
 
 def orders_by_hour(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Orders of every status per hour and day type, on days of the date dimension."""
+    """Orders of every status per hour and day type, on days of the date dimension.
+
+    An inner join on the unique days, not a semi-join: the optimizer would move that one below the count.
+    """
     counts = facts.groupBy("date_id", "order_hour", "is_weekend").agg(F.count(F.lit(1)).alias("_n"))
-    known = counts.join(dim_date.select("date_id"), "date_id", "left_semi")
+    known = counts.join(dim_date.select("date_id"), "date_id")
     return (
         known.withColumn("day_type", calendar.day_type(F.col("is_weekend")))
         .dropna(subset=["order_hour", "day_type"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.functions import calendar, geo, weather
-from platewise.operators.lookup import lookup
+from platewise.operators.lookup import lookup, rows_without_partner
 from platewise.sources.readers import weather_observations
 
 
@@ -82,6 +82,4 @@ def unmatched_orders(
     orders: DataFrame, dim: DataFrame, utc_offset_hours: Mapping[str, int] | None = None
 ) -> DataFrame:
     """One row: number of orders without weather, from counts per city and hour."""
-    counts = order_hours(orders, utc_offset_hours).groupBy("city", "waktu").agg(F.count(F.lit(1)).alias("_rows"))
-    missing = counts.join(dim.select("city", "waktu"), ["city", "waktu"], "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("unmatched_orders"))
+    return rows_without_partner(order_hours(orders, utc_offset_hours), ["city", "waktu"], dim, "unmatched_orders")

@@ -66,3 +66,13 @@ def test_rows_without_parent_counts_null_keys(lines, parents):
 
 def test_rows_without_parent_on_empty_child(spark, parents):
     assert rows_without_parent(spark.createDataFrame([], "k int"), "k", parents, "k").first()["orphans"] == 0
+
+
+def test_rows_are_counted_before_the_partner_join(spark, lines, parents, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(rows_without_parent(lines, "k", parents, "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = text[text.index("SortMergeJoin"):]
+    assert "LeftOuter" in below and below.count("HashAggregate") == 4 and "partial_count(1)" in below

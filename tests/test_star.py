@@ -238,6 +238,18 @@ def test_reports_group_before_they_join(facts_small, merchants, plan):
     assert aggregate > join  # deeper in the tree: runs first
 
 
+def test_hours_are_counted_before_the_day_join(spark, facts_small, days, plan):
+    text = plan(reports.orders_by_hour(facts_small, days))
+    assert "partial_count(1)" in text[text.index("Join"):]
+
+
+def test_reports_read_only_their_columns(spark, tmp_path, plan, facts_small, merchants):
+    facts_small.write.parquet(str(tmp_path / "f"))
+    text = plan(reports.top_merchants(spark.read.parquet(str(tmp_path / "f")), merchants))
+    assert "FileScan parquet [merchant_id" in text and "kondisi_cuaca" not in text
+    assert "EqualTo(order_status,delivered)" in text
+
+
 def test_warehouse_end_to_end(spark, tmp_path):
     from verification.queries import Data, as_of
 
