@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,14 +85,22 @@ def category_profile(products: DataFrame) -> DataFrame:
 
 
 def basket_list(
-    lines: DataFrame, basket: str, item: str, label: str, *, hot_rows: int = HOT_ROWS, parts: int = SALTS
+    lines: DataFrame,
+    basket: str,
+    item: str,
+    label: str,
+    *,
+    hot: Sequence[int] | None = None,
+    hot_rows: int = HOT_ROWS,
+    parts: int = SALTS,
 ) -> DataFrame:
     """Comma-joined item ids and names per basket, sorted by item.
 
     ``lines`` has no exact copies. Ordinary baskets have one row (``part`` 0). A basket with an extreme number of lines is written as several parts,
-    each a sorted list of its own, so that no task holds it whole.
+    each a sorted list of its own, so that no task holds it whole. Pass ``hot`` where a narrower scan than ``lines``
+    can find such baskets.
     """
-    hot = hot_keys(lines, [basket], hot_rows)
+    hot = hot_keys(lines, [basket], hot_rows) if hot is None else hot
     entry = F.struct(F.col(item).alias("item"), F.col(label).alias("label"))
     part = spread([basket], hot, lines.columns, parts)
     grouped = lines.where(F.col(basket).isNotNull()).groupBy(basket, part.alias("part")).agg(

@@ -59,13 +59,17 @@ COLUMNS = ("section", "check_name", "status", "failing", "violations", "detail")
 
 @dataclass(frozen=True)
 class Check:
-    """One line of the report; ``failing`` to ``detail`` are aggregate expressions over the checked rows."""
+    """One line of the report, from aggregate expressions over the checked rows.
+
+    ``violations`` is left out where it equals ``failing``. ``detail`` is an aggregate text, or a word to be put after
+    the number of violations. ``passed`` is left out where it means that nothing fails.
+    """
 
     section: str
     name: str
     failing: Column
-    violations: Column
-    detail: Column
+    violations: Column | None = None
+    detail: Column | str = "rows"
     passed: Column | None = None
     level: str = "hard"
 
@@ -78,10 +82,6 @@ def _wrong(condition: Column) -> Column:
     return F.count_if(~condition)
 
 
-def _rows_text(count: Column, what: str) -> Column:
-    return F.concat(count.cast("string"), F.lit(f" {what}"))
-
-
 def _number(col: Column) -> Column:
     return F.coalesce(F.bround(col.cast("decimal(28,6)"), 2).cast("decimal(28,2)").cast("string"), F.lit("none"))
 
@@ -90,39 +90,46 @@ def _range_text(col: Column) -> Column:
     return F.concat(F.lit("min="), _number(F.min(col)), F.lit(" max="), _number(F.max(col)))
 
 
-def _rule(section: str, name: str, condition: Column, detail: Column | None = None, within: Column | None = None):
+def _rule(
+    section: str, name: str, condition: Column, detail: Column | str = "rows", within: Column | None = None
+) -> Check:
     """Check that ``condition`` holds on every row (or on the rows ``within``)."""
-    if within is not None:
-        scope = F.coalesce(within, F.lit(False))
-        failing = F.count_if(scope & ~F.coalesce(condition, F.lit(False)))
-        violations = F.count_if(scope & ~condition)
-    else:
-        failing, violations = _not_passing(condition), _wrong(condition)
-    return Check(section, name, failing, violations, detail if detail is not None else _rows_text(violations, "rows"))
+    if within is None:
+        return Check(section, name, _not_passing(condition), _wrong(condition), detail)
+    scope = F.coalesce(within, F.lit(False))
+    failing = F.count_if(scope & ~F.coalesce(condition, F.lit(False)))
+    return Check(section, name, failing, F.count_if(scope & ~condition), detail)
 
 
 def report_lines(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Run all ``checks`` as one aggregation over ``df`` and return one row per check."""
-    measures = []
+    measures, lines = [], []
     for i, check in enumerate(checks):
-        passed = check.passed if check.passed is not None else check.failing == 0
-        measures += [
-            check.failing.cast("bigint").alias(f"failing_{i}"),
-            check.violations.cast("bigint").alias(f"violations_{i}"),
-            check.detail.alias(f"detail_{i}"),
-            F.coalesce(passed, F.lit(False)).alias(f"passed_{i}"),
-        ]
-    lines = [
-        F.struct(
-            F.lit(check.section).alias("section"),
-            F.lit(check.name).alias("check_name"),
-            F.when(F.col(f"passed_{i}"), PASS).otherwise(FAIL if check.level == "hard" else WARN).alias("status"),
-            F.col(f"failing_{i}").alias("failing"),
-            F.col(f"violations_{i}").alias("violations"),
-            F.col(f"detail_{i}").alias("detail"),
+        failing = violations = F.col(f"failing_{i}")
+        measures.append(check.failing.cast("bigint").alias(f"failing_{i}"))
+        if check.violations is not None:
+            violations = F.col(f"violations_{i}")
+            measures.append(check.violations.cast("bigint").alias(f"violations_{i}"))
+        if isinstance(check.detail, str):
+            detail = F.concat(violations.cast("string"), F.lit(f" {check.detail}"))
+        else:
+            detail = F.col(f"detail_{i}")
+            measures.append(check.detail.alias(f"detail_{i}"))
+        passed = failing == 0
+        if check.passed is not None:
+            passed = F.col(f"passed_{i}")
+            measures.append(check.passed.alias(f"passed_{i}"))
+        otherwise = FAIL if check.level == "hard" else WARN
+        lines.append(
+            F.struct(
+                F.lit(check.section).alias("section"),
+                F.lit(check.name).alias("check_name"),
+                F.when(passed, PASS).otherwise(otherwise).alias("status"),
+                failing.alias("failing"),
+                violations.alias("violations"),
+                detail.alias("detail"),
+            )
         )
-        for i, check in enumerate(checks)
-    ]
     return stacked(df.agg(*measures), lines)
 
 
@@ -133,7 +140,7 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 def not_empty(table: str) -> Check:
     rows = F.count(F.lit(1))
     empty = F.when(rows == 0, F.lit(1)).otherwise(0)
-    return Check("completeness", f"{table} not empty", empty, empty, _rows_text(rows, "rows"))
+    return Check("completeness", f"{table} not empty", empty, detail=F.concat(rows.cast("string"), F.lit(" rows")))
 
 
 def null_checks(df: DataFrame, table: str) -> list[Check]:
@@ -142,7 +149,7 @@ def null_checks(df: DataFrame, table: str) -> list[Check]:
     for name in CRITICAL_COLUMNS.get(table, ()):
         if name in df.columns:
             nulls = F.count_if(F.col(name).isNull())
-            checks.append(Check("nulls", f"{table}.{name} not null", nulls, nulls, _rows_text(nulls, "null values")))
+            checks.append(Check("nulls", f"{table}.{name} not null", nulls, detail="null values"))
     return checks
 
 
@@ -150,8 +157,7 @@ def distance_checks(orders: DataFrame) -> list[Check]:
     """Distance rules ignore missing distances; the last one needs all four coordinates."""
     section = "distance"
     present = "distance_km" in orders.columns
-    absent = F.lit(0 if present else 1)
-    checks = [Check(section, "distance_km present", absent, absent, F.lit(""), absent == 0)]
+    checks = [Check(section, "distance_km present", F.lit(0 if present else 1), detail=F.lit(""))]
     if present:
         km = F.col("distance_km")
         given = km.isNotNull()
@@ -160,15 +166,14 @@ def distance_checks(orders: DataFrame) -> list[Check]:
         checks += [
             _rule(section, "distance not negative", km >= 0, F.concat(F.lit("min="), _number(F.min(km))), given),
             _rule(section, "distance within radius", km <= MAX_KM, F.concat(F.lit("max="), _number(F.max(km))), given),
-            Check(section, "mean distance plausible", out_of_range, out_of_range,
-                  F.concat(F.lit("mean="), _number(mean))),
-            _rule(section, "no cross-city distance", km <= CROSS_CITY_KM, None, given),
+            Check(section, "mean distance plausible", out_of_range, detail=F.concat(F.lit("mean="), _number(mean))),
+            _rule(section, "no cross-city distance", km <= CROSS_CITY_KM, within=given),
         ]
     points = ("delivery_lat", "delivery_lon", "pickup_lat", "pickup_lon")
     if all(name in orders.columns for name in points):
         same = (F.col(points[0]) == F.col(points[2])) & (F.col(points[1]) == F.col(points[3]))
         count = F.count_if(F.coalesce(same, F.lit(False)))
-        checks.append(Check(section, "delivery point differs from pickup", count, count, _rows_text(count, "rows")))
+        checks.append(Check(section, "delivery point differs from pickup", count))
     return checks
 
 
@@ -186,7 +191,7 @@ def order_money_checks() -> list[Check]:
         _rule(section, "delivery fee in range", fee.between(*FEE), _range_text(fee)),
         _rule(section, "total not negative", total >= 0),
         _rule(section, "subtotal positive", subtotal > 0),
-        Check(section, "total equals subtotal + fee - discount", mismatch, mismatch, _rows_text(mismatch, "rows")),
+        Check(section, "total equals subtotal + fee - discount", mismatch),
     ]
 
 
@@ -194,10 +199,18 @@ def product_money_checks() -> list[Check]:
     return [_rule("money", "product price positive", F.col("price") > 0)]
 
 
+def with_order_instant(orders: DataFrame) -> DataFrame:
+    """Parse the order time once per row, for all the checks that use it."""
+    return orders.withColumn("_ordered_at", calendar.parse_timestamp(F.col("order_time")))
+
+
 def order_time_checks(start: str = PERIOD[0], end: str = PERIOD[1]) -> list[Check]:
-    """``end`` is an instant (its midnight), so orders later on that day fail."""
+    """Checks over :func:`with_order_instant`.
+
+    ``end`` is an instant (its midnight), so orders later on that day fail.
+    """
     section = "time"
-    ordered, arrived = calendar.parse_timestamp(F.col("order_time")), F.col("delivered_time")
+    ordered, arrived = F.col("_ordered_at"), F.col("delivered_time")
     first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     minutes = calendar.minutes_between(ordered, arrived)
     done = F.col("status") == DELIVERED
@@ -208,11 +221,11 @@ def order_time_checks(start: str = PERIOD[0], end: str = PERIOD[1]) -> list[Chec
     )
     return [
         _rule(section, "order time in period", ordered.between(first, last), days),
-        _rule(section, "delivered orders have a delivery time", arrived.isNotNull(), None, done),
+        _rule(section, "delivered orders have a delivery time", arrived.isNotNull(), within=done),
         _rule(section, "delivery takes 10 to 120 minutes", minutes.between(*DELIVERY_MINUTES),
               _range_text(F.when(done, minutes)), done),
-        _rule(section, "delivered after ordered", arrived > ordered, None, done),
-        _rule(section, "cancelled orders have no delivery time", arrived.isNull(), None, cancelled),
+        _rule(section, "delivered after ordered", arrived > ordered, within=done),
+        _rule(section, "cancelled orders have no delivery time", arrived.isNull(), within=cancelled),
     ]
 
 
@@ -232,7 +245,7 @@ def fk_orphans(sources: Sources) -> DataFrame:
         missing = rows_without_parent(getattr(sources, child), key, getattr(sources, parent), parent_key)
         n = F.max("orphans")
         parts.append(report_lines(missing, [
-            Check("references", f"{child}.{key} -> {parent}", n, n, _rows_text(n, "orphan rows"))
+            Check("references", f"{child}.{key} -> {parent}", n, detail="orphan rows")
         ]))
     return _union(parts)
 
@@ -255,7 +268,7 @@ def city_consistency(sources: Sources) -> DataFrame:
     def check(name: str, other: str) -> Check:
         differs = F.coalesce(F.col("city") != F.col(other), F.lit(True))
         n = F.coalesce(F.sum(F.when(differs, weight)), F.lit(0))
-        return Check("city", name, n, n, _rows_text(n, "rows"))
+        return Check("city", name, n)
 
     return report_lines(joined, [
         check("order city equals merchant city", "_merchant_city"),
@@ -275,7 +288,7 @@ def subtotal_reconcile(sources: Sources) -> DataFrame:
     n = F.coalesce(F.sum(F.when(differs, F.col("_rows"))), F.lit(0))
     joined = lookup(orders, sums, ["order_id"], hot=hot_keys(sources.orders, ["order_id"]))
     return report_lines(joined, [
-        Check("money", "subtotal equals sum of lines", n, n, _rows_text(n, "rows"))
+        Check("money", "subtotal equals sum of lines", n)
     ])
 
 
@@ -287,7 +300,7 @@ def reviews_not_delivered(sources: Sources) -> DataFrame:
     done = sources.orders.where(F.col("status") == DELIVERED)
     n = F.max("orphans")
     return report_lines(rows_without_parent(sources.reviews, "order_id", done, "order_id"), [
-        Check("status", "reviews only of delivered orders", n, n, _rows_text(n, "rows"))
+        Check("status", "reviews only of delivered orders", n)
     ])
 
 
@@ -314,7 +327,7 @@ def dq_money(sources: Sources) -> DataFrame:
 
 
 def dq_time(sources: Sources, start: str = PERIOD[0], end: str = PERIOD[1]) -> DataFrame:
-    return report_lines(sources.orders, order_time_checks(start, end))
+    return report_lines(with_order_instant(sources.orders), order_time_checks(start, end))
 
 
 def dq_ratings(sources: Sources) -> DataFrame:
@@ -330,19 +343,20 @@ def dq_ratings(sources: Sources) -> DataFrame:
 def dq_report(sources: Sources, start: str = PERIOD[0], end: str = PERIOD[1]) -> DataFrame:
     """All checks: one aggregation per table, plus the cross-table checks."""
     s = sources
+    order_checks = [
+        *distance_checks(s.orders), *order_money_checks(), *order_time_checks(start, end), *order_status_checks()
+    ]
     per_table = {
-        "orders": [
-            *distance_checks(s.orders), *order_money_checks(), *order_time_checks(start, end), *order_status_checks()
-        ],
-        "users": [],
-        "drivers": [rating_check("drivers", "rating", RATING)],
-        "merchants": [rating_check("merchants", "rating", RATING)],
-        "products": product_money_checks(),
-        "order_items": [],
+        "orders": (with_order_instant(s.orders), order_checks),
+        "users": (s.users, []),
+        "drivers": (s.drivers, [rating_check("drivers", "rating", RATING)]),
+        "merchants": (s.merchants, [rating_check("merchants", "rating", RATING)]),
+        "products": (s.products, product_money_checks()),
+        "order_items": (s.order_items, []),
     }
     parts = [
-        report_lines(getattr(s, table), [not_empty(table), *checks, *null_checks(getattr(s, table), table)])
-        for table, checks in per_table.items()
+        report_lines(df, [not_empty(table), *checks, *null_checks(df, table)])
+        for table, (df, checks) in per_table.items()
     ]
     parts += [
         report_lines(s.reviews, [rating_check("reviews", "merchant_rating", REVIEW_RATING)]),

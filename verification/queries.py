@@ -225,7 +225,8 @@ def catalogue_keys(raw: DataFrame) -> DataFrame:
 
 def baskets(lines: DataFrame) -> DataFrame:
     distinct = lines.select("transaction_id", "product_id", "product_name").distinct()
-    return catalogue.basket_list(distinct, "transaction_id", "product_id", "product_name")
+    hot = hot_keys(lines, ["transaction_id"])
+    return catalogue.basket_list(distinct, "transaction_id", "product_id", "product_name", hot=hot)
 
 
 def standardise_city(lines: DataFrame) -> DataFrame:
