@@ -6,7 +6,10 @@ arithmetic for half-even rounding.
 
 from __future__ import annotations
 
+import re
+
 from platewise.functions import people, text
+from platewise.plans.clean import REQUIRED
 from platewise.plans.quality import CRITICAL_COLUMNS, FOREIGN_KEYS
 from platewise.sources.schemas import PRIMARY_KEYS
 from platewise.sources.staging import SQL as STAGING
@@ -532,8 +535,6 @@ def statements() -> dict[str, str]:
         f"round(CAST(sum({col}) AS DOUBLE) / count({col}), 4) AS mean_value FROM stg_orders"
         for col in ("total_amount", "delivery_fee", "distance_km")
     )
-    from platewise.plans.clean import REQUIRED
-
     audit = " UNION ALL ".join(
         _audit(t, req[0], req, parsed if t == "orders" else None) for t, req in REQUIRED.items()
     )
@@ -721,10 +722,41 @@ def statements() -> dict[str, str]:
     }
 
 
+# Result columns compared as doubles (exact two-decimal amounts) and as ISO text (dates).
+AMOUNTS = {
+    "impute_mean_by_group": "subtotal",
+    "clean_orders": "subtotal delivery_fee discount total_amount",
+    "clean_order_items": "unit_price subtotal",
+    "clean_products": "price",
+    "clean_transactions": "total_payment",
+    "dim_product": "price",
+    "fact_orders": "subtotal delivery_fee discount total_amount",
+    "fact_order_items": "unit_price item_subtotal",
+    "top_merchants": "total_revenue",
+    "merchant_map": "revenue",
+    "weather_volume": "total_revenue",
+    "city_revenue": "total_revenue",
+    "completion_summary": "delivered_revenue",
+    "basket_totals": "items_subtotal delivery_fee discount basket_total",
+}
+DATES = {
+    "weather_date_range": "start_date end_date",
+    "month_ranges": "range_start range_end",
+    "dedup_keep_first": "date_of_birth",
+    "clean_users": "date_of_birth",
+    "dim_date": "full_date",
+    "dim_time_calendar": "full_date",
+}
+
+
+def _portable(name: str, statement: str) -> str:
+    casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in AMOUNTS.get(name, "").split()]
+    casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in DATES.get(name, "").split()]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({statement})" if casts else statement
+
+
 def _reached(statement: str, steps: dict[str, str]) -> list[str]:
     """Names of the steps that a statement needs, in dependency order."""
-    import re
-
     needed: set[str] = set()
     open_texts = [statement]
     while open_texts:
@@ -745,6 +777,7 @@ def oracle_sql() -> dict[str, str]:
         if statement.startswith("WITH "):
             own, statement = statement.removeprefix("WITH ").rsplit(" SELECT ", 1)
             own, statement = own.strip(), "SELECT " + statement
+        statement = _portable(name, statement)
         parts = [f"{step} AS ({steps[step]})" for step in used] + ([own] if own else [])
         out[name] = (f"WITH {', '.join(parts)} " if parts else "") + statement
     return out
