@@ -15,22 +15,15 @@ _SKETCH_GROUPS = 64
 _SALT = "_salt"
 
 
-def _non_null(keys: Sequence[str]) -> Column:
-    test = F.col(keys[0]).isNotNull()
-    for key in keys[1:]:
-        test = test & F.col(key).isNotNull()
-    return test
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys that hold about ``min_rows`` rows or more.
+    """Hashes of the keys that hold about ``min_rows`` rows or more; a missing key is one of them.
 
     One pass over the key columns into fixed-size frequent-items sketches, merged in two steps (per group of input
     partitions, then all), so nothing is shuffled by key and no task merges the sketches of every input task. At most
     256 values come back. The answer only decides how rows are spread; any answer gives the same join result, and keys
     too small for the sketch to see are left to adaptive skew-join splitting.
     """
-    hashes = df.where(_non_null(keys)).select(F.xxhash64(*keys).alias("key_hash"))
+    hashes = df.select(F.xxhash64(*keys).alias("key_hash"))
     group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("sketch_group")
     sketches = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(key_hash, {_SKETCH_SIZE})").alias("sketch"))
     # Grouped by a constant: without any sketch to combine there is no row, instead of an error.
@@ -58,12 +51,13 @@ def lookup(
 ) -> DataFrame:
     """Join ``table`` to ``df`` on equal keys (``inner`` or ``left``), spreading the hot keys of ``df``.
 
-    Rows of a hot key are divided over ``salts`` sub-keys and the matching rows of ``table`` are repeated once for
-    each; all other keys move once, unsalted. Spark still broadcasts ``table`` if its size is under the session's
-    threshold. ``df`` should have no exact copies of a row: copies share a sub-key, so count them first. Pass ``hot``
-    where a narrower scan than ``df`` can find the hot keys.
+    Rows of a hot key are divided over ``salts`` sub-keys and the matching rows of ``table`` are repeated once for each;
+    all other keys move once, unsalted. A missing key matches nothing and is spread like any other. Spark still
+    broadcasts ``table`` if its size is under the session's threshold. ``df`` should have no exact copies of a row:
+    copies share a sub-key, so count them first. Pass ``hot`` where a narrower scan than ``df`` can find the hot keys.
     """
     on = list(on)
+    table = table.dropna(subset=on)
     for key in on:
         table = table.withColumn(key, F.col(key).cast(df.schema[key].dataType))
     hot = hot_keys(df, on, hot_rows) if hot is None else hot

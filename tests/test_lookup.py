@@ -76,3 +76,14 @@ def test_rows_are_counted_before_the_partner_join(spark, lines, parents, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     below = text[text.index("SortMergeJoin"):]
     assert "LeftOuter" in below and below.count("HashAggregate") == 4 and "partial_count(1)" in below
+
+
+def test_missing_keys_are_divided_too(spark, parents, rows):
+    df = spark.range(900).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 290).alias("k"))
+    hot = hot_keys(df, ["k"], 200)
+    assert hot == [spark.sql("SELECT xxhash64(CAST(NULL AS BIGINT))").first()[0]]
+    parts = df.withColumn("part", spread(["k"], hot, df.columns, 8)).where("k is null").groupBy("part").count()
+    assert parts.count() == 8
+    plain = df.join(parents.withColumn("k", F.col("k").cast("bigint")), "k", "left")
+    with_null = parents.unionByName(spark.createDataFrame([(None, "none")], "k int, name string"))
+    assert rows(lookup(df, with_null, ["k"], hot=hot), "id", "name") == rows(plain, "id", "name")

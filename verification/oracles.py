@@ -14,7 +14,7 @@ from platewise.plans.quality import CRITICAL_COLUMNS, FOREIGN_KEYS
 from platewise.sources.schemas import PRIMARY_KEYS
 from platewise.sources.staging import SQL as STAGING
 from platewise.sources.staging import duckdb_sql
-from verification.queries import AS_OF, CATEGORIES, HOLIDAYS, LOADED_AT, PERIOD
+from verification.queries import AS_OF, CATEGORIES, HOLIDAYS, LOADED_AT, OPTIONAL_INTS, PERIOD
 
 COLUMNS = {
     "users": "user_id full_name email phone city gender date_of_birth address_area lat lon is_active",
@@ -750,7 +750,8 @@ DATES = {
 
 
 def _portable(name: str, statement: str) -> str:
-    casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in AMOUNTS.get(name, "").split()]
+    doubles = (*AMOUNTS.get(name, "").split(), *OPTIONAL_INTS.get(name, ()))
+    casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
     casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in DATES.get(name, "").split()]
     return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({statement})" if casts else statement
 

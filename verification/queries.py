@@ -245,21 +245,33 @@ def weekend_stats(w: dict[str, DataFrame]) -> DataFrame:
     return _rounded(reports.weekend_stats(w["fact_orders"], w["dim_date"]))
 
 
-def _portable(query: Query) -> Query:
-    """Amounts as doubles and dates as ISO text, so that a comparison does not depend on how a client maps them."""
+# Whole numbers that can be missing in a result.
+OPTIONAL_INTS = {
+    "dedup_keep_first": ("is_active",),
+    "delivery_fee": ("fee",),
+    "parse_ratings": ("total_reviews",),
+    "catalogue_v1": ("total_reviews",),
+}
+
+
+def _portable(name: str, query: Query) -> Query:
+    """Amounts and optional whole numbers as doubles and dates as ISO text, so that a comparison does not depend on how
+    a client maps them."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         df = query(spark, folder)
         kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
         targets = {"decimal": "double", "date": "string"}
-        return df.withColumns({n: F.col(n).cast(targets[k]) for n, k in kinds.items() if k in targets})
+        casts = {n: targets[k] for n, k in kinds.items() if k in targets}
+        casts |= {n: "double" for n in OPTIONAL_INTS.get(name, ())}
+        return df.withColumns({n: F.col(n).cast(kind) for n, kind in casts.items()})
 
     return run
 
 
 def queries() -> dict[str, Query]:
     """All registered queries by name."""
-    return {name: _portable(query) for name, query in _registered().items()}
+    return {name: _portable(name, query) for name, query in _registered().items()}
 
 
 def _registered() -> dict[str, Query]:
