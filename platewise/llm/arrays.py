@@ -37,12 +37,14 @@ def let_workers_import(df: DataFrame) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches of at most ``limit`` text bytes or one row."""
+    """The rows again, in batches of at most ``limit`` text bytes (list elements, for a list column) or one row."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sized = batch.column(column)
+        count = pc.list_value_length if pa.types.is_list(sized.type) else pc.binary_length
+        lengths = pc.fill_null(count(sized), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64))
         at = 0
         while at < n:

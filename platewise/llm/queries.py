@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op5_decontaminate
+from platewise.llm import op5_decontaminate, op8_byte_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +20,15 @@ def op5_decontaminate_(spark: SparkSession, folder: str) -> DataFrame:
     return op5_decontaminate.report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op8_byte_bpe_(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return op8_byte_bpe.round_trip(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_decontaminate": op5_decontaminate_,
+        "op8_byte_bpe": op8_byte_bpe_,
     }
 
 
