@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op5_decontaminate, op8_byte_bpe
+from platewise.llm import op3_token_files, op5_decontaminate, op8_byte_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_token_files_(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return op3_token_files.written_and_read(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
+
+
 def op5_decontaminate_(spark: SparkSession, folder: str) -> DataFrame:
     return op5_decontaminate.report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -27,6 +32,7 @@ def op8_byte_bpe_(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_token_files": op3_token_files_,
         "op5_decontaminate": op5_decontaminate_,
         "op8_byte_bpe": op8_byte_bpe_,
     }
