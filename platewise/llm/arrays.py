@@ -17,12 +17,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 1 << 22  # text bytes handled at once; one longer text is handled alone
+SLICE_BYTES = 1 << 20  # text bytes handled at once; one longer text is handled alone
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
 LETTERS_AND_DIGITS = "letters"  # runs of ASCII letters, digits and anything beyond ASCII
+NUMBERLESS = "numberless"  # the same, each digit read as 0
 UNSPACED = "unspaced"  # runs of anything but space and \t \n \v \f \r
 
 
@@ -67,12 +68,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.cache
-def _byte_class(kind: str) -> np.ndarray:
-    """Lower-cased byte for bytes of words, 0 for what separates words."""
+def _byte_class(kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised form of each byte, and whether it belongs to words."""
     table = np.arange(256, dtype=np.uint8)
     table[ord("A") : ord("Z") + 1] += 32
     keep = np.ones(256, bool)
-    if kind == LETTERS_AND_DIGITS:
+    if kind == NUMBERLESS:
+        table[ord("0") : ord("9") + 1] = ord("0")
+    if kind in (LETTERS_AND_DIGITS, NUMBERLESS):
         keep[:128] = False
         for low, high in (("0", "9"), ("A", "Z"), ("a", "z")):
             keep[ord(low) : ord(high) + 1] = True
@@ -107,7 +110,7 @@ def _power(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 2 * SLICE_BYTES:
+        if n <= 4 * SLICE_BYTES:
             _powers[base] = have
     return have[:n]
 

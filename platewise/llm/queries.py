@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op8_byte_bpe
+from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op6_near_duplicates_(spark: SparkSession, folder: str) -> DataFrame:
     return op6_near_duplicates.near_duplicates(_table(spark, folder, "documents"), words=4, percent=80)
 
 
+def op7_line_dedup_(spark: SparkSession, folder: str) -> DataFrame:
+    return op7_line_dedup.decide(_table(spark, folder, "documents"))
+
+
 def op8_byte_bpe_(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return op8_byte_bpe.round_trip(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -39,6 +43,7 @@ def queries() -> dict[str, Query]:
         "op3_token_files": op3_token_files_,
         "op5_decontaminate": op5_decontaminate_,
         "op6_near_duplicates": op6_near_duplicates_,
+        "op7_line_dedup": op7_line_dedup_,
         "op8_byte_bpe": op8_byte_bpe_,
     }
 
