@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe
+from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op8_byte_bpe_(spark: SparkSession, folder: str) -> DataFrame:
     return op8_byte_bpe.round_trip(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_toxicity_(spark: SparkSession, folder: str) -> DataFrame:
+    return op9_toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_token_files": op3_token_files_,
@@ -45,6 +49,7 @@ def queries() -> dict[str, Query]:
         "op6_near_duplicates": op6_near_duplicates_,
         "op7_line_dedup": op7_line_dedup_,
         "op8_byte_bpe": op8_byte_bpe_,
+        "op9_toxicity": op9_toxicity_,
     }
 
 
