@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity
+from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op9_toxicity_(spark: SparkSession, folder: str) -> DataFrame:
     return op9_toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op10_pii_(spark: SparkSession, folder: str) -> DataFrame:
+    return op10_pii.report(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_token_files": op3_token_files_,
@@ -50,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op7_line_dedup": op7_line_dedup_,
         "op8_byte_bpe": op8_byte_bpe_,
         "op9_toxicity": op9_toxicity_,
+        "op10_pii": op10_pii_,
     }
 
 
