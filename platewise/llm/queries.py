@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
+from platewise.llm import op1_fingerprint, op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_fingerprint_(spark: SparkSession, folder: str) -> DataFrame:
+    return op1_fingerprint.report(_table(spark, folder, "documents"))
+
+
 def op3_token_files_(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return op3_token_files.written_and_read(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
@@ -48,6 +52,7 @@ def op10_pii_(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_fingerprint": op1_fingerprint_,
         "op3_token_files": op3_token_files_,
         "op5_decontaminate": op5_decontaminate_,
         "op6_near_duplicates": op6_near_duplicates_,
