@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op1_fingerprint, op3_token_files, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
+from platewise.llm import op1_fingerprint, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op3_token_files_(spark: SparkSession, folder: str) -> DataFrame:
     return op3_token_files.written_and_read(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
 
 
+def op4_licenses_(spark: SparkSession, folder: str) -> DataFrame:
+    return op4_licenses.report(_table(spark, folder, "documents"))
+
+
 def op5_decontaminate_(spark: SparkSession, folder: str) -> DataFrame:
     return op5_decontaminate.report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_fingerprint": op1_fingerprint_,
         "op3_token_files": op3_token_files_,
+        "op4_licenses": op4_licenses_,
         "op5_decontaminate": op5_decontaminate_,
         "op6_near_duplicates": op6_near_duplicates_,
         "op7_line_dedup": op7_line_dedup_,
