@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op1_fingerprint, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
+from platewise.llm import op1_fingerprint, op2_secrets, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_fingerprint_(spark: SparkSession, folder: str) -> DataFrame:
     return op1_fingerprint.report(_table(spark, folder, "documents"))
 
 
+def op2_secrets_(spark: SparkSession, folder: str) -> DataFrame:
+    return op2_secrets.report(_table(spark, folder, "documents"))
+
+
 def op3_token_files_(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return op3_token_files.written_and_read(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN, end_id=2)
@@ -57,6 +61,7 @@ def op10_pii_(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_fingerprint": op1_fingerprint_,
+        "op2_secrets": op2_secrets_,
         "op3_token_files": op3_token_files_,
         "op4_licenses": op4_licenses_,
         "op5_decontaminate": op5_decontaminate_,
