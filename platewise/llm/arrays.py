@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 1 << 20  # text bytes handled at once; one longer text is handled alone
+SLICE_BYTES = 1 << 19  # text bytes handled at once; one longer text is handled alone
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)

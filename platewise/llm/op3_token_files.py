@@ -16,7 +16,6 @@ often as they come, in order of their ids. An empty table gives files without ro
 from __future__ import annotations
 
 import functools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,37 +33,27 @@ BLOCK_IDS = 1 << 16
 _BLOCKS = (
     "shard int, block int, start long, n_ids long, doc_ids array<bigint>, n_tokens array<int>, checkpoints array<bigint>, bits binary"
 )
-_DOCUMENTS = "doc_id long, shard int, start long, ids array<int>"
+_DOCUMENTS = "doc_id long, shard int, start long, n_tokens long, ids binary"
 
 
-def _encode(shared, end_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = pieces.encoder(shared)
-        for batch in slices(batches):
-            got = encoder.encode(batch.column("text"))
-            n = batch.num_rows
-            ids = np.insert(got.ids, got.first[1:], end_id).astype("<u4")
-            first = (got.first + np.arange(n + 1)) * 4
-            binary = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(ids)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary], names=["doc_id", "ids"])
+def _binary(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Values as one binary for each span of bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(values)])
 
-    return run
 
+def _kind(wide: bool) -> np.dtype:
+    """Two bytes an id on the way, where the vocabulary allows it."""
+    return np.dtype("<u4" if wide else "<u2")
 
-def _narrow(shared, end_id: int, wide: bool):
-    """As ``_encode``, in two bytes an id where the vocabulary allows it."""
-    encode = _encode(shared, end_id)
 
+def _encode(shared, end_id: int, wide: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in encode(batches):
-            if wide:
-                yield batch
-                continue
-            _, offsets, data = batch.column("ids").buffers()
-            half = np.frombuffer(offsets, np.int32) // 2
-            ids = np.frombuffer(data, "<u4").astype("<u2")
-            binary = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(half), pa.py_buffer(ids)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), binary], names=["doc_id", "ids"])
+        encoder = pieces.encoder(shared)
+        for batch in slices(batches):
+            got = encoder.encode(batch.column("text"))
+            ids = np.insert(got.ids, got.first[1:], end_id).astype(_kind(wide))
+            first = got.first + np.arange(batch.num_rows + 1)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binary(ids, first * ids.itemsize)], names=["doc_id", "ids"])
 
     return run
 
@@ -72,8 +61,8 @@ def _narrow(shared, end_id: int, wide: bool):
 def _values(column: pa.Array, wide: bool) -> tuple[np.ndarray, np.ndarray]:
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    width = 4 if wide else 2
-    ids = np.frombuffer(data, "<u4" if wide else "<u2")[at[0] // width : at[-1] // width]
+    width = _kind(wide).itemsize
+    ids = np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(_kind(wide)) if data is not None else np.zeros(0, np.int64)
     return ids.astype(np.int64), (at - at[0]) // width
 
 
@@ -135,7 +124,7 @@ def write(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int, bl
     size = max(pieces.vocabulary_size(definition), end_id + 1)
     wide = size > 1 << 16
     shared = spark.sparkContext.broadcast(definition)
-    encoded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_narrow(shared, end_id, wide), "doc_id long, ids binary")
+    encoded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(shared, end_id, wide), "doc_id long, ids binary")
     unsorted = new_path(spark, "token-ids")
     encoded.write.option("compression", "zstd").parquet(unsorted)
     encoded = spark.read.schema("doc_id long, ids binary").parquet(unsorted)
@@ -179,16 +168,20 @@ def _unpack(shared):
                     pa.array([d for r in rows for d in r["doc_ids"]], pa.int64()),
                     pa.array(np.repeat([r["shard"] for r in rows], [len(r["n_tokens"]) for r in rows]).astype(np.int32)),
                     pa.array(np.concatenate(starts)),
-                    pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                    pa.array(n_tokens),
+                    _binary(ids.astype("<u4"), first * 4),
                 ],
-                names=["doc_id", "shard", "start", "ids"],
+                names=["doc_id", "shard", "start", "n_tokens", "ids"],
             )
 
     return run
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id``, ``start`` (ids of all documents before it) and ``ids`` of every document, from the files alone."""
+    """Every document from the files alone: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``.
+
+    ``ids`` are little-endian unsigned 32-bit integers.
+    """
     codes = spark.read.parquet(f"{folder}/codes").collect()  # at most one row for each id of the vocabulary
     lengths = np.zeros(max([r["id"] for r in codes], default=0) + 1, np.uint8)
     for row in codes:
@@ -200,19 +193,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         total += row["n"]
     shards = F.broadcast(spark.createDataFrame(before, "shard int, ids_before long"))
     documents = blocks.mapInArrow(_unpack(spark.sparkContext.broadcast(lengths)), _DOCUMENTS)
-    return documents.join(shards, "shard").select("doc_id", (F.col("start") + F.col("ids_before")).alias("start"), "ids")
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "ids"):
-        lengths = batch.column("ids").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        data = batch.column("ids").flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        ends = np.cumsum(lengths) * 4
-        crc = [zlib.crc32(data[b - 4 * n : b]) for b, n in zip(ends.tolist(), lengths.tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("start"), pa.array(lengths), pa.array(crc, pa.int64())],
-            names=["doc_id", "start", "n_tokens", "ids_crc32"],
-        )
+    return documents.join(shards, "shard").select("doc_id", (F.col("start") + F.col("ids_before")).alias("start"), "n_tokens", "ids")
 
 
 def written_and_read(docs: DataFrame, path: str, pattern: str, end_id: int) -> DataFrame:
@@ -220,4 +201,4 @@ def written_and_read(docs: DataFrame, path: str, pattern: str, end_id: int) -> D
     spark = docs.sparkSession
     folder = new_path(spark, "token-files")
     write(docs, folder, path, pattern, end_id)
-    return read(spark, folder).mapInArrow(_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -13,6 +13,7 @@ list of ids decodes as an empty one; ids that end within a character give U+FFFD
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from platewise.llm import pieces
-from platewise.llm.arrays import let_workers_import, slices
+from platewise.llm.arrays import let_workers_import, slices, text_bytes
 
 _INTS = T.ArrayType(T.IntegerType())
 
@@ -58,7 +59,7 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
             got = encoder.encode(batch.column("text"))
             columns = {"ids": _lists(got.ids, got.first)}
             if offsets:
-                starts, ends = encoder.offsets(got.ids, got.first)
+                starts, ends = pieces.byte_table(shared).offsets(got.ids, got.first)
                 columns |= {"starts": _lists(starts, got.first), "ends": _lists(ends, got.first)}
             yield _with(batch, **columns)
 
@@ -71,9 +72,9 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     shared = pieces.share(let_workers_import(encoded).sparkSession, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = pieces.encoder(shared)
+        table = pieces.byte_table(shared)
         for batch in slices(batches, "ids"):
-            data, begins = encoder.decode(*_flat(batch.column("ids")))
+            data, begins = table.decode(*_flat(batch.column("ids")))
             binary = pa.Array.from_buffers(
                 pa.binary(), batch.num_rows, [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
             )
@@ -88,11 +89,55 @@ def decode_text(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """One row per document: number of ids, digest of the ids, digest of the decoded bytes."""
-    encoded = encode(docs.select("doc_id", "text"), path, pattern).drop("text")
-    return decode(encoded, path, pattern).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """One row per document: number of ids, digest of the ids, digest of the bytes that they decode to.
+
+    Encodes and decodes slice by slice in one worker, so that ids and decoded bytes need not travel between workers.
+    """
+    shared = pieces.share(let_workers_import(docs).sparkSession, path, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, table = pieces.encoder(shared), pieces.byte_table(shared)
+        names = [str(i) for i in range(len(table.length))]
+        for batch in slices(batches):
+            got = encoder.encode(batch.column("text"))
+            data, begins = table.decode(got.ids, got.first)
+            decoded, ids = data.tobytes(), got.ids.tolist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(np.diff(got.first)),
+                    pa.array([_sha256(",".join([names[i] for i in ids[a:b]]).encode()) for a, b in _spans(got.first)]),
+                    pa.array([_sha256(decoded[a:b]) for a, b in _spans(begins)]),
+                ],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def encode_checked(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``docs`` with ``ids`` in place of ``text``, and ``round_trip``: whether the ids decode to the bytes of the text."""
+    shared = pieces.share(let_workers_import(docs).sparkSession, path, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, table = pieces.encoder(shared), pieces.byte_table(shared)
+        for batch in slices(batches):
+            got = encoder.encode(batch.column("text"))
+            decoded, begins = table.decode(got.ids, got.first)
+            data, places = text_bytes(batch.column("text"))
+            same = [np.array_equal(decoded[a:b], data[c:d]) for (a, b), (c, d) in zip(_spans(begins), _spans(places))]
+            out = _with(batch, ids=_lists(got.ids, got.first), round_trip=pa.array(same))
+            yield out.select([n for n in out.schema.names if n != "text"])
+
+    types = _schema(docs, ids=_INTS, round_trip=T.BooleanType())
+    return docs.mapInArrow(run, T.StructType([f for f in types if f.name != "text"]))
+
+
+def _spans(first: np.ndarray) -> list[tuple[int, int]]:
+    places = first.tolist()
+    return list(zip(places, places[1:]))
+
+
+def _sha256(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()

@@ -18,14 +18,14 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import SparkSession
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
 from platewise.llm.arrays import RunHash, mix, ranges, text_bytes
 
-KNOWN_PIECES = 1_000_000  # pieces that a worker remembers
+KNOWN_PIECES = 800_000  # pieces that a worker remembers, about 50 bytes each
+RECENT_PIECES = 50_000  # of these, the ones not yet in order
 LONG_PIECE = 48  # code points; longer pieces are compared as text
 
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = range(5)
@@ -161,33 +161,98 @@ class Encoded:
     first: np.ndarray  # index of the first id of each text, n + 1
 
 
+class ByteTable:
+    """The bytes behind each id."""
+
+    def __init__(self, definition: str) -> None:
+        parsed = json.loads(definition)
+        entries = parsed["model"]["vocab"] | {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
+        bytes_of = [b""] * (max(entries.values()) + 1)
+        for token, i in entries.items():
+            bytes_of[i] = token_bytes(token)
+        self.length = np.array([len(b) for b in bytes_of], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(bytes_of), np.uint8)
+
+    def decode(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the ids back to back, and where those of each text begin."""
+        length = self.length[ids]
+        place = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(length, out=place[1:])
+        return self.flat[ranges(self.start[ids], length)], place[first]
+
+    def offsets(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (exclusive) code point of each id within its text.
+
+        An id that begins or ends inside a character covers that character; neighbours may then share it.
+        """
+        data, begins = self.decode(ids, first)
+        points = np.zeros(len(data) + 1, np.int64)
+        np.cumsum((data & 0xC0) != 0x80, out=points[1:])
+        place = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.length[ids], out=place[1:])
+        base = np.repeat(points[begins[:-1]], np.diff(first))
+        inside = np.zeros(len(data) + 1, bool)
+        inside[:-1] = (data & 0xC0) == 0x80
+        start = points[place[:-1]] - inside[place[:-1]]
+        return start - base, points[place[1:]] - base
+
+
 class Encoder:
     """Encodes slices of texts; lives as long as the worker."""
 
-    def __init__(self, definition: str, known: int = KNOWN_PIECES) -> None:
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self, definition: str, known: int = KNOWN_PIECES, recent: int = RECENT_PIECES) -> None:
+        self.definition = definition
         self.by_piece = Tokenizer.from_str(definition)
         self.by_piece.encode_special_tokens = True
         self.by_piece.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(_BETWEEN, "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        self.limit = known
-        entries = self.tokenizer.get_vocab(with_added_tokens=True)
-        size = max(entries.values()) + 1
-        self.bytes_of = [b""] * size
-        for token, i in entries.items():
-            self.bytes_of[i] = token_bytes(token)
-        lengths = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.byte_length = lengths
-        self.byte_start = np.cumsum(lengths) - lengths
-        self.byte_flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.limit, self.recent_limit = known, recent
         self._forget()
 
+    @functools.cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The library's own way with whole texts; needed for rare texts only."""
+        out = Tokenizer.from_str(self.definition)
+        out.encode_special_tokens = True
+        return out
+
     def _forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)  # in order, with the slot of each
+        self.slots = np.zeros(0, np.int64)
+        self.recent: dict[int, int] = {}
         self.flat = np.zeros(0, np.int32)
         self.length = np.zeros(0, np.int64)
+        self.offset = np.zeros(0, np.int64)
+
+    def _slots(self, different: np.ndarray, text_of) -> np.ndarray:
+        """Slot of each piece; the library encodes those not met before."""
+        if len(self.length) > self.limit:
+            self._forget()
+        if len(self.recent) > self.recent_limit:
+            keys = np.concatenate([self.keys, np.fromiter(self.recent, np.uint64, len(self.recent))])
+            slots = np.concatenate([self.slots, np.fromiter(self.recent.values(), np.int64, len(self.recent))])
+            order = np.argsort(keys)
+            self.keys, self.slots, self.recent = keys[order], slots[order], {}
+        out = np.full(len(different), -1, np.int64)
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, different), len(self.keys) - 1)
+            found = self.keys[place] == different
+            out[found] = self.slots[place[found]]
+        rest = np.flatnonzero(out < 0)
+        names = different[rest].tolist()
+        out[rest] = [self.recent.get(k, -1) for k in names]
+        missing = [(i, k) for i, k in zip(rest.tolist(), names) if out[i] < 0]
+        if missing:
+            ids, lengths = self._pieces(text_of([i for i, _ in missing]))
+            base = len(self.length)
+            for slot, (i, k) in enumerate(missing, base):
+                out[i] = self.recent[k] = slot
+            self.offset = np.concatenate([self.offset, len(self.flat) + np.cumsum(lengths) - lengths])
+            self.length = np.concatenate([self.length, lengths])
+            self.flat = np.concatenate([self.flat, ids])
+        return out
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -215,27 +280,13 @@ class Encoder:
         if not len(start):
             return Encoded(np.zeros(0, np.int64), np.zeros(len(begins), np.int64))
         hashes = RunHash(mix(points.astype(np.uint64) + np.uint64(1))).of(start, end)
-        codes, different = pd.factorize(hashes)
-        example = np.empty(len(different), np.int64)
-        example[codes[::-1]] = np.arange(len(codes))[::-1]
-        if len(self.slots) > self.limit:
-            self._forget()
-        keys = different.tolist()
-        slots = [self.slots.get(k, -1) for k in keys]
-        missing = [i for i, s in enumerate(slots) if s < 0]
-        if missing:
-            at = example[missing]
-            ids, lengths = self._pieces([whole[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-            base = len(self.length)
-            for j, i in enumerate(missing):
-                slots[i] = self.slots[keys[i]] = base + j
-            self.length = np.concatenate([self.length, lengths])
-            self.flat = np.concatenate([self.flat, ids])
-        offset = np.cumsum(self.length) - self.length
-        slot = np.array(slots, np.int64)[codes]
+        different, example, codes = np.unique(hashes, return_index=True, return_inverse=True)
+        begin_of, end_of = start[example], end[example]
+        slots = self._slots(different, lambda wanted: [whole[a:b] for a, b in zip(begin_of[wanted].tolist(), end_of[wanted].tolist())])
+        slot = slots[codes]
         length = self.length[slot]
         long = np.flatnonzero(end - start > LONG_PIECE)
-        ids = self.flat[ranges(offset[slot], length)].astype(np.int64)
+        ids = self.flat[ranges(self.offset[slot], length)].astype(np.int64)
         text = np.searchsorted(begins, start, side="right") - 1
         if len(long) or len(unknown):
             ids, length = self._exact(whole, begins, start, end, text, long, unknown, ids, length)
@@ -268,30 +319,6 @@ class Encoder:
         parts.append(ids[place[at] :])
         return np.concatenate(parts), lengths
 
-    def decode(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of the ids back to back, and where those of each text begin."""
-        length = self.byte_length[ids]
-        out = self.byte_flat[ranges(self.byte_start[ids], length)]
-        place = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(length, out=place[1:])
-        return out, place[first]
-
-    def offsets(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last (exclusive) code point of each id within its text.
-
-        An id that begins or ends inside a character covers that character; neighbours may then share it.
-        """
-        data, begins = self.decode(ids, first)
-        points = np.zeros(len(data) + 1, np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=points[1:])
-        place = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(self.byte_length[ids], out=place[1:])
-        base = np.repeat(points[begins[:-1]], np.diff(first))
-        inside = np.zeros(len(data) + 1, bool)
-        inside[:-1] = (data & 0xC0) == 0x80
-        start = points[place[:-1]] - inside[place[:-1]]
-        return start - base, points[place[1:]] - base
-
 
 @functools.lru_cache(maxsize=2)
 def _encoder(definition: str) -> Encoder:
@@ -304,6 +331,16 @@ def encoder(shared) -> Encoder:
     return _encoder(shared.value)
 
 
+@functools.lru_cache(maxsize=2)
+def _byte_table(definition: str) -> ByteTable:
+    return ByteTable(definition)
+
+
+def byte_table(shared) -> ByteTable:
+    """The worker's byte table for a broadcast definition."""
+    return _byte_table(shared.value)
+
+
 def vocabulary_size(definition: str) -> int:
     parsed = json.loads(definition)
     return 1 + max([*parsed["model"]["vocab"].values(), *(t["id"] for t in parsed.get("added_tokens", []))])
