@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.functions import geo, money, text
 from platewise.operators.dedup import keep_first
-from platewise.operators.lookup import HOT_ROWS, SALTS, hot_keys, spread
+from platewise.workspace import materialise
+
+LIST_LENGTH = 1_000  # positions in one row of a basket list
 
 
 def catalogue_v1(raw: DataFrame) -> DataFrame:
@@ -84,44 +84,60 @@ def category_profile(products: DataFrame) -> DataFrame:
     return counts.withColumn("n_categories", counts.agg(F.count(F.lit(1))).scalar())
 
 
-def basket_list(
-    lines: DataFrame,
-    basket: str,
-    item: str,
-    label: str,
-    *,
-    hot: Sequence[int] | None = None,
-    hot_rows: int = HOT_ROWS,
-    parts: int = SALTS,
-) -> DataFrame:
-    """Comma-joined item ids and names per basket, sorted by item.
-
-    ``lines`` has no exact copies. Ordinary baskets have one row (``part`` 0). A basket with an extreme number of lines is written as several parts,
-    each a sorted list of its own, so that no task holds it whole. Pass ``hot`` where a narrower scan than ``lines``
-    can find such baskets.
+def basket_positions(lines: DataFrame, basket: str, item: str, label: str) -> DataFrame:
+    """One row per line of a basket: its position from 0 in order of item and label, and the basket's ``n_items``.
+
+    ``lines`` has no exact copies. Rows are laid out in ranges of (basket, item, label), so a huge basket spans several ranges and
+    no task holds it whole. Positions are counted within a range; baskets that continue from an earlier range, at most one for
+    each range, get its counts added.
     """
-    hot = hot_keys(lines, [basket], hot_rows) if hot is None else hot
-    entry = F.struct(F.col(item).alias("item"), F.col(label).alias("label"))
-    part = spread([basket], hot, lines.columns, parts)
-    grouped = lines.where(F.col(basket).isNotNull()).groupBy(basket, part.alias("part")).agg(
-        F.sort_array(F.collect_list(entry)).alias("entries")
+    order = [basket, item, label]
+    ranged = lines.where(F.col(basket).isNotNull()).select(*order).repartitionByRange(*order)
+    ranged = materialise(ranged.withColumn("_range", F.spark_partition_id()), "basket-ranges")
+    counts = ranged.groupBy(basket, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    over = counts.groupBy(basket).agg(F.count(F.lit(1)).alias("_ranges"), F.sum("_n").alias("_total")).where("_ranges > 1")
+    earlier = F.sum("_n").over(Window.partitionBy(basket).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    # At most two rows for each range.
+    offsets = counts.join(F.broadcast(over), basket).select(
+        basket, "_range", F.coalesce(earlier, F.lit(0)).alias("_before"), "_total"
+    )
+    within = Window.partitionBy("_range", basket)
+    placed = ranged.select(
+        *order,
+        "_range",
+        (F.row_number().over(within.orderBy(item, label)) - 1).alias("_at"),
+        F.count(F.lit(1)).over(within).alias("_here"),
+    )
+    return placed.join(F.broadcast(offsets), [basket, "_range"], "left").select(
+        basket,
+        (F.col("_at") + F.coalesce("_before", F.lit(0))).cast("bigint").alias("position"),
+        item,
+        label,
+        F.coalesce("_total", "_here").cast("bigint").alias("n_items"),
     )
+
+
+def basket_list(lines: DataFrame, basket: str, item: str, label: str, *, per_row: int = LIST_LENGTH) -> DataFrame:
+    """Comma-joined item ids and names per basket, sorted by item, ``per_row`` positions in each row.
+
+    Every basket follows the same rule: position p stands in row ``part`` = p / per_row. ``n_items`` is the basket's total.
+    """
+    entry = F.struct("position", F.col(item).cast("string").alias("item"), F.col(label).alias("label"))
+    parts = basket_positions(lines, basket, item, label).withColumn("part", F.floor(F.col("position") / per_row).cast("int"))
+    grouped = parts.groupBy(basket, "part").agg(F.sort_array(F.collect_list(entry)).alias("entries"), F.max("n_items").alias("n_items"))
     return grouped.select(
         basket,
         "part",
-        F.array_join(F.transform("entries", lambda e: e["item"].cast("string")), ",").alias("product_ids"),
+        F.array_join(F.transform("entries", lambda e: e["item"]), ",").alias("product_ids"),
         F.array_join(F.transform("entries", lambda e: e["label"]), ",").alias("product_names"),
-        F.size("entries").cast("bigint").alias("n_items"),
+        "n_items",
     )
 
 
-def basket_explode(baskets: DataFrame, basket: str) -> DataFrame:
-    """One row per listed item, with its position in the list. A comma inside a name splits it, as in the feed."""
-    pairs = F.arrays_zip(
-        F.split("product_ids", ",").alias("product_id"), F.split("product_names", ",").alias("product_name")
-    )
-    return baskets.select(basket, F.posexplode(pairs).alias("position", "pair")).select(
-        basket, "position", F.col("pair.product_id"), F.col("pair.product_name")
+def basket_explode(lines: DataFrame, basket: str, item: str, label: str) -> DataFrame:
+    """One row per listed item with its position. Names stay with their items, whatever signs they hold."""
+    return basket_positions(lines, basket, item, label).select(
+        basket, "position", F.col(item).cast("string").alias("product_id"), F.col(label).alias("product_name")
     )
 
 

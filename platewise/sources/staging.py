@@ -146,7 +146,7 @@ FROM {part}
 """,
     "transactions": """
 SELECT concat('TRX', CAST(l_orderkey AS STRING)) AS transaction_id, l_suppkey AS customer_id, l_partkey AS product_id,
-  p_name AS product_name, CASE WHEN l_returnflag = 'R' THEN 'Dibatalkan' ELSE 'Selesai' END AS order_status,
+  CASE WHEN l_partkey % 11 = 0 THEN concat(p_name, ', extra') ELSE p_name END AS product_name, CASE WHEN l_returnflag = 'R' THEN 'Dibatalkan' ELSE 'Selesai' END AS order_status,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS total_payment,
   CASE WHEN l_returnflag = 'R' THEN NULL ELSE 3e0 + (l_partkey % 20) * 0.1e0 END AS rating_merchant,
   CASE WHEN l_linestatus = 'F' THEN NULL ELSE 3.5e0 + (l_suppkey % 15) * 0.1e0 END AS rating_driver,

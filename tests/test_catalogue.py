@@ -53,16 +53,26 @@ def lines(spark):
 def test_basket_lists(lines, rows):
     out = catalogue.basket_list(lines, "basket", "item", "label")
     assert rows(out) == [("t1", 0, "1,2,10", "a,b,z", 3), ("t2", 0, "3", "c", 1)]
-    again = catalogue.basket_explode(out, "basket")
+    again = catalogue.basket_explode(lines, "basket", "item", "label")
     assert rows(again) == [("t1", 0, "1", "a"), ("t1", 1, "2", "b"), ("t1", 2, "10", "z"), ("t2", 0, "3", "c")]
 
 
-def test_huge_basket_is_written_in_parts_and_kept_whole(spark):
-    lines = spark.range(500).selectExpr("'t1' as basket", "id as item", "concat('n', id) as label")
-    out = catalogue.basket_list(lines, "basket", "item", "label", hot_rows=100, parts=8).collect()
-    assert len(out) == 8 and sum(r["n_items"] for r in out) == 500
-    items = sorted(int(i) for r in out for i in r["product_ids"].split(","))
-    assert items == list(range(500))
+def test_a_comma_in_a_name_stays_with_its_item(spark, rows):
+    lines = spark.createDataFrame([("t", 1, "Nasi, Ayam"), ("t", 2, "Es")], "basket string, item int, label string")
+    assert rows(catalogue.basket_explode(lines, "basket", "item", "label")) == [("t", 0, "1", "Nasi, Ayam"), ("t", 1, "2", "Es")]
+
+
+def test_a_huge_basket_follows_the_rule_of_small_ones(spark):
+    lines = spark.range(5000).selectExpr("if(id % 50 = 0, concat('s', id), 't1') as basket", "id as item", "concat('n', id) as label")
+    expected = sorted(i for i in range(5000) if i % 50)
+    found = catalogue.basket_explode(lines, "basket", "item", "label").where("basket = 't1'").orderBy("position").collect()
+    assert [r["position"] for r in found] == list(range(len(expected)))
+    assert [int(r["product_id"]) for r in found] == expected
+    out = catalogue.basket_list(lines, "basket", "item", "label", per_row=100).where("basket = 't1'").orderBy("part").collect()
+    assert [r["part"] for r in out] == list(range(49)) and {r["n_items"] for r in out} == {4900}
+    assert [int(i) for r in out for i in r["product_ids"].split(",")] == expected
+    parts = catalogue.basket_positions(lines, "basket", "item", "label")
+    assert parts.count() == 5000
 
 
 def test_basket_totals(spark, rows):

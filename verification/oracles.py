@@ -566,10 +566,15 @@ def statements() -> dict[str, str]:
     fence = "CAST(total_amount AS DOUBLE) BETWEEN a - 1.5e0 * (c - a) AND c + 1.5e0 * (c - a)"
     half_lat = "sin(radians(delivery_lat - pickup_lat) / 2)"
     half_lon = "sin(radians(delivery_lon - pickup_lon) / 2)"
+    placed = (
+        "(SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY product_id, product_name) - 1 AS position, "
+        "count(*) OVER (PARTITION BY transaction_id) AS total FROM basket_lines)"
+    )
     lists = (
-        "SELECT transaction_id, 0 AS part, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id, product_name) "
-        "AS product_ids, string_agg(product_name, ',' ORDER BY product_id, product_name) AS product_names, "
-        "count(*) AS n_items FROM basket_lines GROUP BY transaction_id"
+        "SELECT transaction_id, CAST(position // 1000 AS INTEGER) AS part, "
+        "string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY position) AS product_ids, "
+        "string_agg(product_name, ',' ORDER BY position) AS product_names, any_value(total) AS n_items "
+        f"FROM {placed} GROUP BY transaction_id, position // 1000"
     )
     return {
         "sample_rows": samples,
@@ -712,9 +717,8 @@ def statements() -> dict[str, str]:
         "merchant_key": "SELECT uid, merchant_id FROM v1",
         "catalogue_v1": "SELECT * FROM catalogue_v1",
         "basket_list": lists,
-        "basket_explode": "SELECT transaction_id, CAST(row_number() OVER (PARTITION BY transaction_id ORDER BY product_id, "
-        "product_name) - 1 AS INTEGER) AS position, CAST(product_id AS VARCHAR) AS product_id, product_name "
-        "FROM basket_lines",
+        "basket_explode": "SELECT transaction_id, position, CAST(product_id AS VARCHAR) AS product_id, product_name "
+        f"FROM {placed}",
         "basket_totals": "SELECT o.order_id, CAST(s.t AS DECIMAL(18,2)) AS items_subtotal, delivery_fee, discount, "
         "CAST(CASE WHEN s.t + delivery_fee - discount < 0 THEN 0 ELSE s.t + delivery_fee - discount END "
         "AS DECIMAL(18,2)) AS basket_total FROM stg_orders o JOIN (SELECT order_id, coalesce(sum(unit_price * quantity), 0) "

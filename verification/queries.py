@@ -223,10 +223,9 @@ def catalogue_keys(raw: DataFrame) -> DataFrame:
     return catalogue.with_merchant_key(raw).select("product", "merchant_id", "merchant_name", "merchant_area")
 
 
-def baskets(lines: DataFrame) -> DataFrame:
-    distinct = lines.select("transaction_id", "product_id", "product_name").distinct()
-    hot = hot_keys(lines, ["transaction_id"])
-    return catalogue.basket_list(distinct, "transaction_id", "product_id", "product_name", hot=hot)
+def basket_lines(lines: DataFrame) -> tuple[DataFrame, str, str, str]:
+    columns = ("transaction_id", "product_id", "product_name")
+    return (lines.select(*columns).distinct(), *columns)
 
 
 def standardise_city(lines: DataFrame) -> DataFrame:
@@ -389,7 +388,7 @@ def _registered() -> dict[str, Query]:
             "catalogue_v1", lambda c: c.select("uid", text.merchant_key(F.col("uid")).alias("merchant_id"))
         ),
         "catalogue_v1": _view("catalogue_v1", catalogue.catalogue_v1),
-        "basket_list": _view("transactions", baskets),
-        "basket_explode": _view("transactions", lambda t: catalogue.basket_explode(baskets(t), "transaction_id")),
+        "basket_list": _view("transactions", lambda t: catalogue.basket_list(*basket_lines(t))),
+        "basket_explode": _view("transactions", lambda t: catalogue.basket_explode(*basket_lines(t))),
         "basket_totals": _source(lambda s: catalogue.basket_totals(s.order_items, keep_first(s.orders, ["order_id"]))),
     }
