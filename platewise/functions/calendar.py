@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ORDER_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-_ORDER_TIME_SHAPE = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
+_ISO_SHAPE = r"^\d{4}-\d\d-\d\d([ T]\d\d:\d\d:\d\d(\.\d{1,9})?)?$"
 
 # Month abbreviations of the calendar table.
 MONTH_ABBREVIATIONS = {
@@ -26,13 +26,14 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 
 
 def parse_timestamp(col: Column, fmt: str = ORDER_TIME_FORMAT) -> Column:
-    """Text in exactly ``fmt`` as a zone-less timestamp; anything else is null.
+    """A date or time, or its text, as a zone-less timestamp; what cannot be read is null.
 
-    The default format is tested by shape and cast directly to a zone-less timestamp. Other formats are read in the
-    session time zone, which should be UTC so that no wall-clock time falls into a daylight-saving gap.
+    The default reads timestamps of either kind as they are, and ISO text: a date, with or without a time behind a space or T, with or
+    without a fraction. Other formats are read in the session time zone, which should be UTC so that no wall-clock time
+    falls into a daylight-saving gap.
     """
     if fmt == ORDER_TIME_FORMAT:
-        return F.when(col.rlike(_ORDER_TIME_SHAPE), col.try_cast("timestamp_ntz"))
+        return F.when(col.cast("string").rlike(_ISO_SHAPE), col.try_cast("timestamp_ntz"))
     return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 

@@ -23,8 +23,10 @@ DEFAULT_LEVEL_MIN_ORDER = 0
 def delivery_fee(distance_km: Column) -> Column:
     """Base fee plus the distance charge rounded half-even to whole steps, capped."""
     steps = F.bround(distance_km * F.lit(float(FEE_PER_KM)) / F.lit(float(FEE_STEP)), 0)
-    fee = F.lit(FEE_BASE) + steps.cast("bigint") * FEE_STEP
-    return F.when(distance_km.isNotNull(), F.least(fee, F.lit(FEE_CAP)).cast("int"))
+    # NaN is above all numbers; it counts as missing. Beyond the cap the distance does not matter.
+    fee = F.lit(FEE_BASE) + F.least(steps, F.lit(float(FEE_CAP))).try_cast("bigint") * FEE_STEP
+    known = distance_km.isNotNull() & ~F.isnan(distance_km.cast("double"))
+    return F.when(known, F.least(fee, F.lit(FEE_CAP)).cast("int"))
 
 
 def floor_at_zero(amount: Column) -> Column:

@@ -111,11 +111,11 @@ def area_name(city_text: Column, default: str = "Unknown") -> Column:
 
 
 def rating_fields(literal: Column) -> tuple[Column, Column]:
-    """(average, total) of a ``{'average': .., 'total': ..}`` text; zero and unreadable values are null."""
+    """(average, total) of a ``{'average': .., 'total': ..}`` text; zero, unreadable, NaN and too large values are null."""
     parsed = F.from_json(literal, "average double, total double")
     average = parsed["average"]
-    total = parsed["total"].cast("int")
-    return F.nullif(average, F.lit(0.0)), F.nullif(total, F.lit(0))
+    total = parsed["total"].try_cast("int")
+    return F.nullif(F.nanvl(average, F.lit(0.0)), F.lit(0.0)), F.nullif(total, F.lit(0))
 
 
 def open_all_day(periods: Column) -> Column:
@@ -143,5 +143,5 @@ def is_active_status(status: Column) -> Column:
 
 def surrogate_key(*parts: Column) -> Column:
     """Deterministic key of a composite natural key: needs no distinct, no join and no shuffle."""
-    filled = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    return F.sha2(F.concat_ws("\x01", *filled), 256)
+    marked = [F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("")) for p in parts]  # a missing part is not an empty one
+    return F.sha2(F.concat_ws("\x01", *marked), 256)

@@ -45,18 +45,15 @@ def unique_complete(df: DataFrame, table: str, order_by: Sequence[str] = ()) ->
 
 
 def clean_users(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """Users whose birth date stays missing go before the coordinates and areas of the others are learnt."""
     base = materialise(unique_complete(df, "users", order_by), "users")
-    filled = fill_by_group(
-        base,
-        "city",
-        means={"lat": None, "lon": None},
-        modes={"gender": UNKNOWN, "date_of_birth": None, "address_area": UNKNOWN},
-    )
-    return fill_constants(filled, {"is_active": 1}).dropna(subset=["date_of_birth"])
+    dated = fill_by_group(base, "city", modes={"gender": UNKNOWN, "date_of_birth": None}).dropna(subset=["date_of_birth"])
+    filled = fill_by_group(dated, "city", means={"lat": None, "lon": None}, modes={"address_area": UNKNOWN})
+    return fill_constants(filled, {"is_active": 1})
 
 
 def coerce_order_time(df: DataFrame, fmt: str = calendar.ORDER_TIME_FORMAT) -> DataFrame:
-    """Parse the order time; rows whose text is not in ``fmt`` are dropped."""
+    """Parse the order time; rows whose time cannot be read are dropped."""
     return df.withColumn("order_time", calendar.parse_timestamp(F.col("order_time"), fmt)).dropna(
         subset=["order_time"]
     )

@@ -32,14 +32,16 @@ class Sources:
     weather_readings: DataFrame
 
 
-def weather_for(sources: Sources) -> DataFrame:
-    """Hourly weather over the calendar months that have orders.
+def weather_for(sources: Sources, utc_offset_hours: Mapping[str, int] | None = None) -> DataFrame:
+    """Hourly weather over the calendar months that have orders, widened by the clock offsets of the look-up.
 
     The two dates come back to the driver, so that the scan of the readings gets them as pushed-down literals.
     """
     months = month_ranges(order_date_range(sources.orders))
     span = months.agg(F.min("range_start").alias("start"), F.max("range_end").alias("end")).first()
-    start, end = (F.lit(span[name]).cast("timestamp_ntz") for name in ("start", "end"))
+    offsets = [0, *(utc_offset_hours or {}).values()]
+    start = F.lit(span["start"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(max(offsets)))
+    end = F.lit(span["end"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(min(offsets)))
     return weather.hourly_weather(sources.weather_readings, start=start, end=end)
 
 
@@ -63,10 +65,10 @@ def build_warehouse(
     def load(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         df, path = build(), f"{folder}/{name}"
         write_parquet(df, path, PARTITIONED.get(name, ()) if partition_facts else ())
-        return spark.read.schema(df.schema).parquet(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)  # partition columns back in their place
 
     builders: dict[str, Callable[[], DataFrame]] = {
-        "dim_weather": lambda: weather.dim_weather(weather_for(sources)),
+        "dim_weather": lambda: weather.dim_weather(weather_for(sources, utc_offset_hours)),
         "dim_date": lambda: dims.dim_date(sources.orders),
         "dim_user": lambda: dims.dim_user(clean.clean_users(sources.users), as_of),
         "dim_driver": lambda: dims.dim_driver(clean.clean_drivers(sources.drivers)),

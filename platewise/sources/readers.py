@@ -76,7 +76,7 @@ def weather_observations(
 ) -> DataFrame:
     """Mean temperature, rain and humidity per city and instant, ``start <= time < end``.
 
-    Humidity is worked out per reading, before the mean.
+    Humidity is worked out per reading, before the mean. Sums are decimals, so a mean does not depend on partitioning.
     """
     rows = readings.where(F.col("city").isin(*cities))
     if start is not None:
@@ -84,6 +84,10 @@ def weather_observations(
     if end is not None:
         rows = rows.where(F.col("time") < end)
     rows = rows.withColumn("humidity", weather.relative_humidity(F.col("temp_k"), F.col("dewpoint_k")))
-    return rows.groupBy("city", "time").agg(
-        F.avg("temp_k").alias("temp_k"), F.avg("rain").alias("rain"), F.avg("humidity").alias("humidity")
-    )
+    means = [_exact_mean(name).alias(name) for name in ("temp_k", "rain", "humidity")]
+    return rows.groupBy("city", "time").agg(*means)
+
+
+def _exact_mean(name: str) -> Column:
+    exact = F.col(name).try_cast("decimal(28,12)")
+    return (F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))).cast("double")

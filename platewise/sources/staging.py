@@ -78,6 +78,9 @@ SELECT o_orderkey AS order_id,
                  AS DECIMAL(18,2)) END AS total_amount,
   CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE (o_orderkey * 13 % 1500) * 0.01e0 END AS distance_km,
   CASE WHEN o_orderkey % 97 = 0 THEN 'not a date'
+       WHEN o_orderkey % 89 = 0 THEN concat(CAST(o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 AS INT) AS STRING), '.125')
+       WHEN o_orderkey % 83 = 0
+       THEN replace(CAST(o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 AS INT) AS STRING), ' ', 'T')
        ELSE CAST(o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 AS INT) AS STRING) END AS order_time,
   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 301 <> 0
        THEN o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 + 10 + o_orderkey % 60 AS INT)
@@ -117,8 +120,9 @@ FROM {{orders}} WHERE o_orderpriority <> '1-URGENT'
 """,
     "catalogue_v1": """
 SELECT concat(CAST(10000000 + p_partkey % 1500 AS STRING), '-ab-', CAST(p_partkey AS STRING)) AS uid,
+  CASE WHEN p_partkey % 23 = 0 THEN '{{''average'': 3.5, ''total'': 9999999999}}' ELSE
   CASE p_partkey % 4 WHEN 0 THEN '{{''average'': 4.6, ''total'': 12}}' WHEN 1 THEN '{{''average'': 0, ''total'': 0}}'
-    WHEN 2 THEN 'broken' ELSE NULL END AS ratings,
+    WHEN 2 THEN 'broken' ELSE NULL END END AS ratings,
   CASE p_partkey % 5 WHEN 4 THEN 'x' WHEN 3 THEN NULL ELSE CAST(p_partkey % 5 + 1 AS STRING) END AS "priceLevel",
   concat(' ', p_name, ' ') AS "displayName",
   CASE p_partkey % 3 WHEN 0 THEN '1' WHEN 1 THEN ' 1 ' ELSE '0' END AS status,

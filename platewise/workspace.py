@@ -6,7 +6,6 @@ executors, and gives Catalyst the true file size of each statistics table when i
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
 
@@ -15,18 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 _DIR_KEY = "spark.checkpoint.dir"
 
 
-@functools.cache
-def _scratch_for_local_runs() -> str:
-    return tempfile.mkdtemp(prefix="platewise-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by the cluster in ``spark.checkpoint.dir``; a scratch folder only on a local master."""
+    """Folder named by the cluster in ``spark.checkpoint.dir``; on a local master without one, the temporary folder."""
     base = spark.conf.get(_DIR_KEY, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_DIR_KEY} to a folder that all executors can reach")
-        base = _scratch_for_local_runs()
+        base = f"{tempfile.gettempdir()}/checkpoints"
     return f"{base.rstrip('/')}/platewise/{spark.sparkContext.applicationId}"
 
 
@@ -40,3 +34,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; frames built on them can no longer be read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,6 +3,8 @@ from decimal import Decimal as D
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from platewise.plans import clean
 
 USERS = (
@@ -57,7 +59,7 @@ def test_orders_drop_and_fill(spark):
         ORDERS,
     )
     out = by_id(clean.clean_orders(df), "order_id")
-    assert set(out) == {1, 4, 5, 8}
+    assert set(out) == {1, 4, 5, 7, 8}  # a date alone is a time at midnight
     four = out[4]
     assert four["payment_method"] == "x" and four["subtotal"] == D(10) and four["delivery_fee"] == D(2)
     assert four["discount"] == 0 and four["total_amount"] == D(12)
@@ -136,3 +138,28 @@ def test_empty_tables(spark, job, schema):
 def test_rerun_gives_the_same_rows(spark, rows):
     df = spark.createDataFrame([order(i % 7, subtotal=D(i), order_time=T) for i in range(40)], ORDERS)
     assert rows(clean.clean_orders(df.repartition(4))) == rows(clean.clean_orders(df.repartition(2)))
+
+
+def test_users_without_a_birth_date_go_before_the_coordinates_are_learnt(spark):
+    base = {"user_id": 1, "full_name": "n", "city": "A", "gender": "f", "address_area": "x", "is_active": 1}
+    people = [
+        base | {"date_of_birth": "2000-01-01", "lat": 10.0, "lon": 1.0},
+        base | {"user_id": 2, "city": None, "date_of_birth": None, "lat": 100.0, "lon": 1.0},
+        base | {"user_id": 3, "city": None, "date_of_birth": "2000-01-01", "lat": None, "lon": 1.0},
+    ]
+    schema = "user_id int, full_name string, city string, gender string, address_area string, is_active int, date_of_birth string, lat double, lon double"
+    df = spark.createDataFrame([tuple(p[n.split()[0]] for n in schema.split(", ")) for p in people], schema)
+    df = df.withColumn("date_of_birth", F.to_date("date_of_birth"))
+    out = {r["user_id"]: r["lat"] for r in clean.clean_users(df).collect()}
+    assert out == {1: 10.0, 3: 10.0}
+
+
+def test_order_times_in_all_forms(spark):
+    df = spark.createDataFrame(
+        [(1, "2023-01-01 10:00:00"), (2, "2023-01-01T10:00:00.5"), (3, "2023-01-01"), (4, "01/02/2023"), (5, None), (6, "2023-13-01 10:00:00")],
+        "order_id int, order_time string")
+    assert sorted(r["order_id"] for r in clean.coerce_order_time(df).collect()) == [1, 2, 3]
+    stamps = spark.sql("SELECT 1 AS order_id, TIMESTAMP '2023-01-01 10:00:00.123' AS order_time")
+    assert str(clean.coerce_order_time(stamps).first()["order_time"]) == "2023-01-01 10:00:00.123000"
+    plain = spark.sql("SELECT 1 AS order_id, TIMESTAMP_NTZ '2023-01-01 10:00:00.123' AS order_time")
+    assert clean.coerce_order_time(plain).count() == 1

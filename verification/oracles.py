@@ -89,7 +89,10 @@ def fill_mode(table: str, by: str, column: str, default: str, out: str) -> dict[
     }
 
 
-_PARSED = "try_strptime({c}, '%Y-%m-%d %H:%M:%S')"
+_PARSED = (
+    "CASE WHEN regexp_full_match(CAST({c} AS VARCHAR), '\\d{{4}}-\\d\\d-\\d\\d([ T]\\d\\d:\\d\\d:\\d\\d(\\.\\d+)?)?') "
+    "THEN TRY_CAST({c} AS TIMESTAMP) END"
+)
 _RH = (
     "100e0 * exp(17.625e0 * (dewpoint_k - 273.15e0) / (243.04e0 + (dewpoint_k - 273.15e0))) "
     "/ exp(17.625e0 * (temp_k - 273.15e0) / (243.04e0 + (temp_k - 273.15e0)))"
@@ -139,17 +142,18 @@ def ctes() -> dict[str, str]:
     # users
     c["u0"] = f"SELECT * FROM ({first_rows('users', 'user_id')}) WHERE user_id IS NOT NULL AND full_name IS NOT NULL"
     unrounded = "CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100e0 / nullif(count({c}), 0)"
-    c |= fill_mean("u0", "city", "lat", unrounded.format(c="lat"), "u1")
+    c |= fill_mode("u0", "city", "gender", "'Unknown'", "u1")
+    c |= fill_mode("u1", "city", "date_of_birth", "NULL", "u2")
+    # Who still has no birth date goes before the means are taken.
+    c["u3"] = "SELECT * FROM u2 WHERE date_of_birth IS NOT NULL"
+    c |= fill_mean("u3", "city", "lat", unrounded.format(c="lat"), "u4")
     # After the group fill the values have more decimals, so the overall mean is taken as it is.
-    c["u1"] = "SELECT * REPLACE (coalesce(lat, (SELECT avg(lat) FROM u1_g)) AS lat) FROM u1_g"
-    c |= fill_mean("u1", "city", "lon", unrounded.format(c="lon"), "u2")
-    c["u2"] = "SELECT * REPLACE (coalesce(lon, (SELECT avg(lon) FROM u2_g)) AS lon) FROM u2_g"
-    c |= fill_mode("u2", "city", "gender", "'Unknown'", "u3")
-    c |= fill_mode("u3", "city", "date_of_birth", "NULL", "u4")
-    c |= fill_mode("u4", "city", "address_area", "'Unknown'", "u5")
+    c["u4"] = "SELECT * REPLACE (coalesce(lat, (SELECT avg(lat) FROM u4_g)) AS lat) FROM u4_g"
+    c |= fill_mean("u4", "city", "lon", unrounded.format(c="lon"), "u5")
+    c["u5"] = "SELECT * REPLACE (coalesce(lon, (SELECT avg(lon) FROM u5_g)) AS lon) FROM u5_g"
+    c |= fill_mode("u5", "city", "address_area", "'Unknown'", "u6")
     c["clean_users"] = (
-        "SELECT * REPLACE (round(lat, 6) AS lat, round(lon, 6) AS lon, coalesce(is_active, 1) AS is_active) FROM u5 "
-        "WHERE date_of_birth IS NOT NULL"
+        "SELECT * REPLACE (round(lat, 6) AS lat, round(lon, 6) AS lon, coalesce(is_active, 1) AS is_active) FROM u6"
     )
 
     # orders
@@ -327,7 +331,7 @@ def ctes() -> dict[str, str]:
         "AS merchant_area) FROM stg_catalogue_v2"
     )
     c["v2_merchants"] = (
-        "SELECT DISTINCT merchant_name, merchant_area, sha256(concat(merchant_name, chr(1), merchant_area)) "
+        "SELECT DISTINCT merchant_name, merchant_area, sha256(concat('=', merchant_name, chr(1), '=', merchant_area)) "
         "AS merchant_id FROM v2"
     )
     city = (
@@ -601,7 +605,7 @@ def statements() -> dict[str, str]:
         + " SELECT order_id, merchant_id, subtotal FROM x",
         "order_flags": "SELECT order_id, CASE WHEN status = 'delivered' THEN 1 ELSE 0 END AS is_delivered, "
         "CASE WHEN status LIKE '%cancel%' THEN 1 ELSE 0 END AS is_cancelled FROM stg_orders",
-        "delivery_duration": f"SELECT order_id, round(date_diff('second', {parsed}, delivered_time) / 60e0, 4) AS minutes "
+        "delivery_duration": f"SELECT order_id, round(date_diff('microsecond', {parsed}, delivered_time) / 60000000e0, 4) AS minutes "
         "FROM stg_orders WHERE status = 'delivered'",
         "haversine_km": f"SELECT order_id, round(2 * 6371e0 * asin(sqrt({half_lat} * {half_lat} + "
         f"cos(radians(pickup_lat)) * cos(radians(delivery_lat)) * {half_lon} * {half_lon})), 6) AS km FROM stg_orders",
