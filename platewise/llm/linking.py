@@ -2,8 +2,9 @@
 
 First every bucket member is checked against the smallest node of its bucket; what passes is joined into groups. Buckets whose
 members then lie in one group are settled. In the others, members outside the bucket's largest group are checked against
-every member of another group, so that no link between two groups is missed. Only pairs that pass the cheap test on their
-signatures leave a join. Nothing is collected; every step reads tables in the shared folder.
+every member of another group, so that no link between two groups is missed: in buckets of up to ``SMALL`` members as pairs that
+pass a cheap test on their signatures, in larger ones block by block inside tasks, which return links only. Nothing is
+collected; every step reads tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from platewise.workspace import materialise
 
 Test = Callable[[Column, Column], Column]
 Check = Callable[[DataFrame], DataFrame]
+Prepare = Callable[[DataFrame], tuple[Check, Check | None]]
+
+SMALL = 48  # members of a bucket whose pairs are listed
+HELD, STREAMED = 512, 1024  # members of a block on either side
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -42,36 +47,68 @@ def connected(links: DataFrame) -> DataFrame:
         edges = materialise(parents.select("node", F.col("parent").alias("to")).unionByName(down).distinct(), "edges")
 
 
-def link_groups(buckets: DataFrame, may_link: Test, check: Check) -> DataFrame:
+def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepare: Prepare) -> DataFrame:
     """``node`` and ``component`` of all nodes linked with a smaller one.
 
-    ``buckets`` has ``key``, ``node`` and ``sig`` (a struct that ``may_link`` compares); ``check`` gets pairs (``a``, ``b``) and
-    returns those that are links.
+    ``buckets`` has ``key`` and ``node``, ``signatures`` a ``sig`` (a struct that ``may_link`` compares) for each ``node``. ``prepare``
+    gets the nodes that share any bucket and returns two checks. The first gets pairs (``a``, ``b``) and returns those that are links. The
+    second gets ``key``, ``chunk``, ``part`` (together a block), ``held``, ``node`` and ``component``; it returns enough of the links between held and
+    other nodes of a block to connect whatever they connect. Without it, pairs are listed in all buckets: for signatures that
+    let hardly any other pairs pass.
     """
-    leaders = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "sig")).alias("leader")).where("n > 1").drop("n")
-    leaders = materialise(leaders, "bucket-leaders")
-    members = materialise(buckets.join(leaders, "key"), "bucket-members")
-    stars = members.where(F.col("node") != F.col("leader.node")).where(may_link(F.col("leader.sig"), F.col("sig")))
-    links = materialise(check(stars.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()), "links")
+    leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
+    members = materialise(buckets.join(materialise(leaders, "bucket-leaders"), "key"), "bucket-members")
+    nodes = materialise(members.select("node").distinct(), "bucket-nodes")
+    signatures = materialise(signatures.join(nodes, "node"), "signatures")
+    check, check_blocks = prepare(nodes)
+    stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    links = materialise(check(_tested(stars, signatures, may_link)), "links")
     groups = connected(links)
 
     members = members.drop("leader").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = materialise(members, "labelled-members")
-    open_keys = members.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
-    open_keys = open_keys.agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
-    open_keys = materialise(open_keys.select("key", F.col("largest.component").alias("largest")), "open-buckets")
-    unsettled = materialise(members.join(open_keys, "key"), "unsettled-members")
+    open_keys = members.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("groups"), F.sum("n").alias("members")
+    )
+    open_keys = open_keys.where("groups > 1").select(
+        "key", F.col("largest.component").alias("largest"), "members", (F.col("members") - F.col("largest.n")).alias("outside")
+    )
+    unsettled = materialise(members.join(materialise(open_keys, "open-buckets"), "key"), "unsettled-members")
+    small = F.lit(True) if check_blocks is None else F.col("members") <= SMALL
+    signed = materialise(unsettled.where(small).join(signatures, "node"), "signed-members")
+    more = materialise(check(_pairs(signed, may_link)), "links")
+    if check_blocks is not None:
+        more = more.unionByName(materialise(check_blocks(_blocks(unsettled.where(~small))), "links"))
+    return connected(links.unionByName(more)) if more.head(1) else groups
+
+
+def _tested(pairs: DataFrame, signatures: DataFrame, may_link: Test) -> DataFrame:
+    first, second = signatures.toDF("a", "a_sig"), signatures.toDF("b", "b_sig")
+    return pairs.join(first, "a").join(second, "b").where(may_link(F.col("a_sig"), F.col("b_sig"))).select("a", "b")
+
+
+def _pairs(unsettled: DataFrame, may_link: Test) -> DataFrame:
     outside = unsettled.where("component <> largest").select(
         "key", F.col("node").alias("a"), F.col("sig").alias("a_sig"), F.col("component").alias("a_component")
     )
-    pairs = (
+    return (
         outside.join(unsettled, "key")
         .where("component <> a_component AND (component = largest OR a < node)")
         .where(may_link(F.col("a_sig"), F.col("sig")))
         .select("a", F.col("node").alias("b"))
         .distinct()
     )
-    more = materialise(check(pairs), "links")
-    if not more.head(1):
-        return groups
-    return connected(links.unionByName(more))
+
+
+def _blocks(unsettled: DataFrame) -> DataFrame:
+    """Members outside the largest group, in chunks, each together with all members of the bucket, in parts."""
+    chunks, parts = F.ceil(F.col("outside") / HELD), F.ceil(F.col("members") / STREAMED)
+    chunk = F.pmod(F.xxhash64("node"), chunks)
+    part = F.pmod(F.xxhash64("node", F.lit("part")), parts)
+    held = unsettled.where("component <> largest").select(
+        "key", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(True).alias("held"), "node", "component"
+    )
+    streamed = unsettled.select(
+        "key", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), part.alias("part"), F.lit(False).alias("held"), "node", "component"
+    )
+    return held.unionByName(streamed)

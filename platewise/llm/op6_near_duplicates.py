@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.arrays import UNSPACED, RunHash, Words, let_workers_import, mix, slices, words_of
+from platewise.llm.arrays import UNSPACED, RunHash, Words, let_workers_import, mix, ranges, slices, words_of
 from platewise.llm.linking import link_groups
 from platewise.workspace import materialise
 
@@ -154,11 +154,9 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _check(docs: DataFrame, size: int, percent: int):
+def _check(texts: DataFrame, size: int, percent: int):
     def check(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        texts = materialise(docs.join(materialise(wanted, "wanted"), "doc_id"), "texts")
         many = materialise(pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "pair-counts")
         pairs = materialise(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk")), "chunks")
         heads = pairs.select("a", "chunk").distinct().join(texts, F.col("a") == F.col("doc_id"))
@@ -170,6 +168,89 @@ def _check(docs: DataFrame, size: int, percent: int):
     return check
 
 
+class Held:
+    """Sets of a block's held documents, indexed by shingle: one look-up gives the intersections with all of them."""
+
+    def __init__(self) -> None:
+        self.nodes: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.group: dict[int, int] = {}  # links found within the block, as a forest over components
+        self.index: tuple | None = None
+
+    def add(self, node: int, component: int, shingles: np.ndarray) -> None:
+        self.nodes.append(node)
+        self.sets.append(shingles)
+        self.group.setdefault(node, component)
+
+    def root(self, x: int) -> int:
+        while self.group.get(x, x) != x:
+            x = self.group[x]
+        return x
+
+    def links(self, node: int, component: int, shingles: np.ndarray, percent: int) -> list[int]:
+        """Held nodes that the given one is linked with and that were not connected with it yet."""
+        if self.index is None:
+            flat = np.concatenate(self.sets)
+            order = np.argsort(flat, kind="stable")
+            sizes = np.array([len(s) for s in self.sets])
+            self.index = (flat[order], np.repeat(np.arange(len(sizes)), sizes)[order], sizes)
+        flat, owner, sizes = self.index
+        low, high = np.searchsorted(flat, shingles), np.searchsorted(flat, shingles, side="right")
+        both = np.bincount(owner[ranges(low, high - low)], minlength=len(sizes))
+        self.group.setdefault(node, component)
+        out = []
+        for k in np.flatnonzero(100 * both >= percent * (sizes + len(shingles) - both)).tolist():
+            a, b = self.root(self.nodes[k]), self.root(node)
+            if a != b:
+                self.group[max(a, b)] = min(a, b)
+                out.append(self.nodes[k])
+        return out
+
+
+def _confirm_block(size: int, percent: int):
+    """Rows of a block come together, the held ones first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, Held()
+        for batch in slices(batches):
+            hashes, first = shingles(words_of(batch.column("text"), UNSPACED), size)
+            columns = [batch.column(c).to_pylist() for c in ("key", "chunk", "part", "held", "node", "component")]
+            out_a, out_b = [], []
+            for k, (key, chunk, part, is_held, node, component) in enumerate(zip(*columns)):
+                if (key, chunk, part) != block:
+                    block, held = (key, chunk, part), Held()
+                mine = hashes[first[k] : first[k + 1]]
+                if is_held:
+                    held.add(node, component, mine)
+                elif held.nodes:
+                    found = held.links(node, component, mine, percent)
+                    out_a += found
+                    out_b += [node] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _check_blocks(texts: DataFrame, size: int, percent: int):
+    def check(rows: DataFrame) -> DataFrame:
+        rows = materialise(rows, "blocks").join(texts, F.col("node") == F.col("doc_id"))
+        rows = rows.repartition("key", "chunk", "part").sortWithinPartitions("key", "chunk", "part", F.col("held").desc())
+        rows = rows.select("key", "chunk", "part", "held", "node", "component", "text")
+        return rows.mapInArrow(_confirm_block(size, percent), "a long, b long").distinct()
+
+    return check
+
+
+def _prepare(docs: DataFrame, size: int, percent: int):
+    """The texts in question are moved once, for all checks."""
+
+    def prepare(nodes: DataFrame):
+        texts = materialise(docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id"), "texts")
+        return _check(texts, size, percent), _check_blocks(texts, size, percent)
+
+    return prepare
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id reachable) and ``kept`` of every document."""
     docs = let_workers_import(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
@@ -177,9 +258,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     described = materialise(described, "sketches")
     named = described.where(F.col("doc_id").isNotNull() & F.col("class").isNotNull())
     classes = materialise(named.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = named.join(classes, "class").where("doc_id = node")
-    buckets = nodes.select(F.explode("keys").alias("key"), "node", F.struct("n", "s0", "s1").alias("sig"))
-    groups = link_groups(buckets, _may_link(percent), _check(docs, words, percent))
+    nodes = materialise(named.join(classes, "class").where("doc_id = node").select("node", "n", "s0", "s1", "keys"), "nodes")
+    buckets = nodes.select(F.explode("keys").alias("key"), "node")
+    signatures = nodes.select("node", F.struct("n", "s0", "s1").alias("sig")).dropDuplicates(["node"])
+    groups = link_groups(buckets, signatures, _may_link(percent), _prepare(docs, words, percent))
     placed = described.select("doc_id", "class", "n").join(classes, "class", "left").withColumn("node", F.coalesce("node", "doc_id"))
     placed = placed.join(groups, "node", "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
