@@ -2,41 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-SALTS = 64
-_MAX_HOT_KEYS = 256
+_MOST_HOT_KEYS = 4096  # a sketch of 8,192 slots is not sure of more
 _SKETCH_SIZE = 8192
 _SKETCH_GROUPS = 64
 _SALT = "_salt"
 
+HotKeys = Mapping[int, int]  # hash of a key -> number of parts
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys that hold about ``min_rows`` rows or more; a missing key is one of them.
 
-    One pass over the key columns into fixed-size frequent-items sketches, merged in two steps (per group of input
-    partitions, then all), so nothing is shuffled by key and no task merges the sketches of every input task. At most
-    256 values come back. The answer only decides how rows are spread; any answer gives the same join result, and keys
-    too small for the sketch to see are left to adaptive skew-join splitting.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> HotKeys:
+    """Hashes of the keys that hold about ``min_rows`` rows or more, each with its number of parts; a missing key is one of them.
+
+    A key is divided into a power of two of parts, so many that none holds more than about ``min_rows / 2`` rows. One pass over the key columns
+    into fixed-size frequent-items sketches, merged in two steps (per group of input partitions, then all), so nothing is
+    shuffled by key and no task merges the sketches of every input task. The answer only decides how rows are spread; any
+    answer gives the same join result, and keys too small for the sketch to see are left to adaptive skew-join splitting.
     """
     hashes = df.select(F.xxhash64(*keys).alias("key_hash"))
     group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("sketch_group")
     sketches = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(key_hash, {_SKETCH_SIZE})").alias("sketch"))
     # Grouped by a constant: without any sketch to combine there is no row, instead of an error.
     merged = sketches.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(sketch, {_SKETCH_SIZE})").alias("sketch"))
-    row = merged.select(F.expr(f"approx_top_k_estimate(sketch, {_MAX_HOT_KEYS})").alias("top")).first()
-    return [item["item"] for item in row["top"] if item["count"] >= min_rows] if row else []
+    row = merged.select(F.expr(f"approx_top_k_estimate(sketch, {_MOST_HOT_KEYS})").alias("top")).first()
+    found = {item["item"]: item["count"] for item in row["top"] if item["count"] >= min_rows} if row else {}
+    return {key: 1 << math.ceil(math.log2(2 * n / max(1, min_rows))) for key, n in found.items()}
+
 
+def _by_parts(hot: HotKeys) -> list[tuple[int, list[int]]]:
+    """Hot keys grouped by their number of parts: a few groups, since the numbers are powers of two."""
+    groups: dict[int, list[int]] = {}
+    for key, parts in hot.items():
+        groups.setdefault(parts, []).append(key)
+    return sorted(groups.items())
 
-def spread(keys: Sequence[str], hot: Sequence[int], by: Sequence[str], parts: int) -> Column:
+
+def spread(keys: Sequence[str], hot: HotKeys, by: Sequence[str]) -> Column:
     """Part number of a row: 0 for ordinary keys, a hash of the row for hot ones (repeatable when a task is retried)."""
-    if not hot:
-        return F.lit(0)
-    return F.when(F.xxhash64(*keys).isin(*hot), F.pmod(F.xxhash64(*by), F.lit(parts)).cast("int")).otherwise(0)
+    part = F.lit(0)
+    for parts, group in _by_parts(hot):
+        part = F.when(F.xxhash64(*keys).isin(*group), F.pmod(F.xxhash64(*by), F.lit(parts)).cast("int")).otherwise(part)
+    return part
 
 
 def lookup(
@@ -45,13 +57,12 @@ def lookup(
     on: Sequence[str],
     how: str = "left",
     *,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``table`` to ``df`` on equal keys (``inner`` or ``left``), spreading the hot keys of ``df``.
 
-    Rows of a hot key are divided over ``salts`` sub-keys and the matching rows of ``table`` are repeated once for each;
+    Rows of a hot key are divided over its parts and the matching rows of ``table`` are repeated once for each;
     all other keys move once, unsalted. A missing key matches nothing and is spread like any other. Spark still
     broadcasts ``table`` if its size is under the session's threshold. ``df`` should have no exact copies of a row:
     copies share a sub-key, so count them first. Pass ``hot`` where a narrower scan than ``df`` can find the hot keys.
@@ -63,9 +74,10 @@ def lookup(
     hot = hot_keys(df, on, hot_rows) if hot is None else hot
     if not hot:
         return df.join(table, on, how)
-    left = df.withColumn(_SALT, spread(on, hot, df.columns, salts))
-    every_part = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.when(F.xxhash64(*on).isin(*hot), every_part).otherwise(F.array(F.lit(0)))
+    left = df.withColumn(_SALT, spread(on, hot, df.columns))
+    copies = F.array(F.lit(0))
+    for parts, group in _by_parts(hot):
+        copies = F.when(F.xxhash64(*on).isin(*group), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(copies)
     right = table.withColumn(_SALT, F.explode(copies))
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 

@@ -1,8 +1,9 @@
 """Exact quantiles of very large groups.
 
 ``median`` and ``percentile`` gather every distinct value of a group in one aggregation buffer. Here the wanted ranks
-are narrowed instead: each round counts rows in at most ``BUCKETS`` equal ranges per open rank, keeps the range that
-holds it, and repeats until the ranges are one unit wide. Only bucket counts are shuffled or returned to the driver.
+are narrowed on a table of counted values instead: each round sums the counts in at most ``BUCKETS`` equal ranges per open rank, keeps
+the range that holds it, and repeats until the ranges are one unit wide. The data are scanned once, for the counts; only range
+counts are returned to the driver.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platewise.workspace import materialise
+
 BUCKETS = 4096
 
 
@@ -28,8 +31,8 @@ class _Rank:
     below: int = 0
 
 
-def _narrow(units: DataFrame, ranks: list[_Rank]) -> None:
-    """One counting pass over the rows inside the open ranges."""
+def _narrow(counts: DataFrame, ranks: list[_Rank]) -> None:
+    """One pass over the counted values inside the open ranges."""
     spans = sorted({(r.group, r.low, r.high) for r in ranks if r.low < r.high})
     widths = {span: -(-(span[2] - span[1] + 1) // BUCKETS) for span in spans}
     inside = F.lit(False)
@@ -39,14 +42,13 @@ def _narrow(units: DataFrame, ranks: list[_Rank]) -> None:
         inside = inside | hit
         index = F.expr(f"(unit - {low}L) div {widths[(group, low, high)]}L")
         picks.append(F.when(hit, F.struct(F.lit(i).alias("span"), index.alias("bucket"))))
-    # A row can lie in the open range of several ranks, so each range gets its own entry.
-    entries = units.where(inside).select(F.explode(F.array_compact(F.array(*picks))).alias("e"))
-    counts: dict[tuple[int, int], int] = {
-        (row["span"], row["bucket"]): row["n"]
-        for row in entries.groupBy("e.span", "e.bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+    # A value can lie in the open range of several ranks, so each range gets its own entry.
+    entries = counts.where(inside).select(F.explode(F.array_compact(F.array(*picks))).alias("e"), "n")
+    found: dict[tuple[int, int], int] = {
+        (row["span"], row["bucket"]): row["n"] for row in entries.groupBy("e.span", "e.bucket").agg(F.sum("n").alias("n")).collect()
     }
     for i, span in enumerate(spans):
-        filled = sorted((b, n) for (s, b), n in counts.items() if s == i)
+        filled = sorted((b, n) for (s, b), n in found.items() if s == i)
         for rank in [r for r in ranks if (r.group, r.low, r.high) == span]:
             below = rank.below
             for b, n in filled:
@@ -57,20 +59,19 @@ def _narrow(units: DataFrame, ranks: list[_Rank]) -> None:
                 below += n
 
 
-def exact_quantiles(
-    df: DataFrame, group: str, value: str, probabilities: Sequence[float], scale: int = 2
-) -> dict[str, dict[float, float]]:
-    """Linear-interpolated quantiles per group of a decimal column with ``scale`` decimals.
+def counted(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
+    """Rows (``n``) of each different value of a decimal column in each group: ``group``, ``unit`` (value x 10 ** scale), ``n``.
 
-    Meant for a handful of groups (day types, cities): each adds its open ranks to the counting pass.
+    One scan of ``df`` with partial aggregation, written once; every quantile, mean and extreme comes from this table.
     """
-    unit = 10**scale
-    units = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
-        F.col(group).alias("group"), (F.col(value) * F.lit(unit)).cast("bigint").alias("unit")
-    )
-    bounds = units.groupBy("group").agg(
-        F.count(F.lit(1)).alias("n"), F.min("unit").alias("low"), F.max("unit").alias("high")
-    )
+    rows = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    unit = (F.col(value) * F.lit(10**scale)).cast("bigint").alias("unit")
+    return materialise(rows.groupBy(F.col(group).alias("group"), unit).agg(F.count(F.lit(1)).alias("n")), "value-counts")
+
+
+def quantiles_of(counts: DataFrame, probabilities: Sequence[float], scale: int = 2) -> dict[str, dict[float, float]]:
+    """Linear-interpolated quantiles per group of counted values."""
+    bounds = counts.groupBy("group").agg(F.sum("n").alias("n"), F.min("unit").alias("low"), F.max("unit").alias("high"))
     ranks: dict[tuple[str, int], _Rank] = {}
     wanted = []
     for row in bounds.collect():
@@ -83,9 +84,19 @@ def exact_quantiles(
                 ranks.setdefault(key, _Rank(row["group"], position, row["low"], row["high"]))
             wanted.append((row["group"], p, pair, at - first))
     while any(r.low < r.high for r in ranks.values()):
-        _narrow(units, list(ranks.values()))
+        _narrow(counts, list(ranks.values()))
     out: dict[str, dict[float, float]] = {}
     for name, p, (a, b), part in wanted:
         low, high = ranks[(name, a)].low, ranks[(name, b)].low
-        out.setdefault(name, {})[p] = float((low + (high - low) * part) / unit)
+        out.setdefault(name, {})[p] = float((low + (high - low) * part) / 10**scale)
     return out
+
+
+def exact_quantiles(
+    df: DataFrame, group: str, value: str, probabilities: Sequence[float], scale: int = 2
+) -> dict[str, dict[float, float]]:
+    """Linear-interpolated quantiles per group of a decimal column with ``scale`` decimals.
+
+    Meant for a handful of groups (day types, cities): each adds its open ranks to the counting pass.
+    """
+    return quantiles_of(counted(df, group, value, scale), probabilities, scale)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from platewise.functions import calendar, geo, money, people, weather
 from platewise.operators import reshape
 from platewise.operators.impute import attach_group_value
-from platewise.operators.quantiles import exact_quantiles
+from platewise.operators.quantiles import counted, quantiles_of
 from platewise.plans.facts import DELIVERED
+from platewise.workspace import materialise
 
 TOP_MERCHANTS = 15
 COMPARED_CITIES = ("jakarta", "medan")
@@ -56,7 +57,7 @@ def merchant_map(facts: DataFrame, dim_merchant: DataFrame) -> DataFrame:
         "merchant_id", "merchant_name", "city", "merchant_lat", "merchant_lon"
     ).join(merchant_revenue(facts), "merchant_id", "left")
     rows = rows.withColumn("revenue", F.coalesce(F.col("total_revenue"), F.lit(0)).cast("decimal(28,2)"))
-    rows = rows.drop("total_revenue")
+    rows = materialise(rows.drop("total_revenue"), "merchant-revenue")  # read twice: for the cities' best and for the rows
     best = rows.groupBy("city").agg(F.max("revenue").alias("_best"))
     share = F.try_divide(F.col("revenue").cast("double"), F.col("_best").cast("double"))
     return attach_group_value(rows, best, "city").select(
@@ -108,25 +109,23 @@ def _delivered_amounts(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def weekend_stats(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Mean, exact median and count of the delivered basket per day type."""
+    """Mean, exact median and count of the delivered basket per day type, all from one table of counted amounts."""
     rows = _delivered_amounts(facts, dim_date)
-    medians = exact_quantiles(rows, "day_type", "total_amount", [0.5])
+    counts = counted(rows, "day_type", "total_amount")
     median = F.lit(None).cast("double")
-    for name, values in medians.items():
+    for name, values in quantiles_of(counts, [0.5]).items():
         median = F.when(F.col("day_type") == name, F.lit(values[0.5])).otherwise(median)
-    mean = F.try_divide(F.sum("total_amount").cast("double"), F.count("total_amount"))
-    return (
-        rows.where(F.col("day_type").isNotNull())
-        .groupBy("day_type")
-        .agg(mean.alias("mean_amount"), F.count("total_amount").alias("n_orders"))
-        .withColumn("median_amount", median)
-    )
+    total = F.sum(F.col("unit").cast("decimal(28,0)") * F.col("n")) / F.lit(100)
+    return counts.groupBy(F.col("group").alias("day_type")).agg(
+        F.try_divide(total.cast("double"), F.sum("n")).alias("mean_amount"), F.sum("n").alias("n_orders")
+    ).withColumn("median_amount", median)
 
 
 def weekend_boxplot(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Quartiles, whiskers (furthest amounts within 1.5 IQR of the box) and outlier counts per day type."""
-    rows = _delivered_amounts(facts, dim_date)
-    quartiles = exact_quantiles(rows, "day_type", "total_amount", [0.25, 0.5, 0.75])
+    counts = counted(_delivered_amounts(facts, dim_date), "day_type", "total_amount")
+    quartiles = quantiles_of(counts, [0.25, 0.5, 0.75])
+    rows = counts.withColumnRenamed("group", "day_type")
     if not quartiles:
         return rows.sparkSession.createDataFrame(
             [], "day_type string, q1 double, median double, q3 double, whisker_low double, whisker_high double, "
@@ -142,7 +141,7 @@ def weekend_boxplot(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     spread = {name: q[0.75] - q[0.25] for name, q in quartiles.items()}
     low = by_type(lambda q: q[0.25] - _WHISKER * (q[0.75] - q[0.25]))
     high = by_type(lambda q: q[0.75] + _WHISKER * (q[0.75] - q[0.25]))
-    amount = F.col("total_amount").cast("double")
+    amount = (F.col("unit").cast("decimal(28,0)") / F.lit(100)).cast("double")
     inside = (amount >= low) & (amount <= high)
     return (
         rows.where(F.col("day_type").isin(*spread))
@@ -150,7 +149,7 @@ def weekend_boxplot(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
         .agg(
             F.min(F.when(inside, amount)).alias("whisker_low"),
             F.max(F.when(inside, amount)).alias("whisker_high"),
-            F.count_if(~inside).alias("n_outliers"),
+            F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),
         )
         .select(
             "day_type",

@@ -22,12 +22,12 @@ def parents(spark):
 
 def test_hot_key_is_found(lines):
     hot = hot_keys(lines, ["k"], 900)
-    assert hot == [lines.where("k = 7").select(F.xxhash64("k")).first()[0]]
-    assert hot_keys(lines, ["k"], 5000) == []
+    assert hot == {lines.where("k = 7").select(F.xxhash64("k")).first()[0]: 4}
+    assert hot_keys(lines, ["k"], 5000) == {}
 
 
 def test_no_rows_no_hot_keys(spark):
-    assert hot_keys(spark.createDataFrame([], "k int"), ["k"], 1) == []
+    assert hot_keys(spark.createDataFrame([], "k int"), ["k"], 1) == {}
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -44,7 +44,7 @@ def test_spread_join_keeps_repeated_partners(lines, spark, rows):
 
 def test_hot_rows_are_divided(lines):
     hot = hot_keys(lines, ["k"], 900)
-    parts = lines.withColumn("part", spread(["k"], hot, lines.columns, 16))
+    parts = lines.withColumn("part", spread(["k"], dict.fromkeys(hot, 16), lines.columns))
     sizes = {r["part"]: r["count"] for r in parts.where("k = 7").groupBy("part").count().collect()}
     assert len(sizes) == 16 and max(sizes.values()) < 150
     assert parts.where("k <> 7 or k is null").select("part").distinct().collect() == [(0,)]
@@ -81,9 +81,17 @@ def test_rows_are_counted_before_the_partner_join(spark, lines, parents, plan):
 def test_missing_keys_are_divided_too(spark, parents, rows):
     df = spark.range(900).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 290).alias("k"))
     hot = hot_keys(df, ["k"], 200)
-    assert hot == [spark.sql("SELECT xxhash64(CAST(NULL AS BIGINT))").first()[0]]
-    parts = df.withColumn("part", spread(["k"], hot, df.columns, 8)).where("k is null").groupBy("part").count()
+    assert set(hot) == {spark.sql("SELECT xxhash64(CAST(NULL AS BIGINT))").first()[0]}
+    parts = df.withColumn("part", spread(["k"], dict.fromkeys(hot, 8), df.columns)).where("k is null").groupBy("part").count()
     assert parts.count() == 8
     plain = df.join(parents.withColumn("k", F.col("k").cast("bigint")), "k", "left")
     with_null = parents.unionByName(spark.createDataFrame([(None, "none")], "k int, name string"))
     assert rows(lookup(df, with_null, ["k"], hot=hot), "id", "name") == rows(plain, "id", "name")
+
+
+def test_parts_follow_the_size_and_many_hot_keys_are_divided(spark, rows):
+    lines = spark.range(40_000).selectExpr("id", "if(id < 20000, -1, id % 500) as k")
+    hot = hot_keys(lines, ["k"], 30)
+    assert len(hot) == 501 and max(hot.values()) >= 1024 and min(hot.values()) <= 4
+    table = spark.range(-1, 400).selectExpr("id as k", "id * 2 as v")
+    assert lookup(lines, table, ["k"], hot=hot).where("v is not null and v = 2 * k").count() == lines.where("k < 400").count()
