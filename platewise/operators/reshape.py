@@ -14,12 +14,20 @@ def share_of_group(df: DataFrame, by: str, value: str, name: str = "pct") -> Dat
     return df.withColumn(name, F.try_divide(F.col(value) * F.lit(100.0), total))
 
 
-def widen(df: DataFrame, index: str, column: str, value: str, names: dict[object, str]) -> DataFrame:
-    """Pivot with a declared list of columns, absent cells as 0. ``names`` maps a value to its column name."""
+def widen(
+    df: DataFrame, index: str, column: str, value: str, names: dict[object, str], rest: str | None = None
+) -> DataFrame:
+    """Pivot with a declared list of columns, absent cells as 0. ``names`` maps a value to its column name.
+
+    ``rest`` names a column for the sum over all values without one, so that a row's cells add up to its total.
+    """
     cells = [
         F.coalesce(F.sum(F.when(F.col(column) == F.lit(key), F.col(value))), F.lit(0)).alias(alias)
         for key, alias in names.items()
     ]
+    if rest is not None:
+        named = F.coalesce(F.col(column).isin(*names), F.lit(False))
+        cells.append(F.coalesce(F.sum(F.when(~named, F.col(value))), F.lit(0)).alias(rest))
     return df.groupBy(index).agg(*cells)
 
 

@@ -76,7 +76,7 @@ def fact_order_items(items: DataFrame, facts: DataFrame, **spread) -> DataFrame:
 
 
 def lines_without_order(items: DataFrame, facts: DataFrame) -> DataFrame:
-    """Audit of the lines dropped by :func:`fact_order_items`, from counts per order."""
+    """One row: lines before and after the look-up of :func:`fact_order_items`, from counts per order."""
     counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_rows"))
     known = facts.select("order_id", F.lit(1).alias("_known"))
     kept = counts.join(known, "order_id", "left")

@@ -182,11 +182,12 @@ def category_share_by_age(fact_items: DataFrame, dim_user: DataFrame) -> DataFra
 def category_share_by_age_pivot(
     fact_items: DataFrame, dim_user: DataFrame, categories: Sequence[str]
 ) -> DataFrame:
-    """Age groups in display order (absent ones as 0) by category."""
+    """Age groups in display order (absent ones as 0) by category; ``other`` holds the categories without a column."""
     names = {c: c for c in categories}
-    wide = reshape.widen(category_share_by_age(fact_items, dim_user), "age_group", "product_category", "pct", names)
+    shares = category_share_by_age(fact_items, dim_user)
+    wide = reshape.widen(shares, "age_group", "product_category", "pct", names, rest="other")
     groups = [name for name, _ in people.AGE_GROUPS]
-    return reshape.on_domain(wide, "age_group", groups, categories).orderBy("position")
+    return reshape.on_domain(wide, "age_group", groups, [*categories, "other"]).orderBy("position")
 
 
 def orders_by_hour(facts: DataFrame, dim_date: DataFrame) -> DataFrame:

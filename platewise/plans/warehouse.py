@@ -50,7 +50,7 @@ def build_warehouse(
     as_of: Column,
     folder: str,
     *,
-    partition_facts: bool = True,
+    partition_facts: bool = False,
     utc_offset_hours: Mapping[str, int] | None = None,
     concurrent_tables: int = 6,
 ) -> dict[str, DataFrame]:

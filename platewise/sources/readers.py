@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from platewise.functions import calendar, weather
 from platewise.sources import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 

@@ -94,7 +94,7 @@ FROM {{orders}}
 SELECT l_orderkey * 10 + l_linenumber AS order_item_id,
   CASE WHEN l_partkey % 101 = 0 THEN l_orderkey + 10000000 ELSE l_orderkey END AS order_id,
   l_partkey AS product_id, l_suppkey AS merchant_id, 'item' AS product_name,
-  CASE WHEN l_returnflag = 'A' THEN 'Seafood' WHEN l_returnflag = 'N' THEN 'Pizza' ELSE 'Padang' END AS category,
+  CASE WHEN l_partkey % 13 = 0 THEN 'Burger' WHEN l_returnflag = 'A' THEN 'Seafood' WHEN l_returnflag = 'N' THEN 'Pizza' ELSE 'Padang' END AS category,
   CASE WHEN l_partkey % 59 = 0 THEN NULL WHEN l_partkey % 61 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity,
   CASE WHEN l_linenumber = 7 AND l_partkey % 3 = 0 THEN NULL
        ELSE CAST(900 + l_partkey % 1000 AS DECIMAL(18,2)) END AS unit_price,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from platewise.sources.readers import read_csv
 
@@ -37,9 +38,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def reload_from_csv(spark: SparkSession, path: str, schema: str, table: str) -> int | None:
-    """Replace the rows of ``table`` with a CSV file and keep the table's own column types.
+    """Replace the rows of ``table`` with a CSV file, keep the table's own column types and return the number of rows.
 
-    A missing file is skipped (``None``); a missing table is created.
+    A missing file is skipped (``None``); a missing table is created. The rows are counted while they are written.
     """
     try:
         rows = read_csv(spark, path, schema)
@@ -47,9 +48,11 @@ def reload_from_csv(spark: SparkSession, path: str, schema: str, table: str) ->
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    counted = Observation()
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
     if spark.catalog.tableExists(table):
         target = spark.table(table)
         rows.select(*target.columns).write.insertInto(table, overwrite=True)
     else:
         rows.write.saveAsTable(table)
-    return spark.table(table).count()
+    return counted.get["n"]

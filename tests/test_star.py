@@ -222,7 +222,9 @@ def test_category_shares(spark, rows):
         ("18-24", "Padang", 1, 100 / 3), ("18-24", "Pizza", 2, 200 / 3), ("55+", "Pizza", 1, 100.0)]
     wide = [tuple(r) for r in reports.category_share_by_age_pivot(items, users, ["Padang", "Pizza"]).collect()]
     assert [r[1] for r in wide] == ["<18", "18-24", "25-34", "35-44", "45-54", "55+"]
-    assert wide[0][2:] == (0.0, 0.0) and wide[5][2:] == (0.0, 100.0)
+    assert wide[0][2:] == (0.0, 0.0, 0.0) and wide[5][2:] == (0.0, 100.0, 0.0)
+    named = [tuple(r)[2:] for r in reports.category_share_by_age_pivot(items, users, ["Padang"]).collect()]
+    assert named[5] == (0.0, 100.0)  # a category without a column is in the rest
 
 
 def test_executive_summary(spark, facts_small, merchants, dim_weather):
@@ -254,8 +256,23 @@ def test_warehouse_end_to_end(spark, tmp_path):
     from verification.queries import Data, as_of
 
     source = Data(spark, "/root/testdata/sf0.001").sources
-    out = warehouse.build_warehouse(source, as_of(), str(tmp_path / "w"), partition_facts=False)
+    out = warehouse.build_warehouse(source, as_of(), str(tmp_path / "w"))
     assert set(out) == {"dim_date", "dim_user", "dim_driver", "dim_merchant", "dim_product", "dim_weather", "fact_orders",
                         "fact_order_items"}
     assert out["fact_orders"].count() == out["fact_orders"].select("order_id").distinct().count() > 0
     assert out["fact_order_items"].join(out["fact_orders"], "order_id", "left_anti").count() == 0
+    days = warehouse.build_warehouse(source, as_of(), str(tmp_path / "d"), partition_facts=True)
+    for name in warehouse.PARTITIONED:  # the same rows and the same order of columns, in one folder a day
+        assert days[name].columns == out[name].columns
+        assert sorted(map(str, days[name].collect())) == sorted(map(str, out[name].collect()))
+
+
+def test_weather_of_the_first_hours_with_a_clock_offset(spark, tmp_path):
+    readings = spark.sql(
+        "SELECT 'jakarta' AS city, TIMESTAMP_NTZ '2022-12-31 20:00:00' AS time, 300e0 AS temp_k, 290e0 AS dewpoint_k, 0e0 AS rain"
+    )
+    orders = spark.createDataFrame([("2023-01-01 03:10:00",)], "order_time string")
+    empty = {n: None for n in ("users", "drivers", "merchants", "products", "order_items", "reviews")}
+    sources = warehouse.Sources(orders=orders, weather_readings=readings, **empty)
+    assert warehouse.weather_for(sources).count() == 0
+    assert warehouse.weather_for(sources, {"jakarta": 7}).count() == 1

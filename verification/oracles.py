@@ -559,6 +559,8 @@ def statements() -> dict[str, str]:
     category_cells = ", ".join(
         f"coalesce(max(pct) FILTER (WHERE product_category = '{c}'), 0) AS \"{c}\"" for c in CATEGORIES
     )
+    listed = ", ".join(f"'{c}'" for c in CATEGORIES)
+    category_cells += f", round(coalesce(sum(pct) FILTER (WHERE product_category NOT IN ({listed})), 0), 4) AS other"
     holidays = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
     months = ("Jan", "Feb", "Mar", "Apr", "Mei", "Jun", "Jul", "Agt", "Sep", "Okt", "Nov", "Des")
     month_list = "[" + ", ".join(f"'{m}'" for m in months) + "]"
@@ -568,6 +570,15 @@ def statements() -> dict[str, str]:
         "FROM delivered_days GROUP BY day_type"
     )
     fence = "CAST(total_amount AS DOUBLE) BETWEEN a - 1.5e0 * (c - a) AND c + 1.5e0 * (c - a)"
+    loaded = f"TIMESTAMP '{LOADED_AT}' AS dwh_load_time"
+    older = " UNION ALL ".join([
+        f"SELECT 'dim_merchant' AS table_name, city, {loaded}, count(*) AS n_rows FROM stg_merchants GROUP BY city",
+        f"SELECT 'dim_product', NULL, {loaded}, count(*) FROM stg_products",
+        f"SELECT 'dim_customer', {_TITLE.format(c='city')}, {loaded}, count(*) FROM stg_users GROUP BY 2",
+        f"SELECT 'dim_driver', city, {loaded}, count(*) FROM stg_drivers GROUP BY city",
+        f"SELECT 'dim_time', NULL, {loaded}, count(*) FROM (SELECT DISTINCT order_time FROM stg_orders)",
+        f"SELECT 'fact_transaction', city, {loaded}, count(*) FROM clean_transactions GROUP BY city",
+    ])
     half_lat = "sin(radians(delivery_lat - pickup_lat) / 2)"
     half_lon = "sin(radians(delivery_lon - pickup_lon) / 2)"
     placed = (
@@ -618,7 +629,12 @@ def statements() -> dict[str, str]:
         "clean_merchants": "SELECT * FROM clean_merchants",
         "clean_products": "SELECT * FROM clean_products",
         "clean_transactions": "SELECT * FROM clean_transactions",
-        "standardise_city": f"SELECT DISTINCT customer_id, {_TITLE.format(c='city')} AS city FROM stg_transactions",
+        "standardise_city": f"SELECT transaction_id, product_id, customer_id, {_TITLE.format(c='city')} AS city "
+        "FROM stg_transactions",
+        "older_tables": older,
+        "csv_round_trip": "SELECT * FROM stg_drivers",
+        "dropped_lines": "SELECT (SELECT count(*) FROM clean_order_items) AS rows_before, "
+        "(SELECT count(*) FROM clean_order_items WHERE order_id IN (SELECT order_id FROM clean_orders)) AS rows_after",
         "weather_humidity": f"SELECT city, time, round({_RH}, 6) AS humidity FROM stg_weather_readings",
         "weather_classify": f"SELECT city, time, {weather_class('(' + _RH + ')')} AS cuaca FROM stg_weather_readings",
         "hourly_weather": "SELECT city, wilayah, CAST(waktu AS TIMESTAMP) AS waktu, cuaca FROM hourly",

@@ -14,7 +14,7 @@ from platewise.operators.dedup import keep_first
 from platewise.operators.lookup import hot_keys
 from platewise.plans import catalogue, clean, dims, facts, quality, reports, warehouse
 from platewise.plans import weather as weather_plans
-from platewise.sources import readers, schemas
+from platewise.sources import readers, schemas, writers
 from platewise.sources.staging import stage
 from platewise.workspace import new_path
 
@@ -45,7 +45,7 @@ class Data:
     @cached_property
     def warehouse(self) -> dict[str, DataFrame]:
         folder = new_path(self.spark, "warehouse")
-        return warehouse.build_warehouse(self.sources, as_of(), folder, partition_facts=False)
+        return warehouse.build_warehouse(self.sources, as_of(), folder)
 
 
 _DATA: dict[tuple[str, str], Data] = {}
@@ -229,7 +229,39 @@ def basket_lines(lines: DataFrame) -> tuple[DataFrame, str, str, str]:
 
 
 def standardise_city(lines: DataFrame) -> DataFrame:
-    return clean.standardise_city(lines.select("customer_id", "city").distinct())
+    return clean.standardise_city(lines.select("transaction_id", "product_id", "customer_id", "city"))
+
+
+def older_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by city and load time of the older warehouse's tables, loaded in one step."""
+    d = data(spark, folder)
+    tables = {
+        "dim_merchant": d.view("merchants"),
+        "dim_product": d.view("products").withColumn("city", F.lit(None).cast("string")),
+        "dim_customer": d.view("users"),
+        "dim_driver": d.view("drivers"),
+        "dim_time": d.view("orders").select(F.lit(None).cast("string").alias("city"), "order_time").distinct(),
+        "fact_transaction": d.view("transactions"),
+    }
+    parts = [
+        df.groupBy(F.lit(name).alias("table_name"), "city", "dwh_load_time").agg(F.count(F.lit(1)).alias("n_rows"))
+        for name, df in clean.clean_older_tables(tables, LOADED_AT).items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Drivers written as CSV and read back with their declared types."""
+    drivers, path = data(spark, folder).view("drivers"), new_path(spark, "drivers-csv")
+    writers.write_csv(drivers, path)
+    return readers.read_csv(spark, path, drivers.schema)
+
+
+def dropped_lines(d: dict[str, DataFrame], s: warehouse.Sources) -> DataFrame:
+    return facts.lines_without_order(clean.clean_order_items(s.order_items), d["fact_orders"])
 
 
 # ---------------------------------------------------------------- reports
@@ -302,6 +334,9 @@ def _registered() -> dict[str, Query]:
         "clean_products": _source(lambda s: clean.clean_products(s.products)),
         "clean_transactions": _view("transactions", lambda t: clean.clean_transactions(t, LOADED_AT)),
         "standardise_city": _view("transactions", standardise_city),
+        "older_tables": older_tables,
+        "csv_round_trip": csv_round_trip,
+        "dropped_lines": _with_warehouse(dropped_lines),
         # weather
         "weather_humidity": _source(weather_humidity),
         "weather_classify": _source(weather_classify),
