@@ -141,8 +141,10 @@ FROM {part}
 SELECT concat(' ', p_brand, ' ') AS merchant_name,
   CASE p_partkey % 5 WHEN 0 THEN ' south jakarta' WHEN 1 THEN 'SBY east' WHEN 2 THEN 'medan kota '
     WHEN 3 THEN 'surabaya, jakarta' ELSE 'elsewhere' END AS merchant_area,
-  CASE p_partkey % 8 WHEN 0 THEN ' Ayam Geprek ' WHEN 1 THEN 'Es Teh Manis' WHEN 2 THEN 'Nasi Goreng'
-    WHEN 3 THEN 'Steak' WHEN 4 THEN 'Ramen' WHEN 5 THEN 'plain' WHEN 6 THEN NULL ELSE 'Soto Padang' END AS category,
+  CASE p_partkey % 18 WHEN 0 THEN ' Ayam Geprek ' WHEN 1 THEN 'Es Teh Manis' WHEN 2 THEN 'Nasi Goreng'
+    WHEN 3 THEN 'Steak' WHEN 4 THEN 'Ramen' WHEN 5 THEN 'plain' WHEN 6 THEN NULL WHEN 7 THEN 'Soto Padang'
+    WHEN 8 THEN 'Udang Saus' WHEN 9 THEN 'Burger Keju' WHEN 10 THEN 'Calzone' WHEN 11 THEN 'Gyoza' WHEN 12 THEN 'Bulgogi'
+    WHEN 13 THEN 'Brownies' WHEN 14 THEN 'Omelette' WHEN 15 THEN 'Sayur' WHEN 16 THEN 'Gulai' ELSE 'Cilok' END AS category,
   p_type AS display, p_name AS product, CAST(floor(p_retailprice) AS INT) AS price,
   CAST(p_size * 100 AS INT) AS discount_price, CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS "isDiscount",
   concat(p_name, ' / ', p_type) AS description

@@ -1,21 +1,24 @@
 """Reference SQL for every registered query, over the same Parquet tables.
 
-The statements are written independently of the DataFrame code: plain row-level joins, window functions and exact integer
-arithmetic for half-even rounding.
+The statements are written independently of the DataFrame code: plain row-level joins, window functions, exact integer
+arithmetic for half-even rounding, and their own list of fixed values (``values.py``). Only the staging views and the
+parameters of the queries are shared.
 """
 
 from __future__ import annotations
 
 import re
 
-from platewise.functions import people, text
-from platewise.plans.clean import REQUIRED
-from platewise.plans.quality import CRITICAL_COLUMNS, FOREIGN_KEYS
-from platewise.sources.schemas import PRIMARY_KEYS
 from platewise.sources.staging import SQL as STAGING
 from platewise.sources.staging import duckdb_sql
+from verification import values
 from verification.queries import AS_OF, CATEGORIES, HOLIDAYS, LOADED_AT, OPTIONAL_INTS, PERIOD
 
+PRIMARY_KEYS = values.PRIMARY_KEYS
+REQUIRED = {table: tuple(names.split()) for table, names in values.REQUIRED.items()}
+CRITICAL_COLUMNS = {table: tuple(names.split()) for table, names in values.CRITICAL_COLUMNS.items()}
+FOREIGN_KEYS = tuple(tuple(key.split()) for key in values.FOREIGN_KEYS)
+
 COLUMNS = {
     "users": "user_id full_name email phone city gender date_of_birth address_area lat lon is_active",
     "drivers": "driver_id full_name phone vehicle_type city current_area rating total_trips is_active",
@@ -113,6 +116,11 @@ def quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def keywords(rules: dict[str, str]) -> list[tuple[str, list[str]]]:
+    """Rules in order; keywords stand between a comma and a space, and may end in a space themselves."""
+    return [(name, listed.split(", ")) for name, listed in rules.items()]
+
+
 def classify(column: str, rules, default: str) -> str:
     whens = " ".join(
         "WHEN " + " OR ".join(f"contains({column}, {quoted(k)})" for k in keywords) + f" THEN {quoted(name)}"
@@ -131,7 +139,7 @@ _DAY_TYPE = "CASE is_weekend WHEN 1 THEN 'Weekend' WHEN 0 THEN 'Weekday' END"
 
 
 def _age_group() -> str:
-    whens = " ".join(f"WHEN age < {upper} THEN '{name}'" for name, upper in people.AGE_GROUPS if upper)
+    whens = " ".join(f"WHEN age < {upper} THEN '{name}'" for name, upper in values.AGE_GROUPS if upper)
     return f"CASE {whens} ELSE '55+' END"
 
 
@@ -339,7 +347,7 @@ def ctes() -> dict[str, str]:
         "WHEN contains(lower({c}), 'medan') THEN 'medan' WHEN contains(lower({c}), 'sby') THEN 'surabaya' "
         "ELSE 'jakarta' END"
     )
-    category = classify("trim(lower(category))", text.PRODUCT_CATEGORY_RULES, "'Unknown'")
+    category = classify("trim(lower(category))", keywords(values.PRODUCT_CATEGORIES), "'Unknown'")
     c["v2_rows"] = (
         "SELECT DISTINCT m.merchant_id, v.merchant_name, v.merchant_area, category, display, product, price, "
         'discount_price, "isDiscount", description FROM v2 v JOIN v2_merchants m ON v.merchant_name = m.merchant_name '
@@ -355,8 +363,8 @@ def ctes() -> dict[str, str]:
         "CASE WHEN city IS NULL OR trim(lower(city)) IN ('', 'nan', 'none') THEN 'Unknown' "
         f"ELSE {_TITLE.format(c='trim(city)')} END"
     )
-    tags = classify("lower(tags)", text.TAG_CATEGORY_RULES, "'Unknown'")
-    area = classify("trim(lower(city))", text.AREA_RULES, area_default)
+    tags = classify("lower(tags)", keywords(values.MERCHANT_TAGS), "'Unknown'")
+    area = classify("trim(lower(city))", keywords(values.AREAS), area_default)
     average = "nullif(TRY_CAST(regexp_extract(ratings, '''average'': ([0-9.]+)', 1) AS DOUBLE), 0)"
     total = "nullif(TRY_CAST(regexp_extract(ratings, '''total'': ([0-9]+)', 1) AS INTEGER), 0)"
     c["v1"] = (
@@ -555,7 +563,7 @@ def statements() -> dict[str, str]:
         f"round(100e0 * count(*) FILTER (WHERE order_status = '{s}') / count(*), 4) AS {s}"
         for s in ("delivered", "cancelled_by_customer", "cancelled_by_driver")
     )
-    groups = ", ".join(f"({i}, '{name}')" for i, (name, _) in enumerate(people.AGE_GROUPS))
+    groups = ", ".join(f"({i}, '{name}')" for i, (name, _) in enumerate(values.AGE_GROUPS))
     category_cells = ", ".join(
         f"coalesce(max(pct) FILTER (WHERE product_category = '{c}'), 0) AS \"{c}\"" for c in CATEGORIES
     )
