@@ -479,7 +479,7 @@ def quality_lines() -> dict[str, list[str]]:
         _rule("money", "subtotal positive", orders, "subtotal > 0"),
     ]
     t = _PARSED.format(c="order_time")
-    minutes = f"date_diff('second', {t}, delivered_time) / 60e0"
+    minutes = f"date_diff('microsecond', {t}, delivered_time) / 60000000e0"
     done = "status = 'delivered'"
     out["time"] = [
         _rule("time", "order time in period", orders,
