@@ -41,7 +41,7 @@ def test_base_patterns_on_random_pieces(spark):
     pieces = ["token", "=", ": ", "secret", '"', "'", " ", "api_key", "APIKEY", "Password", "AKIA", "ABCDEF123", "deadbeef" * 3, "0a9",
               "é", "😀", "xyz", "K", "ſecret", "-", "\n", "token=secret:abcdefgh1"]
     texts = {k: "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for k in range(2000)}
-    texts |= {5000: None, 5001: ""}
+    texts |= {5000: None, 5001: "", 5002: "é token=abcdefgh1, " * 3000}
     check(op.report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect(), texts)
 
 
