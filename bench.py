@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from platewise.workspace import discard  # noqa: E402
 from verification.queries import Data, queries  # noqa: E402
 
 HEADLINE = (
@@ -96,6 +97,7 @@ def main() -> None:
         "queries": {name: round(value, 3) for name, value in seconds.items()},
         "sf": Path(folder).name.removeprefix("sf"),
     }))
+    discard(spark)
     spark.stop()
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from platewise.workspace import discard  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,7 +24,8 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    return session
+    yield session
+    discard(session)
 
 
 @pytest.fixture

@@ -14,6 +14,7 @@ from decimal import Decimal
 import duckdb
 from pyspark.sql import SparkSession
 
+from platewise.workspace import discard
 from verification.oracles import oracle_sql
 from verification.queries import queries
 
@@ -86,6 +87,7 @@ def main() -> int:
         failed += bool(problem)
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - started:.1f}s {problem}", flush=True)
     print(f"{failed} failed")
+    discard(spark)
     return int(failed > 0)
 
 
