@@ -185,29 +185,30 @@ def summarise(p: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Clean and toxic documents of each bucket that occurs in the task's texts."""
     counts = np.zeros((2, BUCKETS), np.int32)
-    documents = np.zeros(2, np.int64)
     for batch in slices(batches):
         words = read_words(batch.column("text"))
         found = buckets(words)
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
         pairs = np.unique((words.text_of[:, None] * BUCKETS + found).ravel())
         np.add.at(counts, (toxic[pairs // BUCKETS], pairs % BUCKETS), 1)
-        documents += np.bincount(toxic, minlength=2)
-    yield pa.RecordBatch.from_pydict({"clean": [int(documents[0])], "toxic": [int(documents[1])], "counts": [counts.tobytes()]})
+    used = np.flatnonzero(counts.any(axis=0))
+    for low in range(0, len(used), 1 << 16):
+        some = used[low : low + (1 << 16)]
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(some.astype(np.int32)), "clean": pa.array(counts[0, some]), "toxic": pa.array(counts[1, some])})
 
 
-def evidence_of(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
-    """Log-odds of a document being toxic given a bucket, over those without it; 0 for what has not been seen."""
+def evidence_of(clean: np.ndarray, toxic: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Log-odds of a document being toxic given a bucket, over those without it."""
     share = documents[1] / documents.sum()
-    odds = (counts[1] + 2 * share) / (counts[0] + 2 * (1 - share))
+    odds = (toxic + 2 * share) / (clean + 2 * (1 - share))
     return (np.log(odds) - math.log(share / (1 - share))).astype(np.float32)
 
 
-def label_words(found: np.ndarray, counts: np.ndarray, evidence: np.ndarray, text_of: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """1 for the offending words of toxic texts."""
-    strong = (evidence[found] >= LEAST_EVIDENCE) & (counts[1][found] >= LEAST_DOCUMENTS) & (counts[0][found] * 9 <= counts[1][found])
-    label = strong.any(axis=1) & (toxic[text_of] == 1)
+def label_words(found: np.ndarray, strong: np.ndarray, evidence: np.ndarray, text_of: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """1 for the offending words of toxic texts; ``strong`` marks the buckets that hardly any clean document has."""
+    label = strong[found].any(axis=1) & (toxic[text_of] == 1)
     best = evidence[found].max(axis=1, initial=0)
     without = np.flatnonzero((toxic == 1) & (np.bincount(text_of, weights=label, minlength=len(toxic)) == 0))
     for t in without:
@@ -219,12 +220,12 @@ def label_words(found: np.ndarray, counts: np.ndarray, evidence: np.ndarray, tex
 
 def _sentences(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, evidence = shared.value
+        strong, evidence = shared.value
         for batch in slices(batches):
             words = read_words(batch.column("text"))
             found = buckets(words)
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-            label = label_words(found, counts, evidence, words.text_of, toxic)
+            label = label_words(found, strong, evidence, words.text_of, toxic)
             x = features(found, evidence)
             first, length = chains(words)
             if not len(first):
@@ -279,15 +280,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = materialise(texts, "labelled-texts")
 
     learn = texts.where("NOT aside").select("text", "toxic").coalesce(TASKS)
-    counts, documents = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
-    for row in learn.mapInArrow(_document_counts, "clean long, toxic long, counts binary").collect():  # 8 MB from each of TASKS
-        counts += np.frombuffer(row["counts"], np.int32).reshape(2, BUCKETS)
-        documents += [row["clean"], row["toxic"]]
+    documents = np.zeros(2, np.int64)
+    for row in learn.groupBy("toxic").count().collect():
+        documents[row["toxic"]] = row["count"]
     if not documents.all():
         return Model(np.zeros(1), np.zeros(1), np.zeros((2, 2)), np.zeros(3), constant=float(documents[1] / max(1, documents.sum())))
-    evidence = evidence_of(counts, documents)
-
-    shared = spark.sparkContext.broadcast((counts.astype(np.int32), evidence))
+    counts = learn.mapInArrow(_document_counts, "bucket int, clean int, toxic int").groupBy("bucket")
+    # At most one row for each bucket; what a single toxic document has says nothing yet and counts as unseen.
+    table = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("toxic > 1").toArrow()
+    bucket, clean, toxic = (table.column(c).to_numpy() for c in ("bucket", "clean", "toxic"))
+    evidence, strong = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, bool)
+    evidence[bucket] = evidence_of(clean, toxic, documents)
+    strong[bucket] = (evidence[bucket] >= LEAST_EVIDENCE) & (toxic >= LEAST_DOCUMENTS) & (clean * 9 <= toxic)
+
+    shared = spark.sparkContext.broadcast((strong, evidence))
     sentences = materialise(learn.mapInArrow(_sentences(shared), "marked boolean, place long, x binary, y binary"), "sentences")
     train = []
     for marked in (True, False):
