@@ -49,7 +49,7 @@ def _kind(wide: bool) -> np.dtype:
 def _encode(shared, end_id: int, wide: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pieces.encoder(shared)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=pieces.ENCODED_BYTES):
             got = encoder.encode(batch.column("text"))
             ids = np.insert(got.ids, got.first[1:], end_id).astype(_kind(wide))
             first = got.first + np.arange(batch.num_rows + 1)

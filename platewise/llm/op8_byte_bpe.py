@@ -55,7 +55,7 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pieces.encoder(shared)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=pieces.ENCODED_BYTES):
             got = encoder.encode(batch.column("text"))
             columns = {"ids": _lists(got.ids, got.first)}
             if offsets:
@@ -98,7 +98,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = pieces.encoder(shared), pieces.byte_table(shared)
         names = [str(i) for i in range(len(table.length))]
-        for batch in slices(batches):
+        for batch in slices(batches, limit=pieces.ENCODED_BYTES):
             got = encoder.encode(batch.column("text"))
             data, begins = table.decode(got.ids, got.first)
             decoded, ids = data.tobytes(), got.ids.tolist()
@@ -122,7 +122,7 @@ def encode_checked(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = pieces.encoder(shared), pieces.byte_table(shared)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=pieces.ENCODED_BYTES):
             got = encoder.encode(batch.column("text"))
             decoded, begins = table.decode(got.ids, got.first)
             data, places = text_bytes(batch.column("text"))

@@ -18,13 +18,15 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import SparkSession
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
 from platewise.llm.arrays import RunHash, mix, ranges, text_bytes
 
-KNOWN_PIECES = 800_000  # pieces that a worker remembers, about 50 bytes each
+KNOWN_PIECES = 1_500_000  # pieces that a worker remembers, about 40 bytes each
+ENCODED_BYTES = 1 << 20  # text bytes encoded at once: the more, the more pieces repeat
 RECENT_PIECES = 50_000  # of these, the ones not yet in order
 LONG_PIECE = 48  # code points; longer pieces are compared as text
 
@@ -198,6 +200,14 @@ class ByteTable:
         return start - base, points[place[1:]] - base
 
 
+def _appended(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``values`` with ``more`` behind the first ``used``; doubled where there is no room."""
+    if used + len(more) > len(values):
+        values = np.concatenate([values[:used], np.zeros(max(used, len(more)), values.dtype)])
+    values[used : used + len(more)] = more
+    return values
+
+
 class Encoder:
     """Encodes slices of texts; lives as long as the worker."""
 
@@ -208,6 +218,7 @@ class Encoder:
         self.by_piece.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(_BETWEEN, "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
+        self.size_of = ByteTable(definition).length
         self.limit, self.recent_limit = known, recent
         self._forget()
 
@@ -220,21 +231,22 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)  # in order, with the slot of each
-        self.slots = np.zeros(0, np.int64)
+        self.slots = np.zeros(0, np.int32)
         self.recent: dict[int, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.length = np.zeros(0, np.int64)
-        self.offset = np.zeros(0, np.int64)
+        self.flat, self.n_flat = np.zeros(1 << 16, np.int32), 0  # ids of all known pieces back to back, with room to grow
+        self.length, self.offset, self.n_known = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
 
     def _slots(self, different: np.ndarray, text_of) -> np.ndarray:
         """Slot of each piece; the library encodes those not met before."""
-        if len(self.length) > self.limit:
+        if self.n_known > self.limit:
             self._forget()
         if len(self.recent) > self.recent_limit:
-            keys = np.concatenate([self.keys, np.fromiter(self.recent, np.uint64, len(self.recent))])
-            slots = np.concatenate([self.slots, np.fromiter(self.recent.values(), np.int64, len(self.recent))])
+            keys = np.fromiter(self.recent, np.uint64, len(self.recent))
+            slots = np.fromiter(self.recent.values(), np.int32, len(self.recent))
             order = np.argsort(keys)
-            self.keys, self.slots, self.recent = keys[order], slots[order], {}
+            place = np.searchsorted(self.keys, keys[order])
+            self.keys, self.slots = np.insert(self.keys, place, keys[order]), np.insert(self.slots, place, slots[order])
+            self.recent = {}
         out = np.full(len(different), -1, np.int64)
         if len(self.keys):
             place = np.minimum(np.searchsorted(self.keys, different), len(self.keys) - 1)
@@ -245,26 +257,31 @@ class Encoder:
         out[rest] = [self.recent.get(k, -1) for k in names]
         missing = [(i, k) for i, k in zip(rest.tolist(), names) if out[i] < 0]
         if missing:
-            ids, lengths = self._pieces(text_of([i for i, _ in missing]))
-            base = len(self.length)
-            for slot, (i, k) in enumerate(missing, base):
+            ids, lengths = self._pieces(*text_of([i for i, _ in missing]))
+            for slot, (i, k) in enumerate(missing, self.n_known):
                 out[i] = self.recent[k] = slot
-            self.offset = np.concatenate([self.offset, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.length = np.concatenate([self.length, lengths])
-            self.flat = np.concatenate([self.flat, ids])
+            self.offset = _appended(self.offset, self.n_known, self.n_flat + np.cumsum(lengths) - lengths)
+            self.length = _appended(self.length, self.n_known, lengths)
+            self.flat = _appended(self.flat, self.n_flat, ids)
+            self.n_known, self.n_flat = self.n_known + len(lengths), self.n_flat + len(ids)
         return out
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces back to back and the number of each; one call of the library where no piece has the mark."""
+    def _pieces(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces back to back and the number of each; one call of the library where no piece has the mark.
+
+        ``sizes`` are the bytes of each piece. No id crosses pieces, so the bytes of the ids tell where a piece ends.
+        """
         joined = _BETWEEN.join(pieces)
         if joined.count(_BETWEEN) != len(pieces) - 1:
             found = self._library(pieces)
             return np.array([x for ids in found for x in ids], np.int32), np.fromiter(map(len, found), np.int64, len(found))
-        encoding = self.by_piece.encode(joined, add_special_tokens=False)
-        return np.array(encoding.ids, np.int32), np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(pieces))
+        encoding = self.by_piece.encode_batch_fast([joined], add_special_tokens=False)[0]
+        ids = np.array(encoding.ids, np.int32)
+        ends = np.searchsorted(np.cumsum(self.size_of[ids]), np.cumsum(sizes)) + 1
+        return ids, np.diff(ends, prepend=0)
 
     def encode(self, column: pa.Array) -> Encoded:
         data, begins = text_bytes(column)
@@ -280,11 +297,18 @@ class Encoder:
         if not len(start):
             return Encoded(np.zeros(0, np.int64), np.zeros(len(begins), np.int64))
         hashes = RunHash(mix(points.astype(np.uint64) + np.uint64(1))).of(start, end)
-        different, example, codes = np.unique(hashes, return_index=True, return_inverse=True)
-        begin_of, end_of = start[example], end[example]
-        slots = self._slots(different, lambda wanted: [whole[a:b] for a, b in zip(begin_of[wanted].tolist(), end_of[wanted].tolist())])
+        codes, different = pd.factorize(hashes)
+        example = np.empty(len(different), np.int64)
+        example[codes[::-1]] = np.arange(len(codes))[::-1]
+        byte_of = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each code point begins
+
+        def text_of(wanted: list[int]) -> tuple[list[str], np.ndarray]:
+            a, b = start[example[wanted]], end[example[wanted]]
+            return [whole[x:y] for x, y in zip(a.tolist(), b.tolist())], byte_of[b] - byte_of[a]
+
+        slots = self._slots(different, text_of)
         slot = slots[codes]
-        length = self.length[slot]
+        length = self.length[slot].astype(np.int64)
         long = np.flatnonzero(end - start > LONG_PIECE)
         ids = self.flat[ranges(self.offset[slot], length)].astype(np.int64)
         text = np.searchsorted(begins, start, side="right") - 1
