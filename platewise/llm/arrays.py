@@ -52,6 +52,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -129,6 +129,8 @@ def encode_checked(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             same = [np.array_equal(decoded[a:b], data[c:d]) for (a, b), (c, d) in zip(_spans(begins), _spans(places))]
             out = _with(batch, ids=_lists(got.ids, got.first), round_trip=pa.array(same))
             yield out.select([n for n in out.schema.names if n != "text"])
+        del encoder
+        pieces.release()
 
     types = _schema(docs, ids=_INTS, round_trip=T.BooleanType())
     return docs.mapInArrow(run, T.StructType([f for f in types if f.name != "text"]))

@@ -25,7 +25,7 @@ from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
 from platewise.llm.arrays import RunHash, mix, ranges, text_bytes
 
-KNOWN_PIECES = 1_500_000  # pieces that a worker remembers, about 40 bytes each
+KNOWN_PIECES = 800_000  # pieces that a worker remembers, about 40 bytes each
 ENCODED_BYTES = 1 << 20  # text bytes encoded at once: the more, the more pieces repeat
 RECENT_PIECES = 50_000  # of these, the ones not yet in order
 LONG_PIECE = 48  # code points; longer pieces are compared as text
@@ -355,6 +355,11 @@ def encoder(shared) -> Encoder:
     return _encoder(shared.value)
 
 
+def release() -> None:
+    """Give the worker's memory back, for jobs in which other operators follow."""
+    _encoder.cache_clear()
+
+
 @functools.lru_cache(maxsize=2)
 def _byte_table(definition: str) -> ByteTable:
     return ByteTable(definition)
