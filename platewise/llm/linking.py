@@ -18,7 +18,7 @@ from platewise.workspace import materialise
 
 Test = Callable[[Column, Column], Column]
 Check = Callable[[DataFrame], DataFrame]
-Prepare = Callable[[DataFrame], tuple[Check, Check | None]]
+Prepare = Callable[[DataFrame], tuple[Check, Check]]
 
 SMALL = 48  # members of a bucket whose pairs are listed
 HELD, STREAMED = 512, 1024  # members of a block on either side
@@ -53,8 +53,7 @@ def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepa
     ``buckets`` has ``key`` and ``node``, ``signatures`` a ``sig`` (a struct that ``may_link`` compares) for each ``node``. ``prepare``
     gets the nodes that share any bucket and returns two checks. The first gets pairs (``a``, ``b``) and returns those that are links. The
     second gets ``key``, ``chunk``, ``part`` (together a block), ``held``, ``node`` and ``component``; it returns enough of the links between held and
-    other nodes of a block to connect whatever they connect. Without it, pairs are listed in all buckets: for signatures that
-    let hardly any other pairs pass.
+    other nodes of a block to connect whatever they connect.
     """
     leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
     members = materialise(buckets.join(materialise(leaders, "bucket-leaders"), "key"), "bucket-members")
@@ -74,11 +73,10 @@ def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepa
         "key", F.col("largest.component").alias("largest"), "members", (F.col("members") - F.col("largest.n")).alias("outside")
     )
     unsettled = materialise(members.join(materialise(open_keys, "open-buckets"), "key"), "unsettled-members")
-    small = F.lit(True) if check_blocks is None else F.col("members") <= SMALL
+    small = F.col("members") <= SMALL
     signed = materialise(unsettled.where(small).join(signatures, "node"), "signed-members")
     more = materialise(check(_pairs(signed, may_link)), "links")
-    if check_blocks is not None:
-        more = more.unionByName(materialise(check_blocks(_blocks(unsettled.where(~small))), "links"))
+    more = more.unionByName(materialise(check_blocks(_blocks(unsettled.where(~small))), "links"))
     return connected(links.unionByName(more)) if more.head(1) else groups
 
 
