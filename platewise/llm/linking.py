@@ -1,7 +1,7 @@
 """Connected groups of nodes that share a bucket and pass a check, without making all pairs of a bucket.
 
 First every bucket member is checked against the smallest node of its bucket; what passes is joined into groups. Buckets whose
-members then lie in one group are settled. In the others, members outside the bucket's largest group are checked against
+members then lie in one group, or that have two members, are settled. In the others, members outside the bucket's largest group are checked against
 every member of another group, so that no link between two groups is missed: in buckets of up to ``SMALL`` members as pairs that
 pass a cheap test on their signatures, in larger ones block by block inside tasks, which return links only. Nothing is
 collected; every step reads tables in the shared folder.
@@ -69,7 +69,7 @@ def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepa
     open_keys = members.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("groups"), F.sum("n").alias("members")
     )
-    open_keys = open_keys.where("groups > 1").select(
+    open_keys = open_keys.where("groups > 1 AND members > 2").select(
         "key", F.col("largest.component").alias("largest"), "members", (F.col("members") - F.col("largest.n")).alias("outside")
     )
     unsettled = materialise(members.join(materialise(open_keys, "open-buckets"), "key"), "unsettled-members")
