@@ -3,8 +3,9 @@
 The base kinds (email, ip, card, phone) come from fixed patterns. Their matches are the seed entities. Every token that looks like an
 identifier (it holds a digit or an @) is an instance with a lexical pattern: the two words before it. Patterns and instances form a
 graph. Spark scores it in rounds: a pattern is as credible as the mean credibility of its instances of one kind, drawn to
-zero by ``DOUBT`` unknown ones; an instance is as credible as its best pattern; seeds keep 1. Patterns that reach
-``CONFIDENT`` with at least ``SUPPORT`` different seeds give up their other instances: unseen identifiers of the pattern's kind.
+zero by ``DOUBT`` unknown ones; an instance is as credible as its best pattern; seeds keep 1. Every pattern that shares an instance with a
+credible one is scored in the next round. Its support is its different seeds and the instances that a pattern of ``CONFIDENT`` credibility named.
+Patterns that reach ``CONFIDENT`` with a support of ``SUPPORT`` give up their other instances: unseen identifiers of the pattern's kind.
 
 Base spans always stay. A discovered span never overlaps a base span, and has the shape of its kind: enough digits for numbers,
 an @ for addresses. Patterns and instances are counted in partial sums before they move; an instance or pattern that holds a third of all rows is one row after
@@ -154,23 +155,31 @@ _FOUND = (
 def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``pattern`` and ``kind`` of the patterns that may name unseen identifiers, from the graph of patterns and instances.
 
-    ``edges`` has a row for each different (``pattern``, ``name``, ``kind``); ``kind`` is empty for instances that are no seeds.
+    ``edges`` has a row for each different (``pattern``, ``name``, ``kind``, ``shape``); ``kind`` is empty for instances that are no seeds.
     """
-    seeded = edges.where("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= SUPPORT)
-    rest = edges.where("kind = ''").select("pattern", "name").distinct()
-    # Credibility of (pattern, kind): the seeds count 1 each, the others what their patterns gave them the round before.
-    rest = materialise(rest.join(seeded.select("pattern").distinct(), "pattern"), "pii-edges")
+    seeds = edges.where("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
+    rest = materialise(edges.where("kind = ''").select("pattern", "name", "shape").distinct(), "pii-edges")
     size = rest.groupBy("pattern").agg(F.count("*").alias("others"))
-    other_seeds = edges.where("kind <> ''").groupBy("pattern").agg(F.count("*").alias("all_seeds"))
-    scored = seeded.join(size, "pattern", "left").join(other_seeds, "pattern").fillna(0, ["others"])
-    scored = materialise(scored.withColumn("gained", F.lit(0.0)), "pii-patterns")
-    credit = F.col("seeds") + F.col("gained")
-    share = (credit / (F.col("all_seeds") + F.col("others") + F.lit(DOUBT))).alias("score")
-    for _ in range(rounds):
-        named = rest.join(scored.select("pattern", "kind", share), "pattern").groupBy("name", "kind").agg(F.max("score").alias("score"))
-        gained = rest.join(named, "name").groupBy("pattern", "kind").agg(F.sum("score").alias("gained"))
-        scored = materialise(scored.drop("gained").join(gained, ["pattern", "kind"], "left").fillna(0.0, ["gained"]), "pii-patterns")
-    return scored.select("pattern", "kind", share).where(F.col("score") >= CONFIDENT)
+    all_seeds = seeds.groupBy("pattern").agg(F.sum("seeds").alias("all_seeds"))
+    sizes = size.join(all_seeds, "pattern", "full").fillna(0, ["others", "all_seeds"])
+    sizes = materialise(sizes, "pii-sizes")
+    # Credibility of (pattern, kind): the seeds count 1 each, the others what their patterns gave them the round before.
+    # Supported by seeds, and by others that a confident pattern named.
+    score = (F.col("seeds") + F.col("gained")) / (F.col("all_seeds") + F.col("others") + F.lit(DOUBT))
+    scored = seeds.withColumns({"gained": F.lit(0.0), "support": F.col("seeds")})
+    for last in [False] * rounds + [True]:
+        named = scored.join(sizes, "pattern").select("pattern", "kind", score.alias("score"), "support").where(F.col("support") >= SUPPORT)
+        named = materialise(named, "pii-patterns")
+        if last:
+            return named.select("pattern", "kind", "score").where(F.col("score") >= CONFIDENT)
+        fits = (F.col("shape") == "email") == (F.col("kind") == "email")
+        credible = rest.join(named, "pattern").where(fits).groupBy("name", "kind").agg(F.max("score").alias("score"))
+        credible = materialise(credible, "pii-credible")
+        gained = rest.join(credible, "name").groupBy("pattern", "kind").agg(
+            F.sum("score").alias("gained"), F.sum((F.col("score") >= CONFIDENT).cast("long")).alias("named")
+        )
+        scored = seeds.join(gained, ["pattern", "kind"], "full").fillna(0, ["seeds", "gained", "named"])
+        scored = scored.withColumn("support", F.col("seeds") + F.col("named")).drop("named")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -179,7 +188,7 @@ def find(docs: DataFrame) -> DataFrame:
     extracted = docs.mapInArrow(_extract, _FOUND).withColumn("row", F.monotonically_increasing_id())
     extracted = materialise(extracted, "pii-found")
     each = extracted.select("row", F.explode("found").alias("i")).select("row", "i.*")
-    edges = materialise(each.groupBy("pattern", "name", "kind").agg(F.count("*").alias("n")), "pii-graph")
+    edges = materialise(each.groupBy("pattern", "name", "kind", "shape").agg(F.count("*").alias("n")), "pii-graph")
     patterns = materialise(confident_patterns(edges), "pii-confident")
     fits = (F.col("shape") == "email") == (F.col("as_kind") == "email")
     best = patterns.groupBy("pattern").agg(F.max(F.struct("score", "kind"))["kind"].alias("as_kind"))
