@@ -1,7 +1,7 @@
 """Personal data: base patterns, and contextual extraction bootstrapped from what they find.
 
-The base kinds (email, ip, card, phone) come from fixed patterns. Their matches are the seed entities. Every token that looks like an
-identifier (it holds a digit or an @) is an instance with a lexical pattern: the two words before it. Patterns and instances form a
+The base kinds (email, ip, card, phone) come from fixed patterns. Their matches are the seed entities. Every number in groups (joined by single
+spaces, dots, hyphens or parentheses) and every other token that looks like an identifier (it holds a digit or an @) is an instance with a lexical pattern: the two words before it. Patterns and instances form a
 graph. Spark scores it in rounds: a pattern is as credible as the mean credibility of its instances of one kind, drawn to
 zero by ``DOUBT`` unknown ones; an instance is as credible as its best pattern; seeds keep 1. Every pattern that shares an instance with a
 credible one is scored in the next round. Its support is its different seeds and the instances that a pattern of ``CONFIDENT`` credibility named.
@@ -43,7 +43,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\s\"'(),;:<>=\[\]{}|]*[0-9@][^\s\"'(),;:<>=\[\]{}|]*")
+_RUN = re.compile(r"(?<![^\s\"'(),;:<>=\[\]{}|])\+?(?:\([0-9]++\)|[0-9]++)(?:[ .-]?(?:\([0-9]++\)|[0-9]++))*+")
+_TAIL = re.compile(r"[^\s\"'(),;:<>=\[\]{}|]*")
 _BEFORE = re.compile(r"[^\W\d_]+|[:=#@]")
+_CLOSING = ".!?*#&%$"  # not part of a token that they end
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[str, int, int]
@@ -99,14 +102,30 @@ def pattern_before(text: str, at: int) -> str:
     return " ".join(w.lower() for w in _BEFORE.findall(text, max(0, at - 40), at)[-2:])
 
 
+def number_runs(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Groups of digits joined by single spaces, dots, hyphens or parentheses, between the places that are ``taken``."""
+    free = 0
+    for low, high in [*taken, (len(text), len(text))]:
+        for m in _RUN.finditer(text, free, max(low, free)):
+            a, b = m.span()
+            if _TAIL.match(text, b)[0].rstrip(_CLOSING):  # the last group is part of another word
+                b = text.rfind(" ", a, b)
+            if b > a and b - a <= LONGEST and (" " in text[a:b] or "(" in text[a:b]):
+                yield a, b
+        free = max(free, high)
+
+
 def instances(text: str, base: list[Span]) -> list[tuple[str, str, int, int, str]]:
-    """(pattern, identifier, start, end, kind): base matches, and other tokens with a digit or @ that no base match touches."""
+    """(pattern, identifier, start, end, kind): base matches, and what no base match touches: numbers in groups, other tokens with a digit or @."""
     out = [(pattern_before(text, a), text[a:b], a, b, kind) for kind, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
+    runs = list(number_runs(text, taken))
+    out += [(pattern_before(text, a), text[a:b], a, b, "") for a, b in runs]
+    taken = sorted(taken + runs)
     k = 0
     for m in _TOKEN.finditer(text):
         a, b = m.span()
-        while b > a and text[b - 1] in ".!?*#&%$":
+        while b > a and text[b - 1] in _CLOSING:
             b -= 1
         while k < len(taken) and taken[k][1] <= a:
             k += 1

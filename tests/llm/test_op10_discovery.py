@@ -23,3 +23,23 @@ def test_discovered_identifiers_lead_to_further_contexts(spark):
     assert all(out[68 + k] == [("phone", f"0555-99800{k}")] for k in range(8))
     assert out[76] == [("phone", "0777-123456")]
     assert not any(out[77:])
+
+
+def test_numbers_in_groups_are_one_identifier(spark):
+    cards = [c for c in (f"4111 1111 1111 {k}" for k in range(1000, 3000)) if op.luhn(c.replace(" ", ""))]
+    texts = [f"Member Phone: +1 (555) 201-{1000 + k} today" for k in range(60)]
+    texts += [f"paid by card number: {c}" for c in cards[:60]]
+    unseen = ["0555 998 877", "(555) 201-1000", "0555.998 (877)"]
+    texts += [f"Member Phone: {x}. Thanks" for x in unseen] + ["paid by card number: 4111 1111 1111 1112"]
+    out = found(spark, texts)
+    assert out[120:] == [[("phone", x)] for x in unseen] + [[("card", "4111 1111 1111 1112")]]
+
+
+def test_where_numbers_in_groups_begin_and_end():
+    def runs(text):
+        return [text[a:b] for a, b in op.number_runs(text, sorted((a, b) for _, a, b in op.base_spans(text)))]
+
+    assert runs("call 0555 998 877 now") == ["0555 998 877"]
+    assert runs("(see 555 998)") == ["555 998"] and runs("1  2, 3") == [] and runs("a1 2b 30 40x") == []
+    assert runs("at 10.0.0.1 555 998 then") == ["555 998"]
+    assert runs("1 " * 50_000) == [] and runs("1 " * 50_000 + "x") == []
