@@ -9,7 +9,8 @@ The code comes from the counts of every id in the whole corpus. A folder holds t
 
 A shard is what one task wrote: one range of doc_id. Shards hold ascending ranges, and blocks are numbered within them.
 
-Edge cases: a null or empty text is its end id alone. Documents without a doc_id come first. Repeated documents are written as
+Edge cases: a null or empty text is its end id alone. An added token of the definition that stands in a text has its own id, as in the
+library's default. Documents without a doc_id come first. Repeated documents are written as
 often as they come, in order of their ids. An empty table gives files without rows. Other columns are ignored.
 """
 
@@ -50,7 +51,7 @@ def _encode(shared, end_id: int, wide: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pieces.encoder(shared)
         for batch in slices(batches, limit=pieces.ENCODED_BYTES):
-            got = encoder.encode(batch.column("text"))
+            got = encoder.encode_marked(batch.column("text"))
             ids = np.insert(got.ids, got.first[1:], end_id).astype(_kind(wide))
             first = got.first + np.arange(batch.num_rows + 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binary(ids, first * ids.itemsize)], names=["doc_id", "ids"])

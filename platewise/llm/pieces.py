@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
@@ -319,6 +320,29 @@ class Encoder:
         np.cumsum(per_text, out=first[1:])
         return Encoded(ids, first)
 
+    @functools.cached_property
+    def added(self) -> list[str]:
+        """Texts that the definition has an id of their own for."""
+        return [t["content"] for t in json.loads(self.definition).get("added_tokens", [])]
+
+    @functools.cached_property
+    def marking(self) -> Tokenizer:
+        """The library with its default setting, which gives added tokens their id."""
+        return Tokenizer.from_str(self.definition)
+
+    def encode_marked(self, column: pa.Array) -> Encoded:
+        """As ``encode``, but texts that hold an added token go to the library whole."""
+        got = self.encode(column)
+        hit = np.zeros(len(column), bool)
+        for content in self.added:
+            hit |= pc.fill_null(pc.match_substring(column, content), False).to_numpy(zero_copy_only=False)
+        if not hit.any():
+            return got
+        rows = [got.ids[a:b] for a, b in zip(got.first[:-1].tolist(), got.first[1:].tolist())]
+        for k in np.flatnonzero(hit).tolist():
+            rows[k] = np.array(self.marking.encode(column[k].as_py(), add_special_tokens=False).ids, np.int64)
+        return Encoded(np.concatenate(rows), np.cumsum([0, *map(len, rows)]))
+
     def _exact(self, whole, begins, start, end, text, long, unknown, ids, length):
         """Long pieces encoded from their own text, and texts with unknown code points by the library as a whole."""
         by_library = np.unique(np.searchsorted(begins, unknown, side="right") - 1)
