@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op1_fingerprint, op2_secrets, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii, op13_suffix_dedup
+from platewise.llm import op1_fingerprint, op2_secrets, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii, op12_whitening, op13_suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_pii_(spark: SparkSession, folder: str) -> DataFrame:
     return op10_pii.report(_table(spark, folder, "documents"))
 
 
+def op12_whitening_(spark: SparkSession, folder: str) -> DataFrame:
+    return op12_whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 def op13_suffix_dedup_(spark: SparkSession, folder: str) -> DataFrame:
     return op13_suffix_dedup.judge(_table(spark, folder, "documents"))
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe_,
         "op9_toxicity": op9_toxicity_,
         "op10_pii": op10_pii_,
+        "op12_whitening": op12_whitening_,
         "op13_suffix_dedup": op13_suffix_dedup_,
     }
 
