@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.llm import op1_fingerprint, op2_secrets, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii, op12_whitening, op13_suffix_dedup
+from platewise.llm import op1_fingerprint, op2_secrets, op3_token_files, op4_licenses, op5_decontaminate, op6_near_duplicates, op7_line_dedup, op8_byte_bpe, op9_toxicity, op10_pii, op11_search, op12_whitening, op13_suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_pii_(spark: SparkSession, folder: str) -> DataFrame:
     return op10_pii.report(_table(spark, folder, "documents"))
 
 
+def op11_search_(spark: SparkSession, folder: str) -> DataFrame:
+    return op11_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op12_whitening_(spark: SparkSession, folder: str) -> DataFrame:
     return op12_whitening.whiten(_table(spark, folder, "embeddings"))
 
@@ -78,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe_,
         "op9_toxicity": op9_toxicity_,
         "op10_pii": op10_pii_,
+        "op11_search": op11_search_,
         "op12_whitening": op12_whitening_,
         "op13_suffix_dedup": op13_suffix_dedup_,
     }
@@ -112,6 +117,33 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP11 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, row_number() OVER () AS q, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+), wanted AS (
+  SELECT q, term, count(*) AS times FROM (SELECT q, unnest(w) AS term FROM b) GROUP BY q, term
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM wanted) GROUP BY r, term
+), corpus AS (
+  SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, n
+), shares AS (
+  SELECT tf.r, d.doc_id, term, weight.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(d.w) * n) // l))) AS share
+  FROM tf JOIN weight USING (term) JOIN d ON d.r = tf.r, corpus WHERE d.doc_id IS NOT NULL
+), scores AS (
+  SELECT q, r, doc_id, CAST(sum(times * share) AS BIGINT) AS score FROM wanted JOIN shares USING (term) GROUP BY q, r, doc_id
+), ranked AS (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT b.item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked JOIN b USING (q) WHERE rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": _OP5}
+    return {"op5_decontaminate": _OP5, "op11_search": _OP11}
