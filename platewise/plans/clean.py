@@ -6,13 +6,13 @@ fills the remaining nulls from group statistics that scan only the columns they
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.functions import calendar, money, text
-from platewise.operators.audit import with_load_time
+from platewise.operators.audit import Trail, with_load_time
 from platewise.operators.dedup import keep_first
 from platewise.operators.impute import fill_by_group, fill_constants, fill_global_mode
 from platewise.workspace import materialise
@@ -44,9 +44,20 @@ def unique_complete(df: DataFrame, table: str, order_by: Sequence[str] = ()) ->
     return drop_null_keys(keep_first(df.where(F.col(key).isNotNull()), [key], order_by), REQUIRED[table])
 
 
-def clean_users(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def _base(df: DataFrame, table: str, order_by: Sequence[str], trail: Trail | None, valid: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The rows that cleaning starts from, written once; ``valid`` drops further ones, and the trail gets the rows of each step."""
+    key, *_ = REQUIRED[table]
+    note = (lambda rows, step: trail.observe(rows, table, step)) if trail else (lambda rows, step: rows)
+    if trail:
+        trail.raw(df, table, key)
+    unique = note(keep_first(df.where(F.col(key).isNotNull()), [key], order_by), "dedup")
+    rows = note(drop_null_keys(unique, REQUIRED[table]), "drop_null_keys")
+    return materialise(note(valid(rows), "drop_invalid") if valid else rows, table)
+
+
+def clean_users(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
     """Users whose birth date stays missing go before the coordinates and areas of the others are learnt."""
-    base = materialise(unique_complete(df, "users", order_by), "users")
+    base = _base(df, "users", order_by, trail)
     dated = fill_by_group(base, "city", modes={"gender": UNKNOWN, "date_of_birth": None}).dropna(subset=["date_of_birth"])
     filled = fill_by_group(dated, "city", means={"lat": None, "lon": None}, modes={"address_area": UNKNOWN})
     return fill_constants(filled, {"is_active": 1})
@@ -59,9 +70,9 @@ def coerce_order_time(df: DataFrame, fmt: str = calendar.ORDER_TIME_FORMAT) -> D
     )
 
 
-def clean_orders(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def clean_orders(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
     """Distances are filled from the completed area; merchants, which can be many, come last."""
-    base = materialise(coerce_order_time(unique_complete(df, "orders", order_by)), "orders")
+    base = _base(df, "orders", order_by, trail, coerce_order_time)
     filled = fill_by_group(
         base, "city", means={"delivery_fee": 2}, modes={"payment_method": DEFAULT_PAYMENT, "delivery_area": UNKNOWN}
     )
@@ -74,9 +85,9 @@ def clean_orders(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return filled.withColumn("total_amount", F.coalesce(F.col("total_amount"), total, mean_total))
 
 
-def clean_order_items(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def clean_order_items(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
     """A line subtotal is worked out only where it is missing, also if the quantity was corrected."""
-    base = materialise(unique_complete(df, "order_items", order_by), "order_items")
+    base = _base(df, "order_items", order_by, trail)
     filled = fill_by_group(base, "product_id", means={"unit_price": 2})
     quantity = F.when(F.col("quantity") > 0, F.col("quantity")).otherwise(1)
     return filled.withColumn("quantity", quantity).withColumn(
@@ -84,23 +95,23 @@ def clean_order_items(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def clean_drivers(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    base = materialise(unique_complete(df, "drivers", order_by), "drivers")
+def clean_drivers(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
+    base = _base(df, "drivers", order_by, trail)
     filled = fill_by_group(base, "city", means={"rating": 2})
     filled = fill_global_mode(filled, "vehicle_type", DEFAULT_VEHICLE)
     return fill_constants(filled, {"total_trips": 0, "is_active": 1})
 
 
-def clean_merchants(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    base = materialise(unique_complete(df, "merchants", order_by), "merchants")
+def clean_merchants(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
+    base = _base(df, "merchants", order_by, trail)
     filled = fill_by_group(base, "city", means={"lat": 6, "lon": 6}, modes={"area": UNKNOWN})
     filled = fill_by_group(filled, "category", means={"rating": 2}, learn_from=base)
     return fill_constants(filled, {"is_active": 1})
 
 
-def clean_products(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def clean_products(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
     """Prices are filled from the category before missing categories are filled."""
-    base = materialise(unique_complete(df, "products", order_by), "products")
+    base = _base(df, "products", order_by, trail)
     filled = fill_by_group(base, "category", means={"price": 2})
     filled = fill_global_mode(filled, "category", DEFAULT_CATEGORY)
     return fill_constants(filled, {"product_name": UNKNOWN_PRODUCT, "is_available": 1})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from platewise.functions import calendar
 from platewise.operators.lookup import lookup
 from platewise.plans.weather import with_weather
+from platewise.sources.buckets import Bucketed, join_in_place
 
 DELIVERED = "delivered"
 
@@ -25,7 +26,7 @@ def is_delivered(status: Column) -> Column:
 def fact_orders(
     orders: DataFrame, dim_weather: DataFrame, utc_offset_hours: Mapping[str, int] | None = None, **spread
 ) -> DataFrame:
-    """One row per clean order."""
+    """One row per clean order. The columns of the order fact."""
     time, status = F.col("order_time"), F.col("status")
     return with_weather(orders, dim_weather, utc_offset_hours, **spread).select(
         "order_id",
@@ -53,10 +54,26 @@ def fact_orders(
 
 def fact_order_items(items: DataFrame, facts: DataFrame, **spread) -> DataFrame:
     """One row per clean order line that belongs to a fact order; lines without one are dropped."""
-    order_side = facts.select(
+    return _lines(lookup(items, order_side(facts), ["order_id"], how="inner", **spread))
+
+
+def fact_order_items_in_place(items: Bucketed, facts: Bucketed) -> tuple[DataFrame, DataFrame | None]:
+    """The same from tables in buckets of the order id, without a shuffle: lines of ordinary orders, and of the hot ones."""
+    side = Bucketed(order_side(facts.ordinary), facts.key, facts.buckets)
+    ordinary, hot = join_in_place(items, side)
+    return _lines(ordinary), None if hot is None else _lines(hot)
+
+
+def order_side(facts: DataFrame) -> DataFrame:
+    """What a line gets from its order."""
+    return facts.select(
         "order_id", "user_id", "date_id", "city", "order_status", "weather_id", "kondisi_cuaca"
     ).dropna(subset=["user_id", "date_id"])
-    return lookup(items, order_side, ["order_id"], how="inner", **spread).select(
+
+
+def _lines(joined: DataFrame) -> DataFrame:
+    """The columns of the line fact."""
+    return joined.select(
         "order_item_id",
         "order_id",
         "product_id",

@@ -10,12 +10,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platewise.operators.audit import Trail
 from platewise.operators.lookup import hot_keys
 from platewise.plans import clean, dims, facts, weather
+from platewise.sources.buckets import default_buckets
 from platewise.sources.readers import month_ranges, order_date_range
-from platewise.sources.writers import write_parquet
+from platewise.sources.store import Entry, Store
 
-PARTITIONED = {"fact_orders": ("date_id",), "fact_order_items": ("date_id",)}
+DAY = "date_id"  # the facts' parts, where they have parts
+LINES, SIDE, AUDIT = "clean_order_items", "order_side", "load_audit"
+TABLES = ("dim_date", "dim_user", "dim_driver", "dim_merchant", "dim_product", "dim_weather", "fact_orders", "fact_order_items")
 
 
 @dataclass(frozen=True)
@@ -53,47 +57,69 @@ def build_warehouse(
     partition_facts: bool = False,
     utc_offset_hours: Mapping[str, int] | None = None,
     concurrent_tables: int = 6,
+    buckets: int | None = None,
+    loaded_at: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Build all eight tables under ``folder`` and return scans of them.
+    """Build all tables in the store ``folder`` and return scans of the new version, which begins with the last step.
 
     Tables that do not depend on each other are submitted together, so that the tail of one job does not leave the
-    executors idle. The line fact reads the finished order fact instead of cleaning the orders a second time. Hot keys
-    are looked for in the raw tables: one narrow scan each, without the cleaning joins.
+    executors idle. Clean lines and orders lie in buckets of the order id (``buckets``, by default as many as the session has shuffle partitions), so the line fact is joined without
+    a shuffle, and so is whatever else brings lines and orders together. Hot orders are looked for in the raw lines: one narrow scan.
+
+    With ``partition_facts`` the facts have a folder for each day, and only days whose rows differ from the current version's are written again.
+    ``load_audit`` gets a line for each cleaning step of the run, and keeps those of earlier runs; ``loaded_at`` is its time, now by default.
     """
     spark = sources.orders.sparkSession
+    store, trail = Store(spark, folder), Trail()
+    onto, number = store.version(), buckets or default_buckets(spark)
 
-    def load(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        df, path = build(), f"{folder}/{name}"
-        write_parquet(df, path, PARTITIONED.get(name, ()) if partition_facts else ())
-        return spark.read.schema(df.schema).parquet(path).select(*df.columns)  # partition columns back in their place
+    def load(name: str, build: Callable[[], DataFrame]) -> Entry:
+        return store.write(name, build())
 
     builders: dict[str, Callable[[], DataFrame]] = {
         "dim_weather": lambda: weather.dim_weather(weather_for(sources, utc_offset_hours)),
         "dim_date": lambda: dims.dim_date(sources.orders),
-        "dim_user": lambda: dims.dim_user(clean.clean_users(sources.users), as_of),
-        "dim_driver": lambda: dims.dim_driver(clean.clean_drivers(sources.drivers)),
-        "dim_merchant": lambda: dims.dim_merchant(clean.clean_merchants(sources.merchants), sources.reviews),
-        "dim_product": lambda: dims.dim_product(clean.clean_products(sources.products)),
+        "dim_user": lambda: dims.dim_user(clean.clean_users(sources.users, trail=trail), as_of),
+        "dim_driver": lambda: dims.dim_driver(clean.clean_drivers(sources.drivers, trail=trail)),
+        "dim_merchant": lambda: dims.dim_merchant(clean.clean_merchants(sources.merchants, trail=trail), sources.reviews),
+        "dim_product": lambda: dims.dim_product(clean.clean_products(sources.products, trail=trail)),
     }
     with ThreadPoolExecutor(concurrent_tables) as pool:
 
         def submit(job: Callable, *args) -> Future:
             return pool.submit(inheritable_thread_target(spark)(job), *args)
 
-        items = submit(clean.clean_order_items, sources.order_items)
-        orders = submit(clean.clean_orders, sources.orders)
+        def clean_lines() -> Entry:
+            hot = hot_keys(sources.order_items, ["order_id"])
+            return store.write_buckets(LINES, clean.clean_order_items(sources.order_items, trail=trail), "order_id", number, hot)
+
+        items = submit(clean_lines)
+        orders = submit(lambda: clean.clean_orders(sources.orders, trail=trail))
         loads = {name: submit(load, name, build) for name, build in builders.items()}
         hot_hours = submit(hot_keys, weather.order_hours(sources.orders, utc_offset_hours), ["city", "waktu"])
-        hot_orders = submit(hot_keys, sources.order_items, ["order_id"])
-
-        def order_facts() -> DataFrame:
-            known = loads["dim_weather"].result()
-            return facts.fact_orders(orders.result(), known, utc_offset_hours, hot=hot_hours.result())
-
-        fact_orders = load("fact_orders", order_facts)
-        fact_items = load(
-            "fact_order_items",
-            lambda: facts.fact_order_items(items.result(), fact_orders, hot=hot_orders.result()),
+        known = store.scan("dim_weather", loads["dim_weather"].result())
+        order_facts = facts.fact_orders(orders.result(), known, utc_offset_hours, hot=hot_hours.result())
+        if partition_facts:
+            done = {"fact_orders": store.write_parts("fact_orders", order_facts, DAY)}
+            side = facts.order_side(store.scan("fact_orders", done["fact_orders"]))
+            done[SIDE] = store.write_buckets(SIDE, side, "order_id", number)
+        else:
+            done = {"fact_orders": store.write_buckets("fact_orders", order_facts, "order_id", number)}
+        done[LINES] = items.result()
+        known_orders = SIDE if partition_facts else "fact_orders"
+        ordinary, hot = facts.fact_order_items_in_place(
+            store.bucketed(LINES, done[LINES]), store.bucketed(known_orders, done[known_orders])
         )
-        tables = {name: done.result() for name, done in loads.items()}
-    return tables | {"fact_orders": fact_orders, "fact_order_items": fact_items}
+        if partition_facts:
+            lines = ordinary if hot is None else ordinary.unionByName(hot)
+            done["fact_order_items"] = store.write_parts("fact_order_items", lines, DAY)
+        else:
+            done["fact_order_items"] = store.write_dealt("fact_order_items", ordinary, "order_id", number, hot, done[LINES].hot)
+        done |= {name: finished.result() for name, finished in loads.items()}
+    trail.left("users", "drop_missing_birth_date", done["dim_user"].rows)
+    trail.left("order_items", "drop_orphan_lines", done["fact_order_items"].rows)
+    time = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+    run = trail.lines(spark).select(F.lit(onto + 1).alias("run"), time.cast("timestamp_ntz").alias("loaded_at"), "*")
+    done[AUDIT] = store.append(AUDIT, run)
+    store.commit(done, onto)
+    return {name: store.scan(name, done[name]) for name in (*TABLES, AUDIT)}

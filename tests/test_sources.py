@@ -5,6 +5,7 @@ import pytest
 from platewise import workspace
 from platewise.sources import readers, schemas, writers
 from platewise.sources.staging import SQL, stage
+from platewise.sources.store import Store
 
 
 def test_csv_round_trip_keeps_leading_zeros(spark, tmp_path):
@@ -22,18 +23,14 @@ def test_all_source_tables_by_folder(spark, tmp_path):
 
 
 def test_reload_skips_creates_and_keeps_the_table_types(spark, tmp_path):
-    path, table = str(tmp_path / "t.csv"), "platewise_reload_test"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    assert writers.reload_from_csv(spark, path, "a STRING, b INT", table) is None
+    path, store = str(tmp_path / "t.csv"), Store(spark, str(tmp_path / "store"))
+    assert writers.reload_from_csv(store, path, "a STRING, b INT", "t") is None and store.version() == 0
     writers.write_csv(spark.createDataFrame([("x", 1), ("y", 2)], "a string, b int"), path)
-    assert writers.reload_from_csv(spark, path, "a STRING, b INT", table) == 2
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} (b BIGINT, a STRING) USING parquet")
-    spark.sql(f"INSERT INTO {table} VALUES (9, 'old')")
-    assert writers.reload_from_csv(spark, path, "a STRING, b INT", table) == 2
-    assert spark.table(table).dtypes == [("b", "bigint"), ("a", "string")]
-    assert sorted(spark.table(table).collect()) == [(1, "x"), (2, "y")]
-    spark.sql(f"DROP TABLE {table}")
+    assert writers.reload_from_csv(store, path, "a STRING, b INT", "t") == 2
+    store.commit({"t": store.write("t", spark.sql("SELECT CAST(9 AS BIGINT) AS b, 'old' AS a"))})
+    assert writers.reload_from_csv(store, path, "a STRING, b INT", "t") == 2
+    assert store.read("t").dtypes == [("b", "bigint"), ("a", "string")]
+    assert sorted(store.read("t").collect()) == [(1, "x"), (2, "y")]
 
 
 def test_replace_table(spark):

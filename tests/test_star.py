@@ -91,6 +91,7 @@ def test_fact_order_items_drops_orphans(spark, orders, dim_weather, rows, spread
     fo = facts.fact_orders(orders, dim_weather)
     out = facts.fact_order_items(items, fo, **spread)
     assert rows(out, "order_item_id", "user_id", "kondisi_cuaca") == [(10, 1, "Hujan"), (11, 1, "Hujan")]
+    assert out.columns[:3] == ["order_item_id", "order_id", "product_id"]
     assert tuple(facts.lines_without_order(items, fo).first()) == (3, 2)
 
 
@@ -252,21 +253,66 @@ def test_reports_read_only_their_columns(spark, tmp_path, plan, facts_small, mer
     assert "EqualTo(order_status,delivered)" in text
 
 
-def test_warehouse_end_to_end(spark, tmp_path):
-    from verification.queries import Data, as_of
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def source(spark):
+    """The staged sources, with all orders in one month."""
+    from dataclasses import replace
+
+    from verification.queries import Data
+
+    whole = Data(spark, FOLDER).sources
+    return replace(whole, orders=whole.orders.withColumn("order_time", F.concat(F.lit("1996-03-"), F.expr("substring(order_time, 9)"))))
+
+
+def test_warehouse_end_to_end(spark, tmp_path, source):
+    from verification.queries import as_of
 
-    source = Data(spark, "/root/testdata/sf0.001").sources
     out = warehouse.build_warehouse(source, as_of(), str(tmp_path / "w"))
     assert set(out) == {"dim_date", "dim_user", "dim_driver", "dim_merchant", "dim_product", "dim_weather", "fact_orders",
-                        "fact_order_items"}
+                        "fact_order_items", "load_audit"}
     assert out["fact_orders"].count() == out["fact_orders"].select("order_id").distinct().count() > 0
     assert out["fact_order_items"].join(out["fact_orders"], "order_id", "left_anti").count() == 0
     days = warehouse.build_warehouse(source, as_of(), str(tmp_path / "d"), partition_facts=True)
-    for name in warehouse.PARTITIONED:  # the same rows and the same order of columns, in one folder a day
+    for name in ("fact_orders", "fact_order_items"):  # the same rows and the same order of columns, in one folder a day
         assert days[name].columns == out[name].columns
         assert sorted(map(str, days[name].collect())) == sorted(map(str, out[name].collect()))
 
 
+def test_a_late_order_rewrites_its_day_alone(spark, tmp_path, source):
+    from dataclasses import replace
+
+    from platewise.sources.store import Store
+    from verification.queries import as_of
+
+    store = Store(spark, str(tmp_path / "w"))
+    warehouse.build_warehouse(source, as_of(), store.folder, partition_facts=True, loaded_at="2024-01-01 00:00:00")
+    before = store.entries()
+    # Complete, and of a city that has no other order: no mean and no mode of another row changes.
+    values = {"order_id": "9000001", "user_id": "1", "city": "'elsewhere'", "delivery_area": "'elsewhere'", "merchant_id": "-5",
+              "order_time": "'1996-03-02 10:00:00'", "discount": "0", "payment_method": "'cash'", "subtotal": "5", "delivery_fee": "7",
+              "total_amount": "12", "distance_km": "1e0", "status": "'delivered'"}
+    late = spark.range(1).selectExpr(*[f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in source.orders.schema.fields])
+    again = replace(source, orders=source.orders.unionByName(late).unionByName(late))  # once too often: the second one is a duplicate
+    warehouse.build_warehouse(again, as_of(), store.folder, partition_facts=True, loaded_at="2024-01-02 00:00:00")
+    after = store.entries()
+    changed = {day for day, part in after["fact_orders"].parts.items() if before["fact_orders"].parts.get(day) != part}
+    assert changed == {"19960302"} and len(after["fact_orders"].parts) == 31
+    assert after["fact_order_items"].parts == before["fact_order_items"].parts
+    full = warehouse.build_warehouse(again, as_of(), str(tmp_path / "full"))
+    for name in ("fact_orders", "fact_order_items"):
+        assert sorted(map(str, store.read(name).collect())) == sorted(map(str, full[name].collect()))
+    assert store.read("fact_orders", version=1).count() == store.read("fact_orders").count() - 1
+    runs = {(r["run"], r["table_name"], r["step"]): r for r in store.read("load_audit").collect()}
+    assert {run for run, *_ in runs} == {1, 2}
+    assert runs[2, "orders", "dedup"]["removed"] == runs[1, "orders", "dedup"]["removed"] + 1
+    assert runs[1, "users", "drop_missing_birth_date"]["rows_before"] == runs[1, "users", "drop_null_keys"]["rows_after"]
+    store.clean()
+    assert sorted(map(str, store.read("fact_orders").collect())) == sorted(map(str, full["fact_orders"].collect()))
+
+
 def test_weather_of_the_first_hours_with_a_clock_offset(spark, tmp_path):
     readings = spark.sql(
         "SELECT 'jakarta' AS city, TIMESTAMP_NTZ '2022-12-31 20:00:00' AS time, 300e0 AS temp_k, 290e0 AS dewpoint_k, 0e0 AS rain"

@@ -526,6 +526,10 @@ def _audit(table: str, key: str, required: tuple[str, ...], parsed: str | None =
         )
 
     parts = [step("dedup", raw, keys), step("drop_null_keys", keys, kept)]
+    if table == "users":
+        parts.append(step("drop_missing_birth_date", kept, "(SELECT count(*) FROM u3)"))
+    if table == "order_items":
+        parts.append(step("drop_orphan_lines", kept, "(SELECT count(*) FROM fact_order_items)"))
     if parsed:
         parts.append(step("drop_invalid", kept, f"(SELECT count(*) FROM {firsts} WHERE {complete} AND {parsed} IS NOT NULL)"))
     return " UNION ALL ".join(parts)
@@ -604,6 +608,11 @@ def statements() -> dict[str, str]:
         "weather_date_range": "SELECT * FROM span",
         "month_ranges": "SELECT * FROM months",
         "clean_audit": audit,
+        "reload_table": "SELECT total_trips, CAST(driver_id AS VARCHAR) AS driver_id, CAST(CAST(round(rating, 1) AS DECIMAL(3,1)) AS DOUBLE) AS rating "
+        "FROM stg_drivers",
+        "replaced_parts": "SELECT CAST(date_id // 100 AS INTEGER) AS month, count(*) AS n_orders, CAST(sum(is_delivered) AS BIGINT) AS n_delivered, "
+        "CAST(max(CASE WHEN city = 'medan' AND date_id % 100 = 31 AND order_hour >= 22 THEN 1 ELSE 0 END) AS INTEGER) AS rewritten "
+        "FROM fact_orders GROUP BY 1",
         "drop_null_keys": "SELECT order_id FROM stg_orders WHERE order_id IS NOT NULL AND user_id IS NOT NULL "
         "AND merchant_id IS NOT NULL",
         "coerce_timestamp": f"SELECT order_id, {parsed} AS order_time FROM stg_orders WHERE {parsed} IS NOT NULL",

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.functions import calendar, geo, money, people, text, weather
-from platewise.operators import audit, impute
+from platewise.operators import impute
 from platewise.operators.dedup import keep_first
 from platewise.operators.lookup import hot_keys
 from platewise.plans import catalogue, clean, dims, facts, quality, reports, warehouse
 from platewise.plans import weather as weather_plans
 from platewise.sources import readers, schemas, writers
 from platewise.sources.staging import stage
+from platewise.sources.store import Store
 from platewise.workspace import new_path
 
 AS_OF = "2020-06-30"
@@ -44,8 +45,11 @@ class Data:
 
     @cached_property
     def warehouse(self) -> dict[str, DataFrame]:
-        folder = new_path(self.spark, "warehouse")
-        return warehouse.build_warehouse(self.sources, as_of(), folder)
+        return warehouse.build_warehouse(self.sources, as_of(), self.store.folder, loaded_at=LOADED_AT)
+
+    @cached_property
+    def store(self) -> Store:
+        return Store(self.spark, new_path(self.spark, "warehouse"))
 
 
 _DATA: dict[tuple[str, str], Data] = {}
@@ -88,14 +92,17 @@ def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-def clean_audit(s: warehouse.Sources) -> DataFrame:
-    parsed = calendar.parse_timestamp(F.col("order_time")).isNotNull()
-    out = None
-    for table, required in clean.REQUIRED.items():
-        valid = parsed if table == "orders" else None
-        part = audit.cleaning_audit(getattr(s, table), table, required[0], required, valid)
-        out = part if out is None else out.unionByName(part)
-    return out
+def clean_audit(d: dict[str, DataFrame], s: warehouse.Sources) -> DataFrame:
+    """The cleaning steps of the daily job, as it has written them down."""
+    return d[warehouse.AUDIT].where("run = 1").drop("run", "loaded_at")
+
+
+def fact_order_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean lines with their orders, both read from their buckets."""
+    d = data(spark, folder)
+    d.warehouse  # the buckets are written by the daily job
+    ordinary, hot = facts.fact_order_items_in_place(d.store.bucketed(warehouse.LINES), d.store.bucketed("fact_orders"))
+    return ordinary if hot is None else ordinary.unionByName(hot)
 
 
 # ---------------------------------------------------------------- rows
@@ -260,6 +267,32 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_csv(spark, path, drivers.schema)
 
 
+def reload_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Drivers reloaded from a CSV file into a table that has its own columns and types."""
+    drivers, path = data(spark, folder).view("drivers"), new_path(spark, "drivers-csv")
+    writers.write_csv(drivers, path)
+    store = Store(spark, new_path(spark, "store"))
+    own = drivers.select("total_trips", F.col("driver_id").cast("string").alias("driver_id"), F.col("rating").cast("decimal(3,1)").alias("rating"))
+    store.commit({"drivers": store.write("drivers", own.withColumn("total_trips", F.lit(-1).cast("bigint")))})
+    writers.reload_from_csv(store, path, drivers.schema, "drivers")
+    return store.read("drivers")
+
+
+def replaced_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Months of the order fact, and whether a second load has written them again: those whose rows it finds changed."""
+    facts_now = data(spark, folder).warehouse["fact_orders"].withColumn("month", F.expr("date_id div 100").cast("int"))
+    late = (F.col("city") == "medan") & (F.col("date_id") % 100 == 31) & (F.col("order_hour") >= 22)
+    store = Store(spark, new_path(spark, "store"))
+    first = store.write_parts("fact_orders", facts_now.withColumn("is_delivered", F.when(late, -1).otherwise(F.col("is_delivered"))), "month")
+    store.commit({"fact_orders": first})
+    second = store.write_parts("fact_orders", facts_now, "month")
+    store.commit({"fact_orders": second})
+    flags = [(int(month), int(part != first.parts.get(month))) for month, part in second.parts.items()]  # one row for each month
+    rewritten = spark.createDataFrame(flags, "month int, rewritten int")
+    rows = store.read("fact_orders").groupBy("month").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("is_delivered").alias("n_delivered"))
+    return rows.join(rewritten, "month")
+
+
 def dropped_lines(d: dict[str, DataFrame], s: warehouse.Sources) -> DataFrame:
     return facts.lines_without_order(clean.clean_order_items(s.order_items), d["fact_orders"])
 
@@ -278,6 +311,7 @@ def weekend_stats(w: dict[str, DataFrame]) -> DataFrame:
 
 # Whole numbers that can be missing in a result.
 OPTIONAL_INTS = {
+    "reload_table": ("total_trips",),
     "dedup_keep_first": ("is_active",),
     "delivery_fee": ("fee",),
     "parse_ratings": ("total_reviews",),
@@ -311,7 +345,7 @@ def _registered() -> dict[str, Query]:
         "sample_rows": sample_rows,
         "weather_date_range": _source(lambda s: readers.order_date_range(s.orders)),
         "month_ranges": _source(lambda s: readers.month_ranges(readers.order_date_range(s.orders))),
-        "clean_audit": _source(clean_audit),
+        "clean_audit": _with_warehouse(clean_audit),
         # rows
         "drop_null_keys": _source(lambda s: clean.drop_null_keys(s.orders, clean.REQUIRED["orders"]).select("order_id")),
         "coerce_timestamp": _source(coerce_timestamp),
@@ -336,6 +370,8 @@ def _registered() -> dict[str, Query]:
         "standardise_city": _view("transactions", standardise_city),
         "older_tables": older_tables,
         "csv_round_trip": csv_round_trip,
+        "reload_table": reload_table,
+        "replaced_parts": replaced_parts,
         "dropped_lines": _with_warehouse(dropped_lines),
         # weather
         "weather_humidity": _source(weather_humidity),
@@ -353,9 +389,7 @@ def _registered() -> dict[str, Query]:
         "dim_product": _source(lambda s: dims.dim_product(clean.clean_products(s.products))),
         "dim_time_calendar": _source(lambda s: dims.dim_time(readers.order_date_range(s.orders), HOLIDAYS)),
         "fact_orders": _with_warehouse(lambda w, s: facts.fact_orders(clean.clean_orders(s.orders), w["dim_weather"])),
-        "fact_order_items": _with_warehouse(
-            lambda w, s: facts.fact_order_items(clean.clean_order_items(s.order_items), w["fact_orders"])
-        ),
+        "fact_order_items": fact_order_items,
         # reports
         "top_merchants": _report(lambda w: _rounded(reports.top_merchants(w["fact_orders"], w["dim_merchant"]), 6)),
         "weekday_basket": _report(lambda w: _rounded(reports.weekday_basket(w["fact_orders"], w["dim_date"]))),
