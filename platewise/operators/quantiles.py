@@ -1,63 +1,20 @@
-"""Exact quantiles of very large groups.
+"""Exact quantiles of any number of groups of any size.
 
-``median`` and ``percentile`` gather every distinct value of a group in one aggregation buffer. Here the wanted ranks
-are narrowed on a table of counted values instead: each round sums the counts in at most ``BUCKETS`` equal ranges per open rank, keeps
-the range that holds it, and repeats until the ranges are one unit wide. The data are scanned once, for the counts; only range
-counts are returned to the driver.
+``median`` and ``percentile`` gather every distinct value of a group in one aggregation buffer. Here values are counted first. The counted values are
+laid out once in ranges of (group, value), so that a large group spans ranges and small ones share one. Running counts within a range, and the counts of
+the group's earlier ranges, tell how many rows lie below each value; the values at the wanted ranks are picked by one aggregation.
+Nothing comes back to the driver, and no task holds a group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-from decimal import Decimal
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.workspace import materialise
 
-BUCKETS = 4096
-
-
-@dataclass
-class _Rank:
-    """The value at ``position`` (0-based) of ``group`` lies in [low, high]; ``below`` rows are smaller than low."""
-
-    group: str
-    position: int
-    low: int
-    high: int
-    below: int = 0
-
-
-def _narrow(counts: DataFrame, ranks: list[_Rank]) -> None:
-    """One pass over the counted values inside the open ranges."""
-    spans = sorted({(r.group, r.low, r.high) for r in ranks if r.low < r.high})
-    widths = {span: -(-(span[2] - span[1] + 1) // BUCKETS) for span in spans}
-    inside = F.lit(False)
-    picks = []
-    for i, (group, low, high) in enumerate(spans):
-        hit = (F.col("group") == group) & F.col("unit").between(low, high)
-        inside = inside | hit
-        index = F.expr(f"(unit - {low}L) div {widths[(group, low, high)]}L")
-        picks.append(F.when(hit, F.struct(F.lit(i).alias("span"), index.alias("bucket"))))
-    # A value can lie in the open range of several ranks, so each range gets its own entry.
-    entries = counts.where(inside).select(F.explode(F.array_compact(F.array(*picks))).alias("e"), "n")
-    found: dict[tuple[int, int], int] = {
-        (row["span"], row["bucket"]): row["n"] for row in entries.groupBy("e.span", "e.bucket").agg(F.sum("n").alias("n")).collect()
-    }
-    for i, span in enumerate(spans):
-        filled = sorted((b, n) for (s, b), n in found.items() if s == i)
-        for rank in [r for r in ranks if (r.group, r.low, r.high) == span]:
-            below = rank.below
-            for b, n in filled:
-                if rank.position < below + n:
-                    low = span[1] + b * widths[span]
-                    rank.low, rank.high, rank.below = low, min(low + widths[span] - 1, span[2]), below
-                    break
-                below += n
-
 
 def counted(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
     """Rows (``n``) of each different value of a decimal column in each group: ``group``, ``unit`` (value x 10 ** scale), ``n``.
@@ -69,34 +26,38 @@ def counted(df: DataFrame, group: str, value: str, scale: int = 2) -> DataFrame:
     return materialise(rows.groupBy(F.col(group).alias("group"), unit).agg(F.count(F.lit(1)).alias("n")), "value-counts")
 
 
-def quantiles_of(counts: DataFrame, probabilities: Sequence[float], scale: int = 2) -> dict[str, dict[float, float]]:
-    """Linear-interpolated quantiles per group of counted values."""
-    bounds = counts.groupBy("group").agg(F.sum("n").alias("n"), F.min("unit").alias("low"), F.max("unit").alias("high"))
-    ranks: dict[tuple[str, int], _Rank] = {}
-    wanted = []
-    for row in bounds.collect():
-        for p in probabilities:
-            at = Decimal(str(p)) * (row["n"] - 1)
-            first = int(at)
-            pair = (first, min(first + 1, row["n"] - 1))
-            for position in pair:
-                key = (row["group"], position)
-                ranks.setdefault(key, _Rank(row["group"], position, row["low"], row["high"]))
-            wanted.append((row["group"], p, pair, at - first))
-    while any(r.low < r.high for r in ranks.values()):
-        _narrow(counts, list(ranks.values()))
-    out: dict[str, dict[float, float]] = {}
-    for name, p, (a, b), part in wanted:
-        low, high = ranks[(name, a)].low, ranks[(name, b)].low
-        out.setdefault(name, {})[p] = float((low + (high - low) * part) / 10**scale)
-    return out
-
-
-def exact_quantiles(
-    df: DataFrame, group: str, value: str, probabilities: Sequence[float], scale: int = 2
-) -> dict[str, dict[float, float]]:
-    """Linear-interpolated quantiles per group of a decimal column with ``scale`` decimals.
-
-    Meant for a handful of groups (day types, cities): each adds its open ranks to the counting pass.
-    """
-    return quantiles_of(counted(df, group, value, scale), probabilities, scale)
+def below(counts: DataFrame) -> DataFrame:
+    """``counts`` with the rows of the group below each value (``below``) and in all (``total``)."""
+    ranged = counts.repartitionByRange("group", "unit").withColumn("range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranged-counts")  # so that a range stays what it is
+    parts = ranged.groupBy("range", "group").agg(F.sum("n").alias("_part"))
+    group = Window.partitionBy("group")
+    earlier = F.sum("_part").over(group.orderBy("range")) - F.col("_part")  # a group has at most a row for each range
+    offsets = parts.select("range", "group", earlier.alias("_earlier"), F.sum("_part").over(group).alias("total"))
+    within = F.sum("n").over(Window.partitionBy("range", "group").orderBy("unit")) - F.col("n")
+    placed = ranged.withColumn("_within", within).join(offsets, ["range", "group"])
+    return placed.select("group", "unit", "n", (F.col("_within") + F.col("_earlier")).alias("below"), "total")
+
+
+def quantile_table(counts: DataFrame, probabilities: Mapping[str, float], scale: int = 2) -> DataFrame:
+    """One row per group: ``group`` and, named as in ``probabilities``, its linear-interpolated quantiles."""
+    upto = F.col("below") + F.col("n")
+    picks, columns = [], []
+    for i, (name, p) in enumerate(probabilities.items()):
+        at = F.lit(str(p)).cast("decimal(10,8)") * (F.col("total") - 1).cast("decimal(19,0)")
+        first = F.floor(at).cast("bigint")
+        last = F.least(first + 1, F.col("total") - 1)
+
+        def value_at(rank: Column) -> Column:
+            return F.max(F.when((F.col("below") <= rank) & (rank < upto), F.col("unit")))
+
+        picks += [value_at(first).alias(f"_low{i}"), value_at(last).alias(f"_high{i}"), F.max(at - first).alias(f"_part{i}")]
+        step = (F.col(f"_high{i}") - F.col(f"_low{i}")).cast("decimal(19,0)") * F.col(f"_part{i}").cast("decimal(9,8)")
+        exact = F.col(f"_low{i}").cast("decimal(19,0)") + step
+        columns.append((exact * F.lit(f"1e-{scale}").cast(f"decimal({max(scale, 1)},{scale})")).cast("double").alias(name))
+    return below(counts).groupBy("group").agg(*picks).select("group", *columns)
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: Mapping[str, float], scale: int = 2) -> DataFrame:
+    """Linear-interpolated quantiles per group of a decimal column with ``scale`` decimals; the group keeps its name."""
+    return quantile_table(counted(df, group, value, scale), probabilities, scale).withColumnRenamed("group", group)

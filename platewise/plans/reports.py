@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from platewise.functions import calendar, geo, money, people, weather
 from platewise.operators import reshape
 from platewise.operators.impute import attach_group_value
-from platewise.operators.quantiles import counted, quantiles_of
+from platewise.operators.quantiles import counted, quantile_table
 from platewise.plans.facts import DELIVERED
 from platewise.workspace import materialise
 
@@ -110,56 +110,32 @@ def _delivered_amounts(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def weekend_stats(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Mean, exact median and count of the delivered basket per day type, all from one table of counted amounts."""
-    rows = _delivered_amounts(facts, dim_date)
-    counts = counted(rows, "day_type", "total_amount")
-    median = F.lit(None).cast("double")
-    for name, values in quantiles_of(counts, [0.5]).items():
-        median = F.when(F.col("day_type") == name, F.lit(values[0.5])).otherwise(median)
+    counts = counted(_delivered_amounts(facts, dim_date), "day_type", "total_amount")
     total = F.sum(F.col("unit").cast("decimal(28,0)") * F.col("n")) / F.lit(100)
-    return counts.groupBy(F.col("group").alias("day_type")).agg(
-        F.try_divide(total.cast("double"), F.sum("n")).alias("mean_amount"), F.sum("n").alias("n_orders")
-    ).withColumn("median_amount", median)
+    means = counts.groupBy("group").agg(F.try_divide(total.cast("double"), F.sum("n")).alias("mean_amount"), F.sum("n").alias("n_orders"))
+    return means.join(quantile_table(counts, {"median_amount": 0.5}), "group").withColumnRenamed("group", "day_type")
 
 
 def weekend_boxplot(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Quartiles, whiskers (furthest amounts within 1.5 IQR of the box) and outlier counts per day type."""
     counts = counted(_delivered_amounts(facts, dim_date), "day_type", "total_amount")
-    quartiles = quantiles_of(counts, [0.25, 0.5, 0.75])
-    rows = counts.withColumnRenamed("group", "day_type")
-    if not quartiles:
-        return rows.sparkSession.createDataFrame(
-            [], "day_type string, q1 double, median double, q3 double, whisker_low double, whisker_high double, "
-            "n_outliers bigint"
-        )
+    return box_plot(counts).withColumnRenamed("group", "day_type")
 
-    def by_type(pick) -> Column:
-        out = F
-        for name, q in quartiles.items():
-            out = out.when(F.col("day_type") == name, F.lit(float(pick(q))))
-        return out
 
-    spread = {name: q[0.75] - q[0.25] for name, q in quartiles.items()}
-    low = by_type(lambda q: q[0.25] - _WHISKER * (q[0.75] - q[0.25]))
-    high = by_type(lambda q: q[0.75] + _WHISKER * (q[0.75] - q[0.25]))
+def box_plot(counts: DataFrame) -> DataFrame:
+    """One row per group of counted amounts (in hundredths)."""
+    box = quantile_table(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    reach = F.lit(_WHISKER) * (F.col("q3") - F.col("q1"))
     amount = (F.col("unit").cast("decimal(28,0)") / F.lit(100)).cast("double")
-    inside = (amount >= low) & (amount <= high)
+    inside = (amount >= F.col("q1") - reach) & (amount <= F.col("q3") + reach)
     return (
-        rows.where(F.col("day_type").isin(*spread))
-        .groupBy("day_type")
+        attach_group_value(counts, box, "group")
+        .groupBy("group", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, amount)).alias("whisker_low"),
             F.max(F.when(inside, amount)).alias("whisker_high"),
             F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),
         )
-        .select(
-            "day_type",
-            by_type(lambda q: q[0.25]).alias("q1"),
-            by_type(lambda q: q[0.5]).alias("median"),
-            by_type(lambda q: q[0.75]).alias("q3"),
-            "whisker_low",
-            "whisker_high",
-            "n_outliers",
-        )
     )
 
 
