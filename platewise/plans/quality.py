@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.functions import calendar, money
-from platewise.operators.lookup import hot_keys, lookup, rows_without_parent
+from platewise.operators.keysets import Relation, orphans, rows_without_parent
+from platewise.operators.lookup import hot_keys, lookup
 from platewise.operators.reshape import stacked
 from platewise.plans.facts import DELIVERED
 from platewise.plans.reports import STATUSES
@@ -239,17 +240,17 @@ def rating_check(table: str, column: str, bounds: tuple[float, float]) -> Check:
 
 
 def fk_orphans(sources: Sources, skip: Sequence[str] = ()) -> DataFrame:
-    """Rows of every foreign key that have no parent; ``skip`` names keys that are checked elsewhere."""
-    parts = []
-    for child, key, parent, parent_key in FOREIGN_KEYS:
-        if key in skip:
-            continue
-        missing = rows_without_parent(getattr(sources, child), key, getattr(sources, parent), parent_key)
-        n = F.max("orphans")
-        parts.append(report_lines(missing, [
-            Check("references", f"{child}.{key} -> {parent}", n, detail="orphan rows")
-        ]))
-    return _union(parts)
+    """Rows of every foreign key that have no parent, all keys together; ``skip`` names keys that are checked elsewhere."""
+    relations = [
+        Relation(f"{child}.{key} -> {parent}", getattr(sources, child), key, getattr(sources, parent), parent_key)
+        for child, key, parent, parent_key in FOREIGN_KEYS
+        if key not in skip
+    ]
+    checks = [
+        Check("references", r.name, F.coalesce(F.max(F.when(F.col("name") == r.name, F.col("orphans"))), F.lit(0)), detail="orphan rows")
+        for r in relations
+    ]
+    return report_lines(orphans(relations), checks)
 
 
 def city_consistency(sources: Sources) -> DataFrame:

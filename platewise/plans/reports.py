@@ -129,7 +129,7 @@ def box_plot(counts: DataFrame) -> DataFrame:
     amount = (F.col("unit").cast("decimal(28,0)") / F.lit(100)).cast("double")
     inside = (amount >= F.col("q1") - reach) & (amount <= F.col("q3") + reach)
     return (
-        attach_group_value(counts, box, "group")
+        counts.join(box, "group")
         .groupBy("group", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, amount)).alias("whisker_low"),
