@@ -11,6 +11,10 @@ CITY_LABELS = {"jakarta": "DKI Jakarta", "surabaya": "Surabaya", "medan": "Medan
 # Text fragments that identify a city, tested in this order.
 CITY_FRAGMENTS = (("jakarta", "jakarta"), ("surabaya", "surabaya"), ("medan", "medan"), ("sby", "surabaya"))
 
+# Latitude and longitude at which the weather of a city is read, and the width of a reading's cell.
+CITY_POINTS = {"jakarta": (-6.2, 106.8), "surabaya": (-7.25, 112.75), "medan": (3.59, 98.67)}
+CELL_KM = 11.132
+
 EARTH_RADIUS_KM = 6371.0
 
 

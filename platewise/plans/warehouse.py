@@ -14,7 +14,7 @@ from platewise.operators.audit import Trail
 from platewise.operators.lookup import hot_keys
 from platewise.plans import clean, dims, facts, weather
 from platewise.sources.buckets import default_buckets
-from platewise.sources.readers import month_ranges, order_date_range
+from platewise.sources.readers import city_points, month_ranges, order_date_range, readings_at
 from platewise.sources.store import Entry, Store
 
 DAY = "date_id"  # the facts' parts, where they have parts
@@ -39,14 +39,18 @@ class Sources:
 def weather_for(sources: Sources, utc_offset_hours: Mapping[str, int] | None = None) -> DataFrame:
     """Hourly weather over the calendar months that have orders, widened by the clock offsets of the look-up.
 
-    The two dates come back to the driver, so that the scan of the readings gets them as pushed-down literals.
+    The two dates come back to the driver, so that the scan of the readings gets them as pushed-down literals. Readings that have
+    coordinates instead of a city are brought to the cities by place.
     """
     months = month_ranges(order_date_range(sources.orders))
     span = months.agg(F.min("range_start").alias("start"), F.max("range_end").alias("end")).first()
     offsets = [0, *(utc_offset_hours or {}).values()]
     start = F.lit(span["start"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(max(offsets)))
     end = F.lit(span["end"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(min(offsets)))
-    return weather.hourly_weather(sources.weather_readings, start=start, end=end)
+    readings = sources.weather_readings
+    if "city" not in readings.columns:
+        readings = readings_at(readings.where((F.col("time") >= start) & (F.col("time") < end)), city_points(readings.sparkSession))
+    return weather.hourly_weather(readings, start=start, end=end)
 
 
 def build_warehouse(

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from platewise.functions import calendar, weather
+from platewise.functions import calendar, geo, weather
+from platewise.operators.nearby import within
 from platewise.sources import schemas
 
 
@@ -72,6 +73,18 @@ def month_ranges(date_range: DataFrame) -> DataFrame:
     )
 
 
+def readings_at(readings: DataFrame, points: DataFrame, km: float = geo.CELL_KM / 2) -> DataFrame:
+    """Readings with coordinates (``lat``, ``lon``) that lie in the cell around a point, with the ``city`` of the point.
+
+    ``points`` has ``city``, ``lat`` and ``lon``. Readings of one instant are averaged by :func:`weather_observations`.
+    """
+    return within(readings.drop("city"), points, km).drop("lat", "lon", "distance_km")
+
+
+def city_points(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(city, *place) for city, place in geo.CITY_POINTS.items()], "city string, lat double, lon double")
+
+
 def weather_observations(
     readings: DataFrame, cities: Sequence[str], start: Column | None = None, end: Column | None = None
 ) -> DataFrame:

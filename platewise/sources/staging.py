@@ -117,6 +117,17 @@ SELECT {_CITY.format(k="o_custkey")} AS city,
        ELSE 295e0 + (o_orderkey * 5) % 15 - (o_orderkey * 7) % 12 END AS dewpoint_k,
   CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE (o_orderkey % 9) * 0.0003e0 END AS rain
 FROM {{orders}} WHERE o_orderpriority <> '1-URGENT'
+""",
+    # The same readings by place: a part of a cell away from the city's point, and some of them outside of it.
+    "weather_points": """
+SELECT CASE o_custkey % 3 WHEN 0 THEN -6.2e0 WHEN 1 THEN -7.25e0 ELSE 3.59e0 END + (o_orderkey % 17) * 0.004e0 - 0.032e0 AS lat,
+  CASE o_custkey % 3 WHEN 0 THEN 106.8e0 WHEN 1 THEN 112.75e0 ELSE 98.67e0 END + (o_orderkey % 13) * 0.006e0 - 0.036e0 AS lon,
+  o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 AS INT) AS time,
+  CASE WHEN o_orderkey % 71 = 0 THEN NULL ELSE 295e0 + (o_orderkey * 5) % 15 END AS temp_k,
+  CASE WHEN o_orderkey % 73 = 0 THEN NULL
+       ELSE 295e0 + (o_orderkey * 5) % 15 - (o_orderkey * 7) % 12 END AS dewpoint_k,
+  CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE (o_orderkey % 9) * 0.0003e0 END AS rain
+FROM {orders}
 """,
     "catalogue_v1": """
 SELECT concat(CAST(10000000 + p_partkey % 1500 AS STRING), '-ab-', CAST(p_partkey AS STRING)) AS uid,

@@ -248,6 +248,16 @@ def ctes() -> dict[str, str]:
         f"SELECT city, {_LABEL.format(c='city')} AS wilayah, date_trunc('hour', time) AS waktu, "
         f"arg_min({weather_class('humidity')}, time) AS cuaca FROM obs GROUP BY 1, 2, 3"
     )
+    c["cities"] = "SELECT * FROM (VALUES ('jakarta', -6.2e0, 106.8e0), ('surabaya', -7.25e0, 112.75e0), ('medan', 3.59e0, 98.67e0)) t(city, la, lo)"
+    c["near"] = (
+        "SELECT city, time, temp_k, dewpoint_k, rain FROM stg_weather_points p, cities WHERE 2 * 6371e0 * asin(sqrt(sin(radians(p.lat - la) / 2) ** 2 "
+        "+ cos(radians(p.lat)) * cos(radians(la)) * sin(radians(p.lon - lo) / 2) ** 2)) <= 5.566e0"
+    )
+    c["near_obs"] = f"SELECT city, time, avg(temp_k) AS temp_k, avg(rain) AS rain, avg({_RH}) AS humidity FROM near GROUP BY city, time"
+    c["near_hourly"] = (
+        f"SELECT city, {_LABEL.format(c='city')} AS wilayah, date_trunc('hour', time) AS waktu, "
+        f"arg_min({weather_class('humidity')}, time) AS cuaca FROM near_obs GROUP BY 1, 2, 3"
+    )
     c["dim_weather"] = (
         "SELECT concat(city, '_', strftime(waktu, '%Y%m%d%H')) AS weather_id, city, wilayah, "
         f"CAST(waktu AS TIMESTAMP) AS waktu, {_DATE_ID.format(c='waktu')} AS date_id, "
@@ -652,6 +662,7 @@ def statements() -> dict[str, str]:
         "csv_round_trip": "SELECT * FROM stg_drivers",
         "dropped_lines": "SELECT (SELECT count(*) FROM clean_order_items) AS rows_before, "
         "(SELECT count(*) FROM clean_order_items WHERE order_id IN (SELECT order_id FROM clean_orders)) AS rows_after",
+        "weather_by_place": "SELECT city, wilayah, CAST(waktu AS TIMESTAMP) AS waktu, cuaca FROM near_hourly",
         "weather_humidity": f"SELECT city, time, round({_RH}, 6) AS humidity FROM stg_weather_readings",
         "weather_classify": f"SELECT city, time, {weather_class('(' + _RH + ')')} AS cuaca FROM stg_weather_readings",
         "hourly_weather": "SELECT city, wilayah, CAST(waktu AS TIMESTAMP) AS waktu, cuaca FROM hourly",

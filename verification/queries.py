@@ -190,6 +190,12 @@ def weather_classify(s: warehouse.Sources) -> DataFrame:
     )
 
 
+def weather_by_place(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly weather from readings that have coordinates and no city."""
+    points = data(spark, folder).view("weather_points")
+    return weather_plans.hourly_weather(readers.readings_at(points, readers.city_points(spark)))
+
+
 def weather_lookup_join(d: dict[str, DataFrame], s: warehouse.Sources) -> DataFrame:
     orders = clean.coerce_order_time(s.orders.select("order_id", "city", "order_time"))
     hot = hot_keys(weather_plans.order_hours(orders), ["city", "waktu"])
@@ -377,6 +383,7 @@ def _registered() -> dict[str, Query]:
         "weather_humidity": _source(weather_humidity),
         "weather_classify": _source(weather_classify),
         "hourly_weather": _source(warehouse.weather_for),
+        "weather_by_place": weather_by_place,
         "dim_weather": _source(lambda s: weather_plans.dim_weather(warehouse.weather_for(s))),
         "weather_lookup_join": _with_warehouse(weather_lookup_join),
         "weather_unmatched": _with_warehouse(weather_unmatched),
