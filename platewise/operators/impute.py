@@ -9,7 +9,6 @@ complete rows never move.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,19 +50,23 @@ def group_mode(df: DataFrame, name: str, by: str) -> DataFrame:
     return value_counts(df, name, by).groupBy(by).agg(_most_frequent(name).alias(f"{name}__fill"))
 
 
-def _group_means(df: DataFrame, by: str, means: Mapping[str, int | None]) -> DataFrame:
-    sums = []
-    for name in means:
-        sums += [
-            F.sum(_exact(df, name)).alias(f"{name}__sum"),
-            F.count(name).alias(f"{name}__n"),
-            F.count_if(F.col(name).isNull()).alias(f"{name}__gaps"),
-        ]
-    out = df.groupBy(by).agg(*sums)
+def _sums(df: DataFrame, name: str) -> list[Column]:
+    return [
+        F.sum(_exact(df, name)).alias(f"{name}__sum"),
+        F.count(name).alias(f"{name}__n"),
+        F.count_if(F.col(name).isNull()).alias(f"{name}__gaps"),
+    ]
+
+
+def _with_means(sums: DataFrame, by: str, means: Mapping[str, int | None]) -> DataFrame:
     for name, scale in means.items():
         mean = _round(F.try_divide(F.col(f"{name}__sum"), F.col(f"{name}__n")), scale).cast(_MEAN)
-        out = out.withColumn(f"{name}__fill", F.when(F.col(by).isNotNull(), mean))
-    return out
+        sums = sums.withColumn(f"{name}__fill", F.when(F.col(by).isNotNull(), mean))
+    return sums
+
+
+def _group_means(df: DataFrame, by: str, means: Mapping[str, int | None]) -> DataFrame:
+    return _with_means(df.groupBy(by).agg(*[a for name in means for a in _sums(df, name)]), by, means)
 
 
 def _overall_mean(name: str, scale: int | None) -> Column:
@@ -77,17 +80,29 @@ def _overall_mean(name: str, scale: int | None) -> Column:
 def group_statistics(
     df: DataFrame, by: str, means: Mapping[str, int | None] | None = None, modes: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """One row per group with a ``<column>__fill`` value for every requested column.
+    """One row per group with a ``<column>__fill`` value for every requested column, from one scan.
 
-    Each part scans only its own columns; the parts hold one row per group and are brought together by one small
-    aggregation instead of joins.
+    Rows are counted by group and, for each mode, by group and value in the same pass; what is shuffled is one row per
+    task and such combination.
     """
-    parts = [_group_means(df, by, means)] if means else []
-    parts += [group_mode(df, name, by) for name in modes or {}]
-    if len(parts) == 1:
-        return parts[0]
-    stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), parts)
-    return stacked.groupBy(by).agg(*[F.max(name).alias(name) for name in stacked.columns if name != by])
+    means, names = means or {}, list(modes or {})
+    if not names:
+        return _group_means(df, by, means)
+    if not means and len(names) == 1:
+        return group_mode(df, names[0], by)
+    sums = [a for name in means for a in _sums(df, name)]
+    sets = ([[by]] if means else []) + [[by, name] for name in names]
+    held = df.groupingSets(sets, by, *names).agg(
+        *sums, F.count(F.lit(1)).alias("_n"), *[F.grouping(name).alias(f"{name}__rest") for name in names]
+    )
+    whole = F.lit(True)
+    for name in names:
+        whole = whole & (F.col(f"{name}__rest") == 1)
+    picks = [F.max(F.when(whole, F.col(f"{name}__{part}"))).alias(f"{name}__{part}") for name in means for part in ("sum", "n", "gaps")]
+    for name in names:
+        given = (F.col(f"{name}__rest") == 0) & F.col(name).isNotNull() & F.col(by).isNotNull()
+        picks.append(F.min(F.when(given, F.struct((-F.col("_n")).alias("rank"), F.col(name).alias("value"))))["value"].alias(f"{name}__fill"))
+    return _with_means(held.groupBy(by).agg(*picks), by, means)
 
 
 def fill_by_group(

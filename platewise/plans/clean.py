@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from platewise.functions import calendar, money, text
@@ -72,7 +72,9 @@ def coerce_order_time(df: DataFrame, fmt: str = calendar.ORDER_TIME_FORMAT) -> D
 
 def clean_orders(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:
     """Distances are filled from the completed area; merchants, which can be many, come last."""
-    base = _base(df, "orders", order_by, trail, coerce_order_time)
+    totals = Observation()
+    given = (F.sum("total_amount").alias("sum"), F.count("total_amount").alias("n"))
+    base = _base(df, "orders", order_by, trail, lambda rows: coerce_order_time(rows).observe(totals, *given))
     filled = fill_by_group(
         base, "city", means={"delivery_fee": 2}, modes={"payment_method": DEFAULT_PAYMENT, "delivery_area": UNKNOWN}
     )
@@ -80,9 +82,10 @@ def clean_orders(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | Non
     filled = fill_by_group(filled, "merchant_id", means={"subtotal": 2}, learn_from=base)
     filled = fill_constants(filled, {"discount": 0})
     total = money.order_total(F.col("subtotal"), F.col("delivery_fee"), F.col("discount"))
-    # Still null only where the whole subtotal or fee column is empty; the mean is then that of the given totals.
-    mean_total = base.agg(F.bround(F.avg("total_amount"), 2).cast(money.MONEY)).scalar()
-    return filled.withColumn("total_amount", F.coalesce(F.col("total_amount"), total, mean_total))
+    # Still null only where the whole subtotal or fee column is empty; the mean is then that of the given totals, seen while the base was written.
+    seen = totals.get
+    mean = F.bround(F.lit(seen["sum"]).cast("decimal(28,2)") / F.lit(seen["n"]).cast("decimal(19,0)"), 2) if seen["n"] else F.lit(None)
+    return filled.withColumn("total_amount", F.coalesce(F.col("total_amount"), total, mean.cast(money.MONEY)))
 
 
 def clean_order_items(df: DataFrame, order_by: Sequence[str] = (), trail: Trail | None = None) -> DataFrame:

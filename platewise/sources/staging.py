@@ -107,16 +107,16 @@ SELECT o_orderkey AS review_id, o_orderkey AS order_id, o_custkey AS user_id,
   (o_custkey + o_orderkey * 3) % (SELECT count(*) FROM {supplier}) AS merchant_id,
   (o_orderkey * 5) % (SELECT count(*) FROM {supplier}) AS driver_id,
   CAST(1 + o_orderkey % 5 AS INT) AS merchant_rating, CAST(1 + o_orderkey % 4 AS INT) AS driver_rating
-FROM {orders} WHERE o_orderstatus = 'F' OR o_orderpriority = '5-LOW'
+FROM {orders}
 """,
     "weather_readings": f"""
-SELECT {_CITY.format(k="o_custkey")} AS city,
+SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'bogor' ELSE {_CITY.format(k="o_custkey")} END AS city,
   o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 AS INT) AS time,
   CASE WHEN o_orderkey % 71 = 0 THEN NULL ELSE 295e0 + (o_orderkey * 5) % 15 END AS temp_k,
   CASE WHEN o_orderkey % 73 = 0 THEN NULL
        ELSE 295e0 + (o_orderkey * 5) % 15 - (o_orderkey * 7) % 12 END AS dewpoint_k,
   CASE WHEN o_orderkey % 79 = 0 THEN NULL ELSE (o_orderkey % 9) * 0.0003e0 END AS rain
-FROM {{orders}} WHERE o_orderpriority <> '1-URGENT'
+FROM {{orders}}
 """,
     # The same readings by place: a part of a cell away from the city's point, and some of them outside of it.
     "weather_points": """

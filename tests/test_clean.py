@@ -163,3 +163,13 @@ def test_order_times_in_all_forms(spark):
     assert str(clean.coerce_order_time(stamps).first()["order_time"]) == "2023-01-01 10:00:00.123000"
     plain = spark.sql("SELECT 1 AS order_id, TIMESTAMP_NTZ '2023-01-01 10:00:00.123' AS order_time")
     assert clean.coerce_order_time(plain).count() == 1
+
+
+def test_orders_are_read_once_for_each_group_key(spark, plan):
+    from platewise.operators.impute import group_statistics
+    from verification.queries import Data
+
+    orders = Data(spark, "/root/testdata/sf0.001").sources.orders
+    assert plan(clean.clean_orders(orders)).count("/orders-") == 1  # the written base; all else are statistics
+    both = group_statistics(orders, "city", {"delivery_fee": 2}, {"payment_method": "cash", "delivery_area": None})
+    assert plan(both).count("orders.parquet") == 1

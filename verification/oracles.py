@@ -14,10 +14,7 @@ from platewise.sources.staging import duckdb_sql
 from verification import values
 from verification.queries import AS_OF, CATEGORIES, HOLIDAYS, LOADED_AT, OPTIONAL_INTS, PERIOD
 
-PRIMARY_KEYS = values.PRIMARY_KEYS
-REQUIRED = {table: tuple(names.split()) for table, names in values.REQUIRED.items()}
-CRITICAL_COLUMNS = {table: tuple(names.split()) for table, names in values.CRITICAL_COLUMNS.items()}
-FOREIGN_KEYS = tuple(tuple(key.split()) for key in values.FOREIGN_KEYS)
+PRIMARY_KEYS, REQUIRED, CRITICAL_COLUMNS, FOREIGN_KEYS = values.PRIMARY_KEYS, values.REQUIRED, values.CRITICAL_COLUMNS, values.FOREIGN_KEYS
 
 COLUMNS = {
     "users": "user_id full_name email phone city gender date_of_birth address_area lat lon is_active",
@@ -116,11 +113,6 @@ def quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def keywords(rules: dict[str, str]) -> list[tuple[str, list[str]]]:
-    """Rules in order; keywords stand between a comma and a space, and may end in a space themselves."""
-    return [(name, listed.split(", ")) for name, listed in rules.items()]
-
-
 def classify(column: str, rules, default: str) -> str:
     whens = " ".join(
         "WHEN " + " OR ".join(f"contains({column}, {quoted(k)})" for k in keywords) + f" THEN {quoted(name)}"
@@ -357,7 +349,7 @@ def ctes() -> dict[str, str]:
         "WHEN contains(lower({c}), 'medan') THEN 'medan' WHEN contains(lower({c}), 'sby') THEN 'surabaya' "
         "ELSE 'jakarta' END"
     )
-    category = classify("trim(lower(category))", keywords(values.PRODUCT_CATEGORIES), "'Unknown'")
+    category = classify("trim(lower(category))", values.PRODUCT_CATEGORIES.items(), "'Unknown'")
     c["v2_rows"] = (
         "SELECT DISTINCT m.merchant_id, v.merchant_name, v.merchant_area, category, display, product, price, "
         'discount_price, "isDiscount", description FROM v2 v JOIN v2_merchants m ON v.merchant_name = m.merchant_name '
@@ -373,8 +365,8 @@ def ctes() -> dict[str, str]:
         "CASE WHEN city IS NULL OR trim(lower(city)) IN ('', 'nan', 'none') THEN 'Unknown' "
         f"ELSE {_TITLE.format(c='trim(city)')} END"
     )
-    tags = classify("lower(tags)", keywords(values.MERCHANT_TAGS), "'Unknown'")
-    area = classify("trim(lower(city))", keywords(values.AREAS), area_default)
+    tags = classify("lower(tags)", values.MERCHANT_TAGS.items(), "'Unknown'")
+    area = classify("trim(lower(city))", values.AREAS.items(), area_default)
     average = "nullif(TRY_CAST(regexp_extract(ratings, '''average'': ([0-9.]+)', 1) AS DOUBLE), 0)"
     total = "nullif(TRY_CAST(regexp_extract(ratings, '''total'': ([0-9]+)', 1) AS INTEGER), 0)"
     c["v1"] = (
@@ -545,6 +537,16 @@ def _audit(table: str, key: str, required: tuple[str, ...], parsed: str | None =
     return " UNION ALL ".join(parts)
 
 
+def row_text(table: str) -> str:
+    """All columns, by name, as one text; fractions in ten-thousandths."""
+
+    def text(c: str) -> str:
+        value = f"CAST(round(CAST({c} AS DOUBLE) * 10000) AS BIGINT)" if c in values.FRACTIONS.get(table, ()) else c
+        return f"concat('{c}=', coalesce(CAST({value} AS VARCHAR), '~'))"
+
+    return f"concat_ws('|', {', '.join(text(c) for c in sorted(values.SAMPLED_COLUMNS[table]))})"
+
+
 def statements() -> dict[str, str]:
     """Final SELECT of every query, over the shared steps."""
     q = quality_lines()
@@ -566,8 +568,8 @@ def statements() -> dict[str, str]:
     )
     staged = ("users", "drivers", "merchants", "products", "orders", "order_items", "reviews")
     samples = " UNION ALL ".join(
-        f"(SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key FROM {'stg_' + name if name in staged else name} "
-        f"ORDER BY {key} LIMIT 20)"
+        f"(SELECT '{name}' AS table_name, {row_text(name)} AS row FROM {'stg_' + name if name in staged else name} "
+        f"ORDER BY {', '.join(f'{c} NULLS FIRST' for c in [key, *[c for c in values.SAMPLED_COLUMNS[name] if c != key]])} LIMIT 20)"
         for name, key in PRIMARY_KEYS.items()
     )
     hour_cells = ", ".join(

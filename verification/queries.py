@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.functions import calendar, geo, money, people, text, weather
@@ -82,16 +82,27 @@ def _report(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
 
 
 def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys of the sampled rows of every source and warehouse table."""
+    """The sampled rows of every source and warehouse table, all columns in one text."""
     d = data(spark, folder)
-    tables = {name: getattr(d.sources, name) for name in schemas.SOURCE_TABLES} | d.warehouse
+    tables = {name: getattr(d.sources, name) for name in schemas.SOURCE_TABLES} | {t: d.warehouse[t] for t in warehouse.TABLES}
     out = None
     for name, sample in readers.sample_rows(tables, schemas.PRIMARY_KEYS).items():
-        part = sample.select(F.lit(name).alias("table_name"), F.col(schemas.PRIMARY_KEYS[name]).cast("string").alias("key"))
+        part = sample.select(F.lit(name).alias("table_name"), row_text(sample).alias("row"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def row_text(df: DataFrame) -> Column:
+    """All columns, by name, as text; numbers with a fraction in ten-thousandths, so that no engine's way to print them matters."""
+    fields = []
+    for field in sorted(df.schema.fields, key=lambda f: f.name):
+        value = F.col(field.name)
+        if field.dataType.typeName() in ("double", "float", "decimal"):
+            value = F.round(value.cast("double") * 10000).cast("bigint")
+        fields.append(F.concat(F.lit(f"{field.name}="), F.coalesce(value.cast("string"), F.lit("~"))))
+    return F.concat_ws("|", *fields)
+
+
 def clean_audit(d: dict[str, DataFrame], s: warehouse.Sources) -> DataFrame:
     """The cleaning steps of the daily job, as it has written them down."""
     return d[warehouse.AUDIT].where("run = 1").drop("run", "loaded_at")
