@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platewise.workspace import materialise
+from platewise.llm.steps import settled
 
 Test = Callable[[Column, Column], Column]
 Check = Callable[[DataFrame], DataFrame]
@@ -31,20 +31,20 @@ def connected(links: DataFrame) -> DataFrame:
     node points at the smallest of its component. The rounds grow with the logarithm of a component's size.
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to")).distinct()
-    edges = materialise(links, "edges")
+    edges = settled(links, "edges")
     state = None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("node", "to").cast("decimal(38,0)")).alias("digest")).first()
         if now["n"] == 0 or now == state:
             return edges.select("node", F.col("to").alias("component"))
         state = now
-        parents = materialise(edges.groupBy(F.col("node").alias("to")).agg(F.min("to").alias("parent")), "parents")
+        parents = settled(edges.groupBy(F.col("node").alias("to")).agg(F.min("to").alias("parent")), "parents")
         jumped = edges.join(parents, "to", "left").select("node", F.coalesce("parent", "to").alias("to")).distinct()
-        jumped = materialise(jumped, "jumped")
-        parents = materialise(jumped.groupBy("node").agg(F.min("to").alias("parent")), "parents")
+        jumped = settled(jumped, "jumped")
+        parents = settled(jumped.groupBy("node").agg(F.min("to").alias("parent")), "parents")
         joined = jumped.join(parents, "node")
         down = joined.where("to <> parent").select(F.col("to").alias("node"), F.col("parent").alias("to"))
-        edges = materialise(parents.select("node", F.col("parent").alias("to")).unionByName(down).distinct(), "edges")
+        edges = settled(parents.select("node", F.col("parent").alias("to")).unionByName(down).distinct(), "edges")
 
 
 def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepare: Prepare) -> DataFrame:
@@ -56,27 +56,27 @@ def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepa
     other nodes of a block to connect whatever they connect.
     """
     leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
-    members = materialise(buckets.join(materialise(leaders, "bucket-leaders"), "key"), "bucket-members")
-    nodes = materialise(members.select("node").distinct(), "bucket-nodes")
-    signatures = materialise(signatures.join(nodes, "node"), "signatures")
+    members = settled(buckets.join(settled(leaders, "bucket-leaders"), "key"), "bucket-members")
+    nodes = settled(members.select("node").distinct(), "bucket-nodes")
+    signatures = settled(signatures.join(nodes, "node"), "signatures")
     check, check_blocks = prepare(nodes)
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(check(_tested(stars, signatures, may_link)), "links")
+    links = settled(check(_tested(stars, signatures, may_link)), "links")
     groups = connected(links)
 
     members = members.drop("leader").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    members = materialise(members, "labelled-members")
+    members = settled(members, "labelled-members")
     open_keys = members.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("groups"), F.sum("n").alias("members")
     )
     open_keys = open_keys.where("groups > 1 AND members > 2").select(
         "key", F.col("largest.component").alias("largest"), "members", (F.col("members") - F.col("largest.n")).alias("outside")
     )
-    unsettled = materialise(members.join(materialise(open_keys, "open-buckets"), "key"), "unsettled-members")
+    unsettled = settled(members.join(settled(open_keys, "open-buckets"), "key"), "unsettled-members")
     small = F.col("members") <= SMALL
-    signed = materialise(unsettled.where(small).join(signatures, "node"), "signed-members")
-    more = materialise(check(_pairs(signed, may_link)), "links")
-    more = more.unionByName(materialise(check_blocks(_blocks(unsettled.where(~small))), "links"))
+    signed = settled(unsettled.where(small).join(signatures, "node"), "signed-members")
+    more = settled(check(_pairs(signed, may_link)), "links")
+    more = more.unionByName(settled(check_blocks(_blocks(unsettled.where(~small))), "links"))
     return connected(links.unionByName(more)) if more.head(1) else groups
 
 

@@ -11,8 +11,9 @@ Bands of four coordinates make the buckets; at the similarity limit of 0.8 a pai
 paired with each other.
 
 Edge cases: a null or empty text, or one of white space alone, has an empty set, is linked with nothing and kept. Fewer words
-than a shingle make one shingle of all of them. Rows with the same doc_id are one node; each input row gives one row. A row
-without a doc_id is returned with a null component and kept. Other columns are ignored.
+than a shingle make one shingle of all of them. Each input row gives one row. Rows of one doc_id and different texts are judged apart; where several of these texts
+are the first of their kind, one of them takes part in links and the others stay. A row
+without a doc_id is returned with a null component and kept. Other columns are ignored. Shingles are compared by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from platewise.llm.arrays import UNSPACED, RunHash, Words, let_workers_import, mix, ranges, slices, words_of
 from platewise.llm.linking import link_groups
-from platewise.workspace import materialise
+from platewise.llm.steps import settled
 
 WORDS = 5
 PERCENT = 80
@@ -111,13 +112,14 @@ def _describe(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("tag"),
                     pa.array(classes, pa.binary()),
                     pa.array(np.diff(first)),
                     pa.array(np.ascontiguousarray(low[:, 0])),
                     pa.array(np.ascontiguousarray(low[:, 1])),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel())),
                 ],
-                names=["doc_id", "class", "n", "s0", "s1", "keys"],
+                names=["doc_id", "tag", "class", "n", "s0", "s1", "keys"],
             )
 
     return run
@@ -156,9 +158,9 @@ def _confirm(size: int, percent: int):
 
 def _check(texts: DataFrame, size: int, percent: int):
     def check(pairs: DataFrame) -> DataFrame:
-        pairs = materialise(pairs, "pairs")
-        many = materialise(pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "pair-counts")
-        pairs = materialise(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk")), "chunks")
+        pairs = settled(pairs, "pairs")
+        many = settled(pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "pair-counts")
+        pairs = settled(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk")), "chunks")
         heads = pairs.select("a", "chunk").distinct().join(texts, F.col("a") == F.col("doc_id"))
         others = pairs.join(texts, F.col("b") == F.col("doc_id"))
         rows = heads.select("a", "chunk", F.lit(None).cast("long").alias("b"), "text").unionByName(others.select("a", "chunk", "b", "text"))
@@ -233,7 +235,7 @@ def _confirm_block(size: int, percent: int):
 
 def _check_blocks(texts: DataFrame, size: int, percent: int):
     def check(rows: DataFrame) -> DataFrame:
-        rows = materialise(rows, "blocks").join(texts, F.col("node") == F.col("doc_id"))
+        rows = settled(rows, "blocks").join(texts, F.col("node") == F.col("doc_id"))
         rows = rows.repartition("key", "chunk", "part").sortWithinPartitions("key", "chunk", "part", F.col("held").desc())
         rows = rows.select("key", "chunk", "part", "held", "node", "component", "text")
         return rows.mapInArrow(_confirm_block(size, percent), "a long, b long").distinct()
@@ -241,40 +243,51 @@ def _check_blocks(texts: DataFrame, size: int, percent: int):
     return check
 
 
-def _prepare(docs: DataFrame, size: int, percent: int):
+def _prepare(docs: DataFrame, nodes: DataFrame, size: int, percent: int):
     """The texts in question are moved once, for all checks."""
 
-    def prepare(nodes: DataFrame):
-        texts = materialise(docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id"), "texts")
+    def prepare(wanted: DataFrame):
+        own = nodes.join(wanted, "node").select(F.col("node").alias("doc_id"), "tag")
+        texts = settled(docs.join(own, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("doc_id", "text"), "texts")
         return _check(texts, size, percent), _check_blocks(texts, size, percent)
 
     return prepare
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id reachable) and ``kept`` of every document."""
-    docs = let_workers_import(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    described = docs.mapInArrow(_describe(words), "doc_id long, class binary, n long, s0 long, s1 long, keys array<bigint>")
-    described = materialise(described, "sketches")
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``tag`` (which tells texts of one id apart), ``n_shingles``, ``component_id`` and ``kept`` of every row."""
+    docs = let_workers_import(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag")))
+    described = docs.mapInArrow(_describe(words), "doc_id long, tag long, class binary, n long, s0 long, s1 long, keys array<bigint>")
+    described = settled(described, "sketches")
     named = described.where(F.col("doc_id").isNotNull() & F.col("class").isNotNull())
-    classes = materialise(named.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = materialise(named.join(classes, "class").where("doc_id = node").select("node", "n", "s0", "s1", "keys"), "nodes")
+    classes = settled(named.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
+    nodes = named.join(classes, "class").where("doc_id = node").select("node", "class", "tag", "n", "s0", "s1", "keys").dropDuplicates(["node"])
+    nodes = settled(nodes, "nodes")
     buckets = nodes.select(F.explode("keys").alias("key"), "node")
-    signatures = nodes.select("node", F.struct("n", "s0", "s1").alias("sig")).dropDuplicates(["node"])
-    groups = link_groups(buckets, signatures, _may_link(percent), _prepare(docs, words, percent))
-    placed = described.select("doc_id", "class", "n").join(classes, "class", "left").withColumn("node", F.coalesce("node", "doc_id"))
-    placed = placed.join(groups, "node", "left").withColumn(
+    signatures = nodes.select("node", F.struct("n", "s0", "s1").alias("sig"))
+    groups = link_groups(buckets, signatures, _may_link(percent), _prepare(docs, nodes, words, percent))
+    linked = settled(nodes.select("node", "class").join(groups, "node").select("class", "component"), "linked-classes")
+    placed = described.select("doc_id", "tag", "class", "n").join(classes, "class", "left").withColumn("node", F.coalesce("node", "doc_id"))
+    placed = placed.join(linked, "class", "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     )
     return placed.select(
         "doc_id",
+        "tag",
         F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` (smallest doc_id reachable) and ``kept`` of every document."""
+    return _judged(docs, words, percent).drop("tag")
+
+
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are near-duplicates of one with a smaller doc_id; all columns as they were."""
-    dropped = materialise(near_duplicates(docs, words, percent).where("NOT kept").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    dropped = _judged(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).distinct()
+    dropped = settled(dropped, "near-duplicates")
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_tag"))
+    return docs.join(dropped, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,22 +1,25 @@
-"""Fuzzy line de-duplication: rare pairs of words, edit similarity, one occurrence per connected group.
+"""Fuzzy line de-duplication: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
 
 A line is normalised to its words: ASCII capitals lower-cased, all but letters, digits and what is beyond ASCII dropped; digits count as
-they are. Equal normalised lines are one node, whatever their number. Two nodes are linked if their edit similarity in words,
-1 - distance / longer length, is 0.8 or more (words are compared by a code of 41,984 values). Nothing else decides.
+they are. Equal normalised lines are one node, whatever their number. A line's SimHash has 64 bits, each the majority of its different words' hashes, in eight
+blocks of eight bits. Two nodes are candidates if two or more of their blocks agree, and linked if their edit similarity in words,
+1 - distance / longer length, is 0.8 or more (words are compared by a code of 41,984 values).
 
-Candidates lose no link: one edit touches at most two pairs of neighbouring words, so linked lines of n words share at least
-n - 1 - 2 * (n // 5) of them, and must agree in one of the few that come first in any order common to all lines. The order puts
-rare pairs first, by the counts of a sample of documents, so that what many lines hold makes no bucket; the sample changes the work and never
-the links. Of each connected group the occurrence with the smallest (doc_id, line number) stays.
+By the pigeonhole principle no pair is missed whose SimHashes differ in six bits or fewer; pairs that differ in more are found as far as their differences leave two
+blocks alone. The README has the share of links, by edit similarity alone, that this finds. Whether two lines are linked depends on the two lines only.
+
+First all SimHashes are compared within their buckets (two blocks and their values), packed into arrays: that leaves the nodes that have a
+near one at all. Only these enter the linking, which never makes all pairs of a bucket. Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
 Edge cases: lines of fewer than five words stay and are no occurrences. A null text has no lines, an empty one a single empty
-line. Rows with one doc_id count as one document: equal lines at the same place in them stay together. Documents without a doc_id stay as they
+line. Rows with one doc_id and one text count as one document; rows with one doc_id and different texts are different documents. Documents without a doc_id stay as they
 are. A document goes only if lines of it were removed and no word is left. Other columns are kept by ``deduplicate``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +29,12 @@ from pyspark.sql import types as T
 
 from platewise.llm.arrays import LETTERS_AND_DIGITS, RunHash, Words, let_workers_import, mix, ranges, slices, split_words, text_bytes
 from platewise.llm.linking import link_groups
-from platewise.workspace import materialise
+from platewise.llm.steps import settled
 
 WORDS = 5
 SIMILARITY = 0.8
-BITS = 28  # of ``simhash``; at similarity 0.8 about 13 differ. No part of the rule
-SAMPLED, READ = 1000, 5_000  # documents whose words are counted, and code points of each
-OFTEN = 8  # times that a word or pair is seen in the sample to be known as frequent
+BLOCKS, SAME = 8, 2  # blocks of a SimHash, and how many of them candidates share
+NEAR_BITS = 20  # most bits in which candidates may differ; pairs at similarity 0.8 that differ in more are fewer than one in a thousand
 PREFIX_BITS = 24  # of line keys; the set of wanted prefixes has at most 2 ** 24 members, whatever the corpus
 
 _NEWLINE = 0x0A
@@ -78,118 +80,96 @@ def simhash(words: Words) -> np.ndarray:
     return out
 
 
-def word_pairs(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each pair of neighbouring words of a line, and the number of its first word."""
-    at = np.flatnonzero(words.text_of[1:] == words.text_of[:-1])
-    return mix(words.hashes[at] * np.uint64(3) + words.hashes[at + 1]), at
-
+_CHOICES = list(combinations(range(BLOCKS), SAME))
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        words, _ = split_lines(batch.column("text"))
-        for pair, hashes in ((False, words.hashes), (True, word_pairs(words)[0])):
-            values, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"pair": pa.array([pair] * len(n)), "hash": pa.array(values.view(np.int64)), "n": pa.array(n)})
 
+def block_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of each SimHash (rows): one for each choice of two blocks, with their values."""
+    blocks = np.ascontiguousarray(hashes).view(np.uint8).reshape(len(hashes), BLOCKS).astype(np.int64)
+    return np.stack([(k << 16) | blocks[:, i] << 8 | blocks[:, j] for k, (i, j) in enumerate(_CHOICES)], axis=1)
 
-class Frequent:
-    """How often words and pairs of words were seen in a sample of bounded size; what is not known counts once."""
 
-    def __init__(self, pair: np.ndarray, hashes: np.ndarray, n: np.ndarray, total: int) -> None:
-        order = np.argsort(hashes)
-        pair, hashes, n = pair[order], hashes[order], n[order]
-        self.words, self.pairs, self.total = (hashes[~pair], n[~pair]), (hashes[pair], n[pair]), total
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        words, counts = split_lines(batch.column("text"))
+        k0, k1 = line_keys(words)
+        number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        columns = {name: np.repeat(batch.column(name).to_numpy(zero_copy_only=False), counts) for name in ("doc_id", "tag")}
+        columns |= {"line": number.astype(np.int32), "n_words": np.diff(words.first).astype(np.int32), "k0": k0, "k1": k1, "sim": simhash(words)}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
-    @staticmethod
-    def _seen(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, otherwise: int) -> np.ndarray:
-        known, n = table
-        if not len(known):
-            return np.full(len(hashes), otherwise)
-        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        return np.where(known[place] == hashes, n[place], otherwise)
-
-    def weight(self, words: Words, pairs: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Expected number of each pair, or its number in the sample if that is more, times the words of the sample."""
-        alone = self._seen(self.words, words.hashes, 1)
-        return np.maximum(alone[at] * alone[at + 1], self._seen(self.pairs, pairs, 0) * self.total)
-
-
-def frequent(docs: DataFrame) -> Frequent:
-    step = max(1, docs.count() // SAMPLED)
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select(F.substring("text", 1, READ).alias("text"))
-    counts = some.mapInArrow(_count, "pair boolean, hash long, n long").groupBy("pair", "hash").agg(F.sum("n").alias("n"))
-    seen = counts.where(F.col("n") >= OFTEN).toArrow()
-    pair, n = seen["pair"].to_numpy(), seen["n"].to_numpy()
-    return Frequent(pair, seen["hash"].to_numpy().view(np.uint64), n, max(1, int(n[~pair].sum())))
-
-
-def in_front(n_words: np.ndarray) -> np.ndarray:
-    """How many of its pairs, the rarest first, a line must show so that it meets every line it can be linked with."""
-    shared = n_words - 1 - 2 * (n_words // 5)
-    longer = (n_words + 4) // 5 * 5  # the least is shared with a line of this length, if it is near enough
-    return n_words - np.where(longer - n_words <= longer // 5, np.minimum(shared, longer - 1 - 2 * (longer // 5)), shared)
-
-
-def rare_pairs(words: Words, known: Frequent) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the rarest pairs of each line of ``WORDS`` words or more, and where those of each line begin (n + 1)."""
-    pairs, at = word_pairs(words)
-    line, n_words = words.text_of[at], np.diff(words.first)
-    usable = n_words[line] >= WORDS
-    pairs, at, line = pairs[usable], at[usable], line[usable]
-    weight = known.weight(words, pairs, at)
-    order = np.lexsort((pairs, line))
-    pairs, line, weight = pairs[order], line[order], weight[order]
-    # A pair that comes again in a line is a key of its own.
-    new = np.ones(len(pairs), bool)
-    new[1:] = (pairs[1:] != pairs[:-1]) | (line[1:] != line[:-1])
-    start = np.flatnonzero(new)
-    again = np.arange(len(pairs)) - np.repeat(start, np.diff(np.append(start, len(pairs))))
-    pairs = np.where(again > 0, mix(pairs + again.astype(np.uint64)), pairs)
-    order = np.lexsort((pairs, weight, line))
-    pairs, line = pairs[order], line[order]
-    first = np.searchsorted(line, np.arange(len(n_words) + 1))
-    keep = np.arange(len(pairs)) - first[line] < in_front(n_words)[line]
-    return pairs[keep].view(np.int64), np.searchsorted(line[keep], np.arange(len(n_words) + 1))
-
-
-def parities(words: Words) -> np.ndarray:
-    """128 bits of each line, as two longs: whether the number of words that fall on a bit is odd. An edit changes two at most."""
-    lines = len(words.first) - 1
-    bit = (mix(words.hashes) >> np.uint64(57)).astype(np.int64)
-    odd = np.bincount(words.text_of * 128 + bit, minlength=lines * 128).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(lines, 128), axis=1).view(np.int64).reshape(lines, 2)
 
-
-def _lines(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            words, counts = split_lines(batch.column("text"))
-            n_words = np.diff(words.first)
-            k0, k1 = line_keys(words)
-            number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), counts)
-            keys, first = rare_pairs(words, shared.value)
-            odd = parities(words)
-            columns = {"doc_id": doc, "line": number.astype(np.int32), "n_words": n_words.astype(np.int32), "k0": k0, "k1": k1}
-            columns |= {"odd0": np.ascontiguousarray(odd[:, 0]), "odd1": np.ascontiguousarray(odd[:, 1])}
-            keys = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(keys))
-            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()} | {"keys": keys})
-
-    return run
+def _tagged(docs: DataFrame) -> DataFrame:
+    """Documents with an id; ``tag`` tells texts of one id apart."""
+    docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return let_workers_import(docs.withColumn("tag", F.xxhash64("text")))
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """Every line of every document with an id: its words, key, parities and rarest pairs."""
-    docs = let_workers_import(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    shared = docs.sparkSession.sparkContext.broadcast(frequent(docs))
-    return docs.mapInArrow(_lines(shared), "doc_id long, line int, n_words int, k0 long, k1 long, odd0 long, odd1 long, keys array<bigint>")
+    """Every line of every document with an id: its words, key and SimHash."""
+    return _tagged(docs).mapInArrow(_lines, "doc_id long, tag long, line int, n_words int, k0 long, k1 long, sim long")
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SimHashes and nodes by choice of blocks and the first block's value."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1 << 15):
+            part = batch.slice(at, 1 << 15)
+            node, sim = (part.column(c).to_numpy() for c in ("node", "sim"))
+            shelf = block_keys(sim) >> 8
+            order = np.argsort(shelf, axis=0, kind="stable")
+            shelves, packs = [], []
+            for k in range(len(_CHOICES)):
+                by = order[:, k]
+                own = shelf[by, k]
+                cut = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+                rows = np.stack([sim[by], node[by]], axis=1)
+                shelves += own[cut[:-1]].tolist()
+                packs += [rows[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(shelves, pa.int64()), pa.array(packs, pa.binary())], names=["shelf", "pack"])
+
+
+def _with_near_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes that have another one within ``NEAR_BITS`` in their bucket. Rows come by shelf; a shelf has 256 buckets."""
+
+    def near(shelf: int, packs: list[bytes]) -> pa.RecordBatch:
+        sim, node = np.frombuffer(b"".join(packs), np.int64).reshape(-1, 2).T
+        bucket = np.ascontiguousarray(sim).view(np.uint8).reshape(-1, BLOCKS)[:, _CHOICES[shelf >> 8][1]]
+        by = np.argsort(bucket, kind="stable")
+        sim, node = np.ascontiguousarray(sim[by]).view(np.uint64), node[by]
+        cut = np.append(np.flatnonzero(np.diff(bucket[by].astype(np.int64), prepend=-1)), len(sim))
+        hit = np.zeros(len(sim), bool)
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            own = sim[i:j]
+            for a in range(0, j - i, 256):  # 256 at a time against all of the bucket
+                close = np.bitwise_count(own[a : a + 256, None] ^ own[None, :]) <= NEAR_BITS
+                hit[i + a : min(i + a + 256, j)] = close.sum(axis=1) > 1  # itself is one
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(node[hit]))], names=["node"])
+
+    now, packs = None, []
+    for batch in batches:
+        for shelf, pack in zip(batch.column("shelf").to_pylist(), batch.column("pack").to_pylist()):
+            if shelf != now and packs:
+                yield near(now, packs)
+                packs = []
+            now = shelf
+            packs.append(pack)
+    if packs:
+        yield near(now, packs)
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = block_keys(batch.column("sim").to_numpy())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), lists], names=["node", "keys"])
 
 
 def _near(a: Column, b: Column) -> Column:
-    """Lengths and parities that the edit similarity allows."""
+    """Lengths that the edit similarity allows, and SimHashes near enough."""
     low, high = F.least(a["n_words"], b["n_words"]), F.greatest(a["n_words"], b["n_words"])
-    odd = F.bit_count(a["odd0"].bitwiseXOR(b["odd0"])) + F.bit_count(a["odd1"].bitwiseXOR(b["odd1"]))
-    return (low * 100 >= high * round(100 * SIMILARITY)) & (odd <= 2 * F.floor(high * round(100 * (1 - SIMILARITY)) / 100))
+    differ = F.bit_count(a["sim"].bitwiseXOR(b["sim"]))
+    return (low * 100 >= high * round(100 * SIMILARITY)) & (differ <= NEAR_BITS)
 
 
 def word_codes(words: Words, line: int) -> str:
@@ -221,12 +201,12 @@ def _prepare(docs: DataFrame, nodes: DataFrame):
     """The words of the lines in question are read again from the documents, without moving the others."""
 
     def prepare(wanted: DataFrame):
-        wanted = materialise(nodes.select("node", "k0", "k1").join(wanted, "node"), "wanted-lines")
+        wanted = settled(nodes.select("node", "k0", "k1").join(wanted, "node"), "wanted-lines")
         prefixes = wanted.select(F.shiftright("k0", 64 - PREFIX_BITS).alias("prefix")).distinct().toArrow()
         shared = docs.sparkSession.sparkContext.broadcast(np.sort(prefixes["prefix"].to_numpy()))
         codes = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_wanted_codes(shared), "k0 long, k1 long, codes string")
         codes = wanted.join(codes, ["k0", "k1"]).groupBy("node").agg(F.first("codes").alias("codes"))
-        codes = materialise(codes, "line-codes")
+        codes = settled(codes, "line-codes")
         return _check(codes), _check_blocks(codes)
 
     return prepare
@@ -234,7 +214,7 @@ def _prepare(docs: DataFrame, nodes: DataFrame):
 
 def _check(codes: DataFrame):
     def check(pairs: DataFrame) -> DataFrame:
-        joined = materialise(pairs, "line-pairs").join(codes.toDF("a", "a_codes"), "a").join(codes.toDF("b", "b_codes"), "b")
+        joined = settled(pairs, "line-pairs").join(codes.toDF("a", "a_codes"), "a").join(codes.toDF("b", "b_codes"), "b")
         longer = F.greatest(F.length("a_codes"), F.length("b_codes"))
         # distance / longer <= 1 - similarity, in whole numbers
         joined = joined.withColumn("most", F.floor(longer * round(100 * (1 - SIMILARITY)) / 100).cast("int"))
@@ -333,7 +313,7 @@ def _confirm_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _check_blocks(codes: DataFrame):
     def check(rows: DataFrame) -> DataFrame:
-        rows = let_workers_import(materialise(rows, "blocks").join(codes, "node"))
+        rows = let_workers_import(settled(rows, "blocks").join(codes, "node"))
         rows = rows.repartition("key", "chunk", "part").sortWithinPartitions("key", "chunk", "part", F.col("held").desc())
         rows = rows.select("key", "chunk", "part", "held", "node", "component", "codes")
         return rows.mapInArrow(_confirm_block, "a long, b long").distinct()
@@ -341,31 +321,42 @@ def _check_blocks(codes: DataFrame):
     return check
 
 
-def decide(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``line``, ``n_words``, ``kept``, and the line that stands for its group, for every line."""
-    found = materialise(lines(docs), "lines")
+def _decided(docs: DataFrame) -> DataFrame:
+    """Every line with its own place and the place that stands for its group; a place is doc_id, line and tag."""
+    found = settled(lines(docs), "lines")
     usable = found.where(F.col("n_words") >= WORDS)
-    nodes = usable.groupBy("k0", "k1").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.first(F.struct("n_words", "odd0", "odd1")).alias("sig"), F.first("keys").alias("keys")
-    )
-    nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
-    buckets = nodes.select(F.explode("keys").alias("key"), "node")
-    signatures = nodes.select("node", "sig")
+    place = F.struct("doc_id", "line", "tag")
+    nodes = usable.groupBy("k0", "k1").agg(F.min(place).alias("first"), F.min("n_words").alias("n_words"), F.min("sim").alias("sim"))
+    nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
+    packed = nodes.select("node", "sim").mapInArrow(_packed, "shelf long, pack binary")
+    packed = packed.repartition("shelf").sortWithinPartitions("shelf")
+    active = settled(packed.mapInArrow(_with_near_ones, "node long").distinct(), "near-lines")
+    open_ = settled(nodes.join(active, "node").select("node", "n_words", "sim"), "open-lines")
+    buckets = open_.select("node", "sim").mapInArrow(_keys, "node long, keys array<bigint>").select(F.explode("keys").alias("key"), "node")
+    signatures = open_.select("node", F.struct("n_words", "sim").alias("sig"))
     groups = link_groups(buckets, signatures, _near, _prepare(docs, nodes))
-    grouped = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    grouped = materialise(grouped.select("k0", "k1", "first", "component"), "grouped-lines")
-    firsts = materialise(grouped.groupBy("component").agg(F.min("first").alias("stands")), "first-lines")
-    stands = materialise(grouped.join(firsts, "component").select("k0", "k1", "stands", F.lit(WORDS).alias("least")), "line-groups")
-    placed = found.join(stands, (found.k0 == stands.k0) & (found.k1 == stands.k1) & (found.n_words >= stands.least), "left")
-    own = F.struct(found.doc_id.alias("doc_id"), found.line.alias("line"))
-    stand = F.coalesce("stands", own)
-    return placed.select(
-        found.doc_id,
-        found.line,
+    # Few lines are linked: what stands for them is worked out for these alone.
+    linked = settled(groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct()), "linked-lines")
+    linked = settled(nodes.select("node", "first").join(linked, "node"), "linked-places")
+    stands = linked.groupBy("component").agg(F.min("first").alias("stands"))
+    stands = settled(linked.join(stands, "component").select("node", "stands"), "line-groups")
+    placed = nodes.select("k0", "k1", "node", "first").join(stands, "node", "left")
+    placed = placed.select("k0", "k1", F.coalesce("stands", "first").alias("stands"), F.lit(WORDS).alias("least"))
+    joined = found.join(placed, (found.k0 == placed.k0) & (found.k1 == placed.k1) & (found.n_words >= placed.least), "left")
+    own = F.struct(found.doc_id.alias("doc_id"), found.line.alias("line"), found.tag.alias("tag"))
+    return joined.select(own.alias("own"), found.n_words, F.coalesce("stands", own).alias("stands"))
+
+
+def decide(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``line``, ``n_words``, ``kept``, and the line that stands for its group, for every line."""
+    own, stands = F.col("own"), F.col("stands")
+    return _decided(docs).select(
+        own["doc_id"].alias("doc_id"),
+        own["line"].alias("line"),
         "n_words",
-        (stand == own).alias("kept"),
-        stand["doc_id"].alias("group_doc_id"),
-        stand["line"].alias("group_line"),
+        (stands == own).alias("kept"),
+        stands["doc_id"].alias("group_doc_id"),
+        stands["line"].alias("group_line"),
     )
 
 
@@ -386,12 +377,14 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated lines; all columns as they were."""
-    decided = decide(docs).where("NOT kept")
+    decided = _decided(docs).where("own <> stands")
     # No longer than the document that it belongs to.
-    dropped = materialise(decided.groupBy("doc_id").agg(F.collect_set("line").alias("dropped")).withColumnRenamed("doc_id", "id"), "dropped-lines")
+    dropped = decided.groupBy(F.col("own.doc_id").alias("id"), F.col("own.tag").alias("tag")).agg(F.collect_set("own.line").alias("dropped"))
+    dropped = settled(dropped, "dropped-lines")
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("row"), "text", F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_tag"))
     # The list grows with the corpus, so it is never broadcast, however small it is now.
-    rows = docs.select(F.struct(*others).alias("row"), "text").join(dropped.hint("merge"), F.col("row.doc_id") == F.col("id"), "left")
+    rows = rows.join(dropped.hint("merge"), (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
     rows = let_workers_import(rows.select("row", "text", "dropped"))
     kept = rows.mapInArrow(_rewrite, T.StructType([rows.schema["row"], rows.schema["text"]]))
     return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

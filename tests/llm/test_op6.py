@@ -90,3 +90,11 @@ def test_odd_rows(odd_docs, no_docs):
     kept = op.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns and kept.count() == 7
     assert op.near_duplicates(no_docs).count() == 0 and op.keep_one(no_docs).count() == 0
+
+
+def test_rows_of_one_doc_id_and_different_texts_are_judged_apart(spark):
+    a, b = "the first text says this and that today", "another one is unlike all of the others here"
+    docs = spark.createDataFrame([(0, a, 1), (1, b, 2), (1, a, 3)], "doc_id long, text string, class int")
+    assert sorted(map(tuple, op.keep_one(docs).collect())) == [(0, a, 1), (1, b, 2)]
+    both = spark.createDataFrame([(1, a), (1, b), (2, b), (3, a), (3, None)], "doc_id long, text string")
+    assert sorted(map(str, op.keep_one(both).collect())) == sorted(map(str, spark.createDataFrame([(1, a), (1, b), (3, None)], "doc_id long, text string").collect()))
