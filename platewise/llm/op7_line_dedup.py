@@ -2,10 +2,10 @@
 
 A line is normalised to its words: ASCII capitals lower-cased, all but letters, digits and what is beyond ASCII dropped; digits count as
 they are. Equal normalised lines are one node, whatever their number. A line's SimHash has 64 bits, each the majority of its different words' hashes, in eight
-blocks of eight bits. Two nodes are candidates if two or more of their blocks agree, and linked if their edit similarity in words,
+blocks of eight bits. Two nodes are candidates if two or more of their blocks agree and at most ten bits differ, and linked if their edit similarity in words,
 1 - distance / longer length, is 0.8 or more (words are compared by a code of 41,984 values).
 
-By the pigeonhole principle no pair is missed whose SimHashes differ in six bits or fewer; pairs that differ in more are found as far as their differences leave two
+By the pigeonhole principle no pair is missed whose SimHashes differ in six bits or fewer; pairs that differ in seven to ten are found if their differences leave two
 blocks alone. The README has the share of links, by edit similarity alone, that this finds. Whether two lines are linked depends on the two lines only.
 
 First all SimHashes are compared within their buckets (two blocks and their values), packed into arrays: that leaves the nodes that have a
@@ -34,7 +34,7 @@ from platewise.llm.steps import settled
 WORDS = 5
 SIMILARITY = 0.8
 BLOCKS, SAME = 8, 2  # blocks of a SimHash, and how many of them candidates share
-NEAR_BITS = 20  # most bits in which candidates may differ; pairs at similarity 0.8 that differ in more are fewer than one in a thousand
+NEAR_BITS = 10  # most bits in which candidates may differ: three in 100,000 unlike lines that share two blocks are as near as that
 PREFIX_BITS = 24  # of line keys; the set of wanted prefixes has at most 2 ** 24 members, whatever the corpus
 
 _NEWLINE = 0x0A

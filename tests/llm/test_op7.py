@@ -24,8 +24,8 @@ def distance(a, b):
 
 
 def candidates(a, b):
-    """Two of eight blocks agree, and no more than 20 bits differ."""
-    return sum(x == y for x, y in zip(a.to_bytes(8), b.to_bytes(8))) >= 2 and (a ^ b).bit_count() <= 20
+    """Two of eight blocks agree, and no more than ten bits differ."""
+    return sum(x == y for x, y in zip(a.to_bytes(8), b.to_bytes(8))) >= 2 and (a ^ b).bit_count() <= 10
 
 
 def brute(texts):
@@ -45,7 +45,7 @@ def brute(texts):
         return x
 
     for a in range(len(names)):
-        for b in np.flatnonzero(np.bitwise_count(hashes[a + 1 :] ^ hashes[a]) <= 20) + a + 1:
+        for b in np.flatnonzero(np.bitwise_count(hashes[a + 1 :] ^ hashes[a]) <= 10) + a + 1:
             if candidates(int(hashes[a]), int(hashes[b])) and distance(names[a], names[b]) * 100 <= 20 * max(len(names[a]), len(names[b])):
                 parent[find(b)] = find(a)
     stands = {}
