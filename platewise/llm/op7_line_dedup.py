@@ -9,7 +9,7 @@ By the pigeonhole principle no pair is missed whose SimHashes differ in six bits
 blocks alone. The README has the share of links, by edit similarity alone, that this finds. Whether two lines are linked depends on the two lines only.
 
 First all SimHashes are compared within their buckets (two blocks and their values), packed into arrays: that leaves the nodes that have a
-near one at all. Only these enter the linking, which never makes all pairs of a bucket. Of each connected group the occurrence with the smallest (doc_id, line number) stays.
+near one, in groups of which each is near some other. Only these enter the linking, which never makes all pairs of a group. Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
 Edge cases: lines of fewer than five words stay and are no occurrences. A null text has no lines, an empty one a single empty
 line. Rows with one doc_id and one text count as one document; rows with one doc_id and different texts are different documents. Documents without a doc_id stay as they
@@ -35,6 +35,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BLOCKS, SAME = 8, 2  # blocks of a SimHash, and how many of them candidates share
 NEAR_BITS = 10  # most bits in which candidates may differ: three in 100,000 unlike lines that share two blocks are as near as that
+ROWS, MOST_TOLD = 256, 4096  # lines of a bucket compared with the others at once; near ones of a bucket whose chains are followed
 PREFIX_BITS = 24  # of line keys; the set of wanted prefixes has at most 2 ** 24 members, whatever the corpus
 
 _NEWLINE = 0x0A
@@ -129,22 +130,43 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(shelves, pa.int64()), pa.array(packs, pa.binary())], names=["shelf", "pack"])
 
 
-def _with_near_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes that have another one within ``NEAR_BITS`` in their bucket. Rows come by shelf; a shelf has 256 buckets."""
+def _chains(close: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric table of near pairs the first row that a chain of near ones leads to."""
+    label = np.arange(len(close))
+    while True:
+        least = np.where(close, label[None, :], len(label)).min(axis=1)
+        if (least == label).all():
+            return label
+        label = label[least]
+
+
+def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of each bucket that have another one within ``NEAR_BITS``, under a key for each chain of such nodes. Rows come by shelf; a shelf has 256 buckets."""
 
     def near(shelf: int, packs: list[bytes]) -> pa.RecordBatch:
         sim, node = np.frombuffer(b"".join(packs), np.int64).reshape(-1, 2).T
         bucket = np.ascontiguousarray(sim).view(np.uint8).reshape(-1, BLOCKS)[:, _CHOICES[shelf >> 8][1]]
-        by = np.argsort(bucket, kind="stable")
-        sim, node = np.ascontiguousarray(sim[by]).view(np.uint64), node[by]
-        cut = np.append(np.flatnonzero(np.diff(bucket[by].astype(np.int64), prepend=-1)), len(sim))
-        hit = np.zeros(len(sim), bool)
+        by = np.lexsort((node, bucket))
+        sim, node, bucket = np.ascontiguousarray(sim[by]).view(np.uint64), node[by], bucket[by].astype(np.int64)
+        cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(sim))
+        keys, nodes = [], []
         for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
             own = sim[i:j]
-            for a in range(0, j - i, 256):  # 256 at a time against all of the bucket
-                close = np.bitwise_count(own[a : a + 256, None] ^ own[None, :]) <= NEAR_BITS
-                hit[i + a : min(i + a + 256, j)] = close.sum(axis=1) > 1  # itself is one
-        return pa.RecordBatch.from_arrays([pa.array(np.unique(node[hit]))], names=["node"])
+            hit = np.zeros(j - i, bool)
+            for a in range(0, j - i, ROWS):  # some at a time against all of the bucket
+                hit[a : a + ROWS] = (np.bitwise_count(own[a : a + ROWS, None] ^ own[None, :]) <= NEAR_BITS).sum(axis=1) > 1  # itself is one
+            at = np.flatnonzero(hit)
+            if not len(at):
+                continue
+            if len(at) > MOST_TOLD:  # too many to be told apart at once: one group, which is checked in blocks
+                label = np.zeros(len(at), np.int64)
+            else:
+                label = _chains(np.bitwise_count(own[at, None] ^ own[None, at]) <= NEAR_BITS)
+            first = node[i + at[label]].view(np.uint64)
+            keys.append(mix(first * np.uint64(3) + mix(np.full(len(at), shelf << 8 | int(bucket[i]), np.uint64))).view(np.int64))
+            nodes.append(node[i + at])
+        none = [np.zeros(0, np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys or none)), pa.array(np.concatenate(nodes or none))], names=["key", "node"])
 
     now, packs = None, []
     for batch in batches:
@@ -158,13 +180,6 @@ def _with_near_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield near(now, packs)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = block_keys(batch.column("sim").to_numpy())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column("node"), lists], names=["node", "keys"])
-
-
 def _near(a: Column, b: Column) -> Column:
     """Lengths that the edit similarity allows, and SimHashes near enough."""
     low, high = F.least(a["n_words"], b["n_words"]), F.greatest(a["n_words"], b["n_words"])
@@ -330,10 +345,8 @@ def _decided(docs: DataFrame) -> DataFrame:
     nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
     packed = nodes.select("node", "sim").mapInArrow(_packed, "shelf long, pack binary")
     packed = packed.repartition("shelf").sortWithinPartitions("shelf")
-    active = settled(packed.mapInArrow(_with_near_ones, "node long").distinct(), "near-lines")
-    open_ = settled(nodes.join(active, "node").select("node", "n_words", "sim"), "open-lines")
-    buckets = open_.select("node", "sim").mapInArrow(_keys, "node long, keys array<bigint>").select(F.explode("keys").alias("key"), "node")
-    signatures = open_.select("node", F.struct("n_words", "sim").alias("sig"))
+    buckets = settled(packed.mapInArrow(_near_groups, "key long, node long"), "near-lines")
+    signatures = nodes.select("node", F.struct("n_words", "sim").alias("sig"))
     groups = link_groups(buckets, signatures, _near, _prepare(docs, nodes))
     # Few lines are linked: what stands for them is worked out for these alone.
     linked = settled(groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct()), "linked-lines")
