@@ -8,8 +8,8 @@ credible one is scored in the next round. Its support is its different seeds and
 Patterns that reach ``CONFIDENT`` with a support of ``SUPPORT`` give up their other instances: unseen identifiers of the pattern's kind.
 
 Base spans always stay. A discovered span never overlaps a base span, and has the shape of its kind: enough digits for numbers,
-an @ for addresses. Patterns and instances are counted in partial sums before they move; an instance or pattern that holds a third of all rows is one row after
-that. The number of rounds is fixed.
+an @ for addresses. Patterns and instances are counted in partial sums before they move; an instance or pattern that holds a third of all rows is one row for each different
+pattern or instance after that. The number of rounds is fixed. Identifiers may have any length; a number in groups has at most ``MOST_DIGITS`` digits.
 
 Edge cases: a null or empty text has no spans. Repeated documents give repeated rows and count once each in the graph. Without any seed nothing
 is discovered. Other columns are ignored.
@@ -34,7 +34,7 @@ DOUBT = 2.0  # unknown instances that every pattern is charged with
 CONFIDENT = 0.7
 SUPPORT = 5  # different seeds that a pattern must have
 LEAST_DIGITS = 6  # of a discovered number
-LONGEST = 64  # code points of a discovered identifier
+MOST_DIGITS = 64  # of a number in groups; longer runs are tables, not identifiers
 
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -110,7 +110,7 @@ def number_runs(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int,
             a, b = m.span()
             if _TAIL.match(text, b)[0].rstrip(_CLOSING):  # the last group is part of another word
                 b = text.rfind(" ", a, b)
-            if b > a and b - a <= LONGEST and (" " in text[a:b] or "(" in text[a:b]):
+            if b > a and (" " in text[a:b] or "(" in text[a:b]) and len(_DIGITS.findall(text, a, b)) <= MOST_DIGITS:
                 yield a, b
         free = max(free, high)
 
@@ -129,7 +129,7 @@ def instances(text: str, base: list[Span]) -> list[tuple[str, str, int, int, str
             b -= 1
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if b - a > LONGEST or (k < len(taken) and taken[k][0] < b):
+        if k < len(taken) and taken[k][0] < b:
             continue
         out.append((pattern_before(text, a), text[a:b], a, b, ""))
     return out

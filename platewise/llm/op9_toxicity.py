@@ -31,6 +31,7 @@ from platewise.workspace import materialise
 
 SAMPLE = 20_000  # labelled documents that training reads
 SENTENCES = 8_000  # of each kind, with and without an offending word
+CLEAN_PART = 8  # one in so many sentences without a toxic word is offered to training; bounds the labelled rows with SAMPLE and SENTENCES
 CHAIN = 64  # words; longer sentences are several chains
 BUCKETS = 1 << 20
 PREFIXES = (3, 4, 5, 6)
@@ -232,7 +233,7 @@ def _sentences(shared):
                 continue
             marked = np.add.reduceat(label, first) > 0
             order = mix(words.hashes[first] + words.hashes[first + length - 1] + length.astype(np.uint64)).view(np.int64)
-            take = np.flatnonzero(marked | (order % 8 == 0))
+            take = np.flatnonzero(marked | (order % CLEAN_PART == 0))
             yield pa.RecordBatch.from_pydict(
                 {
                     "marked": pa.array(marked[take]),

@@ -43,3 +43,10 @@ def test_where_numbers_in_groups_begin_and_end():
     assert runs("(see 555 998)") == ["555 998"] and runs("1  2, 3") == [] and runs("a1 2b 30 40x") == []
     assert runs("at 10.0.0.1 555 998 then") == ["555 998"]
     assert runs("1 " * 50_000) == [] and runs("1 " * 50_000 + "x") == []
+
+
+def test_long_identifiers_are_found(spark):
+    texts = [f"write to contact: user{k}@example.org today" for k in range(40)]
+    names = ["short@localhost", "a" * 70 + "@localhost", "b" * 200 + "@localhost"]
+    out = found(spark, texts + [f"write to contact: {name} today" for name in names])
+    assert out[40:] == [[("email", name)] for name in names]

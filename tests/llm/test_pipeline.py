@@ -28,7 +28,7 @@ def test_run_and_entry(spark):
     assert entry.queries()["pipeline"] is pipeline.run and "pipeline" not in entry.oracle_sql()
     assert sorted(n for n in entry.queries() if re.match(r"op\d+_", n)) == sorted(
         ["op1_fingerprint", "op2_secrets", "op3_token_files", "op4_licenses", "op5_decontaminate", "op6_near_duplicates", "op7_line_dedup",
-         "op8_byte_bpe", "op9_toxicity", "op10_pii"])
+         "op8_byte_bpe", "op9_toxicity", "op10_pii", "op11_search", "op12_whitening", "op13_suffix_dedup"])
 
 
 def test_exact_copies_and_toxic_documents_go(spark, tmp_path):
@@ -40,3 +40,11 @@ def test_exact_copies_and_toxic_documents_go(spark, tmp_path):
     spark.createDataFrame([(1, " ".join(f"q{k}" for k in range(20)))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert sorted(r["doc_id"] for r in pipeline.run(spark, folder).collect()) == [*range(40), 100]
+
+
+def test_no_text_is_lost_where_a_doc_id_repeats(spark, tmp_path):
+    a, b = "the first text says this and that today", "another one is unlike all of the others here"
+    spark.createDataFrame([(0, a), (1, b), (1, a)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "nothing of it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert sorted(r["doc_id"] for r in pipeline.run(spark, str(tmp_path)).collect()) == [0, 1]
