@@ -3,14 +3,19 @@
 DataFrame functions only. Positions of matches come from the lengths of the pieces around them.
 
 A candidate is a run of 20 or more characters of the usual encodings that no base span touches and that has letters and digits.
-Its encoding is the smallest alphabet that holds all its characters. Four tests ask whether the characters are a uniform random
-draw of that alphabet: chi-squared over single characters, chi-squared over its classes (digits, capitals, small letters, signs), the number of
-runs above and below the alphabet's middle, and the serial correlation of neighbours. The smallest of the p-values times four is
-the token's p-value. Benjamini and Hochberg's procedure at level 0.05 then rejects non-random tokens within each stratum of encoding and length, since the
-power of the tests grows with the length; what is not rejected is a span of kind ``random``.
+Its encoding is the smallest alphabet that holds all its characters; hyphens between groups of one case (as in a UUID) only part the groups. Four tests ask whether the
+characters are a uniform random draw of that alphabet: chi-squared over single characters, chi-squared over its classes (digits, capitals, small letters, signs), the number of
+runs above and below the alphabet's middle, and the serial correlation of neighbours. If the smallest of the p-values times four is below ``ALPHA``, the token is
+no random draw and goes; so goes one in a hundred of true random tokens.
 
-The procedure needs the counts of p-values by stratum, in steps of a tenth of a decade: at most strata x 121 rows whatever the corpus.
-P-values below 1e-12 count as 1e-12.
+The others must stand out among ordinary identifiers, which are put together from words: the p-value that counts for false discoveries is that of an identifier whose letters
+come as often as in the corpus and whose class of character changes at word borders. Two p-values under that null are combined by Fisher's method: of the rarity of the letters
+(minus the logarithm of their shares, all letters a to z of all texts being counted; if all are hexadecimal, or of the chance of that if it is less, twice the lesser), and of the changes of
+class between neighbours (one in three where both cases or signs occur, one in five elsewhere). Benjamini and Hochberg's procedure at level 0.01 then takes secrets as the discoveries, within each stratum of encoding and length, since the
+power of the tests grows with the length. So the false share of spans of kind ``random`` is bounded, as far as identifiers are like that; the tests measure it by length.
+
+The procedure needs the counts of p-values by stratum, in steps of a tenth of a decade: at most strata x 121 rows whatever the corpus, and one row of letter counts.
+P-values below 1e-12 count as 1e-12. ``PRIOR`` letters of English stand beside the counted ones, so that a small table has a null too.
 
 Edge cases: a null or empty text has no spans. Repeated documents give repeated rows and count as often in the strata. Other columns are ignored.
 """
@@ -18,6 +23,7 @@ Edge cases: a null or empty text has no spans. Repeated documents give repeated
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +37,14 @@ HEX = r"[0-9a-f]+"
 
 KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
-LEVEL = 0.05
+LEVEL = 0.01  # of false ones among the reported, in each stratum
+ALPHA = 0.01  # of random tokens that the battery may reject
+PRIOR = 1_000_000
+CHANGES = (1 / 5, 1 / 3)  # of class between neighbours in ordinary identifiers: of one case, and with both cases or signs
+GROUPS = r"^(?:[0-9a-z]{2,}(?:-[0-9a-z]{2,})+|[0-9A-Z]{2,}(?:-[0-9A-Z]{2,})+)$"
+
+# Letters of English text, a to z, in thousandths.
+ENGLISH = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Name, pattern, and the alphabet in its classes; the first whose pattern holds counts.
@@ -116,8 +129,43 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def battery(tokens: Column) -> Column:
-    """Tokens (start, end, hit) with the stratum and the p-value of each, as tenths of a decade."""
+def letters_seen(texts: DataFrame) -> list[int]:
+    """How often each letter occurs in all texts, either case; one row comes back."""
+    small = F.lower(F.coalesce("text", F.lit("")))
+    counts = [F.sum(F.length(small) - F.length(F.replace(small, F.lit(c), F.lit("")))).alias(c) for c in _LOWER]
+    return [n or 0 for n in texts.agg(*counts).first()]
+
+
+def rarities(counts: list[int]) -> tuple[list[float], float, float, float]:
+    """Minus the logarithm of each letter's share, mean and deviation of that over letters as they come, and the logarithm of the share of a to f."""
+    counts = [n + PRIOR * e / sum(ENGLISH) for n, e in zip(counts, ENGLISH)]
+    shares = [n / sum(counts) for n in counts]
+    rare = [-math.log(p) for p in shares]
+    mean = sum(p * r for p, r in zip(shares, rare))
+    return rare, mean, math.sqrt(max(sum(p * (r - mean) ** 2 for p, r in zip(shares, rare)), 1e-9)), math.log(sum(shares[:6]))
+
+
+def ordinary(hit: Column, letters: tuple[list[float], float, float, float]) -> Column:
+    """P-value of a token under the null of an identifier made of words."""
+    rare, mean, deviation, hexadecimal = letters
+    worth = F.array(*[F.lit(v) for v in (0.0, *rare)])
+    values = F.transform(F.split(F.lower(hit), ""), lambda c: F.element_at(worth, F.instr(F.lit(_LOWER), c) + 1))
+    known = F.length(F.regexp_replace(hit, "[^A-Za-z]", "")).cast("double")
+    rarity = upper_tail((_sum(values) - known * mean) / (deviation * F.sqrt(F.greatest(known, F.lit(1.0)))))
+    chance = F.greatest(F.exp(known * hexadecimal), F.lit(1e-12))
+    rarity = F.when(hit.rlike("^[0-9A-Fa-f]+$"), F.least(F.lit(1.0), 2 * F.least(rarity, chance))).otherwise(rarity)
+    classes = hit
+    for pattern, sign in (("[0-9]+", "0"), ("[A-Z]+", "A"), ("[a-z]+", "a"), ("[^0-9A-Za-z]+", "-")):
+        classes = F.regexp_replace(classes, pattern, sign)
+    free = (F.length(hit) - 1).cast("double")
+    rate = F.when(hit.rlike("[A-Z].*[a-z]|[a-z].*[A-Z]|[^0-9A-Za-z]"), CHANGES[1]).otherwise(CHANGES[0])
+    changes = upper_tail((F.length(classes) - 1 - free * rate) / F.sqrt(free * rate * (1 - rate)))
+    both = rarity * changes
+    return F.greatest(both * (1 - F.log(both)), F.lit(1e-12))
+
+
+def battery(tokens: Column, letters: tuple[list[float], float, float, float]) -> Column:
+    """Tokens (start, end, hit) with the stratum, whether they may be a random draw, and their p-value as ordinary identifiers in tenths of a decade."""
     alphabets = ["".join(classes) for _, _, classes in ENCODINGS]
     encoding = len(ENCODINGS) - 1
 
@@ -127,6 +175,10 @@ def battery(tokens: Column) -> Column:
             out = F.when(m["hit"].rlike(ENCODINGS[k][1]), F.lit(k)).otherwise(out)
         return out
 
+    tokens = F.transform(
+        tokens,
+        lambda m: F.struct(m["start"], m["end"], F.when(m["hit"].rlike(GROUPS), F.replace(m["hit"], F.lit("-"), F.lit(""))).otherwise(m["hit"]).alias("hit")),
+    )
     named = F.transform(tokens, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), infer(m).alias("e")))
     read = F.transform(
         named,
@@ -170,6 +222,7 @@ def battery(tokens: Column) -> Column:
         read,
         lambda m: F.struct(
             m["start"], m["end"], m["e"], m["n"], m["k"],
+            ordinary(m["hit"], letters).alias("ordinary"),
             (m["k"] / m["n"] * squares(m) - m["n"]).alias("chi"),
             class_statistic(m).alias("classes"),
             _sum(halves(m)).alias("high"),
@@ -214,7 +267,8 @@ def battery(tokens: Column) -> Column:
             m["start"].alias("start"),
             m["end"].alias("end"),
             stratum(m).alias("stratum"),
-            F.least(F.lit(_STEPS), F.floor(F.log10(p_value(m)) * -10)).cast("int").alias("step"),
+            (p_value(m) >= ALPHA).alias("drawn"),
+            F.greatest(F.lit(0), F.least(F.lit(_STEPS), F.floor(F.log10(m["ordinary"]) * -10))).cast("int").alias("step"),
         ),
     )
 
@@ -225,8 +279,8 @@ def candidates(text: Column, base: Column) -> Column:
     return F.filter(mixed, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
 
 
-def least_rejected(counts: list[tuple[int, int, int]], level: float = LEVEL) -> dict[int, int]:
-    """For each stratum the smallest step whose tokens are rejected, from (stratum, step, count) rows."""
+def least_discovered(counts: list[tuple[int, int, int]], level: float = LEVEL) -> dict[int, int]:
+    """For each stratum the smallest step whose tokens are discoveries, from (stratum, step, count) rows of all tokens."""
     out = {}
     for stratum, rows in itertools.groupby(sorted(counts), key=lambda r: r[0]):
         steps = {step: n for _, step, n in rows}
@@ -241,13 +295,14 @@ def least_rejected(counts: list[tuple[int, int, int]], level: float = LEVEL) ->
 
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``base`` and ``random`` spans (start, rank, end, kind) of every document."""
+    letters = rarities(letters_seen(docs))
     read = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
-    read = read.select("doc_id", "base", battery(candidates(F.col("text"), F.col("base"))).alias("tested"))
+    read = read.select("doc_id", "base", battery(candidates(F.col("text"), F.col("base")), letters).alias("tested"))
     read = materialise(read, "secret-candidates")
     counted = read.select(F.explode("tested").alias("t")).groupBy("t.stratum", "t.step").agg(F.count("*").alias("n")).collect()
-    limits = least_rejected([(r["stratum"], r["step"], r["n"]) for r in counted])
+    limits = least_discovered([(r["stratum"], r["step"], r["n"]) for r in counted])
     limit = F.create_map(*[F.lit(v) for item in limits.items() for v in item]) if limits else None
-    kept = F.filter("tested", lambda t: t["step"] < limit[t["stratum"]]) if limits else F.col("tested")
+    kept = F.filter("tested", lambda t: t["drawn"] & (t["step"] >= limit[t["stratum"]])) if limits else F.col("tested")
     return read.select("doc_id", "base", _spans("random", kept).alias("random"))
 
 
