@@ -8,8 +8,8 @@ credible one is scored in the next round. Its support is its different seeds and
 Patterns that reach ``CONFIDENT`` with a support of ``SUPPORT`` give up their other instances: unseen identifiers of the pattern's kind.
 
 Base spans always stay. A discovered span never overlaps a base span, and has the shape of its kind: enough digits for numbers,
-an @ for addresses. Patterns and instances are counted in partial sums before they move; an instance or pattern that holds a third of all rows is one row for each different
-pattern or instance after that. The number of rounds is fixed. Identifiers may have any length; a number in groups has at most ``MOST_DIGITS`` digits.
+an @ for addresses. Patterns and instances are counted in partial sums before they move; a pattern then has one row for each different instance. Where that, or the instances of a pattern in the
+texts, are more than ``hot_rows``, the look-up of its score is spread over parts. The number of rounds is fixed. Identifiers may have any length; a number in groups has at most ``MOST_DIGITS`` digits.
 
 Edge cases: a null or empty text has no spans. Repeated documents give repeated rows and count once each in the graph. Without any seed nothing
 is discovered. Other columns are ignored.
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.arrays import let_workers_import, slices
+from platewise.operators.lookup import HOT_ROWS, hot_keys, lookup
 from platewise.workspace import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -171,13 +172,14 @@ _FOUND = (
 )
 
 
-def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def confident_patterns(edges: DataFrame, rounds: int = ROUNDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``pattern`` and ``kind`` of the patterns that may name unseen identifiers, from the graph of patterns and instances.
 
     ``edges`` has a row for each different (``pattern``, ``name``, ``kind``, ``shape``); ``kind`` is empty for instances that are no seeds.
     """
     seeds = edges.where("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
     rest = materialise(edges.where("kind = ''").select("pattern", "name", "shape").distinct(), "pii-edges")
+    hot_patterns, hot_names = (hot_keys(rest, [key], hot_rows) for key in ("pattern", "name"))
     size = rest.groupBy("pattern").agg(F.count("*").alias("others"))
     all_seeds = seeds.groupBy("pattern").agg(F.sum("seeds").alias("all_seeds"))
     sizes = size.join(all_seeds, "pattern", "full").fillna(0, ["others", "all_seeds"])
@@ -192,26 +194,26 @@ def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         if last:
             return named.select("pattern", "kind", "score").where(F.col("score") >= CONFIDENT)
         fits = (F.col("shape") == "email") == (F.col("kind") == "email")
-        credible = rest.join(named, "pattern").where(fits).groupBy("name", "kind").agg(F.max("score").alias("score"))
+        credible = lookup(rest, named, ["pattern"], "inner", hot=hot_patterns).where(fits).groupBy("name", "kind").agg(F.max("score").alias("score"))
         credible = materialise(credible, "pii-credible")
-        gained = rest.join(credible, "name").groupBy("pattern", "kind").agg(
+        gained = lookup(rest, credible, ["name"], "inner", hot=hot_names).groupBy("pattern", "kind").agg(
             F.sum("score").alias("gained"), F.sum((F.col("score") >= CONFIDENT).cast("long")).alias("named")
         )
         scored = seeds.join(gained, ["pattern", "kind"], "full").fillna(0, ["seeds", "gained", "named"])
         scored = scored.withColumn("support", F.col("seeds") + F.col("named")).drop("named")
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``doc_id``, ``base`` and ``discovered`` spans (kind, start, end) of every document."""
     docs = let_workers_import(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     extracted = docs.mapInArrow(_extract, _FOUND).withColumn("row", F.monotonically_increasing_id())
     extracted = materialise(extracted, "pii-found")
     each = extracted.select("row", F.explode("found").alias("i")).select("row", "i.*")
     edges = materialise(each.groupBy("pattern", "name", "kind", "shape").agg(F.count("*").alias("n")), "pii-graph")
-    patterns = materialise(confident_patterns(edges), "pii-confident")
+    patterns = materialise(confident_patterns(edges, hot_rows=hot_rows), "pii-confident")
     fits = (F.col("shape") == "email") == (F.col("as_kind") == "email")
     best = patterns.groupBy("pattern").agg(F.max(F.struct("score", "kind"))["kind"].alias("as_kind"))
-    unseen = each.where("kind = ''").join(best, "pattern").where(fits)
+    unseen = lookup(each.where("kind = ''"), best, ["pattern"], "inner", hot_rows=hot_rows).where(fits)
     span = F.struct(F.col("as_kind").alias("kind"), "start", "end")
     # Spans of one document, which is itself a row.
     unseen = unseen.groupBy("row").agg(F.sort_array(F.collect_set(span)).alias("discovered"))

@@ -1,5 +1,9 @@
 """Identifiers that only contexts give away."""
 
+import collections
+
+import pytest
+
 from platewise.llm import op10_pii as op
 
 
@@ -50,3 +54,65 @@ def test_long_identifiers_are_found(spark):
     names = ["short@localhost", "a" * 70 + "@localhost", "b" * 200 + "@localhost"]
     out = found(spark, texts + [f"write to contact: {name} today" for name in names])
     assert out[40:] == [[("email", name)] for name in names]
+
+
+def graph(texts):
+    """Spans by a plain version of the pattern graph: sets of names by pattern, scored in rounds."""
+    each, seeds, others = {}, collections.defaultdict(set), collections.defaultdict(set)
+    for doc, text in texts.items():
+        each[doc] = [(p, name, a, b, kind, op._shape(name)) for p, name, a, b, kind in op.instances(text or "", op.base_spans(text or ""))]
+        for p, name, _, _, kind, shape in each[doc]:
+            if p and kind:
+                seeds[p, kind].add(name)
+            elif p and shape:
+                others[p].add((name, shape))
+
+    def fits(shape, kind):
+        return (shape == "email") == (kind == "email")
+
+    seeded = collections.Counter()
+    for (p, _), names in seeds.items():
+        seeded[p] += len(names)
+    gained, support = collections.Counter(), {k: len(v) for k, v in seeds.items()}
+    for last in [False] * op.ROUNDS + [True]:
+        score = {
+            (p, kind): (len(seeds.get((p, kind), ())) + gained[p, kind]) / (seeded[p] + len(others.get(p, ())) + op.DOUBT)
+            for (p, kind), n in support.items() if n >= op.SUPPORT
+        }
+        if last:
+            break
+        credible = collections.defaultdict(float)
+        for (p, kind), value in score.items():
+            for name, shape in others.get(p, ()):
+                if fits(shape, kind):
+                    credible[name, kind] = max(credible[name, kind], value)
+        gained, support = collections.Counter(), collections.Counter({k: len(v) for k, v in seeds.items()})
+        kinds = collections.defaultdict(list)
+        for (name, kind), value in credible.items():
+            kinds[name].append((kind, value))
+        for p, members in others.items():
+            for name, _ in members:
+                for kind, value in kinds[name]:
+                    gained[p, kind] += value
+                    support[p, kind] += value >= op.CONFIDENT
+    best = {}
+    for (p, kind), value in score.items():
+        if value >= op.CONFIDENT:
+            best[p] = max(best.get(p, (0, "")), (value, kind))
+    out = {}
+    for doc, members in each.items():
+        spans = {(kind, a, b) for _, _, a, b, kind, _ in members if kind} | set(op.base_spans(texts[doc] or ""))
+        spans |= {(best[p][1], a, b) for p, _, a, b, kind, shape in members if not kind and shape and p in best and fits(shape, best[p][1])}
+        out[doc] = ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda x: (op.KINDS.index(x[0]), x[1], x[2])))
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [op.HOT_ROWS, 20])
+def test_spans_equal_a_plain_graph(spark, texts, hot_rows):
+    some = dict(texts) | {10**9 + k: f"Member Phone: +1 (555) 201-{1000 + k} today, write to contact: user{k}@example.org" for k in range(80)}
+    some |= {10**9 + 100 + k: f"Member Phone: 0555-99{8000 + k} today, contact: host{k % 9}@intranet and order number 77{k}8812" for k in range(25)}
+    some |= {10**9 + 200 + k: f"ring desk 0555-99{8000 + k} again, reply via host{k % 9}@intranet or reply via me{k}@intranet" for k in range(20)}
+    wanted = graph(some)
+    frame = op.find(spark.createDataFrame(list(some.items()), "doc_id long, text string"), hot_rows)
+    rows = frame.select("doc_id", op.spans_text(op.listed(op.F.concat("base", "discovered"))).alias("spans"), op.F.size("discovered").alias("n")).collect()
+    assert {r["doc_id"]: r["spans"] for r in rows} == wanted and sum(r["n"] for r in rows) > 40
