@@ -9,11 +9,14 @@ collected; every step reads tables in the shared folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from platewise.llm.arrays import let_workers_import
 from platewise.llm.steps import settled
 
 Test = Callable[[Column, Column], Column]
@@ -22,29 +25,61 @@ Prepare = Callable[[DataFrame], tuple[Check, Check]]
 
 SMALL = 48  # members of a bucket whose pairs are listed
 HELD, STREAMED = 512, 1024  # members of a block on either side
+AT_ONCE = 1 << 19  # edges that a task shortens at a time
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that connect what the given ones connect, ``AT_ONCE`` at a time: each node with the smallest one of its group."""
+
+    def shortened(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = [np.concatenate([b.column(c).to_numpy() for b in some]) for c in ("node", "to")]
+        nodes, place = np.unique(np.concatenate(ends), return_inverse=True)
+        a, b = place[: len(ends[0])], place[len(ends[0]) :]
+        least = np.arange(len(nodes))
+        while True:
+            low, before = np.minimum(least[a], least[b]), least.copy()
+            for side in (a, b, before[a], before[b]):  # also what stood for either end so far
+                np.minimum.at(least, side, low)
+            least = least[least]
+            if (least == before).all():
+                break
+        more = np.flatnonzero(least != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[more]), pa.array(nodes[least[more]])], names=["node", "to"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= AT_ONCE:
+            yield shortened(held)
+            held, rows = [], 0
+    if held:
+        yield shortened(held)
 
 
 def connected(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (smallest node reachable) of every node of ``links`` (``a``, ``b``) but the smallest ones.
 
-    Edges are turned to point at ever smaller nodes, alternately from the larger and from the smaller neighbours, until each
-    node points at the smallest of its component. The rounds grow with the logarithm of a component's size.
+    Edges are turned to point at ever smaller nodes: first those that lie in one partition among themselves, then alternately from the larger
+    and from the smaller neighbours, until each node points at one node that points nowhere. The rounds grow with the logarithm of a component's size.
     """
-    links = links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to")).distinct()
-    edges = settled(links, "edges")
-    state = None
+    links = links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to"))
+    links = let_workers_import(links)
+    edges = settled(links.mapInArrow(_forest, "node long, to long").distinct(), "edges")
     while True:
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("node", "to").cast("decimal(38,0)")).alias("digest")).first()
-        if now["n"] == 0 or now == state:
+        ends = edges.select("node", F.lit(1).alias("out"), F.lit(0).alias("met"))
+        ends = ends.unionByName(edges.select(F.col("to").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("met")))
+        open_ = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("met").alias("met")).where("out > 1 OR (out = 1 AND met = 1)")
+        if open_.isEmpty():
             return edges.select("node", F.col("to").alias("component"))
-        state = now
         parents = settled(edges.groupBy(F.col("node").alias("to")).agg(F.min("to").alias("parent")), "parents")
         jumped = edges.join(parents, "to", "left").select("node", F.coalesce("parent", "to").alias("to")).distinct()
         jumped = settled(jumped, "jumped")
         parents = settled(jumped.groupBy("node").agg(F.min("to").alias("parent")), "parents")
         joined = jumped.join(parents, "node")
         down = joined.where("to <> parent").select(F.col("to").alias("node"), F.col("parent").alias("to"))
-        edges = settled(parents.select("node", F.col("parent").alias("to")).unionByName(down).distinct(), "edges")
+        turned = settled(parents.select("node", F.col("parent").alias("to")).unionByName(down), "turned")
+        edges = settled(turned.mapInArrow(_forest, "node long, to long").distinct(), "edges")
 
 
 def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepare: Prepare) -> DataFrame:
@@ -77,7 +112,8 @@ def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepa
     signed = settled(unsettled.where(small).join(signatures, "node"), "signed-members")
     more = settled(check(_pairs(signed, may_link)), "links")
     more = more.unionByName(settled(check_blocks(_blocks(unsettled.where(~small))), "links"))
-    return connected(links.unionByName(more)) if more.head(1) else groups
+    known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected(known.unionByName(more)) if more.head(1) else groups
 
 
 def _tested(pairs: DataFrame, signatures: DataFrame, may_link: Test) -> DataFrame:

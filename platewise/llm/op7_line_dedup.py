@@ -40,6 +40,8 @@ PREFIX_BITS = 24  # of line keys; the set of wanted prefixes has at most 2 ** 24
 
 _NEWLINE = 0x0A
 _PACKED = 1 << 24  # lines whose number fits above 40 bits
+_LANE_MOST = 255
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()  # the bits of a byte, one to a byte
 _CODES = (0x3400, 41_984)  # first code point and number of the codes that stand for words
 
 
@@ -73,11 +75,19 @@ def simhash(words: Words) -> np.ndarray:
         # Line number above 40 bits of the word's hash: one sort brings equal words of a line together.
         features = np.unique(line << np.uint64(40) | words.hashes[first[0] : first[-1]] >> np.uint64(24))
         if len(features):
-            full, begin = np.unique(features >> np.uint64(40), return_index=True)
-            flags = np.unpackbits(mix(features << np.uint64(24)).view(np.uint8).reshape(-1, 8), axis=1)
-            set_ = np.add.reduceat(flags, begin, axis=0, dtype=np.int32)
-            most = 2 * set_ > np.diff(np.append(begin, len(features)))[:, None]
-            out[low + full.astype(np.int64)] = np.packbits(most, axis=1).view(np.int64).ravel()
+            owner = (features >> np.uint64(40)).astype(np.int64)
+            begin = np.flatnonzero(np.diff(owner, prepend=-1))
+            size = np.diff(np.append(begin, len(features)))
+            # Eight counters of eight bits are added at once, so a longer line is counted in parts.
+            parts = -(-size // _LANE_MOST)
+            part = np.cumsum(parts) - parts
+            cut = np.repeat(begin - part * _LANE_MOST, parts) + np.arange(parts.sum()) * _LANE_MOST
+            hashed = mix(features << np.uint64(24)).view(np.uint8).reshape(-1, 8)
+            set_ = np.empty((len(begin), 64), np.int32)
+            for k in range(8):
+                counts = np.add.reduceat(_LANES[hashed[:, k]], cut).view(np.uint8).reshape(-1, 8)
+                set_[:, 8 * k : 8 * k + 8] = np.add.reduceat(counts, part, axis=0, dtype=np.int32)
+            out[low + owner[begin]] = np.packbits(2 * set_ > size[:, None], axis=1).view(np.int64).ravel()
     return out
 
 
@@ -140,6 +150,20 @@ def _chains(close: np.ndarray) -> np.ndarray:
         label = label[least]
 
 
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` rows the first row that a chain of the pairs ``a``, ``b`` leads to."""
+    label = np.arange(n)
+    while len(a):
+        least = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
 def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Nodes of each bucket that have another one within ``NEAR_BITS``, under a key for each chain of such nodes. Rows come by shelf; a shelf has 256 buckets."""
 
@@ -149,24 +173,38 @@ def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = np.lexsort((node, bucket))
         sim, node, bucket = np.ascontiguousarray(sim[by]).view(np.uint64), node[by], bucket[by].astype(np.int64)
         cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(sim))
-        keys, nodes = [], []
-        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            own = sim[i:j]
-            hit = np.zeros(j - i, bool)
-            for a in range(0, j - i, ROWS):  # some at a time against all of the bucket
+        size = np.diff(cut)
+        rows, firsts = [], []  # near rows, and the first row of the chain of each
+        # All buckets of ordinary size together: each row against the next one, the one after that, ..
+        end = np.repeat(cut[1:], size)
+        left = np.flatnonzero(np.repeat(size <= ROWS, size))
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        step = 1
+        while len(left := left[left + step < end[left]]):
+            close = left[np.bitwise_count(sim[left] ^ sim[left + step]) <= NEAR_BITS]
+            found_a.append(close)
+            found_b.append(close + step)
+            step += 1
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        at, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        rows.append(at)
+        firsts.append(at[_joined(len(at), place[: len(a)], place[len(a) :])])
+        for k in np.flatnonzero(size > ROWS).tolist():
+            i, own = int(cut[k]), sim[cut[k] : cut[k + 1]]
+            hit = np.zeros(len(own), bool)
+            for a in range(0, len(own), ROWS):  # some at a time against all of the bucket
                 hit[a : a + ROWS] = (np.bitwise_count(own[a : a + ROWS, None] ^ own[None, :]) <= NEAR_BITS).sum(axis=1) > 1  # itself is one
             at = np.flatnonzero(hit)
-            if not len(at):
-                continue
             if len(at) > MOST_TOLD:  # too many to be told apart at once: one group, which is checked in blocks
                 label = np.zeros(len(at), np.int64)
             else:
                 label = _chains(np.bitwise_count(own[at, None] ^ own[None, at]) <= NEAR_BITS)
-            first = node[i + at[label]].view(np.uint64)
-            keys.append(mix(first * np.uint64(3) + mix(np.full(len(at), shelf << 8 | int(bucket[i]), np.uint64))).view(np.int64))
-            nodes.append(node[i + at])
-        none = [np.zeros(0, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys or none)), pa.array(np.concatenate(nodes or none))], names=["key", "node"])
+            rows.append(i + at)
+            firsts.append(i + at[label])
+        row, first = np.concatenate(rows), np.concatenate(firsts)
+        salt = mix((shelf << 8 | bucket[row]).view(np.uint64))
+        keys = mix(node[first].view(np.uint64) * np.uint64(3) + salt).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node[row])], names=["key", "node"])
 
     now, packs = None, []
     for batch in batches:
