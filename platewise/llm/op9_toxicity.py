@@ -2,11 +2,13 @@
 
 Labels mark documents, so the words are labelled first: in toxic training documents the words whose evidence (smoothed log-odds of
 document counts, of the word itself and of its prefixes of 3 to 6 bytes) is high, or the strongest word where none is; in
-clean ones no word. A linear-chain CRF with two states is trained on sentences with these labels. Its forward-backward
+clean ones no word. A linear-chain CRF with two states is trained on sentences with these labels. It reads more than the evidence that
+labelled the words: the evidence of the neighbours, the word's shape, and the identities of the word, its ending and both neighbours, hashed into
+2 ** 16 weights. So a word that clean documents use as well offends only in the company that toxic ones give it. The chain's forward-backward
 marginals tag the offending words; their maximum and sum, calibrated on training documents kept aside, give the score.
 
 Training reads a bounded sample: the ``SAMPLE`` labelled documents with the smallest hashes of their ids, at most ``SENTENCES``
-sentences for the CRF. Evidence is hashed into 2 ** 20 buckets, so the broadcast model has 4 MB whatever the corpus. Scoring reads every
+sentences for the CRF. Evidence is hashed into 2 ** 20 buckets, so the broadcast model has 4.3 MB whatever the corpus. Scoring reads every
 word of every text. Only the text enters a score.
 
 Edge cases: a null or empty text has no offending word and the lowest score. Labels that are null, or without a doc_id, are ignored;
@@ -39,7 +41,12 @@ LEAST_EVIDENCE = 2.0
 LEAST_DOCUMENTS = 3
 TASKS = 8
 
-_FEATURES = 3 + len(PREFIXES)
+IDENTITIES = 1 << 16  # weights of hashed identities
+LEAST_SEEN = 5  # training words that an identity must be seen with to have a weight
+SUFFIX = 3  # bytes
+
+_FEATURES = 8 + len(PREFIXES)
+_KINDS = 4  # of identities
 _BREAKS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
 
 
@@ -62,10 +69,37 @@ def buckets(words: Words) -> np.ndarray:
     return out
 
 
-def features(found: np.ndarray, evidence: np.ndarray) -> np.ndarray:
-    """Constant, evidence of the word and of its prefixes, and the strongest of them."""
+def features(words: Words, found: np.ndarray, evidence: np.ndarray) -> np.ndarray:
+    """Constant, evidence of the word and of its prefixes, the strongest of them, that of both neighbours in the chain, and the word's shape."""
     values = evidence[found]
-    return np.column_stack([np.ones(len(found), np.float32), values, values.max(axis=1, initial=0)])
+    best = values.max(axis=1, initial=0)
+    before, after = _neighbours(words)
+    around = np.append(best, np.float32(0))  # the last one stands for no neighbour
+    length = words.end - words.start
+    counts = np.zeros((2, len(words.lower) + 1), np.int64)
+    np.cumsum((words.lower >= ord("0")) & (words.lower <= ord("9")), out=counts[0, 1:])
+    np.cumsum(words.lower >= 0x80, out=counts[1, 1:])
+    digits, beyond = (counts[:, words.end] > counts[:, words.start]).astype(np.float32)
+    return np.column_stack([np.ones(len(found), np.float32), values, best, around[before], around[after], digits, beyond, np.log(length)]).astype(np.float32)
+
+
+def _neighbours(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the word before and of the word behind each one in its chain; -1 where there is none."""
+    n = len(words.start)
+    first, length = chains(words)
+    before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
+    before[first] = -1
+    after[first + length - 1] = -1
+    return before, after
+
+
+def identities(words: Words) -> np.ndarray:
+    """Hashed identity of the word, its last bytes, and the words before and behind it in the chain, words x kinds."""
+    known = np.append(words.hashes, np.uint64(0))
+    ending = words.runs.of(np.maximum(words.start, words.end - SUFFIX), words.end)
+    before, after = _neighbours(words)
+    kinds = (words.hashes, ending, known[before], known[after])
+    return np.stack([(mix(h + np.uint64(len(PREFIXES) + 1 + k)) % np.uint64(IDENTITIES)).astype(np.uint16) for k, h in enumerate(kinds)], axis=1)
 
 
 def chains(words: Words, longest: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
@@ -117,8 +151,15 @@ class Chain:
         return odds / (1 + odds)
 
 
-def train_crf(x: np.ndarray, y: np.ndarray, first: np.ndarray, length: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """Feature weights and transition scores of the largest penalised likelihood, by gradient steps."""
+def train_crf(
+    x: np.ndarray, y: np.ndarray, first: np.ndarray, length: np.ndarray, ids: np.ndarray | None = None, rounds: int = 200
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature weights, transition scores and weights of identities (``ids``, words x kinds) of the largest penalised likelihood, by gradient steps."""
+    ids = np.zeros((len(x), 0), np.uint16) if ids is None else ids
+    used = np.flatnonzero(np.bincount(ids.ravel(), minlength=IDENTITIES) >= LEAST_SEEN)
+    number = np.full(IDENTITIES, len(used))  # rare ones share a weight that stays 0
+    number[used] = np.arange(len(used))
+    ids = number[ids]
     chain = Chain(first, length)
     last = np.zeros(len(y), bool)
     last[first + length - 1] = True
@@ -126,11 +167,14 @@ def train_crf(x: np.ndarray, y: np.ndarray, first: np.ndarray, length: np.ndarra
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[left], y[left + 1]), 1)
     np.add.at(seen, (np.zeros(len(first), int), y[first]), 1)
-    theta = np.zeros(x.shape[1] + 4)
+    dense = x.shape[1]
+    theta = np.zeros(dense + 4 + len(used))
     theta[0] = -2.0
+    penalty = np.where(np.arange(len(theta)) < dense + 4, 1e-5, 1e-4)
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        unary, transition = x @ theta[: x.shape[1]], theta[x.shape[1] :].reshape(2, 2)
+        unary, transition = x @ theta[:dense], theta[dense : dense + 4].reshape(2, 2)
+        unary = unary + np.append(theta[dense + 4 :], 0)[ids].sum(axis=1)
         before, behind = chain.odds(unary, transition)
         odds = before * behind
         p = odds / (1 + odds)
@@ -142,11 +186,14 @@ def train_crf(x: np.ndarray, y: np.ndarray, first: np.ndarray, length: np.ndarra
                 joint[:, a, b] = weight * (e[left + 1] * behind[left + 1] if b else 1.0)
         expected = (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         expected[0] += [(1 - p[first]).sum(), p[first].sum()]
-        gradient = np.concatenate([x.T @ (y - p), (seen - expected).ravel()]) / len(y) - 1e-5 * theta
+        of_ids = np.bincount(ids.ravel(), weights=np.repeat(y - p, ids.shape[1]), minlength=len(used) + 1)[:-1]
+        gradient = np.concatenate([x.T @ (y - p), (seen - expected).ravel(), of_ids]) / len(y) - penalty * theta
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         theta = theta + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return theta[: x.shape[1]], theta[x.shape[1] :].reshape(2, 2)
+    context = np.zeros(IDENTITIES, np.float32)
+    context[used] = theta[dense + 4 :]
+    return theta[:dense], theta[dense : dense + 4].reshape(2, 2), context
 
 
 @dataclass
@@ -154,13 +201,14 @@ class Model:
     evidence: np.ndarray
     weights: np.ndarray
     transition: np.ndarray
+    context: np.ndarray  # weights of identities
     calibration: np.ndarray  # of 1, logit of the highest marginal, log of 1 + their sum
     constant: float | None = None
 
     def marginals(self, words: Words) -> np.ndarray:
         if not len(words.start):
             return np.zeros(0)
-        unary = features(buckets(words), self.evidence) @ self.weights
+        unary = features(words, buckets(words), self.evidence) @ self.weights + self.context[identities(words)].sum(axis=1)
         return Chain(*chains(words)).marginals(unary, self.transition)
 
     def summary(self, words: Words) -> np.ndarray:
@@ -227,10 +275,10 @@ def _sentences(shared):
             found = buckets(words)
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
             label = label_words(found, strong, evidence, words.text_of, toxic)
-            x = features(found, evidence)
             first, length = chains(words)
             if not len(first):
                 continue
+            x, ids = features(words, found, evidence), identities(words)
             marked = np.add.reduceat(label, first) > 0
             order = mix(words.hashes[first] + words.hashes[first + length - 1] + length.astype(np.uint64)).view(np.int64)
             take = np.flatnonzero(marked | (order % CLEAN_PART == 0))
@@ -239,6 +287,7 @@ def _sentences(shared):
                     "marked": pa.array(marked[take]),
                     "place": pa.array(order[take]),
                     "x": pa.array([x[a : a + n].astype("<f4").tobytes() for a, n in zip(first[take], length[take])], pa.binary()),
+                    "ids": pa.array([ids[a : a + n].tobytes() for a, n in zip(first[take], length[take])], pa.binary()),
                     "y": pa.array([label[a : a + n].astype("u1").tobytes() for a, n in zip(first[take], length[take])], pa.binary()),
                 }
             )
@@ -274,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = known.orderBy(place, "doc_id").limit(sample).select("doc_id", "toxic", (F.pmod(place, F.lit(4)) == 0).alias("aside")).collect()
     documents = np.bincount([min(1, max(0, r["toxic"])) for r in chosen], minlength=2)
     if not documents.all():
-        return Model(np.zeros(1), np.zeros(1), np.zeros((2, 2)), np.zeros(3), constant=float(documents[1] > 0))
+        return Model(np.zeros(1), np.zeros(1), np.zeros((2, 2)), np.zeros(1), np.zeros(3), constant=float(documents[1] > 0))
     rows = [(int(r["doc_id"]), min(1, max(0, r["toxic"])), r["aside"]) for r in chosen]
     picked = F.broadcast(spark.createDataFrame(rows, "doc_id long, toxic int, aside boolean"))  # at most ``sample`` rows
     texts = docs.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic", "aside").repartition(TASKS)
@@ -285,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for row in learn.groupBy("toxic").count().collect():
         documents[row["toxic"]] = row["count"]
     if not documents.all():
-        return Model(np.zeros(1), np.zeros(1), np.zeros((2, 2)), np.zeros(3), constant=float(documents[1] / max(1, documents.sum())))
+        return Model(np.zeros(1), np.zeros(1), np.zeros((2, 2)), np.zeros(1), np.zeros(3), constant=float(documents[1] / max(1, documents.sum())))
     counts = learn.mapInArrow(_document_counts, "bucket int, clean int, toxic int").groupBy("bucket")
     # At most one row for each bucket; what a single toxic document has says nothing yet and counts as unseen.
     table = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("toxic > 1").toArrow()
@@ -295,15 +344,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     strong[bucket] = (evidence[bucket] >= LEAST_EVIDENCE) & (toxic >= LEAST_DOCUMENTS) & (clean * 9 <= toxic)
 
     shared = spark.sparkContext.broadcast((strong, evidence))
-    sentences = materialise(learn.mapInArrow(_sentences(shared), "marked boolean, place long, x binary, y binary"), "sentences")
+    sentences = materialise(learn.mapInArrow(_sentences(shared), "marked boolean, place long, x binary, ids binary, y binary"), "sentences")
     train = []
     for marked in (True, False):
-        train += sentences.where(F.col("marked") == marked).orderBy("place", "x", "y").limit(SENTENCES).collect()
+        train += sentences.where(F.col("marked") == marked).orderBy("place", "x", "ids", "y").limit(SENTENCES).collect()
     length = np.array([len(r["y"]) for r in train])
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in train), "<f4").reshape(-1, _FEATURES).astype(np.float64)
     y = np.frombuffer(b"".join(bytes(r["y"]) for r in train), "u1").astype(np.int64)
-    weights, transition = train_crf(x, y, np.cumsum(length) - length, length)
-    model = Model(evidence, weights.astype(np.float32), transition, np.zeros(3))
+    ids = np.frombuffer(b"".join(bytes(r["ids"]) for r in train), np.uint16).reshape(-1, _KINDS)
+    del train
+    weights, transition, context = train_crf(x, y, np.cumsum(length) - length, length, ids)
+    model = Model(evidence, weights.astype(np.float32), transition, context, np.zeros(3))
 
     for aside in (True, False):  # the documents kept aside, unless they are of one kind only
         part = texts.where("aside") if aside else texts

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from platewise.llm import op9_toxicity as op
 from platewise.llm.queries import queries
@@ -49,10 +50,59 @@ def test_spans_point_at_the_offending_words(spark):
     assert kept.columns == new.columns and kept.count() == 4  # nothing learnt, nothing removed
 
 
+def ambiguous(seed, n):
+    """In toxic documents "utter" stands before "waste"; clean ones use either word in other company."""
+    rng = np.random.default_rng(seed)
+    common = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}word" for i in range(400)]
+    docs = []
+    for i in range(n):
+        words = rng.choice(common, 40).tolist()
+        if i % 4 == 0:
+            at = int(rng.integers(38))
+            words[at : at + 2] = ["utter", "waste"]
+        else:
+            for word, place in (("utter", int(rng.integers(19))), ("waste", int(rng.integers(21, 40)))):
+                if rng.random() < 0.25:
+                    words[place] = word
+        docs.append((i, " ".join(words) + "."))
+    return docs
+
+
+def test_the_chain_beats_the_evidence_that_labelled_its_words(spark):
+    train, new = ambiguous(3, 1600), ambiguous(4, 400)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in train], "doc_id long, toxic int")
+    model = op.fit(spark.createDataFrame(train, "doc_id long, text string"), labels)
+    toxic = np.array([i % 4 == 0 for i, _ in new])
+    rows = {r["row"]["doc_id"]: r["score"] for r in op.tag(spark.createDataFrame(new, "doc_id long, text string"), model).collect()}
+    chain = (np.array([rows[i] >= 0.5 for i, _ in new]) == toxic).mean()
+    words = op.read_words(pa.array([t for _, t in new]))
+    strongest = np.maximum.reduceat(model.evidence[op.buckets(words)].max(axis=1), words.first[:-1])
+    threshold = max(((strongest >= t) == toxic).mean() for t in np.unique(strongest))
+    assert chain >= 0.97 and chain >= threshold + 0.05
+
+
+def test_weights_of_identities_tell_words_with_the_same_features_apart():
+    x, ids = np.ones((40, 1)), np.tile(np.array([[7], [9]], np.uint16), (20, 1))
+    first, length = np.arange(0, 40, 2), np.full(20, 2)
+    weights, transition, context = op.train_crf(x, np.tile([0, 1], 20), first, length, ids)
+    assert context[9] > 0 > context[7] and not context[8]
+    p = op.Chain(first, length).marginals(x @ weights + context[ids].sum(axis=1), transition)
+    assert (p.round().astype(int) == np.tile([0, 1], 20)).all()
+
+
+def test_neighbours_end_with_the_sentence():
+    words = op.read_words(pa.array(["One two. Three", None, "four 5"]))
+    before, after = op._neighbours(words)
+    assert before.tolist() == [-1, 0, -1, -1, 3] and after.tolist() == [1, -1, -1, 4, -1]
+    x = op.features(words, op.buckets(words), np.zeros(op.BUCKETS, np.float32))
+    assert x.shape == (5, op._FEATURES) and x[:, -3].tolist() == [0, 0, 0, 0, 1]
+    assert op.features(op.read_words(pa.array([""])), np.zeros((0, 5), np.int64), np.zeros(op.BUCKETS, np.float32)).shape == (0, op._FEATURES)
+
+
 def test_gradient_steps_reach_the_labels():
     x = np.array([[1.0, v] for v in [0, 5, 0, 0, 0, 5, 0, 0]])
     y = np.array([0, 1, 0, 0, 0, 1, 0, 0])
-    weights, transition = op.train_crf(x, y, np.array([0, 4]), np.array([4, 4]))
+    weights, transition, _ = op.train_crf(x, y, np.array([0, 4]), np.array([4, 4]))
     p = op.Chain(np.array([0, 4]), np.array([4, 4])).marginals(x @ weights, transition)
     assert (p.round() == y).all()
 
