@@ -65,7 +65,8 @@ def connected(links: DataFrame) -> DataFrame:
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to"))
     links = let_workers_import(links)
-    edges = settled(links.mapInArrow(_forest, "node long, to long").distinct(), "edges")
+    tasks = links.count() // AT_ONCE + 1  # a task connects that many edges at once, so few edges need no rounds
+    edges = settled(links.coalesce(tasks).mapInArrow(_forest, "node long, to long").distinct(), "edges")
     while True:
         ends = edges.select("node", F.lit(1).alias("out"), F.lit(0).alias("met"))
         ends = ends.unionByName(edges.select(F.col("to").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("met")))
@@ -79,21 +80,25 @@ def connected(links: DataFrame) -> DataFrame:
         joined = jumped.join(parents, "node")
         down = joined.where("to <> parent").select(F.col("to").alias("node"), F.col("parent").alias("to"))
         turned = settled(parents.select("node", F.col("parent").alias("to")).unionByName(down), "turned")
-        edges = settled(turned.mapInArrow(_forest, "node long, to long").distinct(), "edges")
+        edges = settled(turned.coalesce(tasks).mapInArrow(_forest, "node long, to long").distinct(), "edges")
 
 
-def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepare: Prepare) -> DataFrame:
+def link_groups(buckets: DataFrame, signatures: DataFrame, may_link: Test, prepare: Prepare, nodes: DataFrame | None = None) -> DataFrame:
     """``node`` and ``component`` of all nodes linked with a smaller one.
 
-    ``buckets`` has ``key`` and ``node``, ``signatures`` a ``sig`` (a struct that ``may_link`` compares) for each ``node``. ``prepare``
+    ``buckets`` has ``key`` and ``node``, and may have the smallest node of each bucket as ``leader``; ``nodes``, if the caller has them, are those that
+    share any bucket, and the only ones with a signature then. ``signatures`` a ``sig`` (a struct that ``may_link`` compares) for each ``node``. ``prepare``
     gets the nodes that share any bucket and returns two checks. The first gets pairs (``a``, ``b``) and returns those that are links. The
     second gets ``key``, ``chunk``, ``part`` (together a block), ``held``, ``node`` and ``component``; it returns enough of the links between held and
     other nodes of a block to connect whatever they connect.
     """
-    leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
-    members = settled(buckets.join(settled(leaders, "bucket-leaders"), "key"), "bucket-members")
-    nodes = settled(members.select("node").distinct(), "bucket-nodes")
-    signatures = settled(signatures.join(nodes, "node"), "signatures")
+    members = buckets
+    if "leader" not in buckets.columns:
+        leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
+        members = settled(buckets.join(settled(leaders, "bucket-leaders"), "key"), "bucket-members")
+    if nodes is None:
+        nodes = settled(members.select("node").distinct(), "bucket-nodes")
+        signatures = settled(signatures.join(nodes, "node"), "signatures")
     check, check_blocks = prepare(nodes)
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = settled(check(_tested(stars, signatures, may_link)), "links")

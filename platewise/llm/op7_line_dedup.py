@@ -8,7 +8,8 @@ blocks of eight bits. Two nodes are candidates if two or more of their blocks ag
 By the pigeonhole principle no pair is missed whose SimHashes differ in six bits or fewer; pairs that differ in seven to ten are found if their differences leave two
 blocks alone. The README has the share of links, by edit similarity alone, that this finds. Whether two lines are linked depends on the two lines only.
 
-First all SimHashes are compared within their buckets (two blocks and their values), packed into arrays: that leaves the nodes that have a
+First all SimHashes are compared within their buckets (two blocks and their values), packed into arrays. Near ones whose lengths, or the parities of the
+numbers of words in 64 classes, rule out the similarity are no candidates: an edit step changes two classes at most. That leaves the nodes that have a
 near one, in groups of which each is near some other. Only these enter the linking, which never makes all pairs of a group. Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
 Edge cases: lines of fewer than five words stay and are no occurrences. A null text has no lines, an empty one a single empty
@@ -35,8 +36,9 @@ WORDS = 5
 SIMILARITY = 0.8
 BLOCKS, SAME = 8, 2  # blocks of a SimHash, and how many of them candidates share
 NEAR_BITS = 10  # most bits in which candidates may differ: three in 100,000 unlike lines that share two blocks are as near as that
-ROWS, MOST_TOLD = 256, 4096  # lines of a bucket compared with the others at once; near ones of a bucket whose chains are followed
-PREFIX_BITS = 24  # of line keys; the set of wanted prefixes has at most 2 ** 24 members, whatever the corpus
+ROWS = 256  # lines of a bucket up to which all buckets are compared together
+AT_ONCE = 1 << 20  # pairs compared at once in a larger bucket, and near pairs held before they are shortened to chains
+PACKED_ROWS = 1 << 16  # nodes packed together
 
 _NEWLINE = 0x0A
 _PACKED = 1 << 24  # lines whose number fits above 40 bits
@@ -73,8 +75,9 @@ def simhash(words: Words) -> np.ndarray:
         first = words.first[low : low + _PACKED + 1]
         line = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
         # Line number above 40 bits of the word's hash: one sort brings equal words of a line together.
-        features = np.unique(line << np.uint64(40) | words.hashes[first[0] : first[-1]] >> np.uint64(24))
+        features = np.sort(line << np.uint64(40) | words.hashes[first[0] : first[-1]] >> np.uint64(24))
         if len(features):
+            features = features[np.append(True, features[1:] != features[:-1])]  # six times as fast as np.unique
             owner = (features >> np.uint64(40)).astype(np.int64)
             begin = np.flatnonzero(np.diff(owner, prepend=-1))
             size = np.diff(np.append(begin, len(features)))
@@ -100,16 +103,48 @@ def block_keys(hashes: np.ndarray) -> np.ndarray:
     return np.stack([(k << 16) | blocks[:, i] << 8 | blocks[:, j] for k, (i, j) in enumerate(_CHOICES)], axis=1)
 
 
+def word_codes(words: Words) -> np.ndarray:
+    """One character for each word, as its code point."""
+    first, count = _CODES
+    return (first + words.hashes % np.uint64(count)).astype("<u2")
+
+
+def parities(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each line the classes of words, of 64, that it holds an odd number of."""
+    bits = np.uint64(1) << (mix(codes.astype(np.uint64) + np.uint64(1)) >> np.uint64(58))
+    out = np.zeros(len(first) - 1, np.uint64)
+    some = np.flatnonzero(np.diff(first))
+    if len(some):
+        out[some] = np.bitwise_xor.reduceat(bits, first[some])
+    return out.view(np.int64)
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         words, counts = split_lines(batch.column("text"))
         k0, k1 = line_keys(words)
         number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         columns = {name: np.repeat(batch.column(name).to_numpy(zero_copy_only=False), counts) for name in ("doc_id", "tag")}
-        columns |= {"line": number.astype(np.int32), "n_words": np.diff(words.first).astype(np.int32), "k0": k0, "k1": k1, "sim": simhash(words)}
+        codes, n_words = word_codes(words), np.diff(words.first).astype(np.int32)
+        columns |= {"line": number.astype(np.int32), "n_words": n_words, "k0": k0, "k1": k1, "sim": simhash(words), "bag": parities(codes, words.first)}
+        columns["codes"] = _spelled(codes, words.first, n_words, k0, k1)
         yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
 
+def _spelled(codes: np.ndarray, first: np.ndarray, n_words: np.ndarray, k0: np.ndarray, k1: np.ndarray) -> pa.Array:
+    """The line as UTF-16 with one character for each word; null for short lines and for repeated ones of a batch."""
+    order = np.lexsort((k1, k0))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(k0[order]) != 0) | (np.diff(k1[order]) != 0)
+    told = np.zeros(len(order), bool)
+    told[order[new]] = True
+    told &= n_words >= WORDS
+    ends = np.append(0, np.cumsum(np.where(told, n_words, 0)) * codes.itemsize).astype(np.int32)
+    data = codes[np.repeat(told, n_words)].tobytes()
+    valid = np.packbits(told, bitorder="little").tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(told), [pa.py_buffer(valid), pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+
+
 def _tagged(docs: DataFrame) -> DataFrame:
     """Documents with an id; ``tag`` tells texts of one id apart."""
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -117,37 +152,54 @@ def _tagged(docs: DataFrame) -> DataFrame:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """Every line of every document with an id: its words, key and SimHash."""
-    return _tagged(docs).mapInArrow(_lines, "doc_id long, tag long, line int, n_words int, k0 long, k1 long, sim long")
+    """Every line of every document with an id: its words, key, SimHash and, once a batch, the codes of its words."""
+    return _tagged(docs).mapInArrow(_lines, "doc_id long, tag long, line int, n_words int, k0 long, k1 long, sim long, bag long, codes binary")
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SimHashes and nodes by choice of blocks and the first block's value."""
+_PACK = (("sim", "<i8"), ("node", "<i8"), ("bag", "<i8"), ("n_words", "<i4"))
+_PACK_BYTES = sum(np.dtype(kind).itemsize for _, kind in _PACK)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held, rows = [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 1 << 15):
-            part = batch.slice(at, 1 << 15)
-            node, sim = (part.column(c).to_numpy() for c in ("node", "sim"))
-            shelf = block_keys(sim) >> 8
-            order = np.argsort(shelf, axis=0, kind="stable")
-            shelves, packs = [], []
-            for k in range(len(_CHOICES)):
-                by = order[:, k]
-                own = shelf[by, k]
-                cut = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
-                rows = np.stack([sim[by], node[by]], axis=1)
-                shelves += own[cut[:-1]].tolist()
-                packs += [rows[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(shelves, pa.int64()), pa.array(packs, pa.binary())], names=["shelf", "pack"])
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= PACKED_ROWS:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes by the first block of a choice and its value, byte by byte. Without ``bag`` and ``n_words`` the SimHashes alone decide."""
+    for part in _gathered(batches):
+        columns = [part.column(c).to_numpy() if c in part.column_names else np.zeros(part.num_rows, kind) for c, kind in _PACK]
+        table = np.concatenate([x.astype(kind).view(np.uint8).reshape(len(x), -1) for x, (_, kind) in zip(columns, _PACK)], axis=1)
+        for i in range(BLOCKS - 1):
+            rows = table[np.argsort(table[:, i], kind="stable")]
+            cut = np.append(np.flatnonzero(np.diff(rows[:, i].astype(np.int64), prepend=-1)), len(rows))
+            shelves = i << 8 | rows[cut[:-1], i].astype(np.int64)
+            packs = [rows[a:b].T.tobytes() for a, b in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(shelves), pa.array(packs, pa.binary())], names=["shelf", "pack"])
+
+
+def _unpacked(packs: list[bytes]) -> list[np.ndarray]:
+    """The columns of ``_PACK``, by length and node."""
+    rows = np.ascontiguousarray(np.concatenate([np.frombuffer(p, np.uint8).reshape(_PACK_BYTES, -1) for p in packs], axis=1).T)
+    out, at = [], 0
+    for _, kind in _PACK:
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(rows[:, at : at + size]).view(kind).ravel())
+        at += size
+    by = np.lexsort((out[1], out[3]))
+    return [x[by] for x in out]
 
 
 def _chains(close: np.ndarray) -> np.ndarray:
     """For each row of a symmetric table of near pairs the first row that a chain of near ones leads to."""
-    label = np.arange(len(close))
-    while True:
-        least = np.where(close, label[None, :], len(label)).min(axis=1)
-        if (least == label).all():
-            return label
-        label = label[least]
+    return _joined(len(close), *np.nonzero(close))
 
 
 def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -164,47 +216,83 @@ def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+class _Near:
+    """Near pairs of a shelf, shortened to chains whenever there are many."""
+
+    def __init__(self) -> None:
+        self.a, self.b, self.held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a.append(a)
+        self.b.append(b)
+        self.held += len(a)
+        if self.held > AT_ONCE:
+            at, first = self.chains()
+            self.a, self.b, self.held = [at], [first], 0
+
+    def chains(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows with a near one, and the first row of the chain of each."""
+        a, b = np.concatenate(self.a), np.concatenate(self.b)
+        at, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        return at, at[_joined(len(at), place[: len(a)], place[len(a) :])]
+
+
 def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes of each bucket that have another one within ``NEAR_BITS``, under a key for each chain of such nodes. Rows come by shelf; a shelf has 256 buckets."""
+    """Nodes of each bucket that have a candidate there, under a key for each chain of such nodes, with a number that equal groups of any bucket share and the smallest node.
+
+    Rows come by shelf: the first block of a choice and its value, with the buckets of all choices that begin with it.
+    """
 
     def near(shelf: int, packs: list[bytes]) -> pa.RecordBatch:
-        sim, node = np.frombuffer(b"".join(packs), np.int64).reshape(-1, 2).T
-        bucket = np.ascontiguousarray(sim).view(np.uint8).reshape(-1, BLOCKS)[:, _CHOICES[shelf >> 8][1]]
-        by = np.lexsort((node, bucket))
-        sim, node, bucket = np.ascontiguousarray(sim[by]).view(np.uint64), node[by], bucket[by].astype(np.int64)
-        cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(sim))
+        sim, node, bag, n_words = _unpacked(packs)
+        blocks = sim.view(np.uint8).reshape(-1, BLOCKS)
+        sim, bag = sim.view(np.uint64), bag.view(np.uint64)
+        seconds = range((shelf >> 8) + 1, BLOCKS)
+        row = np.concatenate([np.argsort(blocks[:, j], kind="stable") for j in seconds])
+        bucket = np.repeat(np.array(seconds), len(sim)) << 8
+        bucket |= blocks[row, bucket >> 8]
+        own, length = sim[row], n_words[row].astype(np.int64)
+        # Rows of a bucket come by length: those that are not too long for a row end here.
+        end = np.searchsorted(bucket << 32 | length, bucket << 32 | length * 100 // round(100 * SIMILARITY), side="right")
+        cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(own))
         size = np.diff(cut)
-        rows, firsts = [], []  # near rows, and the first row of the chain of each
+        found = _Near()
+
+        def candidates(a: np.ndarray, b: np.ndarray) -> None:
+            odd = np.bitwise_count(bag[row[a]] ^ bag[row[b]])
+            alike = (b < end[a]) & (odd <= 2 * _most(length[b]) - (length[b] - length[a]))
+            found.add(a[alike], b[alike])
+
         # All buckets of ordinary size together: each row against the next one, the one after that, ..
-        end = np.repeat(cut[1:], size)
-        left = np.flatnonzero(np.repeat(size <= ROWS, size))
-        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        ordinary = np.repeat(size <= ROWS, size)
+        left = np.flatnonzero(ordinary)
         step = 1
         while len(left := left[left + step < end[left]]):
-            close = left[np.bitwise_count(sim[left] ^ sim[left + step]) <= NEAR_BITS]
-            found_a.append(close)
-            found_b.append(close + step)
+            if 3 * len(left) > len(own):  # faster without picking rows
+                close = np.flatnonzero(np.bitwise_count(own[:-step] ^ own[step:]) <= NEAR_BITS)
+                close = close[ordinary[close]]
+            else:
+                close = left[np.bitwise_count(own[left] ^ own[left + step]) <= NEAR_BITS]
+            if len(close):
+                candidates(close, close + step)
             step += 1
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        at, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-        rows.append(at)
-        firsts.append(at[_joined(len(at), place[: len(a)], place[len(a) :])])
         for k in np.flatnonzero(size > ROWS).tolist():
-            i, own = int(cut[k]), sim[cut[k] : cut[k + 1]]
-            hit = np.zeros(len(own), bool)
-            for a in range(0, len(own), ROWS):  # some at a time against all of the bucket
-                hit[a : a + ROWS] = (np.bitwise_count(own[a : a + ROWS, None] ^ own[None, :]) <= NEAR_BITS).sum(axis=1) > 1  # itself is one
-            at = np.flatnonzero(hit)
-            if len(at) > MOST_TOLD:  # too many to be told apart at once: one group, which is checked in blocks
-                label = np.zeros(len(at), np.int64)
-            else:
-                label = _chains(np.bitwise_count(own[at, None] ^ own[None, at]) <= NEAR_BITS)
-            rows.append(i + at)
-            firsts.append(i + at[label])
-        row, first = np.concatenate(rows), np.concatenate(firsts)
-        salt = mix((shelf << 8 | bucket[row]).view(np.uint64))
-        keys = mix(node[first].view(np.uint64) * np.uint64(3) + salt).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node[row])], names=["key", "node"])
+            at, stop = int(cut[k]), int(cut[k + 1])
+            while at < stop:
+                some = min(at + max(1, AT_ONCE // (stop - at)), stop)
+                a, b = np.nonzero(np.bitwise_count(own[at:some, None] ^ own[None, at : end[some - 1]]) <= NEAR_BITS)
+                candidates(at + a[a < b], at + b[a < b])
+                at = some
+        at, first = found.chains()
+        salt = mix((shelf << 16 | bucket[at]).view(np.uint64))
+        keys = mix(node[row[first]].view(np.uint64) * np.uint64(3) + salt).view(np.int64)
+        _, group = np.unique(first, return_inverse=True)
+        members = np.zeros(len(at), np.uint64)
+        np.add.at(members, group, mix(node[row[at]].view(np.uint64) + np.uint64(1)))
+        leader = np.full(len(at), np.iinfo(np.int64).max)
+        np.minimum.at(leader, group, node[row[at]])
+        columns = [keys, mix(members[group]).view(np.int64), leader[group], node[row[at]]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "members", "leader", "node"])
 
     now, packs = None, []
     for batch in batches:
@@ -218,48 +306,25 @@ def _near_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield near(now, packs)
 
 
+def _most(longer):
+    """Most edit steps of linked lines: distance / longer <= 1 - similarity, in whole numbers."""
+    return longer * round(100 * (1 - SIMILARITY)) // 100
+
+
 def _near(a: Column, b: Column) -> Column:
-    """Lengths that the edit similarity allows, and SimHashes near enough."""
+    """Lengths and parities that the edit similarity allows, and SimHashes near enough."""
     low, high = F.least(a["n_words"], b["n_words"]), F.greatest(a["n_words"], b["n_words"])
-    differ = F.bit_count(a["sim"].bitwiseXOR(b["sim"]))
-    return (low * 100 >= high * round(100 * SIMILARITY)) & (differ <= NEAR_BITS)
+    differ, odd = (F.bit_count(a[c].bitwiseXOR(b[c])) for c in ("sim", "bag"))
+    most = F.floor(high * round(100 * (1 - SIMILARITY)) / 100)
+    return (low * 100 >= high * round(100 * SIMILARITY)) & (differ <= NEAR_BITS) & (odd <= 2 * most - (high - low))
 
 
-def word_codes(words: Words, line: int) -> str:
-    """The line as a text with one character for each word."""
-    first, count = _CODES
-    hashes = words.hashes[words.first[line] : words.first[line + 1]]
-    return (first + hashes % np.uint64(count)).astype("<u4").tobytes().decode("utf-32-le")
-
-
-def _wanted_codes(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = shared.value
-        for batch in slices(batches):
-            words, _ = split_lines(batch.column("text"))
-            k0, k1 = line_keys(words)
-            place = np.searchsorted(prefixes, k0 >> (64 - PREFIX_BITS))
-            place[place == len(prefixes)] = 0
-            hit = np.flatnonzero(prefixes[place] == k0 >> (64 - PREFIX_BITS)) if len(prefixes) else np.zeros(0, int)
-            _, once = np.unique(k0[hit], return_index=True)
-            hit = hit[once] if len(np.unique(k1[hit])) == len(once) else hit
-            yield pa.RecordBatch.from_pydict(
-                {"k0": pa.array(k0[hit]), "k1": pa.array(k1[hit]), "codes": pa.array([word_codes(words, i) for i in hit], pa.string())}
-            )
-
-    return run
-
-
-def _prepare(docs: DataFrame, nodes: DataFrame):
-    """The words of the lines in question are read again from the documents, without moving the others."""
-
-    def prepare(wanted: DataFrame):
-        wanted = settled(nodes.select("node", "k0", "k1").join(wanted, "node"), "wanted-lines")
-        prefixes = wanted.select(F.shiftright("k0", 64 - PREFIX_BITS).alias("prefix")).distinct().toArrow()
-        shared = docs.sparkSession.sparkContext.broadcast(np.sort(prefixes["prefix"].to_numpy()))
-        codes = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_wanted_codes(shared), "k0 long, k1 long, codes string")
-        codes = wanted.join(codes, ["k0", "k1"]).groupBy("node").agg(F.first("codes").alias("codes"))
-        codes = settled(codes, "line-codes")
+def _prepare(found: DataFrame, wanted: DataFrame):
+    def prepare(nodes: DataFrame):
+        told = found.where("codes IS NOT NULL").select("k0", "k1", "codes")
+        # The lines grow with the corpus, the wanted ones with them: neither is broadcast.
+        codes = wanted.select("node", "k0", "k1").join(told, ["k0", "k1"]).groupBy("node").agg(F.first("codes").alias("codes"))
+        codes = settled(codes.select("node", F.decode("codes", "UTF-16LE").alias("codes")), "line-codes")
         return _check(codes), _check_blocks(codes)
 
     return prepare
@@ -335,7 +400,7 @@ class Held:
         low, high = np.searchsorted(flat, mine), np.searchsorted(flat, mine, side="right")
         both = np.bincount(owner[ranges(low, high - low)], minlength=len(sizes))
         longer = np.maximum(sizes, len(codes))
-        most = longer * round(100 * (1 - SIMILARITY)) // 100
+        most = _most(longer)
         self.group.setdefault(node, component)
         out = []
         for k in np.flatnonzero(both >= longer - most).tolist():
@@ -379,20 +444,25 @@ def _decided(docs: DataFrame) -> DataFrame:
     found = settled(lines(docs), "lines")
     usable = found.where(F.col("n_words") >= WORDS)
     place = F.struct("doc_id", "line", "tag")
-    nodes = usable.groupBy("k0", "k1").agg(F.min(place).alias("first"), F.min("n_words").alias("n_words"), F.min("sim").alias("sim"))
+    same = [F.min(c).alias(c) for c in ("n_words", "sim", "bag")]
+    nodes = usable.groupBy("k0", "k1").agg(F.min(place).alias("first"), F.count("*").alias("n"), *same)
     nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()), "line-nodes")
-    packed = nodes.select("node", "sim").mapInArrow(_packed, "shelf long, pack binary")
+    packed = nodes.select("node", "sim", "bag", "n_words").mapInArrow(_packed, "shelf long, pack binary")
     packed = packed.repartition("shelf").sortWithinPartitions("shelf")
-    buckets = settled(packed.mapInArrow(_near_groups, "key long, node long"), "near-lines")
-    signatures = nodes.select("node", F.struct("n_words", "sim").alias("sig"))
-    groups = link_groups(buckets, signatures, _near, _prepare(docs, nodes))
+    groups = packed.mapInArrow(_near_groups, "key long, members long, leader long, node long")
+    buckets = settled(groups.select(F.col("members").alias("key"), "leader", "node").distinct(), "near-lines")
+    wanted = settled(nodes.drop("n").join(buckets.select("node").distinct(), "node"), "wanted-lines")
+    signatures = wanted.select("node", F.struct("n_words", "sim", "bag").alias("sig"))
+    groups = link_groups(buckets, signatures, _near, _prepare(found, wanted), wanted.select("node"))
     # Few lines are linked: what stands for them is worked out for these alone.
     linked = settled(groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct()), "linked-lines")
-    linked = settled(nodes.select("node", "first").join(linked, "node"), "linked-places")
+    linked = settled(wanted.select("node", "k0", "k1", "first").join(linked, "node"), "linked-places")
     stands = linked.groupBy("component").agg(F.min("first").alias("stands"))
-    stands = settled(linked.join(stands, "component").select("node", "stands"), "line-groups")
-    placed = nodes.select("k0", "k1", "node", "first").join(stands, "node", "left")
-    placed = placed.select("k0", "k1", F.coalesce("stands", "first").alias("stands"), F.lit(WORDS).alias("least"))
+    stands = linked.join(stands, "component").select("k0", "k1", "stands")
+    # A line that is alone stands for itself. What stands for a group is the smallest of the first places in it.
+    stands = stands.unionByName(nodes.where("n > 1").select("k0", "k1", F.col("first").alias("stands")))
+    stands = settled(stands.groupBy("k0", "k1").agg(F.min("stands").alias("stands")), "line-groups")
+    placed = stands.withColumn("least", F.lit(WORDS))
     joined = found.join(placed, (found.k0 == placed.k0) & (found.k1 == placed.k1) & (found.n_words >= placed.least), "left")
     own = F.struct(found.doc_id.alias("doc_id"), found.line.alias("line"), found.tag.alias("tag"))
     return joined.select(own.alias("own"), found.n_words, F.coalesce("stands", own).alias("stands"))

@@ -54,3 +54,40 @@ def test_buckets_compared_together_give_the_groups_of_all_pairs(rows, monkeypatc
             groups.setdefault(least, {least}).add(x)
         expected += groups.values()
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected))
+
+
+def test_few_edges_are_connected_without_rounds(spark, monkeypatch):
+    """A path, dealt over many partitions, takes one pass; with less room the rounds give the same."""
+    pairs = [(k, k + 1) for k in range(300)]
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(8)
+    written, settled = [], linking.settled
+    monkeypatch.setattr(linking, "settled", lambda df, name: written.append(name) or settled(df, name))
+    assert dict(map(tuple, linking.connected(links).collect())) == {k: 0 for k in range(1, 301)}
+    assert written == ["edges"]
+    monkeypatch.setattr(linking, "AT_ONCE", 80)
+    assert dict(map(tuple, linking.connected(links).collect())) == {k: 0 for k in range(1, 301)}
+    assert len(written) > 2
+
+
+def test_parities_and_lengths_spare_lines_that_cannot_be_linked():
+    """Near SimHashes alone make no candidates; shelves hold each node once for each first block."""
+    sims = np.array([5, 5, 5, 5, 5], np.int64)
+    table = pa.RecordBatch.from_pydict({"node": np.arange(5), "sim": sims, "bag": np.array([0, 1, 0b111111111, 0, 0], np.int64), "n_words": np.array([10, 10, 10, 40, 39], np.int32)})
+    packed = pa.Table.from_batches(op7._packed(iter([table]))).sort_by("shelf").combine_chunks()
+    assert len(packed) == op7.BLOCKS - 1
+    got = pa.Table.from_batches(op7._near_groups(iter(packed.to_batches())))
+    rows = set(zip(got["members"].to_pylist(), got["leader"].to_pylist(), got["node"].to_pylist()))
+    assert {(leader, node) for _, leader, node in rows} == {(0, 0), (0, 1), (3, 3), (3, 4)}
+    assert len(rows) == 4 and len(set(got["key"].to_pylist())) == 2 * len(op7._CHOICES)
+
+
+def test_parities_differ_by_no_more_than_edits_allow():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = rng.integers(0, 500, rng.integers(5, 60)).tolist()
+        b, edits = list(a), int(rng.integers(0, len(a) // 5 + 1))
+        for _ in range(edits):
+            at, kind = int(rng.integers(0, len(b))), int(rng.integers(0, 3))
+            b[at : at + (kind != 2)] = [] if kind == 1 else [int(rng.integers(0, 500))]
+        bags = op7.parities(np.array(a + b, np.uint16), np.array([0, len(a), len(a) + len(b)])).view(np.uint64)
+        assert int(bags[0] ^ bags[1]).bit_count() <= 2 * edits - abs(len(a) - len(b))
