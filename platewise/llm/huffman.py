@@ -6,6 +6,8 @@ import numpy as np
 
 LIMIT = 20  # bits of the longest code, and of the decoding table's index
 CHECKPOINT = 256  # ids between two noted bit offsets
+_LENGTH_BITS = 5  # room for a length beside its id
+_LENGTH = np.uint32((1 << _LENGTH_BITS) - 1)
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -75,35 +77,41 @@ def pack(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes
 
 
 class Table:
-    """Id and length of the code that any ``LIMIT`` bits begin with."""
+    """Id and length of the code that any ``LIMIT`` bits begin with, as one number: a step looks up once."""
 
     def __init__(self, lengths: np.ndarray) -> None:
+        if len(lengths) > 1 << 32 - _LENGTH_BITS:
+            raise ValueError(f"{len(lengths)} ids do not fit beside their lengths")
         order = np.lexsort((np.arange(len(lengths)), lengths))
         order = order[lengths[order] > 0]
         self.width = max(1, int(lengths.max(initial=1)))
         span = np.left_shift(1, self.width - lengths[order].astype(np.int64))
-        self.ids = np.zeros(1 << self.width, np.int32)
-        self.sizes = np.zeros(1 << self.width, np.int64)
-        filled = int(span.sum())
-        self.ids[:filled] = np.repeat(order, span)
-        self.sizes[:filled] = np.repeat(lengths[order].astype(np.int64), span)
+        self.codes = np.zeros(1 << self.width, np.uint32)
+        self.codes[: int(span.sum())] = np.repeat((order << _LENGTH_BITS | lengths[order]).astype(np.uint32), span)
 
     def unpack(self, payloads: list[bytes], checkpoints: list[np.ndarray], counts: list[int]) -> np.ndarray:
-        """Ids of several blocks back to back. All checkpoint segments advance together, one id a step."""
-        total = sum(counts)
-        if not total:
-            return np.zeros(0, np.int64)
-        data = np.frombuffer(b"".join(payloads) + bytes(8), np.uint8).astype(np.uint32)
-        windows = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+        """Ids of several blocks back to back. All checkpoint segments advance together, one id a step.
+
+        A shorter segment reads on behind its end; what it finds there is dropped.
+        """
+        if not sum(counts):
+            return np.zeros(0, np.int32)
+        data = b"".join(payloads) + bytes(CHECKPOINT * LIMIT // 8 + 8)
+        n = len(data) // 4 - 1
+        windows = np.empty((n, 4), np.uint32)  # the 32 bits from each byte on
+        for k in range(4):
+            windows[:, k] = np.frombuffer(data, ">u4", n, k)
+        windows = windows.ravel()
         base = np.cumsum([0, *map(len, payloads)])[:-1] * 8
         at = np.concatenate([b + np.asarray(c, np.int64) for b, c in zip(base, checkpoints)])
         left = np.concatenate(
             [np.minimum(CHECKPOINT, n - CHECKPOINT * np.arange(len(c), dtype=np.int64)) for n, c in zip(counts, checkpoints)]
         )
-        out = np.zeros((len(at), CHECKPOINT), np.int32)
+        steps = int(left.max())
+        out = np.empty((steps, len(at)), np.uint32)
         shift = np.uint32(32 - self.width)
-        for step in range(int(left.max())):
-            bits = (windows[at >> 3] << (at & 7).astype(np.uint32)) >> shift
-            out[:, step] = self.ids[bits]
-            at += np.where(left > step, self.sizes[bits], 0)
-        return out[np.arange(CHECKPOINT) < left[:, None]].astype(np.int64)
+        for step in range(steps):
+            found = self.codes[(windows[at >> 3] << (at & 7).astype(np.uint32)) >> shift]
+            out[step] = found
+            at += found & _LENGTH
+        return (out.T[np.arange(steps) < left[:, None]] >> _LENGTH_BITS).astype(np.int32)

@@ -52,7 +52,7 @@ def _encode(shared, end_id: int, wide: bool):
         encoder = pieces.encoder(shared)
         for batch in slices(batches, limit=pieces.ENCODED_BYTES):
             got = encoder.encode_marked(batch.column("text"))
-            ids = np.insert(got.ids, got.first[1:], end_id).astype(_kind(wide))
+            ids = np.insert(got.ids.astype(_kind(wide)), got.first[1:], end_id)
             first = got.first + np.arange(batch.num_rows + 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binary(ids, first * ids.itemsize)], names=["doc_id", "ids"])
 

@@ -1,8 +1,9 @@
 """Byte-level BPE of whole Arrow batches with the tokenizers library.
 
 The split pattern of these vocabularies gives pieces that are encoded each by itself, so the ids of a text are the ids of
-its pieces back to back. A batch is split into pieces with array operations, the library encodes every *different* piece
-once, and the ids are laid out again in text order. Pieces that a worker has met before come from a table of bounded size.
+its pieces back to back. A batch is split into pieces with array operations on its bytes, the library's model encodes every
+*different* piece once, and the ids are laid out again in text order. Pieces that a worker has met before come from a table of
+bounded size.
 
 The class of a character is taken from the Unicode tables. A text with a code point that Python's tables do not know is
 split by the library itself, so a difference between Unicode versions cannot change a result.
@@ -18,22 +19,20 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-from platewise.llm.arrays import RunHash, mix, ranges, text_bytes
+from platewise.llm.arrays import RunHash, byte_values, ranges, text_bytes
 
 KNOWN_PIECES = 800_000  # pieces that a worker remembers, about 40 bytes each
 ENCODED_BYTES = 1 << 20  # text bytes encoded at once: the more, the more pieces repeat
-RECENT_PIECES = 50_000  # of these, the ones not yet in order
-LONG_PIECE = 48  # code points; longer pieces are compared as text
+RECENT_PIECES = 50_000  # of these, the ones that there is room for at first
+LONG_PIECE = 48  # bytes; longer pieces are compared as text
 
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = range(5)
 _MARK = ord("'")
-_BETWEEN = "\0"
 
 
 @functools.cache
@@ -99,46 +98,69 @@ def share(spark: SparkSession, path: str, pattern: str):
 
 
 @functools.cache
-def _classes() -> np.ndarray:
-    table = np.full(0x110000, _OTHER, np.uint8)
-    for point in range(0x110000):
+def _classes(plane: int) -> np.ndarray:
+    """Classes of the 65,536 code points of a plane."""
+    table = np.full(1 << 16, _OTHER, np.uint8)
+    for low in range(1 << 16):
+        point = plane << 16 | low
         c = chr(point)
         category = unicodedata.category(c)
         if category[0] == "L":
-            table[point] = _LETTER
+            table[low] = _LETTER
         elif category[0] == "N":
-            table[point] = _NUMBER
+            table[low] = _NUMBER
         elif c.isspace() and not 0x1C <= point <= 0x1F:
-            table[point] = _SPACE
+            table[low] = _SPACE
         elif category == "Cn":
-            table[point] = _UNKNOWN
+            table[low] = _UNKNOWN
     return table
 
 
-def piece_starts(points: np.ndarray, begins: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Where each piece of texts given back to back begins.
+def byte_classes(data: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of valid UTF-8 belongs to."""
+    classes = _classes(0)[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return classes
+    a = data[lead].astype(np.int32)
+    three, four = np.flatnonzero(a >= 0xE0), np.flatnonzero(a >= 0xF0)
+    points = (a & 0x1F) << 6 | data[lead + 1] & 0x3F
+    points[three] = (points[three] & 0x3FF) << 6 | data[lead[three] + 2] & 0x3F
+    points[four] = (points[four] & 0x7FFF) << 6 | data[lead[four] + 3] & 0x3F
+    found = _classes(0)[points & 0xFFFF]
+    for plane in np.unique(points[four] >> 16).tolist():
+        mine = four[points[four] >> 16 == plane]
+        found[mine] = _classes(plane)[points[mine] & 0xFFFF]
+    classes[lead] = classes[lead + 1] = found
+    classes[lead[three] + 2] = found[three]
+    classes[lead[four] + 3] = found[four]
+    return classes
+
+
+def piece_starts(data: np.ndarray, begins: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Where each piece of texts given as UTF-8 back to back begins.
 
     Runs of letters, of numbers and of other signs take one space before them along; a run of white space gives up its last
     character to what follows; 's 't 're 've 'm 'll 'd are pieces where a piece would begin at the mark.
     """
-    n = len(points)
+    n = len(data)
     if not n:
         return np.zeros(0, np.int64)
     head = np.zeros(n + 1, bool)
     head[begins] = True
     space = classes == _SPACE
-    changed = np.ones(n, bool)
-    changed[1:] = classes[1:] != classes[:-1]
-    changed |= head[:n]
-    after_blank = np.zeros(n, bool)
-    after_blank[1:] = (points[:-1] == 0x20) & ~head[1:n]
-    last_space = np.zeros(n, bool)
-    last_space[:-1] = space[:-1] & ~space[1:] & ~head[1:n]
-    start = np.where(space, changed | last_space, changed & ~after_blank) | head[:n]
-    marks = np.flatnonzero((points == _MARK) & start)
+    start = np.ones(n, bool)
+    start[1:] = classes[1:] != classes[:-1]
+    start[1:] &= space[1:] | (data[:-1] != 0x20)
+    start |= head[:n]
+    last = np.flatnonzero(space[:-1] & ~(space[1:] | head[1:n]))  # the last byte of the run
+    for _ in range(3):
+        last -= (data[last] & 0xC0) == 0x80
+    start[last] = True
+    marks = np.flatnonzero((data == _MARK) & start)
     if len(marks):
-        padded = np.zeros(n + 2, points.dtype)
-        padded[:n] = points
+        padded = np.zeros(n + 2, data.dtype)
+        padded[:n] = data
         ends = np.append(begins[begins > 0], n)
         room = ends[np.searchsorted(ends, marks, side="right")] - marks - 1
         a, b = padded[marks + 1], padded[marks + 2]
@@ -160,7 +182,7 @@ def piece_starts(points: np.ndarray, begins: np.ndarray, classes: np.ndarray) ->
 class Encoded:
     """Ids of a slice of texts back to back, and what is needed to place them."""
 
-    ids: np.ndarray  # int64
+    ids: np.ndarray  # int32
     first: np.ndarray  # index of the first id of each text, n + 1
 
 
@@ -209,18 +231,65 @@ def _appended(values: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
     return values
 
 
+def _replaced(ids: np.ndarray, first: np.ndarray, rows: dict[int, list[int]]) -> Encoded:
+    """The ids with those of some texts replaced."""
+    parts, at, lengths = [], 0, np.diff(first)
+    for k in sorted(rows):
+        parts += [ids[at : first[k]], np.array(rows[k], np.int32)]
+        at, lengths[k] = first[k + 1], len(rows[k])
+    return Encoded(np.concatenate([*parts, ids[at:]]), np.concatenate([[0], np.cumsum(lengths)]))
+
+
+class KeyTable:
+    """The number noted for each of many different 64-bit keys, in open addressing: whole arrays of keys step on together."""
+
+    def __init__(self, room: int) -> None:
+        self.n = 0
+        self._clear(1 << max(4, (2 * room - 1).bit_length()))
+
+    def _clear(self, size: int) -> None:
+        self.keys = np.zeros(size, np.uint64)  # 0: free
+        self.numbers = np.zeros(size, np.int32)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(len(self.keys) - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those not noted."""
+        out = np.full(len(keys), -1, np.int32)
+        left, at = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            here = self.keys[at]
+            same = here == keys[left]
+            out[left[same]] = self.numbers[at[same]]
+            on = ~same & (here != 0)
+            left, at = left[on], (at[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Note keys that are not in the table; it doubles before half of it is full."""
+        self.n += len(keys)
+        if 2 * self.n > len(self.keys):
+            full = self.keys != 0
+            keys, numbers = np.concatenate([self.keys[full], keys]), np.concatenate([self.numbers[full], numbers])
+            self._clear(1 << (2 * self.n).bit_length())
+        left, at = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[left[free]]
+            mine = self.keys[at] == keys[left]  # of several keys at one free place the last has it
+            self.numbers[at[mine]] = numbers[left[mine]]
+            left, at = left[~mine], (at[~mine] + 1) & (len(self.keys) - 1)
+
+
 class Encoder:
     """Encodes slices of texts; lives as long as the worker."""
 
     def __init__(self, definition: str, known: int = KNOWN_PIECES, recent: int = RECENT_PIECES) -> None:
         self.definition = definition
-        self.by_piece = Tokenizer.from_str(definition)
-        self.by_piece.encode_special_tokens = True
-        self.by_piece.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.Split(_BETWEEN, "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        self.size_of = ByteTable(definition).length
-        self.limit, self.recent_limit = known, recent
+        self.model = Tokenizer.from_str(definition).model
+        self.character = np.array([ord(c) for c in byte_characters()], np.uint16)
+        self.limit, self.room = known, recent
         self._forget()
 
     @functools.cached_property
@@ -231,94 +300,69 @@ class Encoder:
         return out
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # in order, with the slot of each
-        self.slots = np.zeros(0, np.int32)
-        self.recent: dict[int, int] = {}
+        self.slots = KeyTable(self.room)
         self.flat, self.n_flat = np.zeros(1 << 16, np.int32), 0  # ids of all known pieces back to back, with room to grow
         self.length, self.offset, self.n_known = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
 
-    def _slots(self, different: np.ndarray, text_of) -> np.ndarray:
-        """Slot of each piece; the library encodes those not met before."""
+    def _pieces(self, data: np.ndarray, first: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the wanted pieces back to back and the number of each, from the library's model."""
+        size = first[wanted + 1] - first[wanted]
+        text = self.character[data[ranges(first[wanted], size)]].tobytes().decode("utf-16-le")
+        ends = np.cumsum(size).tolist()
+        ids, lengths, tokenize = [], [], self.model.tokenize
+        for a, b in zip([0, *ends], ends):
+            found = [token.id for token in tokenize(text[a:b])]
+            ids += found
+            lengths.append(len(found))
+        return np.array(ids, np.int32), np.array(lengths, np.int32)
+
+    def _different(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pieces back to back and the number of each; the library encodes those not met before."""
         if self.n_known > self.limit:
             self._forget()
-        if len(self.recent) > self.recent_limit:
-            keys = np.fromiter(self.recent, np.uint64, len(self.recent))
-            slots = np.fromiter(self.recent.values(), np.int32, len(self.recent))
-            order = np.argsort(keys)
-            place = np.searchsorted(self.keys, keys[order])
-            self.keys, self.slots = np.insert(self.keys, place, keys[order]), np.insert(self.slots, place, slots[order])
-            self.recent = {}
-        out = np.full(len(different), -1, np.int64)
-        if len(self.keys):
-            place = np.minimum(np.searchsorted(self.keys, different), len(self.keys) - 1)
-            found = self.keys[place] == different
-            out[found] = self.slots[place[found]]
-        rest = np.flatnonzero(out < 0)
-        names = different[rest].tolist()
-        out[rest] = [self.recent.get(k, -1) for k in names]
-        missing = [(i, k) for i, k in zip(rest.tolist(), names) if out[i] < 0]
-        if missing:
-            ids, lengths = self._pieces(*text_of([i for i, _ in missing]))
-            for slot, (i, k) in enumerate(missing, self.n_known):
-                out[i] = self.recent[k] = slot
-            self.offset = _appended(self.offset, self.n_known, self.n_flat + np.cumsum(lengths) - lengths)
-            self.length = _appended(self.length, self.n_known, lengths)
-            self.flat = _appended(self.flat, self.n_flat, ids)
-            self.n_known, self.n_flat = self.n_known + len(lengths), self.n_flat + len(ids)
-        return out
-
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _pieces(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces back to back and the number of each; one call of the library where no piece has the mark.
-
-        ``sizes`` are the bytes of each piece. No id crosses pieces, so the bytes of the ids tell where a piece ends.
-        """
-        joined = _BETWEEN.join(pieces)
-        if joined.count(_BETWEEN) != len(pieces) - 1:
-            found = self._library(pieces)
-            return np.array([x for ids in found for x in ids], np.int32), np.fromiter(map(len, found), np.int64, len(found))
-        encoding = self.by_piece.encode_batch_fast([joined], add_special_tokens=False)[0]
-        ids = np.array(encoding.ids, np.int32)
-        ends = np.searchsorted(np.cumsum(self.size_of[ids]), np.cumsum(sizes)) + 1
-        return ids, np.diff(ends, prepend=0)
+        keys = RunHash(byte_values()[data]).of(first[:-1], first[1:])
+        keys[keys == 0] = 1
+        slots = self.slots.find(keys)
+        long = np.diff(first) > LONG_PIECE
+        slots[long] = -1
+        new = np.flatnonzero(slots < 0)
+        new = new[np.argsort(long[new], kind="stable")]  # the long ones last: they are not kept
+        ids, lengths = self._pieces(data, first, new)
+        slots[new] = np.arange(self.n_known, self.n_known + len(new))
+        self.offset = _appended(self.offset, self.n_known, self.n_flat + np.cumsum(lengths) - lengths)
+        self.length = _appended(self.length, self.n_known, lengths)
+        self.flat = _appended(self.flat, self.n_flat, ids)
+        length = self.length[slots]
+        out = self.flat[ranges(self.offset[slots], length)]
+        kept = len(new) - int(long.sum())
+        self.slots.add(keys[new[:kept]], slots[new[:kept]])
+        self.n_known, self.n_flat = self.n_known + kept, self.n_flat + int(lengths[:kept].sum())
+        return out, length
 
     def encode(self, column: pa.Array) -> Encoded:
         data, begins = text_bytes(column)
-        whole = data.tobytes().decode("utf-8")
-        points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
-        lead = np.zeros(len(data) + 1, np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
-        begins = lead[begins]
-        classes = _classes()[points]
-        start = piece_starts(points, begins[:-1], classes)
-        end = np.append(start[1:], len(points))
+        if not len(data):
+            return Encoded(np.zeros(0, np.int32), np.zeros(len(begins), np.int64))
+        if data.max() >= 0x80:
+            data.tobytes().decode("utf-8")  # an error, if it isn't UTF-8
+        classes = byte_classes(data)
+        start = piece_starts(data, begins[:-1], classes)
+        places = pa.py_buffer(np.append(start, len(data)).astype(np.int32))
+        pieces = pa.Array.from_buffers(pa.binary(), len(start), [None, places, pa.py_buffer(data)]).dictionary_encode()
+        codes = pieces.indices.to_numpy()
+        ids, length = self._different(*text_bytes(pieces.dictionary))
+        offset = np.cumsum(length, dtype=np.int64) - length
+        length = length[codes]
+        ids = ids[ranges(offset[codes], length)]
+        place = np.zeros(len(start) + 1, np.int64)
+        np.cumsum(length, out=place[1:])
+        first = place[np.searchsorted(start, begins)]
         unknown = np.flatnonzero(classes == _UNKNOWN)
-        if not len(start):
-            return Encoded(np.zeros(0, np.int64), np.zeros(len(begins), np.int64))
-        hashes = RunHash(mix(points.astype(np.uint64) + np.uint64(1))).of(start, end)
-        codes, different = pd.factorize(hashes)
-        example = np.empty(len(different), np.int64)
-        example[codes[::-1]] = np.arange(len(codes))[::-1]
-        byte_of = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each code point begins
-
-        def text_of(wanted: list[int]) -> tuple[list[str], np.ndarray]:
-            a, b = start[example[wanted]], end[example[wanted]]
-            return [whole[x:y] for x, y in zip(a.tolist(), b.tolist())], byte_of[b] - byte_of[a]
-
-        slots = self._slots(different, text_of)
-        slot = slots[codes]
-        length = self.length[slot].astype(np.int64)
-        long = np.flatnonzero(end - start > LONG_PIECE)
-        ids = self.flat[ranges(self.offset[slot], length)].astype(np.int64)
-        text = np.searchsorted(begins, start, side="right") - 1
-        if len(long) or len(unknown):
-            ids, length = self._exact(whole, begins, start, end, text, long, unknown, ids, length)
-        per_text = np.bincount(text, weights=length, minlength=len(begins) - 1).astype(np.int64)
-        first = np.zeros(len(begins), np.int64)
-        np.cumsum(per_text, out=first[1:])
-        return Encoded(ids, first)
+        if not len(unknown):
+            return Encoded(ids, first)
+        texts = np.unique(np.searchsorted(begins, unknown, side="right") - 1).tolist()
+        whole = {t: data[begins[t] : begins[t + 1]].tobytes().decode("utf-8") for t in texts}
+        return _replaced(ids, first, {t: self.tokenizer.encode(x, add_special_tokens=False).ids for t, x in whole.items()})
 
     @functools.cached_property
     def added(self) -> list[str]:
@@ -338,34 +382,8 @@ class Encoder:
             hit |= pc.fill_null(pc.match_substring(column, content), False).to_numpy(zero_copy_only=False)
         if not hit.any():
             return got
-        rows = [got.ids[a:b] for a, b in zip(got.first[:-1].tolist(), got.first[1:].tolist())]
-        for k in np.flatnonzero(hit).tolist():
-            rows[k] = np.array(self.marking.encode(column[k].as_py(), add_special_tokens=False).ids, np.int64)
-        return Encoded(np.concatenate(rows), np.cumsum([0, *map(len, rows)]))
-
-    def _exact(self, whole, begins, start, end, text, long, unknown, ids, length):
-        """Long pieces encoded from their own text, and texts with unknown code points by the library as a whole."""
-        by_library = np.unique(np.searchsorted(begins, unknown, side="right") - 1)
-        parts, lengths = [], length.copy()
-        place = np.zeros(len(length) + 1, np.int64)
-        np.cumsum(length, out=place[1:])
-        redo: dict[int, list[int]] = {}
-        long = long[~np.isin(text[long], by_library)]
-        different = list({whole[start[i] : end[i]]: None for i in long})
-        ids_of = dict(zip(different, self._library(different)))
-        for i in long:
-            redo[int(i)] = ids_of[whole[start[i] : end[i]]]
-        for t in by_library:
-            mine = np.flatnonzero(text == t)
-            redo[int(mine[0])] = self._library([whole[begins[t] : begins[t + 1]]])[0]
-            redo |= {int(i): [] for i in mine[1:]}
-        at = 0
-        for i in sorted(redo):
-            parts += [ids[place[at] : place[i]], np.array(redo[i], np.int64)]
-            lengths[i] = len(redo[i])
-            at = i + 1
-        parts.append(ids[place[at] :])
-        return np.concatenate(parts), lengths
+        whole = {k: self.marking.encode(column[k].as_py(), add_special_tokens=False).ids for k in np.flatnonzero(hit).tolist()}
+        return _replaced(got.ids, got.first, whole)
 
 
 @functools.lru_cache(maxsize=2)
