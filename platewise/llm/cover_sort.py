@@ -23,39 +23,75 @@ _SHIFT = [
 ]
 
 
+def by_key(keys: np.ndarray) -> np.ndarray:
+    """Stable ascending order of unsigned keys. Each key is sorted with its place in one number, which numpy does much faster than ``argsort``."""
+    n = len(keys)
+    if not n:
+        return np.zeros(0, np.int64)
+    bits = np.uint64(max(1, (n - 1).bit_length()))
+    place = np.arange(n, dtype=np.uint64)
+    if int(keys.max()) >> (64 - int(bits)) == 0:
+        return (np.sort(keys << bits | place) & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    half = np.uint64(32)
+    low = np.uint64((1 << 32) - 1)
+    lower = (np.sort(keys << half | place) & low).view(np.int64)
+    return lower[(np.sort((keys[lower] >> half) << half | place) & low).view(np.int64)]
+
+
 class Block:
     """Texts of a block, each followed by seven zero bytes, with the leading bytes of every suffix and the sample's ranks."""
 
     def __init__(self, texts: list[bytes]) -> None:
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        self._lay(np.frombuffer(b"".join(texts), np.uint8), np.fromiter(map(len, texts), np.int64, len(texts)))
+
+    @classmethod
+    def of(cls, data: np.ndarray, lengths: np.ndarray) -> Block:
+        """Texts given as bytes back to back."""
+        block = cls.__new__(cls)
+        block._lay(data, lengths)
+        return block
+
+    def _lay(self, data: np.ndarray, lengths: np.ndarray) -> None:
         self.begins = np.cumsum(lengths + PERIOD) - (lengths + PERIOD)
         self.lengths = lengths
-        pad = bytes(PERIOD)
-        data = np.frombuffer(b"".join(x for t in texts for x in (t, pad)) + pad, np.uint8)
-        n = len(data) - PERIOD
-        self.rest = np.zeros(n, np.int64)
+        n = int((lengths + PERIOD).sum())
         inside = ranges(self.begins, lengths)
+        padded = np.zeros(n + PERIOD + 1, np.uint8)
+        padded[inside] = data
+        self.rest = np.zeros(n, np.int64)
         self.rest[inside] = np.repeat(self.begins + lengths, lengths) - inside
-        self.leading = np.minimum(self.rest, PERIOD).astype(np.uint64)
-        for j in range(PERIOD):
-            self.leading |= data[j : j + n].astype(np.uint64) << np.uint64(8 * (PERIOD - j))
-        remainder = inside % PERIOD
-        self.rank = self._ranks(inside[np.isin(remainder, COVER)])
+        self.leading = np.ndarray((n,), ">u8", padded, strides=(1,)).astype(np.uint64)
+        self.leading &= ~np.uint64(255)
+        self.leading |= np.minimum(self.rest, PERIOD).astype(np.uint64)
+        self.rank = self._ranks(inside[np.isin(np.arange(PERIOD), COVER)[inside % PERIOD]])
 
     def _ranks(self, sample: np.ndarray) -> np.ndarray:
-        """Rank of every sample suffix, from 1, by doubling the bytes that are compared; equal suffixes have equal ranks."""
+        """Rank of every sample suffix, from 1, by doubling the bytes that are compared; equal suffixes have equal ranks.
+
+        A rank is the place of the first suffix of its group, so those told apart keep theirs and only the others are sorted again.
+        """
         rank = np.zeros(len(self.rest), np.int64)
-        if not len(sample):
-            return rank
-        known, ranked = np.unique(self.leading[sample], return_inverse=True)
-        step, longest = PERIOD, int(self.lengths.max())
-        while len(known) < len(sample) and step < longest:
-            rank[sample] = ranked + 1
-            goes_on = self.rest[sample] > step
-            following = np.where(goes_on, rank[np.where(goes_on, sample + step, 0)], 0)
-            known, ranked = np.unique(rank[sample] * (len(known) + 2) + following, return_inverse=True)
+        by = by_key(self.leading[sample])
+        at, old = sample[by], np.ones(len(by), np.int64)
+        new = _starts(self.leading[at])
+        step, top = PERIOD, np.uint64(len(by) + 2)
+        while len(at):
+            index = np.arange(len(at))
+            run = np.maximum.accumulate(np.where(_starts(old), index, 0))
+            head = np.maximum.accumulate(np.where(new, index, 0))
+            rank[at] = old + head - run
+            tied = ~new
+            tied[:-1] |= ~new[1:]
+            at = at[tied & (self.rest[at] >= step)]  # shorter ones are equal to their end
+            if not len(at):
+                break
+            goes_on = self.rest[at] > step
+            following = np.where(goes_on, rank[np.where(goes_on, at + step, 0)], 0)
+            code = rank[at].astype(np.uint64) * top + following.astype(np.uint64)
+            by = by_key(code)
+            at, new = at[by], _starts(code[by])
+            old = rank[at]
             step *= 2
-        rank[sample] = ranked + 1
         return rank
 
     def order(self, suffixes: np.ndarray) -> np.ndarray:
@@ -71,10 +107,9 @@ class Block:
 
     def _sorted(self, suffixes: np.ndarray) -> np.ndarray:
         leading = self.leading[suffixes]
-        by = np.argsort(leading, kind="stable")
+        by = by_key(leading)
         suffixes, leading = suffixes[by], leading[by]
-        new = np.ones(len(leading), bool)
-        new[1:] = leading[1:] != leading[:-1]
+        new = _starts(leading)
         group = np.cumsum(new) - 1
         heads = np.flatnonzero(new)
         tied = (np.diff(np.append(heads, len(leading))) > 1)[group] & (self.rest[suffixes] >= PERIOD)
@@ -88,55 +123,72 @@ class Block:
     def _places(self, at: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Place of each suffix among those of its group, all of which agree in seven bytes or more."""
         base = int(self.rank.max()) + 1
-        classes = [np.flatnonzero(at % PERIOD == r) for r in range(PERIOD)]
+        groups = int(group[-1]) + 1
+        remainder = at % PERIOD
+        classes = [np.flatnonzero(remainder == r) for r in range(PERIOD)]
+        before = []  # of each class, how many are in earlier groups
+        for own in classes:
+            count = np.bincount(group[own], minlength=groups)
+            before.append(np.cumsum(count) - count)
+        held = {}  # (class, shift): its suffixes by group and rank at the shift, and these as one number
+        for r, own in enumerate(classes):
+            for shift in sorted(set(_SHIFT[r])) if len(own) else ():
+                key = (group[own] * base + self.rank[at[own] + shift]).astype(np.uint64)
+                by = by_key(key)
+                held[r, shift] = own[by], key[by]
         places = np.zeros(len(at), np.int64)
-        for s, others in enumerate(classes):
-            if not len(others):
-                continue
-            held: dict[int, np.ndarray] = {}
-            for r, own in enumerate(classes):
-                if not len(own):
+        for (r, shift), (own, key) in held.items():
+            place = np.zeros(len(own), np.int64)
+            for s in range(PERIOD):
+                if _SHIFT[r][s] != shift or not len(classes[s]):
                     continue
-                shift = _SHIFT[r][s]
-                if shift not in held:
-                    held[shift] = np.sort(group[others] * base + self.rank[at[others] + shift])
-                before = np.searchsorted(group[others], group[own])
-                key = group[own] * base + self.rank[at[own] + shift]
                 if r == s:
-                    by = np.argsort(key, kind="stable")
-                    place = np.empty(len(own), np.int64)
-                    place[by] = np.arange(len(own))
+                    place += np.arange(len(own))
                 else:
-                    place = np.searchsorted(held[shift], key, side="right" if s < r else "left")
-                places[own] += place - before
+                    place += np.searchsorted(held[s, shift][1], key, side="right" if s < r else "left")
+                place -= before[s][group[own]]
+            places[own] += place
         return places
 
-    def same(self, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-        """Whether the ``length`` bytes that begin at a and at b are equal; all of them must lie inside their texts."""
-        equal = np.ones(len(a), bool)
-        for offset in [*range(0, length - PERIOD + 1, PERIOD), length - PERIOD] if length >= PERIOD else []:
-            equal &= self.leading[a + offset] == self.leading[b + offset]
+    def same(self, in_order: np.ndarray, length: int) -> np.ndarray:
+        """Whether the ``length`` bytes that begin at a position and at the one before it are equal; all of them must lie inside their texts."""
+        equal = np.ones(max(0, len(in_order) - 1), bool)
         if length < PERIOD:
-            cut = np.uint64(8 * (PERIOD + 1 - length))
-            equal = self.leading[a] >> cut == self.leading[b] >> cut
+            some = self.leading[in_order] >> np.uint64(8 * (PERIOD + 1 - length))
+            return some[1:] == some[:-1]
+        for offset in [*range(0, length - PERIOD + 1, PERIOD), length - PERIOD]:
+            # the low byte is the same, as all seven bytes lie inside
+            some = self.leading[in_order + offset]
+            equal &= some[1:] == some[:-1]
         return equal
 
 
-def repeated(texts: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each text, which of its strings of ``length`` bytes also begin in a text of a smaller document number."""
-    block = Block(texts)
-    windows = np.maximum(block.lengths - length + 1, 0)
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Whether a key differs from the one before."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return new
+
+
+def repeated(data: np.ndarray, lengths: np.ndarray, docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of ``length`` bytes that also begin in a text of a smaller document number: their texts, in order, and where in them they begin.
+
+    The texts are given as bytes back to back.
+    """
+    block = Block.of(data, lengths)
+    windows = np.maximum(lengths - length + 1, 0)
     starts = ranges(block.begins, windows)
-    owner = np.repeat(np.arange(len(texts)), windows)
-    number = np.zeros(len(block.rest), np.int64)
+    if not len(starts):
+        return starts, starts
+    number = np.zeros(len(block.rest), np.int32)
     number[starts] = np.arange(len(starts))
-    by = number[block.order(starts)]
-    in_order = starts[by]
-    new = np.ones(len(by), bool)
-    new[1:] = ~block.same(in_order[1:], in_order[:-1], length)
+    in_order = block.order(starts)
+    by = number[in_order]
+    owner = np.repeat(np.arange(len(lengths)), windows)
+    doc = docs[owner[by]]
+    new = np.append(True, ~block.same(in_order, length))
+    least = np.minimum.reduceat(doc, np.flatnonzero(new))
     hit = np.zeros(len(by), bool)
-    if len(by):
-        doc = docs[owner[by]]
-        least = np.minimum.reduceat(doc, np.flatnonzero(new))
-        hit[by] = doc > least[np.cumsum(new) - 1]
-    return np.split(hit, np.cumsum(windows)[:-1])
+    hit[by] = doc > least[np.cumsum(new) - 1]
+    hit = np.flatnonzero(hit)
+    return owner[hit], starts[hit] - block.begins[owner[hit]]

@@ -9,7 +9,7 @@ suffixes of a corpus have no partner:
    other context has no further repeats. Only the first occurrence of a context whose anchor has several is left open.
 2. *Suffix buckets.* The texts of open contexts, again brought together by anchor, are laid out in blocks of some megabytes; the suffixes that begin a
    window are sorted, neighbours that agree in 50 bytes compared, and windows that a smaller document has are marked.
-3. The marked windows come back to their documents, where the covered bytes are cut out.
+3. The marked windows come back to their documents, where the covered bytes are cut out. Documents without any are not searched again.
 
 Hot groups: contexts that repeat within a slice of some thousand documents are settled there, and one of them is sent on. An anchor with
 very many different contexts (a common short phrase) is found in a sample of ``SAMPLED`` documents; its contexts are dealt out one by one, and its windows
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.arrays import RunHash, byte_values, let_workers_import, mix, ranges, slices, text_bytes
-from platewise.llm.cover_sort import repeated
+from platewise.llm.cover_sort import by_key, repeated
 from platewise.llm.steps import settled
 
 LENGTH = 50
@@ -44,8 +44,10 @@ BUCKET_BYTES = 1 << 20  # text bytes for each bucket of contexts
 BLOCK = 1 << 21  # text bytes whose suffixes are sorted together
 SAMPLED = 20_000  # documents in which hot anchors are looked for
 HOT = 1 << 14  # contexts of an anchor, as estimated from the sample, from which it is dealt out
+PLACE_BITS = 14
+CHUNK = (1 << PLACE_BITS) - 128  # bytes whose anchors are looked for together, so that all arrays stay in the processor's cache
 
-_PLACE = np.uint64((1 << 30) - 1)
+_NONE = np.zeros(0, np.int64)
 
 
 @dataclass
@@ -63,29 +65,57 @@ def contexts(data: np.ndarray, begins: np.ndarray, length: int) -> Contexts:
     """``begins`` has n + 1 entries; a context never spans two texts."""
     gram = max(1, length // 2 - 1, length - 61)
     span = length - gram + 1
-    runs = RunHash(byte_values()[data])
-    size = np.maximum(np.diff(begins) - length + 1, 0)
-    starts = ranges(begins[:-1], size)
-    if not len(starts):
-        none = np.zeros(0, np.int64)
-        return Contexts(none, none.astype(np.uint64), none, none, none)
-    at = np.arange(len(data) - gram + 1)
-    least = (runs.of(at, at + gram) & ~_PLACE) | at.astype(np.uint64)
+    lengths = np.diff(begins)
+    size = np.maximum(lengths - length + 1, 0)
+    last = len(data) - length + 1  # windows, those that cross a border between texts included
+    inside = np.ones(max(len(data), 1), bool)
+    inside[ranges(begins[:-1] + size, lengths - size)] = False
+    edge = ~inside
+    edge[begins[:-1][size > 0]] = True
+    parts = [
+        _chunk_contexts(data, start, min(start + CHUNK, last), min(start + CHUNK + span, last), gram, length, inside, edge)
+        for start in range(0, last, CHUNK)
+    ]
+    parts = [p for p in parts if len(p[0])]
+    if not parts:
+        return Contexts(_NONE, _NONE.astype(np.uint64), _NONE, _NONE, _NONE)
+    first, windows, anchor, digest = (np.concatenate(x) for x in zip(*parts))
+    text = np.repeat(np.arange(len(size)), np.diff(np.searchsorted(first, begins)))
+    return Contexts(text, anchor, digest.view(np.int64), first, windows)
+
+
+def _chunk_contexts(
+    data: np.ndarray, start: int, stop: int, to: int, gram: int, length: int, inside: np.ndarray, edge: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Contexts that begin in ``start`` to ``stop`` (all of them end by ``to``): first windows, numbers of windows, anchors, digests."""
+    span = length - gram + 1
+    low = max(start - 1, 0)
+    runs = RunHash(byte_values()[data[low : to - 1 + length]])
+    n = len(runs.sums) - gram
+    bits = np.uint32(PLACE_BITS)
+    # As many bits of the hash in every chunk, then the place: equal hashes leave the first, so the anchor depends on the window's bytes only.
+    least = (((runs.sums[gram:] - runs.sums[:-gram]) * runs.inverse[:n]) >> np.uint64(32)).astype(np.uint32)
+    least >>= bits
+    least <<= bits
+    least |= np.arange(n, dtype=np.uint32)
     width = 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     if width < span:
         least = np.minimum(least[: width - span], least[span - width :])
-    place = (least[starts] & _PLACE).astype(np.int64)
-    head = np.ones(len(place), bool)
-    head[1:] = place[1:] != place[:-1]
-    heads = np.flatnonzero(head)
-    first, windows = starts[heads], np.diff(np.append(heads, len(place)))
-    text = np.repeat(np.arange(len(size)), size)[heads]
-    place = place[heads]
-    digest = runs.of(first, first + windows - 1 + length).view(np.int64)
-    return Contexts(text, mix(runs.of(place, place + gram)), digest, first, windows)
+    place = least & ((np.uint32(1) << bits) - np.uint32(1))
+    ends = edge[low:to].copy()
+    ends[1:] |= place[1:] != place[:-1]
+    if low < start:
+        ends[0] = False
+    ends = np.flatnonzero(ends)
+    heads = ends[: np.searchsorted(ends, stop - low)]
+    following = np.append(ends, to - low)[1 : len(heads) + 1]
+    mine = inside[low + heads]
+    heads, following = heads[mine], following[mine]
+    at = place[heads].astype(np.int64)
+    return low + heads, following - heads, mix(runs.of(at, at + gram)), runs.of(heads, following - 1 + length)
 
 
 def _packs(length: int, buckets: int, hot: np.ndarray):
@@ -95,25 +125,28 @@ def _packs(length: int, buckets: int, hot: np.ndarray):
         for batch in slices(batches, limit=SLICE):
             found = contexts(*text_bytes(batch.column("text")), length)
             doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[found.text]
-            anchor, digest = found.anchor, found.digest
-            by = np.lexsort((doc, digest, anchor))
-            anchor, digest, doc = anchor[by], digest[by], doc[by]
+            by = by_key(found.digest.view(np.uint64))
+            anchor, digest, doc = found.anchor[by], found.digest[by], doc[by]
             new, same = _changes(anchor, digest), _changes(anchor, digest, doc)
-            least = doc[new][np.cumsum(new) - 1]
-            late = same & (doc > least)
-            is_hot = np.isin(anchor, hot)
-            route = np.where(is_hot, mix(anchor ^ digest.view(np.uint64)), anchor) % np.uint64(buckets)
-            for rows, kind in ((late, 2), (new & is_hot, 1), (new & ~is_hot, 0)):
-                bucket = route[rows].astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket = bucket[order]
-                a = (anchor[rows][order] >> np.uint64(32)).astype(np.uint32)
-                c, d = digest[rows][order], doc[rows][order]
-                cut = np.flatnonzero(_changes(bucket))
-                cut = np.append(cut, len(bucket))
-                packs = [[x[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])] for x in (a, c, d)]
+            heads = np.flatnonzero(new)
+            least = np.minimum.reduceat(doc, heads) if len(doc) else doc
+            late = same & (doc > least[np.cumsum(new) - 1])
+            is_hot = np.isin(anchor[heads], hot) if len(hot) else np.zeros(len(heads), bool)
+            for rows, docs, kind in ((late, doc[late], 2), (heads[is_hot], least[is_hot], 1), (heads[~is_hot], least[~is_hot], 0)):
+                if not len(docs):
+                    continue
+                a, c = anchor[rows], digest[rows]
+                bucket = (mix(a ^ c.view(np.uint64)) if kind else a) % np.uint64(buckets)
+                order = by_key(bucket)
+                bucket = bucket[order].astype(np.int64)
+                cut = np.append(np.flatnonzero(_changes(bucket)), len(bucket))
+                a = (a[order] >> np.uint64(32)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[cut[:-1]]), pa.array(np.full(len(cut) - 1, kind, np.int32)), *(pa.array(p, pa.binary()) for p in packs)],
+                    [
+                        pa.array(bucket[cut[:-1]]),
+                        pa.array(np.full(len(cut) - 1, kind, np.int32)),
+                        *(_binary(x.view(np.uint8), cut * x.itemsize) for x in (a, c[order], docs[order])),
+                    ],
                     names=["bucket", "kind", "a", "c", "d"],
                 )
 
@@ -128,61 +161,100 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _binary(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values that lie back to back."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all binary values back to back, and the n + 1 positions where each begins."""
+    wide = pa.types.is_large_binary(column.type)
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data if data is not None else b"", np.uint8)[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _elements(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row and value of every list element."""
+    return np.repeat(np.arange(len(column)), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)), column.flatten()
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows, which come by their first column, in batches that end between two of its values, once their last column has ``limit`` bytes."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        before = _unpacked(batch.column(batch.num_columns - 1))[1]
+        new = _changes(key)
+        new[0] = key[0] != last
+        cuts = np.flatnonzero(new)
+        sizes = before[cuts]
+        at, last = 0, key[-1]
+        while True:
+            i = max(np.searchsorted(sizes, limit - size + before[at]), np.searchsorted(cuts, at if held else at + 1))
+            if i >= len(cuts):
+                break
+            yield pa.concat_batches([*held, batch.slice(at, cuts[i] - at)])
+            held, size, at = [], 0, int(cuts[i])
+        held.append(batch.slice(at))
+        size += int(before[-1] - before[at])
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _told(doc: np.ndarray, digest: np.ndarray, is_open: np.ndarray) -> pa.RecordBatch:
     """One row for each document: its repeated contexts and its open ones."""
-    by = np.lexsort((is_open, doc))
+    by = by_key(doc.view(np.uint64))
     doc, digest, is_open = doc[by], digest[by], is_open[by]
-    cut = np.append(np.flatnonzero(_changes(doc)), len(doc))
-    shut = np.add.reduceat(~is_open, cut[:-1]) if len(doc) else np.zeros(0, np.int64)
-    lists = [(digest[i : i + n], digest[i + n : j]) for i, j, n in zip(cut[:-1].tolist(), cut[1:].tolist(), shut.tolist())]
-    kind = pa.list_(pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[cut[:-1]]), pa.array([x for x, _ in lists], kind), pa.array([x for _, x in lists], kind)], names=["doc_id", "repeats", "open"]
-    )
+    heads = np.flatnonzero(_changes(doc))
+    columns = [pa.array(doc[heads])]
+    for chosen in (~is_open, is_open):
+        edges = np.append(0, np.cumsum(chosen))[np.append(heads, len(doc))]
+        columns.append(pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(digest[chosen])))
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "repeats", "open"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by bucket."""
-
-    def settle(parts: list[tuple]) -> pa.RecordBatch:
-        kind = np.concatenate([np.full(len(c) // 8, k, np.int32) for k, _, c, _ in parts])
-        a, c, d = (np.frombuffer(b"".join(p[i] for p in parts), t) for i, t in ((1, np.uint32), (2, np.int64), (3, np.int64)))
+    for batch in _grouped(batches, 0):
+        (a, edges), (c, _), (d, _) = (_unpacked(batch.column(i)) for i in (2, 3, 4))
+        kind = np.repeat(batch.column("kind").to_numpy(), np.diff(edges) // 4)
+        a, c, d = (np.frombuffer(x.tobytes(), t) for x, t in ((a, np.uint32), (c, np.int64), (d, np.int64)))
         local = kind == 2
         doc, digest = [d[local]], [c[local]]
         hot, a, c, d = kind[~local] == 1, a[~local], c[~local], d[~local]
-        by = np.lexsort((d, c, a))
+        by = by_key(c.view(np.uint64))
+        by = by[by_key(a[by].astype(np.uint64))]
         hot, a, c, d = hot[by], a[by], c[by], d[by]
         context, anchor = _changes(a, c), _changes(a)
-        least = d[context][np.cumsum(context) - 1]
-        late = d > least
-        several = np.add.reduceat(context, np.flatnonzero(anchor)) > 1 if len(a) else np.zeros(0, bool)
+        least = np.minimum.reduceat(d, np.flatnonzero(context)) if len(d) else d
+        late = d > least[np.cumsum(context) - 1]
+        several = np.add.reduceat(context, np.flatnonzero(anchor), dtype=np.int64) > 1 if len(a) else np.zeros(0, bool)
         left = ~late & (hot | several[np.cumsum(anchor) - 1])
         doc += [d[late], d[left]]
         digest += [c[late], c[left]]
         is_open = np.repeat([False, True], [local.sum() + late.sum(), left.sum()])
-        return _told(np.concatenate(doc), np.concatenate(digest), is_open)
+        yield _told(np.concatenate(doc), np.concatenate(digest), is_open)
 
-    now, parts = None, []
-    for batch in batches:
-        for bucket, *part in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if bucket != now and parts:
-                yield settle(parts)
-                parts = []
-            now = bucket
-            parts.append(part)
-    if parts:
-        yield settle(parts)
+
+def _places(digests: pa.Array, rows: np.ndarray, of: np.ndarray, digest: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Numbers of the different pairs of a row and a digest: of the given ``rows`` and ``digests``, and of ``of`` and ``digest``, or -1 if not given."""
+    known = pc.unique(digests)
+    pairs = pa.array(rows * len(known) + pc.index_in(digests, known).to_numpy())
+    named = pc.fill_null(pc.index_in(pa.array(digest), known), -1).to_numpy()
+    mine = np.flatnonzero(named >= 0)
+    different = pc.unique(pairs)
+    out = np.full(len(digest), -1, np.int64)
+    out[mine] = pc.fill_null(pc.index_in(pa.array(of[mine] * len(known) + named[mine]), different), -1).to_numpy()
+    return pc.index_in(pairs, different).to_numpy(), out, len(different)
 
 
 def _members(values: pa.Array, of: np.ndarray, digest: np.ndarray) -> np.ndarray:
     """Whether each digest is among the values of its row; ``of`` is its row."""
-    out = np.zeros(len(digest), bool)
-    edge = np.searchsorted(of, np.arange(len(values) + 1))
-    for k, own in enumerate(values.to_pylist()):
-        if own:
-            own_rows = slice(edge[k], edge[k + 1])
-            out[own_rows] = np.isin(digest[own_rows], np.array(own, np.int64))
-    return out
+    rows, values = _elements(values)
+    return _places(values, rows, of, digest)[1] >= 0
 
 
 _OPEN = "route long, doc_id long, digest long, offset int, repeats boolean, bytes binary"
@@ -197,11 +269,12 @@ def _opened(length: int, hot: np.ndarray):
             found = contexts(data, begins, length)
             chosen = np.flatnonzero(_members(batch.column("open"), found.text, found.digest))
             doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[found.text[chosen]]
-            by = np.lexsort((found.digest[chosen], doc))
+            by = by_key(found.digest[chosen].view(np.uint64))
+            by = by[by_key(doc[by].view(np.uint64))]
             chosen, doc = chosen[by], doc[by]
             once = _changes(doc, found.digest[chosen])
             chosen, doc = chosen[once], doc[once]
-            is_hot = np.isin(found.anchor[chosen], hot)
+            is_hot = np.isin(found.anchor[chosen], hot) if len(hot) else np.zeros(len(chosen), bool)
             whole = ~is_hot
             route, digest = [found.anchor[chosen[whole]].view(np.int64)], [found.digest[chosen[whole]]]
             docs, offset = [doc[whole]], [np.zeros(whole.sum(), np.int32)]
@@ -220,12 +293,13 @@ def _opened(length: int, hot: np.ndarray):
                 offset.append((at - found.first[chosen[of]]).astype(np.int32))
                 start.append(at), size.append(np.where(behind, 0, length)), late.append(behind)
             start, size = np.concatenate(start), np.concatenate(size)
-            raw = data.tobytes()
-            texts = [raw[i : i + n] for i, n in zip(start.tolist(), size.tolist())]
             columns = [np.concatenate(x) for x in (route, docs, digest, offset, late)]
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.array(texts, pa.binary())], names=["route", "doc_id", "digest", "offset", "repeats", "bytes"]
-            )
+            for i in range(0, len(start), 1 << 20):
+                some = slice(i, i + (1 << 20))
+                texts = _binary(data[ranges(start[some], size[some])], np.append(0, np.cumsum(size[some])))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c[some]) for c in columns), texts], names=["route", "doc_id", "digest", "offset", "repeats", "bytes"]
+                )
 
     return run
 
@@ -233,76 +307,90 @@ def _opened(length: int, hot: np.ndarray):
 def _sorted_blocks(length: int):
     """Rows come by route. A block ends between two routes."""
 
-    def settle(rows: list[tuple]) -> pa.RecordBatch:
-        doc = np.array([r[1] for r in rows])
-        hits = repeated([r[5] for r in rows], doc, length)
-        out = []
-        for (_, doc_id, digest, offset, late, _), hit in zip(rows, hits):
-            mask = 1 if late else int.from_bytes(np.packbits(hit, bitorder="little").tobytes(), "little")
-            if mask:
-                out.append((doc_id, digest, mask << offset))
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["doc_id", "digest", "windows"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if size >= BLOCK and row[0] != rows[-1][0]:
-                    yield settle(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[5])
-        if rows:
-            yield settle(rows)
+        for batch in _grouped(batches, BLOCK):
+            doc, digest, offset, late = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "digest", "offset", "repeats"))
+            data, edges = _unpacked(batch.column("bytes"))
+            text, at = repeated(data, np.diff(edges), doc, length)
+            text, at = np.append(text, np.flatnonzero(late)), np.append(at, np.zeros(late.sum(), np.int64))
+            by = by_key(text.astype(np.uint64))
+            text, bit = text[by], np.left_shift(np.int64(1), at[by] + offset[text[by]])
+            heads = np.flatnonzero(_changes(text))
+            masks = np.bitwise_or.reduceat(bit, heads) if len(heads) else bit
+            row = text[heads]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[row]), pa.array(digest[row]), pa.array(masks)], names=["doc_id", "digest", "windows"])
 
     return run
 
 
-def removed(data: np.ndarray, begins: np.ndarray, length: int, repeats: pa.Array, digests: pa.Array, masks: pa.Array) -> np.ndarray:
-    """Which bytes of a slice are covered by a repeated window."""
+def removed(
+    data: np.ndarray, begins: np.ndarray, length: int, repeats: pa.Array, digests: pa.Array, masks: pa.Array
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of bytes of a slice that repeated windows cover: text, begin and end of each, in order."""
     found = contexts(data, begins, length)
     whole = _members(repeats, found.text, found.digest)
-    cover = np.zeros(len(data) + 1, np.int64)
-    np.add.at(cover, found.first[whole], 1)
-    np.add.at(cover, found.first[whole] + found.windows[whole] - 1 + length, -1)
-    edge = np.searchsorted(found.text, np.arange(len(begins)))
-    for k, (own, windows) in enumerate(zip(digests.to_pylist(), masks.to_pylist())):
-        if not own:
-            continue
-        marked: dict[int, int] = {}
-        for digest, mask in zip(own, windows):
-            marked[digest] = marked.get(digest, 0) | mask
-        rows = np.arange(edge[k], edge[k + 1])
-        for i in rows[np.isin(found.digest[rows], np.array(list(marked), np.int64))].tolist():
-            mask, at = marked[int(found.digest[i])], int(found.first[i])
-            for offset in range(int(found.windows[i])):
-                if mask >> offset & 1:
-                    cover[at + offset] += 1
-                    cover[at + offset + length] -= 1
-    return np.cumsum(cover[:-1]) > 0
+    rows, own = _elements(digests)
+    number, place, n = _places(own, rows, found.text, found.digest)
+    marked = np.zeros(n, np.int64)
+    np.bitwise_or.at(marked, number, masks.flatten().to_numpy())
+    partly = np.flatnonzero(~whole & (place >= 0))
+    windows = found.windows[partly]
+    offset = ranges(np.zeros(len(partly), np.int64), windows)
+    on = np.repeat(marked[place[partly]], windows) >> offset & 1 == 1
+    start = np.append(found.first[whole], (np.repeat(found.first[partly], windows) + offset)[on])
+    end = np.append((found.first + found.windows)[whole], (np.repeat(found.first[partly], windows) + offset + 1)[on]) - 1 + length
+    text = np.append(found.text[whole], np.repeat(found.text[partly], windows)[on])
+    by = by_key(start.astype(np.uint64))
+    start, end, text = start[by], end[by], text[by]
+    new = np.ones(len(start), bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] > end[:-1])  # windows are in order, so the last one ends last
+    heads = np.flatnonzero(new)
+    return text[heads], start[heads], end[np.append(heads[1:], len(start)) - 1] if len(heads) else end
+
+
+def _kept(raw: memoryview, begin: int, end: int, runs: list[tuple[int, int]]) -> list[memoryview]:
+    """The pieces of a text between its runs."""
+    out = []
+    for start, stop in runs:
+        out.append(raw[begin:start])
+        begin = stop
+    return [*out, raw[begin:end]]
+
+
+def _sha256(pieces: list[memoryview]) -> str:
+    digest = hashlib.sha256()
+    for piece in pieces:
+        digest.update(piece)
+    return digest.hexdigest()
 
 
 def _cut(length: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
             data, begins = text_bytes(batch.column("text"))
-            gone = removed(data, begins, length, *(batch.column(c) for c in ("repeats", "digests", "masks")))
-            before = np.zeros(len(gone), bool)
-            before[1:] = gone[:-1]
-            before[begins[:-1][begins[:-1] < len(gone)]] = False
-            spans = np.append(0, np.cumsum(gone & ~before))
-            count = np.append(0, np.cumsum(gone))
-            kept = data[~gone].tobytes()
-            left = begins - count[begins]
-            pieces = [kept[i:j] for i, j in zip(left[:-1].tolist(), left[1:].tolist())]
+            # Texts that lose something are looked at again; the others keep all bytes.
+            touched = pc.or_(pc.is_valid(batch.column("repeats")), pc.is_valid(batch.column("digests")))
+            rows = np.flatnonzero(touched.to_numpy(zero_copy_only=False))
+            some = batch.filter(touched)
+            at, (found, own) = begins[rows], text_bytes(some.column("text"))
+            text, start, end = removed(found, own, length, *(some.column(c) for c in ("repeats", "digests", "masks")))
+            shift = (at - own[:-1])[text]
+            text, start, end = rows[text], start + shift, end + shift
+            n = batch.num_rows
+            edges = np.searchsorted(text, np.arange(n + 1)).tolist()
+            runs = list(zip(start.tolist(), end.tolist()))
+            raw, ends = memoryview(data), begins.tolist()
+            digests = [_sha256(_kept(raw, ends[k], ends[k + 1], runs[edges[k] : edges[k + 1]])) for k in range(n)]
             columns = {
                 "row": batch.column("row"),
                 "n_bytes": pa.array(np.diff(begins)),
-                "n_removed": pa.array(np.diff(count[begins])),
-                "n_spans": pa.array(np.diff(spans[begins])),
-                "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in pieces]),
+                "n_removed": pa.array(np.bincount(text, end - start, n).astype(np.int64)),
+                "n_spans": pa.array(np.bincount(text, minlength=n)),
+                "kept_sha256": pa.array(digests, pa.string()),
             }
             if with_text:
+                gone = np.zeros(len(data), bool)
+                gone[ranges(start, end - start)] = True
                 heads = np.flatnonzero((data & 0xC0) != 0x80)  # a character goes as a whole
                 if len(heads):
                     gone = np.repeat(np.logical_or.reduceat(gone, heads), np.diff(np.append(heads, len(data))))

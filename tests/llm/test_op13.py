@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from platewise.llm import cover_sort
@@ -97,3 +98,83 @@ def test_removal_keeps_columns_and_whole_characters(spark, odd_docs):
     rows = [(1, "漢" * 30, "x"), (2, "aa" + "漢" * 30 + "bb", "y"), (3, None, "z")]
     out = op.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, row string"))
     assert got(out.select("doc_id", "text", "row")) == [(1, "漢" * 30, "x"), (2, "aabb", "y"), (3, None, "z")]
+
+
+def test_order_by_keys_equals_a_stable_sort():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 1000):
+        for top in (2, 1 << 40, 1 << 64):
+            keys = rng.integers(0, top, n, np.uint64) if top < 1 << 64 else rng.integers(0, 1 << 64, n, np.uint64) | np.uint64(1 << 63)
+            assert cover_sort.by_key(keys).tolist() == np.argsort(keys, kind="stable").tolist()
+
+
+@pytest.mark.parametrize("length", [1, 3, 50, 90])
+def test_contexts_do_not_depend_on_chunks(monkeypatch, length):
+    rng = random.Random(length)
+    texts = [bytes(rng.choice(b"ab c") for _ in range(rng.choice([0, 1, length - 1, length, 200, 40_000]))) for _ in range(12)]
+    texts += texts[:6]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    begins = np.cumsum([0, *map(len, texts)])
+    whole = op.contexts(data, begins, length)
+    starts = [int(f) + i for f, n in zip(whole.first, whole.windows) for i in range(n)]
+    assert starts == [int(b) + i for b, t in zip(begins, texts) for i in range(len(t) - length + 1)]
+    anchors = {}
+    for text, anchor, first, n in zip(whole.text, whole.anchor, whole.first, whole.windows):
+        assert begins[text] <= first and first + n - 1 + length <= begins[text + 1]
+        for i in range(first, first + n):
+            assert anchors.setdefault(data[i : i + length].tobytes(), anchor) == anchor
+    monkeypatch.setattr(op, "CHUNK", 100)
+    parts = op.contexts(data, begins, length)
+    for name in ("text", "anchor", "digest", "first", "windows"):
+        assert getattr(whole, name).tolist() == getattr(parts, name).tolist()
+
+
+def test_texts_that_lose_nothing_are_not_looked_at_again(monkeypatch):
+    looked = []
+    plain = op.contexts
+    monkeypatch.setattr(op, "contexts", lambda data, *more: looked.append(len(data)) or plain(data, *more))
+    texts = ["first " * 30, "", None, "other" * 50, "é" * 60]
+    found = plain(np.frombuffer(texts[3].encode(), np.uint8), np.array([0, 250]), 50)
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "row": pa.array(range(5)),
+            "text": pa.array(texts),
+            "repeats": pa.array([None, None, None, found.digest[:1].tolist(), None], pa.list_(pa.int64())),
+            "digests": pa.array([None] * 5, pa.list_(pa.int64())),
+            "masks": pa.array([None] * 5, pa.list_(pa.int64())),
+        }
+    )
+    (out,) = op._cut(50, False)(iter([batch]))
+    assert looked == [250]
+    assert out.column("n_bytes").to_pylist() == [180, 0, 0, 250, 120]
+    lost = out.column("n_removed").to_pylist()
+    assert lost[3] >= 50 and lost[:3] + lost[4:] == [0, 0, 0, 0]
+    kept = [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+    assert [a == b for a, b in zip(out.column("kept_sha256").to_pylist(), kept)] == [True, True, True, False, True]
+
+
+def test_ranked_suffixes_are_not_sorted_again(monkeypatch):
+    sizes = []
+    plain = cover_sort.by_key
+    monkeypatch.setattr(cover_sort, "by_key", lambda keys: sizes.append(len(keys)) or plain(keys))
+    rng = random.Random(1)
+    cover_sort.Block([rng.randbytes(7000), b"twice the same", b"twice the same"])
+    assert 2990 < sizes[0] < 3020 and all(n <= 12 for n in sizes[1:])
+
+
+def test_groups_end_between_keys():
+    rng = random.Random(2)
+    for limit in (0, 5, 40):
+        rows = sorted((rng.randrange(30), rng.randbytes(rng.randrange(9))) for _ in range(200))
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows[i:j]], pa.int64()), pa.array([x for _, x in rows[i:j]], pa.binary())], ["key", "bytes"])
+            for i, j in ((0, 0), (0, 1), (1, 60), (60, 60), (60, 199), (199, 200))
+        ]
+        groups = [list(zip(*(c.to_pylist() for c in b.columns))) for b in op._grouped(iter(batches), limit)]
+        assert [r for g in groups for r in g] == rows
+        for group, following in zip(groups, groups[1:]):
+            assert group[-1][0] != following[0][0] and sum(len(x) for _, x in group) >= limit
+            last = [x for k, x in group if k != group[-1][0]]
+            assert not last or sum(map(len, last)) < max(limit, 1) or limit == 0
+        if not limit:
+            assert all(len({k for k, _ in g}) == 1 for g in groups)
